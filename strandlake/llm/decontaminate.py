@@ -53,21 +53,33 @@ def windows(words: Column) -> Column:
     return F.array_distinct(F.transform(window_starts(words), lambda i: F.xxhash64(F.slice(words, i, WORDS))))
 
 
+def _windowed(df: DataFrame) -> DataFrame:
+    """df with the column windows. The words are a column of their own: inside a lambda they would be made again for each window."""
+    return df.withColumn("_words", template_words(with_slots(F.col("text")))).withColumn("windows", windows(F.col("_words"))).drop("_words")
+
+
 def _slot_windows(df: DataFrame, *ids: str) -> DataFrame:
-    """(ids, window, values): the windows with slots and the slots' values in order."""
+    """(ids, window, values): the windows with slots and the slots' values in order.
+
+    explode_outer, here and below: for explode the optimizer would add a filter on the array's size, push it below the
+    column of words and so make the words anew for each window.
+    """
     rows = df.select(*ids, with_slots(text_or_empty()).alias("slotted"))
-    rows = rows.select(*ids, template_words(F.col("slotted")).alias("t"), value_words(F.col("slotted")).alias("v"))
-    rows = rows.select(*ids, F.explode(F.transform(window_starts(F.col("t")), lambda i: F.struct(F.xxhash64(F.slice("t", i, WORDS)).alias("window"), F.filter(F.slice("v", i, WORDS), lambda w: w.rlike("^0[anu]")).alias("values")))).alias("w"))
-    return rows.select(*ids, "w.window", "w.values").filter(F.size("values") > 0)
+    rows = rows.select(*ids, F.arrays_zip(template_words(F.col("slotted")).alias("t"), value_words(F.col("slotted")).alias("v")).alias("tv"))
+    # tv is used more than once below, so it stays a column and is not made again for each window.
+    rows = rows.select(*ids, F.explode_outer(F.transform(window_starts(F.col("tv")), lambda i: F.slice("tv", i, WORDS))).alias("w"))
+    rows = rows.select(*ids, F.xxhash64(F.transform("w", lambda x: x["t"])).alias("window"), F.transform(F.filter("w", lambda x: x["v"].rlike("^0[anu]")), lambda x: x["v"]).alias("values"))
+    return rows.filter(F.size("values") > 0)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, consistency: float = CONSISTENCY) -> DataFrame:
     """(doc_id, item_id, item_windows, matched, containment, slots, slot_consistency) for each leaked item of each document."""
     items = benchmark.select("item_id", text_or_empty().alias("text")).distinct()
-    items = items.select("item_id", F.xxhash64("text").alias("item_key"), "text", windows(template_words(with_slots(F.col("text")))).alias("windows"))
-    wanted = materialize(items.select("item_id", "item_key", F.size("windows").alias("item_windows"), F.explode("windows").alias("window")), "item-windows")
+    items = _windowed(items.select("item_id", F.xxhash64("text").alias("item_key"), "text"))
+    wanted = materialize(items.select("item_id", "item_key", F.size("windows").alias("item_windows"), F.explode_outer("windows").alias("window")), "item-windows")
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    found = rows.select("doc_id", F.xxhash64("text").alias("doc_key"), F.monotonically_increasing_id().alias("row"), F.explode(windows(template_words(with_slots(F.col("text"))))).alias("window"))
+    found = _windowed(rows.select("doc_id", F.xxhash64("text").alias("doc_key"), F.monotonically_increasing_id().alias("row"), "text"))
+    found = found.select("doc_id", "doc_key", "row", F.explode_outer("windows").alias("window"))
     small = wanted.count() <= BROADCAST_WINDOWS
     # Beyond that size the filter keeps windows of no item from being shuffled.
     matched = found.join(F.broadcast(wanted), "window") if small else maybe_in(found, F.col("window"), key_filter(wanted, F.col("window"))).join(wanted, "window")
