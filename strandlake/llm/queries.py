@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandlake.llm import decontaminate, exact_dedup
+from strandlake.llm import decontaminate, exact_dedup, pack
 from strandlake.llm.common import table
 
 
@@ -14,6 +14,12 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    return pack.pack_documents(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.resolve_duplicates(table(spark, sf_dir, "documents"))
 
