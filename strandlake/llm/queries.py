@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandlake.llm import decontaminate, exact_dedup, pack
+from strandlake.llm import decontaminate, exact_dedup, fixity, pack
 from strandlake.llm.common import table
 
 
@@ -24,6 +25,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.resolve_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as WARC records, audited against a replica with known damage: every 101st record has one byte changed, every 103rd is lost."""
+    damaged = F.when(F.col("page_id") % 103 == 5, F.lit(None)).when(F.col("page_id") % 101 == 7, F.concat(F.lit("w"), F.expr("substring(record, 2)"))).otherwise(F.col("record"))
+    return fixity.report(table(spark, sf_dir, "pages"), damaged)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
@@ -35,5 +42,18 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+OP10_SQL = r"""
+WITH r AS (
+  SELECT page_id, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages),
+l AS (SELECT page_id, sha256(record) AS record_sha256, strlen(record) AS length, count(*) AS copies FROM r GROUP BY ALL),
+v AS (SELECT *, ('0x' || record_sha256[:8])::BIGINT % greatest(1, ceil(sum(length) OVER () / 4194304.0))::BIGINT AS volume FROM l)
+SELECT page_id, volume, coalesce(sum(length) OVER (PARTITION BY volume ORDER BY page_id NULLS FIRST, record_sha256 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset",
+  length, copies, record_sha256, CASE WHEN page_id % 103 = 5 THEN 'missing' WHEN page_id % 101 = 7 THEN 'changed' ELSE 'ok' END AS state
+FROM v
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL}
+    return {"op8_exact_dedup": OP8_SQL, "op10_warc_fixity": OP10_SQL}
