@@ -33,46 +33,55 @@ LETTERS = re.compile(r"[^\W\d_]+")
 KNOWN, AT_ONCE = 400_000, 1_000_000
 
 
-def trigrams(word: str) -> list[str]:
-    padded = f"^{word}$"
-    return [padded[i : i + 3] for i in range(len(padded) - 2)] or [padded]
+def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the trigrams of all words, each between two marks, and the first of each word."""
+    points = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype("u8")
+    codes = (points[:-2] << 42) | (points[1:-1] << 21) | points[2:]
+    sizes = np.fromiter(map(len, words), "i8", len(words))
+    ends = np.cumsum(sizes + 2)
+    keep = np.ones(len(points), bool)
+    keep[ends - 1] = keep[ends - 2] = False
+    return codes[keep[:-2]], np.cumsum(sizes) - sizes
 
 
 class Model:
-    """Word and trigram scores; ``fit`` takes (lang, word, n) counts of the bounded sample."""
+    """Word and trigram scores from (lang, word, n) counts of the bounded sample."""
 
     def __init__(self, counts: list[tuple[str, str, int]]):
         self.langs = sorted({lang for lang, _, _ in counts})
         at = {lang: i for i, lang in enumerate(self.langs)}
-        words, grams, scripts = {}, {}, {}
-        for lang, word, n in counts:
-            for table, keys in ((words, [word]), (grams, trigrams(word)), (scripts, [self.script(word)])):
-                for key in keys:
-                    table.setdefault(key, np.zeros(len(self.langs)))[at[lang]] += n
-        self.words, self.grams = (self._logs(table) for table in (words, grams))
-        self.unseen = np.log(FLOOR / (FLOOR * len(grams) + self._total(grams))) if counts else np.zeros(0)
-        self.scripts = {k: v > 0 for k, v in scripts.items()}
-
-    def _total(self, table: dict) -> np.ndarray:
-        return sum(table.values(), np.zeros(len(self.langs)))
-
-    def _logs(self, table: dict) -> dict[str, np.ndarray]:
-        total = self._total(table)
-        return {k: np.log((v + FLOOR) / (total + FLOOR * len(table))) for k, v in table.items()}
+        words = [word for _, word, _ in counts]
+        lang, n = np.array([at[lang] for lang, _, _ in counts], "i8"), np.array([n for _, _, n in counts], "f8")
+        distinct = {word: i for i, word in enumerate(dict.fromkeys(words))}
+        self.words, self.word_scores = distinct, self._logs(np.array([distinct[w] for w in words], "i8"), lang, n)
+        codes, firsts = trigrams(words) if words else (np.zeros(0, "u8"), np.zeros(0, "i8"))
+        owner = np.repeat(np.arange(len(words)), np.diff(np.append(firsts, len(codes))))
+        self.grams, index = np.unique(codes, return_inverse=True)
+        self.gram_scores = self._logs(index, lang[owner], n[owner], unseen=True)
+        self.scripts = np.zeros((len(SCRIPTS) + 1, len(self.langs)), bool)
+        self.scripts[self.script(words), lang] = True
+
+    def _logs(self, rows: np.ndarray, lang: np.ndarray, n: np.ndarray, unseen: bool = False) -> np.ndarray:
+        table = np.zeros((rows.max(initial=-1) + 1 + unseen, len(self.langs)))
+        np.add.at(table, (rows, lang), n)
+        return np.log((table + FLOOR) / (table.sum(0) + FLOOR * len(table)))
 
     @staticmethod
-    def script(word: str) -> int:
-        return int(np.searchsorted(SCRIPTS, ord(word[0]), "right"))
-
-    def scores(self, word: str) -> np.ndarray:
-        """Log odds of a lower-case word against its best language; languages of other scripts lose by much."""
-        got = self.words.get(word)
-        if got is None:
-            got = sum((self.grams.get(g, self.unseen) for g in trigrams(word)), np.zeros(len(self.langs)))
-        allowed = self.scripts.get(self.script(word))
-        if allowed is not None:
-            got = np.where(allowed, got, got.max() - 50)
-        return np.maximum(got - got.max(), -50)
+    def script(words: list[str]) -> np.ndarray:
+        return np.searchsorted(SCRIPTS, np.fromiter((ord(w[0]) for w in words), "i8", len(words)), "right")
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Log odds of lower-case words against their best language; languages of other scripts lose by much."""
+        if not words:
+            return np.zeros((0, len(self.langs)))
+        codes, firsts = trigrams(words)
+        i = np.minimum(np.searchsorted(self.grams, codes), len(self.grams) - 1)
+        got = np.add.reduceat(self.gram_scores[np.where(self.grams[i] == codes, i, len(self.grams))], firsts)
+        seen = np.fromiter((self.words.get(w, -1) for w in words), "i8", len(words))
+        got[seen >= 0] = self.word_scores[seen[seen >= 0]]
+        allowed = self.scripts[self.script(words)]
+        got = np.where(allowed | ~allowed.any(1, keepdims=True), got, got.max(1, keepdims=True) - 50)
+        return np.maximum(got - got.max(1, keepdims=True), -50)
 
 
 def viterbi(scores: np.ndarray, starts: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -121,19 +130,21 @@ class Labeller:
         """For each text: the language number and the letters of each word with letters."""
         if len(self.known) > KNOWN:
             self._forget()
-        scores, letters, ids, ends = [], [], [], [0]
+        found, ids, ends, count = [], [], [0], len(self.letters)
         for text in texts:
             words = text.split()
             for word in set(words).difference(self.known):
                 parts = LETTERS.findall(word.lower())
-                self.known[word] = len(self.letters) + len(letters) if parts else -1
+                self.known[word] = count if parts else -1
                 if parts:
-                    scores.append(sum(map(self.model.scores, parts)))
-                    letters.append(sum(map(len, parts)))
+                    found.append(parts)
+                    count += 1
             ids += map(self.known.__getitem__, words)
             ends.append(len(ids))
-        if letters:
-            self.scores, self.letters = np.concatenate([self.scores, np.array(scores, "f4")]), np.concatenate([self.letters, np.array(letters, "i8")])
+        if found:
+            flat, firsts = [p for parts in found for p in parts], np.cumsum([0] + [len(parts) for parts in found[:-1]])
+            self.scores = np.concatenate([self.scores, np.add.reduceat(self.model.scores(flat), firsts).astype("f4")])
+            self.letters = np.concatenate([self.letters, np.add.reduceat(np.fromiter(map(len, flat), "i8", len(flat)), firsts)])
         ids = np.array(ids, "i8")
         starts = np.concatenate([[0], np.cumsum(ids >= 0)])[ends]
         ids = ids[ids >= 0]
