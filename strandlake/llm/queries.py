@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import decontaminate, exact_dedup, fixity, language_id, pack, secrets, simhash
+from strandlake.llm import decontaminate, exact_dedup, fixity, language_id, pack, secrets, simhash, token_counts
 from strandlake.llm.common import table
 
 
@@ -41,6 +41,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.resolve_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path("byte_bpe_50k.tiktoken"))
+
+
 def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as WARC records, audited against a replica with known damage: every 101st record has one byte changed, every 103rd is lost."""
     damaged = F.when(F.col("page_id") % 103 == 5, F.lit(None)).when(F.col("page_id") % 101 == 7, F.concat(F.lit("w"), F.expr("substring(record, 2)"))).otherwise(F.col("record"))
