@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import decontaminate, exact_dedup, fixity, language_id, pack, repeats, secrets, simhash, token_counts
+from strandlake.llm import context_tree, decontaminate, exact_dedup, fixity, language_id, pack, repeats, secrets, simhash, token_counts
 from strandlake.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_documents(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
