@@ -173,6 +173,18 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     return Model([tuple(r) for r in words.groupBy("lang", "word").count().collect()])
 
 
+def predict_batch(labeller: Labeller, texts: list[str]) -> Iterator[tuple[str, float, list[tuple[str, int, int]]]]:
+    """Predictions for all texts, made for a bounded number of words at once (one text at least)."""
+    begin = 0
+    while begin < len(texts):
+        end, size = begin + 1, len(texts[begin])
+        while end < len(texts) and size + len(texts[end]) < 6 * AT_ONCE:
+            size += len(texts[end])
+            end += 1
+        yield from labeller.predict(texts[begin:end])
+        begin = end
+
+
 def identify(docs: DataFrame, model: Model, with_spans: bool = False) -> DataFrame:
     """(doc_id, lang_pred, score[, spans]) for each row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as large as the bounded sample's vocabulary
@@ -182,14 +194,7 @@ def identify(docs: DataFrame, model: Model, with_spans: bool = False) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value)
         for batch in batches:
-            texts, out, begin = batch.column(1).to_pylist(), [], 0
-            while begin < len(texts):  # a bounded number of words at once, at least one text
-                end, size = begin + 1, len(texts[begin])
-                while end < len(texts) and size + len(texts[end]) < 6 * AT_ONCE:
-                    size += len(texts[end])
-                    end += 1
-                out += labeller.predict(texts[begin:end])
-                begin = end
+            out = list(predict_batch(labeller, batch.column(1).to_pylist()))
             langs, scores, spans = zip(*out, strict=True) if out else ((), (), ())
             arrays = [batch.column(0), pa.array(langs, "string"), pa.array(scores, "double")]
             if with_spans:
@@ -197,3 +202,19 @@ def identify(docs: DataFrame, model: Model, with_spans: bool = False) -> DataFra
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "lang_pred", "score"] + ["spans"] * with_spans)
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double" + f", spans {span}" * with_spans)
+
+
+def keep_identified(docs: DataFrame, model: Model, least_share: float) -> DataFrame:
+    """The rows of docs whose best language holds at least least_share of their letters, with all their columns; lang is the predicted one."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(shared.value)
+        for batch in batches:
+            found = list(predict_batch(labeller, [t or "" for t in batch.column("text").to_pylist()]))
+            kept = pa.array([i for i, (lang, score, _) in enumerate(found) if lang != UND and score >= least_share], "int64")
+            langs = pa.array([lang for lang, _, _ in found], "string")
+            yield pa.RecordBatch.from_arrays([(langs if c == "lang" else batch.column(c)).take(kept) for c in columns], columns)
+
+    return docs.mapInArrow(run, docs.schema)
