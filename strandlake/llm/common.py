@@ -46,11 +46,21 @@ def key_filter(keys: DataFrame, key: Column, bits: int = FILTER_BITS) -> DataFra
     return keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
 
 
-def maybe_in(df: DataFrame, key: Column, filters: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """Rows of df whose key may be in the filter: all that are, and few others. The broadcast side has a fixed size bound."""
+def _probed(df: DataFrame, key: Column, filters: DataFrame, bits: int, how: str) -> tuple[DataFrame, Column]:
     slot = F.pmod(F.xxhash64(key), F.lit(1 << bits)) + 1
     probed = df.withColumns({"_bucket": F.bitmap_bucket_number(slot), "_bit": F.bitmap_bit_position(slot)})
-    joined = probed.join(F.broadcast(filters.select(F.col("bucket").alias("_fb"), F.col("bitmap").alias("_bitmap"))), F.col("_bucket") == F.col("_fb"))
+    joined = probed.join(F.broadcast(filters.select(F.col("bucket").alias("_fb"), F.col("bitmap").alias("_bitmap"))), F.col("_bucket") == F.col("_fb"), how)
     byte = F.conv(F.hex(F.expr("substring(_bitmap, CAST(_bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-    mask = F.expr("shiftleft(1, CAST(_bit % 8 AS INT))")
-    return joined.filter(byte.bitwiseAND(mask) != 0).select(*df.columns)
+    return joined, byte.bitwiseAND(F.expr("shiftleft(1, CAST(_bit % 8 AS INT))")) != 0
+
+
+def maybe_in(df: DataFrame, key: Column, filters: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of df whose key may be in the filter: all that are, and few others. The broadcast side has a fixed size bound."""
+    joined, there = _probed(df, key, filters, bits, "inner")
+    return joined.filter(there).select(*df.columns)
+
+
+def surely_out(df: DataFrame, key: Column, filters: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of df that maybe_in leaves out."""
+    joined, there = _probed(df, key, filters, bits, "left")
+    return joined.filter(~F.coalesce(there, F.lit(False))).select(*df.columns)

@@ -25,12 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import materialize, text_or_empty
+from strandlake.llm.common import key_filter, materialize, maybe_in, surely_out, text_or_empty
 
-LENGTH, SPAN = 400, 101
+LENGTH, SPAN = 400, 201
 CORE = LENGTH - SPAN + 1
 #: The core filter has 2**FILTER_BITS bits (16 MB), whatever the input.
 FILTER_BITS = 27
@@ -118,7 +118,7 @@ def core_filter(counts: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 
 
 def phrases(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """The parse: (doc_id, text_hash, core, phrase, first, last) of triggers whose core may occur twice; first and last are starts of strings."""
+    """The parse: (text_hash, text_check, core, phrase, first, last) of triggers whose core may occur twice; first and last are starts of strings."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
     mask = np.int64(len(bitmap) * 8 - 1)
 
@@ -131,27 +131,23 @@ def phrases(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
                 number, offset, trigger, first, last, core = (x[keep] for x in (number, offset, trigger, first, last, core))
                 phrase = _hashes(joined, first, last + LENGTH, 1) ^ ((trigger - first) * SPAN + last - first)
                 rows = pa.array(number)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(core), pa.array(phrase), pa.array(first + offset), pa.array(last + offset)], ["doc_id", "text_hash", "core", "phrase", "first", "last"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *map(pa.array, (core, phrase, first + offset, last + offset))], ["text_hash", "text_check", "core", "phrase", "first", "last"])
 
-    return docs.mapInArrow(run, f"doc_id {_kind(docs)}, text_hash long, core long, phrase long, first long, last long")
+    return docs.select("text_hash", "text_check", "text").mapInArrow(run, "text_hash long, text_check int, core long, phrase long, first long, last long")
 
 
-def _kind(docs: DataFrame) -> str:
-    return docs.schema["doc_id"].dataType.simpleString()
+TEXT = ["text_hash", "text_check"]
 
 
-def _same_document(a: DataFrame, b: DataFrame) -> Column:
-    return a["doc_id"].eqNullSafe(b["_id"]) & (a["text_hash"] == b["_hash"])
-
-
-def _by_document(rows: DataFrame, *columns: str) -> DataFrame:
-    """The rows of each document in one array, which its length bounds."""
-    return rows.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.collect_set(F.struct(*columns)).alias("found"))
+def _by_text(rows: DataFrame, *columns: str) -> DataFrame:
+    """The rows of each text in one array, which its length bounds."""
+    return materialize(rows.groupBy(*TEXT).agg(F.collect_set(F.struct(*columns)).alias("found")), "by-text")
 
 
 def dictionary_strings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, core, string, start, single): every string of the phrases wanted (doc_id, text_hash, core, first, last, single)."""
-    by = _by_document(wanted, "core", "first", "last", "single")
+    """(text_hash, text_check, core, string, start, single): every string of the phrases wanted (text, core, first, last, single)."""
+    by = _by_text(wanted, "core", "first", "last", "single")
+    names = [*TEXT, "core", "string", "start", "single"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,22 +157,29 @@ def dictionary_strings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 start = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
                 rows = pa.array(np.full(len(start), row))
                 columns = [np.repeat(core, size), _hashes(text, start, start + LENGTH, 2), start, np.repeat([f["single"] for f in found], size)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *map(pa.array, columns)], ["doc_id", "text_hash", "core", "string", "start", "single"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *map(pa.array, columns)], names)
 
-    joined = docs.join(by, _same_document(docs, by)).select("doc_id", "text_hash", "text", "found")
-    return joined.mapInArrow(run, f"doc_id {_kind(docs)}, text_hash long, core long, string long, start long, single boolean")
+    # One document of each text will do, and only texts that are wanted are shuffled.
+    texts = maybe_in(docs.select(*TEXT, "text"), F.col("text_hash"), key_filter(by, F.col("text_hash"))).dropDuplicates(TEXT)
+    return texts.join(by, TEXT).select(*TEXT, "text", "found").mapInArrow(run, "text_hash long, text_check int, core long, string long, start long, single boolean")
 
 
 def repeated_starts(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, first, last): every start of a string of LENGTH bytes that also starts elsewhere lies in such a range."""
+    """(text_hash, text_check, first, last): every start of a string of LENGTH bytes that also starts elsewhere lies in such a range."""
     parsed = materialize(phrases(docs, core_filter(core_counts(docs))), "phrases")
-    dictionary = materialize(parsed.groupBy("core", "phrase").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("first", "last", "text_hash", "doc_id")).alias("at")), "dictionary")
-    whole = parsed.join(dictionary.filter("n > 1").select("core", "phrase"), ["core", "phrase"]).select("doc_id", "text_hash", "first", "last")
-    mixed = dictionary.groupBy("core").agg(F.count(F.lit(1)).alias("distinct"), F.bool_or(F.col("n") == 1).alias("open")).filter("distinct > 1 AND open").select("core")
-    wanted = dictionary.join(mixed, "core").select("at.doc_id", "at.text_hash", "core", "at.first", "at.last", (F.col("n") == 1).alias("single"))
+    dictionary = materialize(parsed.groupBy("core", "phrase").agg(F.count(F.lit(1)).alias("n")), "dictionary")
+    mixed = dictionary.groupBy("core").agg(F.count(F.lit(1)).alias("distinct"), F.bool_or(F.col("n") == 1).alias("open")).filter("distinct > 1 AND open").select("core", F.lit(True).alias("mixed"))
+    flagged = dictionary.join(mixed, "core", "left").filter("n > 1 OR mixed")
+    found = materialize(parsed.join(flagged, ["core", "phrase"]), "found-phrases")
+    whole = found.filter("n > 1").select(*TEXT, "first", "last")
+    one = found.filter("mixed").groupBy("core", "phrase", "n").agg(F.min(F.struct(*TEXT, "first", "last")).alias("at"))
+    wanted = one.select("at.text_hash", "at.text_check", "core", "at.first", "at.last", (F.col("n") == 1).alias("single"))
     strings = materialize(dictionary_strings(docs, wanted), "strings")
-    twice = strings.groupBy("core", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core", "string")
-    parts = strings.filter("single").join(twice, ["core", "string"]).select("doc_id", "text_hash", F.col("start").alias("first"), F.col("start").alias("last"))
+    # A filter on the strings' own hashes first: most strings occur once and need not be shuffled with their places.
+    often = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = materialize(maybe_in(strings, F.col("string"), key_filter(often, F.col("string"), FILTER_BITS), FILTER_BITS), "strings-again")
+    twice = again.groupBy("core", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core", "string")
+    parts = again.filter("single").join(twice, ["core", "string"]).select(*TEXT, F.col("start").alias("first"), F.col("start").alias("last"))
     return whole.union(parts)
 
 
@@ -195,8 +198,8 @@ def cut(text: bytes, ranges: list[tuple[int, int]]) -> tuple[int, list[tuple[int
 def remove_repeats(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept, removed]) for each row of docs; kept are bytes, removed the runs."""
     docs = docs.select("doc_id", text_or_empty().alias("text"))
-    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    ranges = _by_document(repeated_starts(docs), "first", "last")
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.hash("text").alias("text_check"), "text")
+    ranges = _by_text(repeated_starts(docs), "first", "last")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept", "removed"] * with_bytes
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -209,5 +212,8 @@ def remove_repeats(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
                 columns += [pa.array([d[2] for d in done], "binary"), pa.array([[{"start": a, "end": b} for a, b in d[1]] for d in done], span)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
-    joined = docs.join(ranges, _same_document(docs, ranges), "left").select("doc_id", "text", "found")
-    return joined.mapInArrow(run, f"doc_id {_kind(docs)}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, removed array<struct<start:long,end:long>>" * with_bytes)
+    filters = key_filter(ranges, F.col("text_hash"))
+    there = maybe_in(docs, F.col("text_hash"), filters).join(ranges, TEXT, "left").select("doc_id", "text", "found")
+    whole = surely_out(docs, F.col("text_hash"), filters).select("doc_id", "text", F.lit(None).cast(ranges.schema["found"].dataType).alias("found"))
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, removed array<struct<start:long,end:long>>" * with_bytes
+    return there.mapInArrow(run, schema).union(whole.mapInArrow(run, schema))
