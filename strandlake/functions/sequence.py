@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Nucleotide codes and their complements.
 CODES = "ACGTUMRWSYKVHDBNacgtumrwsykvhdbn"
@@ -72,7 +73,7 @@ def trimmed(sequence: Column, ranges: str) -> Column:
     return F.concat(*parts) if parts else sequence
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def projected(reference: pd.Series, query: pd.Series) -> pd.Series:
     """The query laid out in the reference's columns: gaps stay gaps, missing letters become gaps, surplus ones drop out."""
     out = []
@@ -88,7 +89,7 @@ def projected(reference: pd.Series, query: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="object")
 
 
-@F.pandas_udf("first string, last string")
+@F.pandas_udf(T.StructType([T.StructField("first", T.StringType()), T.StructField("last", T.StringType())]))
 def covered_span(master: pd.Series, query: pd.Series) -> pd.DataFrame:
     """First and last position of the master that the query covers, 'NA' if none."""
     rows = []
@@ -99,7 +100,7 @@ def covered_span(master: pd.Series, query: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["first", "last"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def coverage(master: pd.Series, query: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
     """Percentage, with two decimals, of a feature's master columns where the query has a known base; 'NA' if it has no columns."""
     out = []
@@ -120,7 +121,7 @@ AMINO_ACIDS = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 CODONS = dict(zip(map("".join, every("TCAG", repeat=3)), AMINO_ACIDS, strict=True))
 
 
-@F.pandas_udf("frame int, start int, protein string")
+@F.pandas_udf(T.StructType([T.StructField("frame", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("protein", T.StringType())]))
 def longest_frame(sequences: pd.Series) -> pd.DataFrame:
     """The longest open reading frame (M to stop) of six frames; frames 1 to 3 forward, -1 to -3 on the other strand; the first of equals."""
     flip = str.maketrans(CODES, COMPLEMENTS)
