@@ -99,7 +99,7 @@ def first_digits(c: Column) -> Column:
 
 
 def items(c: Column, separator: str = ";") -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), separator), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), separator), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def collapsed(c: Column) -> Column:

@@ -62,7 +62,7 @@ def _pick(df: DataFrame, key: str, last: bool) -> DataFrame:
 
 def reference_list(spark: SparkSession, path: str) -> DataFrame:
     """(accession, kind, segment) of a list without header; of rows with one accession the first counts; rows of one field drop out."""
-    parts = lines(spark, path).select(F.transform(F.split("value", "\t"), F.trim).alias("p"), "ord")
+    parts = lines(spark, path).select(F.transform(F.split("value", "\t"), lambda x: F.trim(x)).alias("p"), "ord")
     rows = parts.filter((F.size("p") >= 2) & (F.col("p")[0] != ""))
     return _pick(rows.select(F.col("p")[0].alias("accession"), F.col("p")[1].alias("kind"), F.get("p", F.lit(2)).alias("segment"), "ord"), "accession", last=False).drop("ord")
 
@@ -101,7 +101,7 @@ def gff(spark: SparkSession, path: str) -> DataFrame:
 
 def attributes(text: Column) -> Column:
     """Map of 'k=v;' and 'k "v";' attributes, URL-decoded; a plus sign stays; of equal keys the last counts."""
-    item = F.filter(F.transform(F.split(text, ";"), F.trim), lambda x: x.rlike(r"^[^=\s]+(=|\s)"))
+    item = F.filter(F.transform(F.split(text, ";"), lambda x: F.trim(x)), lambda x: x.rlike(r"^[^=\s]+(=|\s)"))
     key = lambda x: F.regexp_extract(x, r"^([^=\s]+)", 1)
     value = lambda x: F.try_url_decode(F.replace(F.btrim(F.regexp_extract(x, r"^[^=\s]+(?:=|\s+)(.*)$", 1), F.lit('" ')), F.lit("+"), F.lit("%2B")))
     entries = F.transform(item, lambda x: F.struct(key(x).alias("key"), value(x).alias("value")))
@@ -156,7 +156,7 @@ def aligner_insertions(spark: SparkSession, root: str) -> DataFrame:
 def tree_manifest(spark: SparkSession, path: str, trees: str, required: list[str], file_column: str) -> DataFrame:
     """Rows of a manifest with the text of the tree file that file_column names, found under trees."""
     rows = sniffed(spark, path, required)
-    files = spark.read.text(trees, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_name").alias("_file"), F.trim("value").alias("newick"))
+    files = spark.read.text(trees, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_name").alias("_file"), F.btrim("value", F.lit(" \t\r\n")).alias("newick"))
     return rows.join(files, F.substring_index(file_column, "/", -1) == F.col("_file")).drop("_file")
 
 
