@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandlake.functions.text import segment_number
+from strandlake.operators.ranking import keep_one
 
 TOKEN = re.compile(r"\s*(?:('(?:[^']|'')*')|([(),;:])|(\[[^\]]*\])|([^\s(),;:\[\]']+))")
 
@@ -143,14 +144,14 @@ def within_limits(found: dict[str, float], most: int | None = None, most_normali
 
 
 def tree_table(sources: DataFrame, segments: DataFrame) -> DataFrame:
-    """The tree table: segment from the accession that segment_key is, else from the number in it; equal keys count once.
+    """The tree table: segment from the accession that segment_key is, else from the number in it; of equal keys the earliest counts.
 
     sources: name, source, tree_type, tree_model, segment_key, newick, created_at, description; segments: accession, segment.
     """
     known = segments.select(F.col("accession").alias("_a"), F.col("segment").alias("_s"))
     out = sources.join(known, F.trim("segment_key") == F.col("_a"), "left").withColumn("segment", F.coalesce("_s", segment_number(F.col("segment_key"))))
     key = ["name", "source", "tree_type", "tree_model", "segment_key", "segment"]
-    return out.drop("_a", "_s").dropDuplicates(key).select(*key, "newick", "created_at", "description")
+    return keep_one(out.select(*key, "newick", "created_at", "description"), key, F.struct("created_at", "newick", "description"))
 
 
 def check_tree(tree_leaves: DataFrame, metadata: DataFrame, sequences: DataFrame) -> DataFrame:

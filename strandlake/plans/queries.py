@@ -432,6 +432,67 @@ def tumbling_counts(t):
     return batches.tumbling_counts(t("events")).withColumn("total", F.round("total", 4))
 
 
+@query("""SELECT user_id AS seq_name, min_by(event_type, event_id) AS error FROM events WHERE event_type = 'click' GROUP BY user_id
+UNION ALL SELECT c_custkey, '' FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'click')""")
+def collect_filtered(t):
+    errors = t("events").select(F.col("user_id").alias("accession"), F.lit("r").alias("reference"), F.when(F.col("event_type") == "click", "click").otherwise("").alias("errors"), F.lit("").alias("warnings"), F.struct(F.lit("f").alias("file"), F.col("event_id").alias("line")).alias("ord"))
+    lost = t("customer").select(F.col("c_custkey").alias("seq_name"), F.lit("r").alias("reference"))
+    return curation.collect_filtered(errors, lost).select("seq_name", "error")
+
+
+@query("""WITH n AS (SELECT n_regionkey AS id, n_name AS name, n_nationkey AS o, CASE n_nationkey % 3 WHEN 0 THEN 'genbank common name' WHEN 1 THEN 'scientific name' ELSE 'synonym' END AS class FROM nation),
+c AS (SELECT id, max_by(name, o) AS common_name FROM n WHERE class = 'genbank common name' GROUP BY id), w AS (SELECT r_regionkey AS id FROM region UNION ALL SELECT 99)
+SELECT w.id AS taxa_id, coalesce(name, 'Unknown') AS name, CASE class WHEN 'scientific name' THEN 'scientific' WHEN 'genbank common name' THEN 'generic' ELSE 'other' END AS name_type, r_name AS taxonomy_level, common_name
+FROM w LEFT JOIN n USING (id) LEFT JOIN c USING (id) LEFT JOIN region ON r_regionkey = w.id""")
+def taxa_names(t):
+    kind = F.col("n_nationkey") % 3
+    names = t("nation").select(F.col("n_regionkey").alias("tax_id"), F.col("n_name").alias("name"), F.when(kind == 0, "genbank common name").when(kind == 1, "scientific name").otherwise("synonym").alias("name_class"), F.col("n_nationkey").alias("ord"))
+    ids = t("region").select(F.col("r_regionkey").cast("bigint").alias("tax_id"))
+    wanted = ids.union(ids.filter("tax_id = 0").select(F.lit(99).cast("bigint")))
+    return taxonomy.taxa_names(wanted, names, t("region").select(F.col("r_regionkey").alias("tax_id"), F.lit(None).cast("bigint").alias("parent_tax_id"), F.col("r_name").alias("rank")))
+
+
+@query("SELECT name, segment FROM (SELECT DISTINCT p_name AS name, CASE WHEN p_partkey % 2 = 0 THEN 'K' || p_partkey ELSE '' END AS k, CASE WHEN p_partkey % 2 = 0 THEN 'S' || p_partkey ELSE p_size::VARCHAR END AS segment FROM part)")
+def tree_table(t):
+    even = F.col("p_partkey") % 2 == 0
+    sources = t("part").select(F.col("p_name").alias("name"), *(F.lit("x").alias(c) for c in ("source", "tree_type", "tree_model", "newick", "created_at", "description")), F.when(even, F.concat(F.lit("K"), F.col("p_partkey").cast("string"))).otherwise(F.concat(F.lit("seg_"), F.col("p_size").cast("string"))).alias("segment_key"))
+    segments = t("part").filter(even).select(F.concat(F.lit("K"), F.col("p_partkey").cast("string")).alias("accession"), F.concat(F.lit("S"), F.col("p_partkey").cast("string")).alias("segment"))
+    return trees.tree_table(sources, segments).select("name", "segment")
+
+
+@query("SELECT CASE WHEN event_type = 'click' THEN 'failed' ELSE 'unprojectable' END AS kind, count(DISTINCT user_id) AS n FROM events GROUP BY 1")
+def filtering_summary(t):
+    rows = t("events").select(F.col("user_id").alias("seq_name"), F.when(F.col("event_type") == "click", "bad").otherwise("").alias("error"))
+    return validation.filtering_summary(rows).select("kind", "n")
+
+
+@query("SELECT 'leaf without metadata' AS problem, o_custkey AS id FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey % 7 = 0) UNION ALL SELECT 'metadata without leaf', c_custkey FROM customer WHERE c_custkey % 7 != 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def check_tree(t):
+    people = t("customer").select(F.col("c_custkey").alias("primary_accession"))
+    return trees.check_tree(t("orders").select(F.col("o_custkey").alias("leaf")), people.filter("primary_accession % 7 != 0"), people.select(F.col("primary_accession").alias("header")))
+
+
+@query("SELECT DISTINCT trim(lang) AS lang FROM documents WHERE trim(lang) != ''")
+def distinct_values(t):
+    return validation.distinct_values(t("documents"), "lang")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE '' END AS EPA_major_clade, CASE WHEN c_custkey % 3 = 0 THEN 'm' || c_custkey ELSE '' END AS EPA_minor_clade FROM customer")
+def with_placements(t):
+    key = F.col("c_custkey").cast("string")
+    found = lambda cond, name: t("customer").filter(cond).select(key.alias("key"), name.alias("best"), name.alias("names"), F.lit("1").alias("weights"))
+    rows = t("customer").select("c_custkey", F.concat(key, F.lit(".1")).alias("primary_accession"))
+    return curation.with_placements(rows, found("c_custkey % 2 = 0", F.col("c_mktsegment")), found("c_custkey % 3 = 0", F.concat(F.lit("m"), key))).select("c_custkey", "EPA_major_clade", "EPA_minor_clade")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 2 = 1")
+def orphans(t):
+    queries = t("orders").select(F.col("o_orderkey").cast("string").alias("header"), F.col("o_custkey").cast("string").alias("reference"))
+    refs = t("customer").filter("c_custkey % 2 = 0").select(F.concat(F.col("c_custkey").cast("string"), F.lit(".2")).alias("header"))
+    found = alignment.orphans(queries, refs)
+    return found.select(F.col("seq_name").cast("bigint").alias("o_orderkey"), F.col("reference").cast("bigint").alias("o_custkey"))
+
+
 @query()
 def project_gaps(t):
     """Names laid out in the columns of types: a pandas function, held against worked cases in the tests."""

@@ -84,8 +84,9 @@ def id_set(spark: SparkSession, path: str) -> DataFrame:
 def masters(references: DataFrame, drop_excluded: bool = False) -> DataFrame:
     """The masters of a reference list, or all its accessions if it names none (drop_excluded: but no exclusion entries)."""
     named = references.filter("kind = 'master'")
-    rest = references.filter("kind != 'exclusion_list'") if drop_excluded else references
-    return rest.join(F.broadcast(named.agg(F.count(F.lit(1)).alias("n"))), F.lit(True)).filter("n = 0 OR kind = 'master'").select("accession").distinct()
+    if named.isEmpty():
+        named = references.filter("kind != 'exclusion_list'") if drop_excluded else references
+    return named.select("accession").distinct()
 
 
 def master_segments(references: DataFrame) -> DataFrame:
