@@ -24,7 +24,7 @@ from strandlake.llm.common import text_or_empty
 
 UND = "und"
 #: The model is fitted on about this many labelled rows, however many there are.
-FIT_ROWS = 6000
+FIT_ROWS = 3000
 SWITCH, FLOOR = 6.0, 0.5
 #: First code points of script blocks; a word's script is the block of its first letter.
 SCRIPTS = (0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0xE00, 0x1000, 0x1100, 0x1200, 0x2E80, 0x3040, 0x3100, 0xAC00, 0xD7B0)
@@ -170,7 +170,8 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     share = min(1.0, fit_rows / max(1, labelled.filter("lang IS NOT NULL").count()))
     sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) or 1))
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))).alias("word"))
-    return Model([tuple(r) for r in words.groupBy("lang", "word").count().collect()])
+    counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).toArrow()  # the vocabulary of the bounded sample
+    return Model(list(zip(*(c.to_pylist() for c in counts.columns), strict=True)))
 
 
 def predict_batch(labeller: Labeller, texts: list[str]) -> Iterator[tuple[str, float, list[tuple[str, int, int]]]]:
