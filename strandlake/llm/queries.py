@@ -85,5 +85,25 @@ FROM v
 """
 
 
+OP6_SQL = rf"""
+WITH texts AS (SELECT 'd' AS side, doc_id AS id, coalesce(text, '') AS text FROM documents UNION ALL SELECT 'i', item_id, coalesce(text, '') FROM benchmark),
+slotted AS (SELECT side, id, regexp_replace(CASE WHEN regexp_matches(text, '[0-9]')
+  THEN regexp_replace(regexp_replace(text, '[0-9]+(?:[.,][0-9]+)*', '0n\0 ', 'g'), '(0n[0-9.,]+[ ]+)((?:{decontaminate.UNITS})\b)', '\10u\2', 'g') ELSE text END, '([\p{{Ll}}0-9,;][ ])(\p{{Lu}})', '\10a\2', 'g') AS s FROM texts),
+lists AS (SELECT side, id, list_filter(string_split_regex(lower(regexp_replace(s, '0([anu])[\p{{L}}0-9.,]*', '0\1 ', 'g')), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS t, regexp_extract_all(lower(s), '(0[anu][\p{{L}}0-9.,]*|[\p{{L}}\p{{N}}]+)') AS v FROM slotted),
+windows AS (SELECT side, id, array_to_string(t[i:i + 4], ' ') AS w, list_filter(v[i:i + 4], lambda x: regexp_matches(x, '^0[anu]')) AS slot
+  FROM (SELECT side, id, t, v, unnest(range(1, greatest(len(t) - 4, 1) + 1)) AS i FROM lists WHERE len(t) > 0)),
+own AS (SELECT id AS item_id, w, count(*) OVER (PARTITION BY id) AS item_windows FROM (SELECT DISTINCT id, w FROM windows WHERE side = 'i')),
+pairs AS (SELECT d.id AS doc_id, item_id, item_windows, count(*) AS matched, count(*) / item_windows AS containment
+  FROM (SELECT DISTINCT id, w FROM windows WHERE side = 'd') d JOIN own USING (w) GROUP BY d.id, item_id, item_windows HAVING count(*) / item_windows >= {decontaminate.SIMILARITY}),
+zipped AS (SELECT p.doc_id, p.item_id, d.n, unnest(list_zip(i.slot, d.slot)) AS z FROM pairs p
+  JOIN (SELECT DISTINCT id, w, slot FROM windows WHERE side = 'i' AND len(slot) > 0) i ON i.id = p.item_id
+  JOIN (SELECT id, w, slot, count(*) AS n FROM windows WHERE side = 'd' AND len(slot) > 0 GROUP BY ALL) d ON d.id = p.doc_id AND d.w = i.w),
+best AS (SELECT doc_id, item_id, sum(n)::BIGINT AS slots, sum(top) / sum(n) AS slot_consistency FROM (SELECT doc_id, item_id, was, max(n) AS top, sum(n) AS n
+  FROM (SELECT doc_id, item_id, z[1] AS was, z[2] AS now, sum(n) AS n FROM zipped GROUP BY ALL) GROUP BY ALL) GROUP BY ALL)
+SELECT doc_id, item_id, item_windows::INTEGER AS item_windows, matched, containment, coalesce(slots, 0) AS slots, coalesce(slot_consistency, 1.0) AS slot_consistency
+FROM pairs LEFT JOIN best USING (doc_id, item_id) WHERE coalesce(slot_consistency, 1.0) >= {decontaminate.CONSISTENCY}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL, "op10_warc_fixity": OP10_SQL}
+    return {"op6_benchmark_decontamination": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op10_warc_fixity": OP10_SQL}

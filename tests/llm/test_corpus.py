@@ -50,6 +50,25 @@ def test_leaks_without_broadcast(spark, documents, monkeypatch):
     assert len(want) == 2
 
 
+def test_leaks_sql_agrees(spark, documents):
+    """The SQL that the driver compares with, on a fixture whose items have slots."""
+    import duckdb
+
+    from strandlake.llm.queries import oracle_sql
+
+    rows = [(1, "so " + ITEM.replace("Tom", "Anna").replace("12", "9,5").replace("30", "31")), (2, ITEM + " " + ITEM.replace("Tom", "Bob")), (3, "no leak"), (4, None)]
+    bench = [(7, ITEM), (8, None), (9, "Is Anna 5 years old? Then Anna was 4 years old one year ago, as Bob knows.")]
+    store = duckdb.connect()
+    for name, columns, data in (("documents", "doc_id BIGINT, text VARCHAR", rows), ("benchmark", "item_id BIGINT, text VARCHAR", bench)):
+        store.execute(f"CREATE TABLE {name} ({columns})")
+        store.executemany(f"INSERT INTO {name} VALUES (?, ?)", data)
+    want = store.execute(oracle_sql()["op6_benchmark_decontamination"]).fetchall()
+    got = [tuple(r) for r in decontaminate.leaks(documents(rows), items(spark, [(*b, "w") for b in bench])).collect()]
+    rounded = lambda x: sorted((*r[:4], round(r[4], 9), r[5], round(float(r[6]), 9)) for r in x)
+    assert rounded(got) == rounded(want)
+    assert any(r[5] > 0 for r in got)
+
+
 def template(text):
     """The template words, by hand."""
     text = re.sub(r"[0-9]+(?:[.,][0-9]+)*", lambda m: f"0n{m[0]} ", text)
