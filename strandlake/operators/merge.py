@@ -39,6 +39,21 @@ def table_key(name: str, columns: list[str]) -> list[str]:
     return columns[: FALLBACK.get(name, 1)]
 
 
+def with_synonyms(df: DataFrame, wanted: dict[str, list[str]]) -> DataFrame:
+    """df with each wanted column, taken from the first of its synonyms that is there if it is not."""
+    for name, synonyms in wanted.items():
+        if name not in df.columns:
+            source = next((c for c in synonyms if c in df.columns), None)
+            if source is None:
+                raise ValueError(f"neither {name} nor any of {synonyms} is a column")
+            df = df.withColumn(name, F.col(source))
+    return df
+
+
+# The alignment table's id under either name.
+ALIGNMENT_SYNONYMS = {"sequence_id": ["primary_accession"], "primary_accession": ["sequence_id"]}
+
+
 def _normal(df: DataFrame, keys: list[str]) -> list[Column]:
     return [key_value(F.col(k), isinstance(df.schema[k].dataType, T.StringType)).alias(f"_k{i}") for i, k in enumerate(keys)]
 
@@ -147,11 +162,16 @@ class TableStore:
         old = self.read(name)
         return self.replace(name, old.unionByName(df.select(*(F.col(c) if c in df.columns else F.lit(None).cast(old.schema[c].dataType).alias(c) for c in old.columns))))
 
-    def append_new(self, name: str, df: DataFrame, now: datetime, order: str | None = None, ledger: str | None = "update_exclusions") -> int:
-        """Append the rows whose key is new; keys that are there already go to the ledger. Running it again appends nothing."""
+    def append_new(self, name: str, df: DataFrame, now: datetime, order: str | None = None, ledger: str | None = "update_exclusions", replace_updated: bool = False) -> int:
+        """Append the rows whose key is new; keys that are there already go to the ledger. Running it again appends nothing.
+
+        A newer version of a known key is left out like any other duplicate, unless replace_updated puts it in its place.
+        """
         keys = table_key(name, df.columns)
         if not self.exists(name):
             return self.replace(name, keep_one(df, keys, order or F.struct(*df.columns)))
+        if replace_updated:
+            return self.replace(name, upsert(self.read(name), keep_one(df, keys, order or F.struct(*df.columns), last=True), keys))
         new, duplicates = keyed_append(self.read(name), df, keys, order)
         if ledger:
             self.append(ledger, duplicate_ledger(duplicates, name, keys, "duplicate key", now))

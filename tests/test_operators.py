@@ -72,6 +72,21 @@ def test_store_appends_once(spark, tmp_path):
     assert merge.table_key("unknown", ["x", "y"]) == ["x"]
 
 
+def test_store_replaces_on_request(spark, tmp_path):
+    store = merge.TableStore(spark, f"file://{tmp_path}/store")
+    table = lambda *data: spark.createDataFrame(data, "header string, sequence string")
+    store.append_new("sequences", table(("h1", "A"), ("h2", "C")), NOW)
+    store.append_new("sequences", table(("h2", "new"), ("h3", "G")), NOW, replace_updated=True)
+    assert rows(store.read("sequences")) == [("h1", "A"), ("h2", "new"), ("h3", "G")]
+
+
+def test_synonyms(spark):
+    df = spark.createDataFrame([("a", "r")], "primary_accession string, alignment_name string")
+    assert rows(merge.with_synonyms(df, merge.ALIGNMENT_SYNONYMS), "sequence_id", "primary_accession") == [("a", "a")]
+    with pytest.raises(ValueError, match="neither"):
+        merge.with_synonyms(df, {"x": ["y"]})
+
+
 def test_upsert(spark):
     base = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, n int, s string")
     changed = spark.createDataFrame([("b", 5), ("c", 6)], "k string, n int")
