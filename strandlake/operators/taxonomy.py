@@ -33,7 +33,7 @@ def ancestors(wanted: DataFrame, nodes: DataFrame, levels: int = 100) -> DataFra
           SELECT w.tax_id, n.parent_tax_id, w.depth + 1, array_append(w.way, n.parent_tax_id)
           FROM walk w JOIN {view} n ON n.tax_id = w.ancestor
           WHERE n.parent_tax_id IS NOT NULL AND NOT array_contains(w.way, n.parent_tax_id))
-        SELECT tax_id, ancestor, depth FROM walk""")
+        SELECT tax_id, ancestor, depth FROM walk LIMIT ALL""")  # LIMIT ALL lifts the recursion's limit of a million rows
 
 
 def scientific_names(names: DataFrame) -> DataFrame:
