@@ -169,6 +169,7 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
     parsed = materialize(phrases(docs, core_filter(core_counts(docs))), "phrases")
     dictionary = materialize(parsed.groupBy("core", "phrase").agg(F.count(F.lit(1)).alias("n")), "dictionary")
     mixed = dictionary.groupBy("core").agg(F.count(F.lit(1)).alias("distinct"), F.bool_or(F.col("n") == 1).alias("open")).filter("distinct > 1 AND open").select("core", F.lit(True).alias("mixed"))
+    mixed = materialize(mixed, "mixed-cores")  # a table of its own, so that Spark can split a core with many phrases in the join
     flagged = dictionary.join(mixed, "core", "left").filter("n > 1 OR mixed")
     found = materialize(parsed.join(flagged, ["core", "phrase"]), "found-phrases")
     whole = found.filter("n > 1").select(*TEXT, "first", "last")
