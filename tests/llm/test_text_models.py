@@ -206,6 +206,20 @@ def test_model_beats_shuffled_text(spark, documents):
     assert sum(held) > sum(got[1000 + i]["score"] for i in range(10)) + 200
 
 
+def test_classes_of_training_texts_help(documents):
+    rng = np.random.default_rng(4)
+    tongues = {"x": ["ka", "lo", "mi", "tu"], "y": ["ban", "der", "gus", "fel"]}
+    text = lambda lang: " ".join("".join(rng.choice(tongues[lang], rng.integers(1, 4))) for _ in range(50))
+    rows = [(i, text(lang), lang) for i, lang in enumerate(["x", "y"] * 40)]
+    held = F.col("doc_id") >= 60
+    one = context_tree.score_documents(documents(rows), held).filter("held_out").agg(F.sum("score")).first()[0]
+    two = context_tree.score_documents(documents(rows), held, F.col("lang")).filter("held_out").agg(F.sum("score")).first()[0]
+    blind = documents([(i, t, lang if i < 60 else None) for i, t, lang in rows])
+    same = context_tree.score_documents(blind, held, F.col("lang")).filter("held_out").agg(F.sum("score")).first()[0]
+    assert two > one + 100
+    assert abs(two - same) < 1e-6  # a scored text's own class is not used
+
+
 def tokens_brute(word, scores):
     best = [(0.0, 0)]
     for j in range(1, len(word) + 1):
