@@ -3,7 +3,9 @@
 Numbers, units after numbers and names (capitalised words inside a sentence) become typed placeholders. Windows of five
 template words of documents and items meet in a hash join. An item is leaked into a document that holds at least 0.8 of
 the item's distinct windows and whose slot values map consistently onto the item's: a re-parameterised question has other
-values, but each value of the item is always replaced by the same one.
+values, but each value of the item is always replaced by the same one. Where the values of the whole document are mixed (a
+template that it holds several times), one occurrence is enough: a stretch that holds 0.8 of the windows, consistent in itself.
+slots and slot_consistency are then the occurrence's.
 
 Defined results: null or wordless texts match nothing; an item of fewer words is one window; repeated rows and items give
 one row per pair of ids; an empty table gives no rows; a null doc_id or item_id is carried as an id of its own; further
@@ -59,7 +61,7 @@ def _windowed(df: DataFrame) -> DataFrame:
 
 
 def _slot_windows(df: DataFrame, *ids: str) -> DataFrame:
-    """(ids, window, values): the windows with slots and the slots' values in order.
+    """(ids, at, window, values): the windows by position and their slots' values in order.
 
     explode_outer, here and below: for explode the optimizer would add a filter on the array's size, push it below the
     column of words and so make the words anew for each window.
@@ -67,9 +69,34 @@ def _slot_windows(df: DataFrame, *ids: str) -> DataFrame:
     rows = df.select(*ids, with_slots(text_or_empty()).alias("slotted"))
     rows = rows.select(*ids, F.arrays_zip(template_words(F.col("slotted")).alias("t"), value_words(F.col("slotted")).alias("v")).alias("tv"))
     # tv is used more than once below, so it stays a column and is not made again for each window.
-    rows = rows.select(*ids, F.explode_outer(F.transform(window_starts(F.col("tv")), lambda i: F.slice("tv", i, WORDS))).alias("w"))
-    rows = rows.select(*ids, F.xxhash64(F.transform("w", lambda x: x["t"])).alias("window"), F.transform(F.filter("w", lambda x: x["v"].rlike("^0[anu]")), lambda x: x["v"]).alias("values"))
-    return rows.filter(F.size("values") > 0)
+    rows = rows.select(*ids, F.posexplode_outer(F.transform(window_starts(F.col("tv")), lambda i: F.slice("tv", i, WORDS))).alias("at", "w"))
+    return rows.select(*ids, "at", F.xxhash64(F.transform("w", lambda x: x["t"])).alias("window"), F.transform(F.filter("w", lambda x: x["v"].rlike("^0[anu]")), lambda x: x["v"]).alias("values"))
+
+
+def _consistency(slots: DataFrame, *keys: str) -> DataFrame:
+    """(keys, slots, slot_consistency) of slots (keys, n, s): the share of slots whose value is the one that most often replaces the item's."""
+    mapped = slots.groupBy(*keys, F.col("s.item_values").alias("was"), F.col("s.values").alias("now")).agg(F.sum("n").alias("n"))
+    return mapped.groupBy(*keys, "was").agg(F.max("n").alias("top"), F.sum("n").alias("n")).groupBy(*keys).agg(F.sum("n").alias("slots"), (F.sum("top") / F.sum("n")).alias("slot_consistency"))
+
+
+def _occurrences(pairs: DataFrame, ours: DataFrame, theirs: DataFrame, similarity: float, consistency: float) -> DataFrame:
+    """(doc_key, item_key, slots, slot_consistency) of the most consistent occurrence of each pair that has one.
+
+    Matched windows of one occurrence have one offset between document and item, or, around inserted and lost words, nearly
+    one. So they meet by offset, and by two divisions of the offsets in stretches of about half an item: offsets within a
+    quarter of an item share a stretch of one of them.
+    """
+    quarter = F.greatest(F.ceil(F.col("item_windows") / 4), F.lit(1))
+    met = pairs.join(ours, "item_key").join(theirs, ["doc_key", "window"]).withColumn("offset", (F.col("at") - F.col("item_at")).cast("long"))
+    stretch = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.cast("long").alias("value"))
+    stretches = F.array(stretch(0, F.col("offset")), *(stretch(k + 1, F.floor((F.col("offset") + k * quarter) / (2 * quarter))) for k in range(2)))
+    met = met.withColumn("stretch", F.explode(stretches))
+    keys = ["doc_key", "item_key", "stretch"]
+    whole = met.groupBy(*keys, "item_windows").agg(F.count_distinct("window").alias("held")).filter(F.col("held") / F.col("item_windows") >= similarity)
+    slots = met.select(*keys, F.lit(1).alias("n"), F.explode(F.arrays_zip("item_values", "values")).alias("s"))
+    found = whole.join(_consistency(slots, *keys), keys).filter(F.col("slot_consistency") >= consistency)
+    best = found.groupBy("doc_key", "item_key").agg(F.max(F.struct("slot_consistency", "slots")).alias("best"))
+    return best.select("doc_key", "item_key", "best.slots", "best.slot_consistency")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, consistency: float = CONSISTENCY) -> DataFrame:
@@ -88,14 +115,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     pairs = pairs.withColumn("containment", F.col("matched") / F.col("item_windows")).filter(F.col("containment") >= similarity)
     pairs = materialize(pairs.select("doc_id", "doc_key", "item_id", "item_key", "item_windows", "matched", "containment"), "leak-pairs")
     hits = maybe_in(rows.withColumn("doc_key", F.xxhash64("text")), F.col("doc_key"), key_filter(pairs, F.col("doc_key"))).dropDuplicates(["doc_key"])
-    theirs = _slot_windows(hits, "doc_key").groupBy("doc_key", "window", "values").agg(F.count(F.lit(1)).alias("n"))
-    ours = _slot_windows(items.select("item_key", "text").dropDuplicates(["item_key"]), "item_key").distinct()
-    candidates = pairs.select("doc_key", "item_key").distinct().join(ours.withColumnRenamed("values", "item_values"), "item_key")
+    placed = _slot_windows(items.select("item_key", "text").dropDuplicates(["item_key"]), "item_key").withColumnsRenamed({"values": "item_values", "at": "item_at"})
+    theirs = _slot_windows(hits, "doc_key").filter(F.size("values") > 0).groupBy("doc_key", "window", "values").agg(F.count(F.lit(1)).alias("n"))
+    ours = placed.filter(F.size("item_values") > 0).drop("item_at").distinct()
+    candidates = pairs.select("doc_key", "item_key").distinct().join(ours, "item_key")
     slots = candidates.join(theirs, ["doc_key", "window"]).select("doc_key", "item_key", "n", F.explode(F.arrays_zip("item_values", "values")).alias("s"))
-    mapped = slots.groupBy("doc_key", "item_key", F.col("s.item_values").alias("was"), F.col("s.values").alias("now")).agg(F.sum("n").alias("n"))
-    best = mapped.groupBy("doc_key", "item_key", "was").agg(F.max("n").alias("top"), F.sum("n").alias("n")).groupBy("doc_key", "item_key").agg(F.sum("n").alias("slots"), (F.sum("top") / F.sum("n")).alias("slot_consistency"))
-    out = pairs.join(best, ["doc_key", "item_key"], "left").withColumns({"slots": F.coalesce("slots", F.lit(0)), "slot_consistency": F.coalesce("slot_consistency", F.lit(1.0))})
+    out = pairs.join(_consistency(slots, "doc_key", "item_key"), ["doc_key", "item_key"], "left")
+    out = materialize(out.withColumns({"slots": F.coalesce("slots", F.lit(0)), "slot_consistency": F.coalesce("slot_consistency", F.lit(1.0))}), "leak-slots")
+    mixed = out.filter(F.col("slot_consistency") < consistency).drop("slots", "slot_consistency")
     out = out.filter(F.col("slot_consistency") >= consistency)
+    if not mixed.isEmpty():
+        again = maybe_in(hits, F.col("doc_key"), key_filter(mixed, F.col("doc_key")))
+        single = _occurrences(mixed.select("doc_key", "item_key", "item_windows").distinct(), placed, _slot_windows(again, "doc_key"), similarity, consistency)
+        out = out.unionByName(mixed.join(single, ["doc_key", "item_key"]))
     return out.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in ("item_windows", "matched", "containment", "slots", "slot_consistency")))
 
 

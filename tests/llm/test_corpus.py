@@ -50,6 +50,23 @@ def test_leaks_without_broadcast(spark, documents, monkeypatch):
     assert len(want) == 2
 
 
+def with_values(text, name, *numbers):
+    return re.sub(r"[0-9]+", lambda m, n=iter(numbers): str(next(n)), text).replace("Tom", name)
+
+
+def test_leaks_by_occurrence(spark, documents):
+    """A template held several times with different values, and a wild mixture of values that is no occurrence."""
+    bench = items(spark, [(7, ITEM, "w")])
+    copies = [ITEM, *(with_values(ITEM, f"{n}a", *range(100 * k, 100 * k + 3)) for k, n in ((1, "Anna"), (2, "Bobby"), (3, "Carla")))]
+    inserted = [c.replace("will it take", "will it then take") for c in copies]
+    wild = " ".join(re.sub(r"[0-9]+|Tom|kg", lambda m, n=iter(range(10 * k, 10 * k + 10)): ("N" if m[0] == "Tom" else "") + (f"{next(n)}" if m[0] != "Tom" else chr(97 + next(n)) * 3), ITEM) for k in range(1, 5))
+    rows = [(1, " ".join(copies)), (2, "\n".join(copies[1:])), (3, " and then ".join(inserted)), (4, wild), (5, ITEM)]
+    got = {r["doc_id"]: r for r in decontaminate.leaks(documents(rows), bench, consistency=0.6).collect()}
+    assert {1, 2, 3, 5} == set(got)
+    assert all(r["slot_consistency"] >= 0.9 for r in got.values())
+    assert [r["doc_id"] for r in decontaminate.decontaminate(documents(rows[:3]), bench).collect()] == []
+
+
 def test_leaks_sql_agrees(spark, documents):
     """The SQL that the driver compares with, on a fixture whose items have slots."""
     import duckdb
