@@ -1,7 +1,9 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame operations only.
 
-Numbers, units after numbers and names (capitalised words inside a sentence) become typed placeholders. Windows of five
-template words of documents and items meet in a hash join. An item is leaked into a document that holds at least 0.8 of
+Numbers, units after numbers and names become typed placeholders. Names are told in two ways, and a leak in either counts:
+capitalised words inside a sentence, and all capitalised words (a name may begin a text, a sentence, a line or a quotation; other
+words there become placeholders on both sides alike). Of texts all in capitals only such beginnings are marked, since names can't
+be told there. Windows of five template words of documents and items meet in a hash join. An item is leaked into a document that holds at least 0.8 of
 the item's distinct windows and whose slot values map consistently onto the item's: a re-parameterised question has other
 values, but each value of the item is always replaced by the same one. Where the values of the whole document are mixed (a
 template that it holds several times), one occurrence is enough: a stretch that holds 0.8 of the windows, consistent in itself.
@@ -26,12 +28,13 @@ UNITS = "km|cm|mm|m|kg|g|mg|t|lb|oz|l|ml|s|ms|h|min|hours?|minutes?|seconds?|day
 BROADCAST_WINDOWS = 1_000_000
 
 
-def with_slots(text: Column) -> Column:
-    """Text whose numbers, units and names are marked 0n, 0u and 0a; their values follow the mark."""
+def with_slots(text: Column, starts: bool = False) -> Column:
+    """Text whose numbers, units and names are marked 0n, 0u and 0a; their values follow the mark. starts also marks capitalised words at the start of texts, sentences, lines and quotations."""
     numbers = F.regexp_replace(text, r"[0-9]+(?:[.,][0-9]+)*", "0n$0 ")
     units = F.regexp_replace(numbers, rf"(0n[0-9.,]+[ ]+)((?:{UNITS})\b)", "$10u$2")
     marked = F.when(text.rlike("[0-9]"), units).otherwise(text)
-    return F.regexp_replace(marked, r"([\p{Ll}0-9,;][ ])(\p{Lu})", "$10a$2")
+    # With starts, a capital that begins a word, except in a run of words in capitals.
+    return F.regexp_replace(marked, r"(?<![\p{L}\p{N}])(?!(?<=\p{Lu} )\p{Lu}{2})(\p{Lu})", "0a$1") if starts else F.regexp_replace(marked, r"([\p{Ll}0-9,;][ ])(\p{Lu})", "$10a$2")
 
 
 def without_values(slotted: Column) -> Column:
@@ -55,18 +58,18 @@ def windows(words: Column) -> Column:
     return F.array_distinct(F.transform(window_starts(words), lambda i: F.xxhash64(F.slice(words, i, WORDS))))
 
 
-def _windowed(df: DataFrame) -> DataFrame:
+def _windowed(df: DataFrame, starts: bool) -> DataFrame:
     """df with the column windows. The words are a column of their own: inside a lambda they would be made again for each window."""
-    return df.withColumn("_words", template_words(with_slots(F.col("text")))).withColumn("windows", windows(F.col("_words"))).drop("_words")
+    return df.withColumn("_words", template_words(with_slots(F.col("text"), starts))).withColumn("windows", windows(F.col("_words"))).drop("_words")
 
 
-def _slot_windows(df: DataFrame, *ids: str) -> DataFrame:
+def _slot_windows(df: DataFrame, starts: bool, *ids: str) -> DataFrame:
     """(ids, at, window, values): the windows by position and their slots' values in order.
 
     explode_outer, here and below: for explode the optimizer would add a filter on the array's size, push it below the
     column of words and so make the words anew for each window.
     """
-    rows = df.select(*ids, with_slots(text_or_empty()).alias("slotted"))
+    rows = df.select(*ids, with_slots(text_or_empty(), starts).alias("slotted"))
     rows = rows.select(*ids, F.arrays_zip(template_words(F.col("slotted")).alias("t"), value_words(F.col("slotted")).alias("v")).alias("tv"))
     # tv is used more than once below, so it stays a column and is not made again for each window.
     rows = rows.select(*ids, F.posexplode_outer(F.transform(window_starts(F.col("tv")), lambda i: F.slice("tv", i, WORDS))).alias("at", "w"))
@@ -100,12 +103,23 @@ def _occurrences(pairs: DataFrame, ours: DataFrame, theirs: DataFrame, similarit
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, consistency: float = CONSISTENCY) -> DataFrame:
-    """(doc_id, item_id, item_windows, matched, containment, slots, slot_consistency) for each leaked item of each document."""
+    """(doc_id, item_id, item_windows, matched, containment, slots, slot_consistency) for each leaked item of each document.
+
+    Figures are those of the names inside sentences where these show the leak, and of all capitalised words elsewhere.
+    """
+    inside = materialize(_leaks(docs, benchmark, similarity, consistency, False), "leaks")
+    starts = _leaks(docs, benchmark, similarity, consistency, True)
+    known = inside.select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item"))
+    return inside.union(starts.join(known, F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("item_id").eqNullSafe(F.col("_item")), "left_anti"))
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, similarity: float, consistency: float, starts: bool) -> DataFrame:
+    """leaks() by one way to tell names."""
     items = benchmark.select("item_id", text_or_empty().alias("text")).distinct()
-    items = _windowed(items.select("item_id", F.xxhash64("text").alias("item_key"), "text"))
+    items = _windowed(items.select("item_id", F.xxhash64("text").alias("item_key"), "text"), starts)
     wanted = materialize(items.select("item_id", "item_key", F.size("windows").alias("item_windows"), F.explode_outer("windows").alias("window")), "item-windows")
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    found = _windowed(rows.select("doc_id", F.xxhash64("text").alias("doc_key"), F.monotonically_increasing_id().alias("row"), "text"))
+    found = _windowed(rows.select("doc_id", F.xxhash64("text").alias("doc_key"), F.monotonically_increasing_id().alias("row"), "text"), starts)
     found = found.select("doc_id", "doc_key", "row", F.explode_outer("windows").alias("window"))
     small = wanted.count() <= BROADCAST_WINDOWS
     # Beyond that size the filter keeps windows of no item from being shuffled.
@@ -115,8 +129,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     pairs = pairs.withColumn("containment", F.col("matched") / F.col("item_windows")).filter(F.col("containment") >= similarity)
     pairs = materialize(pairs.select("doc_id", "doc_key", "item_id", "item_key", "item_windows", "matched", "containment"), "leak-pairs")
     hits = maybe_in(rows.withColumn("doc_key", F.xxhash64("text")), F.col("doc_key"), key_filter(pairs, F.col("doc_key"))).dropDuplicates(["doc_key"])
-    placed = _slot_windows(items.select("item_key", "text").dropDuplicates(["item_key"]), "item_key").withColumnsRenamed({"values": "item_values", "at": "item_at"})
-    theirs = _slot_windows(hits, "doc_key").filter(F.size("values") > 0).groupBy("doc_key", "window", "values").agg(F.count(F.lit(1)).alias("n"))
+    placed = _slot_windows(items.select("item_key", "text").dropDuplicates(["item_key"]), starts, "item_key").withColumnsRenamed({"values": "item_values", "at": "item_at"})
+    theirs = _slot_windows(hits, starts, "doc_key").filter(F.size("values") > 0).groupBy("doc_key", "window", "values").agg(F.count(F.lit(1)).alias("n"))
     ours = placed.filter(F.size("item_values") > 0).drop("item_at").distinct()
     candidates = pairs.select("doc_key", "item_key").distinct().join(ours, "item_key")
     slots = candidates.join(theirs, ["doc_key", "window"]).select("doc_key", "item_key", "n", F.explode(F.arrays_zip("item_values", "values")).alias("s"))
@@ -126,7 +140,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     out = out.filter(F.col("slot_consistency") >= consistency)
     if not mixed.isEmpty():
         again = maybe_in(hits, F.col("doc_key"), key_filter(mixed, F.col("doc_key")))
-        single = _occurrences(mixed.select("doc_key", "item_key", "item_windows").distinct(), placed, _slot_windows(again, "doc_key"), similarity, consistency)
+        single = _occurrences(mixed.select("doc_key", "item_key", "item_windows").distinct(), placed, _slot_windows(again, starts, "doc_key"), similarity, consistency)
         out = out.unionByName(mixed.join(single, ["doc_key", "item_key"]))
     return out.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in ("item_windows", "matched", "containment", "slots", "slot_consistency")))
 

@@ -67,6 +67,16 @@ def test_leaks_by_occurrence(spark, documents):
     assert [r["doc_id"] for r in decontaminate.decontaminate(documents(rows[:3]), bench).collect()] == []
 
 
+def test_leaks_of_renamed_starts(spark, documents):
+    """Names at the start of texts, sentences, lines and quotations, and in capitals."""
+    first = "Tom has 5 apples and 3 pears. Tom gives 2 apples to his sister. Tom then buys 7 more pears. How many fruits does Tom have?"
+    quoted = first.replace(". Tom gives", '.\n"Tom gives').replace(". Tom then", ". (Tom then")
+    bench = items(spark, [(1, first, "w"), (2, quoted, "w")])
+    rows = [(1, first.replace("Tom", "Anna")), (2, "so " + quoted.replace("Tom", "Anna")), (3, first.replace("Tom", "ANNA").replace("5", "9")), (4, "Anna has no fruits. How many fruits does Bob have?")]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(documents(rows), bench).collect()}
+    assert got == {(d, i) for d in (1, 2, 3) for i in (1, 2)}
+
+
 def test_leaks_sql_agrees(spark, documents):
     """The SQL that the driver compares with, on a fixture whose items have slots."""
     import duckdb
