@@ -1,7 +1,7 @@
 """Token counts by trie-shared dynamic programming.
 
-A unigram tokenizer over a given vocabulary file (its pieces of up to MAX_PIECE bytes, with log probabilities by Zipf's law
-on their ranks) segments each pre-token into the pieces of the greatest total. The distinct pre-tokens of a task's texts are
+A unigram tokenizer over a given vocabulary file (all its pieces, with log probabilities by Zipf's law on their
+ranks) segments each pre-token into the pieces of the greatest total. The distinct pre-tokens of a task's texts are
 inserted in a trie, level by level in arrays; the forward score of a node is computed once for all pre-tokens that share
 that prefix, and the pre-tokens' token counts are stored at their terminal nodes and looked up for every text. Nothing is
 shuffled, and a worker keeps a bounded number of pre-tokens.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import re
+import sys
 from collections.abc import Iterator
 from functools import cache
 
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 from strandlake.llm.common import text_or_empty
 
 PRE_TOKEN = re.compile(rb" ?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-MAX_PIECE, UNKNOWN = 16, -30.0
+#: Pieces of any length count. Those of up to PACKED bytes are looked up as two 64-bit numbers, longer ones as bytes.
+MAX_PIECE, PACKED, UNKNOWN = sys.maxsize, 16, -30.0
 #: Known pre-tokens that a worker keeps, and characters that are counted at once.
 KNOWN, AT_ONCE = 500_000, 4_000_000
 
@@ -36,7 +38,7 @@ def vocabulary(path: str) -> dict[bytes, float]:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
     norm = np.log(np.sum(1 / np.arange(1, len(ranks) + 1)))
-    return {piece: float(-np.log(rank + 1) - norm) for piece, rank in ranks.items() if len(piece) <= MAX_PIECE}
+    return {piece: float(-np.log(rank + 1) - norm) for piece, rank in ranks.items()}
 
 
 def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,16 +50,30 @@ def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Pieces:
-    """The vocabulary by length: sorted keys of the bytes and their scores."""
+    """The vocabulary by length: sorted keys of the bytes and their scores; pieces over PACKED bytes by their last PACKED bytes."""
 
     def __init__(self, scores: dict[bytes, float]):
         self.by_length = {}
-        for n in sorted({len(p) for p in scores if p}):
+        self.longest = max(map(len, scores), default=1)
+        self.long: dict[bytes, list[tuple[bytes, float]]] = {}
+        for p in sorted((p for p in scores if len(p) > PACKED), key=len, reverse=True):
+            self.long.setdefault(p[-PACKED:], []).append((p, scores[p]))
+        self.long_ends = np.unique(np.frombuffer(b"".join(p[-8:] for p in self.long), "<u8"))
+        for n in sorted({len(p) for p in scores if 0 < len(p) <= PACKED}):
             same = sorted(p for p in scores if len(p) == n)
             low, high = _words(np.frombuffer(b"".join(same), "u1").reshape(-1, n))
             order = np.lexsort((high, low))
             self.by_length[n] = (low[order], high[order], np.array([scores[p] for p in same])[order])
 
+    def long_ones(self, tail: np.ndarray) -> Iterator[tuple[int, int, float]]:
+        """(row, length, score) of the pieces over PACKED bytes that rows of bytes end with, a row's longest first."""
+        if not self.long or tail.shape[1] <= PACKED:
+            return
+        ends = np.ascontiguousarray(tail[:, -8:]).view("<u8")[:, 0]
+        for row in np.flatnonzero(np.isin(ends, self.long_ends)).tolist():
+            data = tail[row].tobytes()
+            yield from ((row, len(p), score) for p, score in self.long.get(data[-PACKED:], ()) if data.endswith(p))
+
     def lookup(self, data: np.ndarray) -> np.ndarray:
         """Scores of rows of bytes of one length; minus infinity where there is no such piece."""
         n = data.shape[1]
@@ -92,8 +108,9 @@ def trie_counts(words: list[bytes], pieces: Pieces) -> np.ndarray:
     active = active[sizes > 0]
     node = np.zeros(len(active), "i8")
     scores, tokens = [np.zeros(1)], [np.zeros(1, "i8")]
-    path = np.zeros((1, 0), "i8")  # node -> its ancestors' numbers on the last MAX_PIECE levels, nearest last
-    tail = np.zeros((1, 0), "u1")  # node -> its last MAX_PIECE bytes
+    reach = max(pieces.longest, 1)
+    path = np.zeros((1, 0), "i8")  # node -> its ancestors' numbers on the last levels that a piece reaches back to, nearest last
+    tail = np.zeros((1, 0), "u1")  # node -> its last bytes
     depth = 0
     while len(active):
         depth += 1
@@ -102,15 +119,19 @@ def trie_counts(words: list[bytes], pieces: Pieces) -> np.ndarray:
         new[1:] = (node[1:] != node[:-1]) | (byte[1:] != byte[:-1])
         parent, last = node[new], byte[new]
         node = np.cumsum(new) - 1
-        path = np.concatenate([path[parent], parent[:, None]], axis=1)[:, -MAX_PIECE:]
-        tail = np.concatenate([tail[parent], last[:, None]], axis=1)[:, -MAX_PIECE:]
+        path = np.concatenate([path[parent], parent[:, None]], axis=1)[:, -reach:]
+        tail = np.concatenate([tail[parent], last[:, None]], axis=1)[:, -reach:]
         best, made = np.full(len(parent), -np.inf), np.zeros(len(parent), "i8")
-        for n in range(min(depth, MAX_PIECE), 0, -1):
+        for row, n, score in pieces.long_ones(tail):
+            here = scores[-n][path[row, -n]] + score
+            if here > best[row]:
+                best[row], made[row] = here, tokens[-n][path[row, -n]] + 1
+        for n in range(min(depth, reach, PACKED), 0, -1):
             here = scores[-n][path[:, -n]] + pieces.lookup(tail[:, -n:])
             better = here > best
             best[better] = here[better]
             made[better] = tokens[-n][path[better, -n]] + 1
-        scores, tokens = [*scores, best][-MAX_PIECE:], [*tokens, made][-MAX_PIECE:]
+        scores, tokens = [*scores, best][-reach:], [*tokens, made][-reach:]
         done = sizes[active] == depth
         counts[words_at[active[done]]] = made[node[done]]
         active, node = active[~done], node[~done]

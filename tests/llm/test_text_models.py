@@ -1,5 +1,6 @@
 """Secrets, languages, language model and token counts."""
 
+import base64
 import hashlib
 import itertools
 import math
@@ -245,6 +246,26 @@ def test_token_counts(documents, sample):
     assert token_counts.count_tokens(df.limit(0), VOCABULARY).count() == 0
 
 
+def test_token_counts_of_long_pieces(documents):
+    """Pieces of more than 16 bytes, against a brute force over the vocabulary file that has no bound."""
+    with open(VOCABULARY, "rb") as lines:
+        ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+    norm = math.log(sum(1 / (r + 1) for r in ranks.values()))
+
+    def brute(word):
+        best = [(0.0, 0)]
+        for j in range(1, len(word) + 1):
+            found = [(best[i][0] - math.log(ranks[word[i:j]] + 1) - norm, best[i][1] + 1) for i in range(j) if word[i:j] in ranks]
+            best.append(max([*found, (best[j - 1][0] + token_counts.UNKNOWN, best[j - 1][1] + 1)], key=lambda x: x[0]))
+        return best[-1][1]
+
+    long = sorted(p for p in ranks if len(p) > 16)
+    texts = ["see telecommunications and xtelecommunications", "-" * 64, "=" * 200 + " " + "#" * 131, *(p.decode() for p in long if p.isascii())]
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(documents(list(enumerate(texts))), VOCABULARY).collect()}
+    assert got == {i: sum(map(brute, token_counts.PRE_TOKEN.findall(t.encode()))) for i, t in enumerate(texts)}
+    assert len(long) > 0 and got[1] == 1
+
+
 @pytest.mark.parametrize("words", [[], [b""], [b"a", b"ab", b"abc", b"abd", b"b" * 70, b"\xff\x00"]])
 def test_trie(words):
     scores = {b"a": -1.0, b"ab": -1.5, b"bc": -1.2, b"b": -2.0, b"bbbbbbbbbbbbb": -1.0, b"bbbbbbbbbb": -0.7, b"abc": -9.0}
