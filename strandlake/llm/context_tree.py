@@ -1,24 +1,19 @@
 """LM scoring by context-tree weighting over bytes.
 
-A byte is eight binary decisions; each is estimated in the contexts of the 0 to DEPTH bytes before it by Krichevsky-Trofimov
-counts, and the depths are mixed by the weights of context-tree weighting, learned from the whole training part. Contexts
-stop at the space before a word, so a word has one code length wherever it stands: it is found once for each distinct word
-of the corpus, and texts add up their words' code lengths and that of their end.
-
-1. Every scan split counts its words (chunk, word, training counts by class); words are added up over all splits.
-2. Distinct training words give (context, next byte) counts; the subtrees of one three-byte context meet in one task, which weighs
-   depths 3 to DEPTH. The levels above have at most 65,793 contexts and are weighed from sums.
-3. The weighed tree is a table of fixed size (SLOTS), broadcast to score each distinct word.
-4. The whole word is the deepest context of all: a word's probability is (c + V * p) / (N + V), for its count c and the tree's
-   estimate p, of N training words, V of them distinct. Texts mix such estimates from all training words and from each class of
-   training texts (their languages), weighted by the texts of each; a scored text's own class is not used.
-5. Counts and scores go back to the chunks that asked for them, where the texts are scored.
-
-Nothing is capped: every training word is counted, and of tree nodes that share a slot of the table the shallowest and then the one seen most stays.
-
-Defined results: null text is empty text, whose only token is the end; A-Z are lower-cased; a null doc_id counts as an empty
-one (training part); without training rows every word has the untrained code length of eight bits a byte; repeated rows
-count as often as they occur; an empty table gives no rows; further columns are ignored.
+A text is its words (A-Z in lower case), each with a space behind it, and an end byte. A byte is eight binary decisions; each
+is estimated by Krichevsky-Trofimov counts in the contexts of the 0 to DEPTH bytes before it, across words, and the depths are
+mixed by the weights of context-tree weighting. All occurrences in the training texts are counted.
+
+1. Texts are dealt into chunks of about CHUNK bytes. A chunk asks for its distinct words and grams (a byte behind its context),
+   with their counts in training texts, packed by hash group: a chunk asks for each once, however often it occurs.
+2. Groups add the counts of all chunks up. They stream: a task holds the distinct grams of one group, not what chunks ask.
+3. Grams meet by the subtree of their last TOP bytes. A task weighs one subtree after another and hands its sums to the levels
+   above, which have at most 65,793 contexts. With these levels known, each gram gets its log probability. No node is left out.
+4. Groups answer the chunks, where texts add up the log probabilities of their bytes.
+
+Defined results: null text is empty text, which is its end byte; at the start of a text the context is end bytes; a null doc_id
+counts as an empty one (training part); without training rows every byte costs eight bits; repeated rows count as often as they
+occur; an empty table gives no rows; a text of any length is scored whole, in slices; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,33 +23,52 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import materialize, text_or_empty
 
-DEPTH, TOP = 5, 3
-#: Slots of the table of tree nodes: 7 bytes each, whatever the corpus.
-SLOTS = 1 << 22
-#: Classes of training texts that have word counts of their own.
-CLASSES = 8
+DEPTH, TOP, END = 6, 3, b"\n"
+#: Bytes of the texts of a chunk (one text at least), and bytes that are turned into grams at once.
+CHUNK, SLICE = 32 << 20, 2 << 20
+#: Hash groups of words and grams. A group's distinct grams fit a task's memory up to some 10**10 of all groups.
+GROUPS = 2048
+#: Grams of whole subtrees that are weighed at once.
+AT_ONCE = 500_000
 
 
 def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def grams(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(context bytes and next byte as one number, number of the word) for each byte of each word and the space after it."""
-    sizes = np.fromiter(map(len, found), "i8", len(found)) + 1
-    data = np.frombuffer(b" " + b"".join(w + b" " for w in found), "u1").astype("u8")
-    owner = np.repeat(np.arange(len(found)), sizes)
-    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # position in the word
-    code = data[1:].copy()
+def slices(texts: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(grams, numbers of the texts in them, first gram of each) of texts given as words, for about SLICE bytes at once."""
+    parts, owner, size = [], [], 0
+    for number, found in enumerate(texts):
+        body = END * DEPTH + b" ".join([*found, END])  # a space behind each word, then the end
+        for begin in range(DEPTH, len(body), SLICE):
+            parts.append(body[begin - DEPTH : begin + SLICE])
+            owner.append(number)
+            size += len(parts[-1])
+            if size >= SLICE:
+                yield _grams(parts, owner)
+                parts, owner, size = [], [], 0
+    if parts:
+        yield _grams(parts, owner)
+
+
+def _grams(parts: list[bytes], owner: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, parts), "i8", len(parts))
+    first = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(parts), "u1").astype("i8")
+    code = data[DEPTH:].copy()
     for back in range(1, DEPTH + 1):
-        before = np.where(inside + 1 >= back, data[np.maximum(np.arange(len(inside)) + 1 - back, 0)], 0)
-        code |= before.astype("u8") << np.uint64(8 * back)
-    return code.view("i8"), owner
+        code |= data[DEPTH - back : len(data) - back] << 8 * back
+    there = np.ones(len(data), bool)
+    there[(first[:, None] + np.arange(DEPTH)).ravel()] = False  # contexts before a part
+    return code[there[DEPTH:]], np.array(owner), first - DEPTH * np.arange(len(parts))
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -74,9 +88,9 @@ class Level:
 
     def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None = None):
         self.key, index = np.unique(key, return_inverse=True)
-        self.zeros, self.ones = (np.bincount(index, x, len(self.key)) for x in (zeros, ones))
+        self.zeros, self.ones = (np.bincount(index, x, len(self.key)).astype("f8") for x in (zeros, ones))
         self.weighted = own = log_kt(self.zeros, self.ones)
-        self.alpha = np.ones(len(self.key))
+        self.alpha = np.ones(len(self.key))  # the weight of stopping here
         if below is not None:
             deeper = np.bincount(index, below, len(self.key))
             self.weighted = np.logaddexp(own, deeper) - np.log(2)
@@ -84,11 +98,11 @@ class Level:
 
     def above(self, depth: int) -> Level:
         """The level with contexts of depth bytes, made from this one."""
-        context = (self.key >> 8) & ((1 << 8 * depth) - 1)
-        return Level(context << 8 | self.key & 255, self.zeros, self.ones, self.weighted)
+        return Level(shortened(self.key, depth), self.zeros, self.ones, self.weighted)
 
-    def nodes(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        return node_hash(self.key, depth), (self.ones + 0.5) / (self.zeros + self.ones + 1), self.alpha, self.zeros + self.ones
+
+def shortened(key: np.ndarray, depth: int) -> np.ndarray:
+    return (key >> 8 & ((1 << 8 * depth) - 1)) << 8 | key & 255
 
 
 def bits(code: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -98,201 +112,288 @@ def bits(code: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield (1 << i) | byte >> (8 - i), byte >> (7 - i) & 1
 
 
-def deepest(code: np.ndarray, n: np.ndarray) -> Level:
+def subtree_levels(code: np.ndarray, n: np.ndarray) -> list[Level]:
+    """Levels TOP to DEPTH of grams with counts; grams that training texts lack make no nodes."""
+    code, n = code[n > 0], n[n > 0].astype("f8")
     key, one = (np.concatenate(x) for x in zip(*(((code >> 8) << 8 | node, bit) for node, bit in bits(code)), strict=True))
     n = np.tile(n, 8)
-    return Level(key, n * (1 - one), n * one)
-
-
-def node_hash(key: np.ndarray, depth: int) -> np.ndarray:
-    mixed = (key.astype("u8") + np.uint64(depth << 56)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(32)
-    return mixed * np.uint64(0xD6E8FEB86659FD93)
-
-
-class Tree:
-    """The table of nodes: a check byte, the probability of a one and the weight of stopping here."""
-
-    def __init__(self, slots: int = SLOTS):
-        self.check, self.one, self.alpha = np.zeros(slots, "u1"), np.zeros(slots, "f4"), np.zeros(slots, "f2")
-        self.rank = np.zeros(slots, "u4")  # only while the table is filled
-
-    def put(self, depth: int, hashes: np.ndarray, one: np.ndarray, alpha: np.ndarray, n: np.ndarray) -> None:
-        """Add nodes; in a slot the shallowest stays, as deeper ones are reached through it, then the one seen most (to a twelfth part), then the larger hash, whatever their order."""
-        rank = np.uint32((DEPTH - depth + 1) << 29) | (np.log2(n + 1) * 6).astype("u4") << np.uint32(21) | (hashes >> np.uint64(43)).astype("u4")
-        order = np.argsort(rank, kind="stable")
-        order = order[rank[order] > self.rank[(hashes[order] % np.uint64(len(self.check))).astype("i8")]]
-        slot = (hashes[order] % np.uint64(len(self.check))).astype("i8")
-        self.check[slot], self.one[slot], self.alpha[slot], self.rank[slot] = self._mark(hashes[order]), one[order], alpha[order], rank[order]
-
-    @staticmethod
-    def _mark(hashes: np.ndarray) -> np.ndarray:
-        return (hashes >> np.uint64(56)).astype("u1") | np.uint8(1)
-
-    def log10(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability of the next byte of each gram."""
-        total = np.zeros(len(code))
-        for node, bit in bits(code):
-            p, mixed, rest, live = np.full(len(code), 0.5), np.zeros(len(code)), np.ones(len(code)), np.ones(len(code), bool)
-            for depth in range(DEPTH + 1):
-                hashes = node_hash(((code >> 8) & ((1 << 8 * depth) - 1)) << 8 | node, depth)
-                slot = (hashes % np.uint64(len(self.check))).astype("i8")
-                live &= self.check[slot] == self._mark(hashes)
-                one, alpha = self.one[slot].astype("f8"), self.alpha[slot].astype("f8")
-                p = np.where(live, mixed + rest * one, p)  # all of the rest, in case no deeper context is known
-                mixed = np.where(live, mixed + rest * alpha * one, mixed)
-                rest = np.where(live, rest * (1 - alpha), rest)
-            total += np.log10(np.where(bit == 1, p, 1 - p).clip(1e-9))
-        return total
-
-
-def word_counts(docs: DataFrame, classes: int) -> DataFrame:
-    """(word, chunk, n_0 ... ) from docs (text, class, chunk): every distinct word of each chunk, with its count in training texts of each class.
-
-    class is the number of a training text's class, and -1 where the text is held out.
-    """
-    names = ["word", "chunk", *_counts(classes)]
+    levels = [Level(key, n * (1 - one), n * one)]
+    for depth in range(DEPTH - 1, TOP - 1, -1):
+        levels.append(levels[-1].above(depth))
+    return levels[::-1]
+
+
+def top_levels(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray) -> list[Level]:
+    """Levels 0 to TOP - 1 from what the subtrees add to level TOP - 1."""
+    levels = [Level(key, zeros, ones, weighted)]
+    for depth in range(TOP - 2, -1, -1):
+        levels.append(levels[-1].above(depth))
+    return levels[::-1]
+
+
+def log10_grams(code: np.ndarray, levels: list[Level]) -> np.ndarray:
+    """log10 probability of the last byte of each gram, with the levels 0 to DEPTH."""
+    total = np.zeros(len(code))
+    for node, bit in bits(code):
+        p, mixed, rest, live = np.full(len(code), 0.5), np.zeros(len(code)), np.ones(len(code)), np.ones(len(code), bool)
+        for depth, level in enumerate(levels):
+            if not len(level.key):
+                break
+            key = shortened(code, depth) & ~255 | node
+            at = np.minimum(np.searchsorted(level.key, key), len(level.key) - 1)
+            live &= level.key[at] == key
+            one = (level.ones[at] + 0.5) / (level.zeros[at] + level.ones[at] + 1)
+            p = np.where(live, mixed + rest * one, p)  # all of the rest, in case no deeper context is known
+            mixed = np.where(live, mixed + rest * level.alpha[at] * one, mixed)
+            rest = np.where(live, rest * (1 - level.alpha[at]), rest)
+        total += np.log10(np.where(bit == 1, p, 1 - p))
+    return total
+
+
+def in_chunks(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text, held_out) with chunk, written down so that a chunk stays what it is."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", chunk long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, train, seen = None, [Counter() for _ in range(classes)], set()
+        before = 0
+        for batch in batches:
+            ends = before + np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype("i8"))
+            starts = np.concatenate([[before], ends[:-1]]) if len(ends) else ends
+            before = int(ends[-1]) if len(ends) else before
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((TaskContext.get().partitionId() << 32) + starts // CHUNK)], [*batch.schema.names, "chunk"])
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            if seen:
-                found = list(seen)
-                yield pa.RecordBatch.from_arrays([pa.array(found, "binary"), pa.array(np.full(len(found), chunk)), *(pa.array([c[w] for w in found], "int64") for c in train)], names)
+    return materialize(rows.mapInArrow(run, schema), "chunks", compression="zstd")
 
-        for batch in batches:
-            for text, kind, at in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if at != chunk:
-                    yield from flush()
-                    chunk, train, seen = at, [Counter() for _ in range(classes)], set()
-                got = words(text)
-                seen.update(got)
-                if kind >= 0:
-                    train[kind].update(got)
-        yield from flush()
 
-    return docs.select("text", "class", "chunk").mapInArrow(run, ", ".join(["word binary", "chunk long", *(f"{c} long" for c in _counts(classes))]))
+def group_of(code: np.ndarray) -> np.ndarray:
+    mixed = code.astype("u8") * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40)).astype("i8") % GROUPS
+
 
+def summed(code: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    code, index = np.unique(np.concatenate(code), return_inverse=True)
+    return code, np.bincount(index, np.concatenate(n), len(code)).astype("i8")
 
-def _counts(classes: int) -> list[str]:
-    return [f"n_{k}" for k in range(classes)]
 
+PACKED = "words binary, n_words binary, codes binary, n_codes binary"
+
+
+def asked(rows: DataFrame) -> DataFrame:
+    """(part, chunk, PACKED): the words and grams of each chunk by hash group, with their counts in its training texts."""
+    from zlib import crc32
+
+    names = ["part", "chunk", "words", "n_words", "codes", "n_codes"]
+
+    def packed(chunk: int, train: Counter, seen: set, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        by_group: list[list[bytes]] = [[] for _ in range(GROUPS)]
+        for word in seen:
+            by_group[crc32(word) % GROUPS].append(word)
+        group = group_of(code)
+        order = np.argsort(group, kind="stable")
+        cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
+        code, n = code[order], n[order]
+        out = [(g, chunk, b" ".join(found), np.array([train[w] for w in found], "u8").tobytes(), code[a:b].tobytes(), n[a:b].tobytes()) for g, (found, a, b) in enumerate(zip(by_group, cuts, cuts[1:], strict=False))]
+        kinds = ("int32", "int64", *["binary"] * 4)
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, train, seen, code, n, held = None, Counter(), set(), [], [], 0
+        for batch in batches:
+            table = list(zip(*(batch.column(c).to_pylist() for c in ("chunk", "held_out", "text")), strict=True))
+            begin = 0
+            while begin < len(table):
+                if table[begin][0] != chunk:
+                    if code:
+                        yield packed(chunk, train, seen, *summed(code, n))
+                    chunk, train, seen, code, n, held = table[begin][0], Counter(), set(), [], [], 0
+                end, size = begin, 0
+                while end < len(table) and table[end][0] == chunk and size < SLICE:
+                    size += len(table[end][2])
+                    end += 1
+                for kind in (False, True):
+                    found = [words(text) for _, held_out, text in table[begin:end] if held_out is kind]
+                    for text in found:
+                        seen.update(text)
+                        if not kind:
+                            train.update(text)
+                    for part, _, _ in slices(found):
+                        part, count = np.unique(part, return_counts=True)
+                        code.append(part)
+                        n.append(count * (not kind))
+                        held += len(part)
+                if held > 4 * SLICE:
+                    merged = summed(code, n)
+                    code, n, held = [merged[0]], [merged[1]], 0
+                begin = end
+        if code:
+            yield packed(chunk, train, seen, *summed(code, n))
+
+    return materialize(rows.select("chunk", "held_out", "text").mapInArrow(run, f"part int, chunk long, {PACKED}"), "asked", compression="zstd")
+
+
+def vocabulary(wanted: DataFrame) -> DataFrame:
+    """(part, PACKED): the words and grams of each hash group over all chunks."""
+    names = ["part", "words", "n_words", "codes", "n_codes"]
 
-def gram_counts(vocabulary: DataFrame) -> DataFrame:
-    """(code, n) over the distinct training words: the tree speaks for what escapes from the counts of whole words, so it must know new words, not frequent ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, total, code, n, held = None, Counter(), [], [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if group is not None:
+                codes, counts = summed(code, n)
+                row = (group, b" ".join(total), np.fromiter(total.values(), "u8", len(total)).tobytes(), codes.tobytes(), counts.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(row, ("int32", *["binary"] * 4), strict=True)], names)
+
         for batch in batches:
-            code, _ = grams(batch.column(0).to_pylist())
-            if len(code):
-                code, index = np.unique(code, return_inverse=True)
-                n = np.bincount(index)
-                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype("i8"))], ["code", "n"])
+            for part, found, spoken, codes, counts in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if part != group:
+                    yield from flush()
+                    group, total, code, n, held = part, Counter(), [], [], 0
+                for word, c in zip(found.split(), np.frombuffer(spoken, "u8").tolist(), strict=True):
+                    total[word] += c
+                code.append(np.frombuffer(codes, "i8"))
+                n.append(np.frombuffer(counts, "i8"))
+                held += len(code[-1])
+                if held > 4 * SLICE:
+                    merged = summed(code, n)
+                    code, n, held = [merged[0]], [merged[1]], 0
+        yield from flush()
 
-    return vocabulary.filter("c > 0").select("word").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    rows = wanted.select(*names).repartition("part").sortWithinPartitions("part")
+    return materialize(rows.mapInArrow(run, f"part int, {PACKED}"), "vocabulary", compression="zstd")
 
 
-def weigh(counts: DataFrame, slots: int = SLOTS) -> Tree:
-    """The weighed context tree of gram counts."""
-    fields = ["hash", "one", "alpha", "seen", "key", "zeros", "ones", "weighted"]
+def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(codes, counts) of whole subtrees, about AT_ONCE grams at once; rows come sorted by subtree."""
+    code, n = np.zeros(0, "i8"), np.zeros(0, "i8")
+    for batch in batches:
+        code, n = (np.concatenate([old, batch.column(c).to_numpy()]) for old, c in ((code, "code"), (n, "n")))
+        if len(code) >= AT_ONCE:
+            subtree = code >> 8 & 0xFFFFFF
+            whole = int(np.searchsorted(subtree, subtree[-1]))
+            if whole:
+                yield code[:whole], n[:whole]
+                code, n = code[whole:], n[whole:]
+    if len(code):
+        yield code, n
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
-        if not parts:
-            return
-        level = deepest(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        for depth in range(DEPTH, TOP - 1, -1):
-            level = level if depth == DEPTH else level.above(depth)
-            hashes, one, alpha, seen = level.nodes(depth)
-            packed = [hashes.tobytes(), one.astype("f4").tobytes(), alpha.astype("f2").tobytes(), seen.astype("f4").tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([x], "binary") for x in packed] + [pa.array([None], k) for k in ("int64", "float64", "float64", "float64")] + [pa.array([depth], "int32")], [*fields, "depth"])
-        key = (level.key >> 8 & 0xFFFF) << 8 | level.key & 255  # what this subtree adds to contexts of two bytes
-        key, index = np.unique(key, return_inverse=True)
-        sums = [np.bincount(index, x, len(key)) for x in (level.zeros, level.ones, level.weighted)]
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(key), pa.binary())] * 4 + [pa.array(x) for x in (key, *sums)] + [pa.nulls(len(key), pa.int32())], [*fields, "depth"])
+
+def gram_scores(known: DataFrame) -> DataFrame:
+    """(part, codes, scores): log10 probabilities of the grams of all groups, packed."""
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for codes, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(codes, "i8")), pa.array(np.frombuffer(counts, "i8"))], ["code", "n"])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, n in _subtrees(batches):
+            if (n > 0).any():
+                level = subtree_levels(code, n)[0]
+                key, index = np.unique(shortened(level.key, TOP - 1), return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(np.bincount(index, x, len(key))) for x in (level.zeros, level.ones, level.weighted))], ["key", "zeros", "ones", "weighted"])
 
     subtree = F.shiftright("code", 8).bitwiseAND(0xFFFFFF)
-    made = materialize(counts.repartition(subtree).mapInArrow(run, "hash binary, one binary, alpha binary, seen binary, key long, zeros double, ones double, weighted double, depth int"), "tree-levels")
-    tree = Tree(slots)
-    for row in made.filter("hash IS NOT NULL").select("depth", *fields[:4]).toLocalIterator():  # one subtree's level at a time
-        tree.put(row[0], *(np.frombuffer(x, kind) for x, kind in zip(row[1:], ("u8", "f4", "f2", "f4"), strict=True)))
-    top = made.filter("key IS NOT NULL").groupBy("key").agg(*(F.sum(c).alias(c) for c in fields[5:])).orderBy("key").toArrow()  # 65,536 contexts of 255 nodes at most
-    if top.num_rows:
-        level = Level(*(c.to_numpy() for c in top.columns))
-        for depth in range(TOP - 1, -1, -1):
-            level = level if depth == TOP - 1 else level.above(depth)
-            tree.put(depth, *level.nodes(depth))
-    del tree.rank
-    return tree
-
-
-def word_scores(vocabulary: DataFrame, tree: Tree) -> DataFrame:
-    """vocabulary (word, counts) with score, the tree's log10 probability of the word and the space after it."""
-    shared = vocabulary.sparkSession.sparkContext.broadcast(tree)
-    names = [*vocabulary.columns, "score"]
+    grams = known.select("codes", "n_codes").mapInArrow(unpack, "code long, n long")
+    grams = grams.repartition(subtree).sortWithinPartitions(subtree)
+    found = grams.mapInArrow(sums, "key long, zeros double, ones double, weighted double").groupBy("key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")))
+    table = found.orderBy("key").toArrow()  # 65,536 contexts of 255 nodes at most, whatever the corpus
+    shared = known.sparkSession.sparkContext.broadcast(top_levels(*(c.to_numpy() for c in table.columns)))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for code, n in _subtrees(batches):
+            scores = log10_grams(code, shared.value + subtree_levels(code, n)).astype("f4")
+            group = group_of(code)
+            order = np.argsort(group, kind="stable")
+            code, scores, (there, first) = code[order], scores[order], np.unique(group[order], return_index=True)
+            cuts = [*first.tolist(), len(code)]
+            yield pa.RecordBatch.from_arrays([pa.array(there.astype("i4")), *(pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], "binary") for x in (code, scores))], ["part", "codes", "scores"])
+
+    return grams.mapInArrow(score, "part int, codes binary, scores binary")
+
+
+def answers(wanted: DataFrame, known: DataFrame, scored: DataFrame) -> DataFrame:
+    """(chunk, words, counts, codes, scores): what each chunk has asked for. A group's words and grams come before those who ask."""
+    none = F.lit(None).cast("binary")
+    rows = wanted.select("part", "chunk", "words", none.alias("counts"), "codes", none.alias("scores"))
+    rows = rows.union(known.select("part", F.lit(None).cast("long"), "words", "n_words", none, none)).union(scored.select("part", F.lit(None).cast("long"), none, none, "codes", "scores"))
+    names = ["chunk", "words", "counts", "codes", "scores"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, total, code, score = None, {}, [], []
         for batch in batches:
-            code, owner = grams(batch.column(0).to_pylist())
-            code, index = np.unique(code, return_inverse=True)
-            score = np.bincount(owner, shared.value.log10(code)[index], batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names)
-
-    return vocabulary.mapInArrow(run, ", ".join(["word binary", *(f"{c} long" for c in names[1:-1]), "score double"]))
-
-
-def _classes(rows: DataFrame) -> list[str]:
-    """Labels of the most frequent classes of training texts, CLASSES at most; all other texts share the last class."""
-    found = rows.filter("NOT held_out AND label IS NOT NULL").groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(CLASSES)
-    return [row["label"] for row in found.collect()]
-
-
-def score_documents(docs: DataFrame, held_out: Column, label: Column | None = None) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs, learned from rows not held out.
-
-    label names a training text's class; scored texts are never asked for theirs.
-    """
-    rows = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))).select("doc_id", text_or_empty().alias("text"), "held_out", (F.lit(None).cast("string") if label is None else label.cast("string")).alias("label"))
-    if not docs.inputFiles():  # chunks are the splits of files
-        rows = materialize(rows, "documents")
-    labels = _classes(rows)
-    number = F.coalesce(*(F.when(F.col("label") == name, F.lit(k)) for k, name in enumerate(labels)), F.lit(len(labels)))
-    rows = rows.withColumns({"class": F.when(F.col("held_out"), -1).otherwise(number), "chunk": F.xxhash64(F.input_file_name(), F.input_file_block_start())})
-    counts = _counts(len(labels) + 1)
-    asked = materialize(word_counts(rows, len(counts)), "word-counts")
-    total = sum((F.col(c) for c in counts[1:]), F.col(counts[0])).alias("c")
-    vocabulary = materialize(asked.groupBy("word").agg(*(F.sum(c).alias(c) for c in counts)).select("word", total, *counts), "vocabulary")
-    sums = vocabulary.agg(*(f(F.col(c)).alias(f"{c}_{i}") for c in ["c", *counts] for i, f in enumerate((F.sum, lambda x: F.count_if(x > 0))))).first()
-    spoken, distinct = (np.array([sums[f"{c}_{i}"] or 0 for c in ["c", *counts]], "f8") for i in (0, 1))
-    by_class = {r["class"]: r["n"] for r in rows.filter("class >= 0").groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}
-    texts = sum(by_class.values())
-    n, v = int(spoken[0]) + texts, int(distinct[0]) + (texts > 0)
-    # One mixture component for each class that has training words, and one for all training words, weighted by their texts.
-    live = [0, *(k + 1 for k in range(len(labels)) if spoken[k + 1])] if spoken[0] else [0]
-    weights = np.array([by_class.get(len(labels), 0), *(by_class.get(k - 1, 0) for k in live[1:])]) + 0.5
-    weights = np.log10(weights / weights.sum())
-    tree = weigh(gram_counts(vocabulary))
-    scored = asked.select("word", "chunk").join(word_scores(vocabulary, tree), "word")
-    low, ends = np.log10(n + 1 * (v + 1)), (texts + 0.5) / (n + 1)
-    out = [("doc_id", rows.schema["doc_id"].dataType.simpleString()), ("held_out", "boolean"), ("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")]
+            out = []
+            for part, *row in zip(*(batch.column(c).to_pylist() for c in ["part", *names]), strict=True):
+                chunk, found, counts, codes, scores = row
+                if part != group:
+                    group, total, code, score = part, {}, [np.zeros(0, "i8")], [np.zeros(0, "f4")]
+                if scores is not None:
+                    code.append(np.frombuffer(codes, "i8"))
+                    score.append(np.frombuffer(scores, "f4"))
+                elif chunk is None:
+                    total = dict(zip(found.split(), np.frombuffer(counts, "u8").tolist(), strict=True))
+                else:
+                    if len(code) > 1:
+                        order = np.argsort(np.concatenate(code))
+                        code, score = [np.concatenate(code)[order]], [np.concatenate(score)[order]]
+                    at = np.searchsorted(code[0], np.frombuffer(codes, "i8"))
+                    out.append((chunk, found, np.array([total[w] for w in found.split()], "u8").tobytes(), codes, score[0][at].tobytes()))
+            kinds = ("int64", *["binary"] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names)
+
+    # Null chunks sort first.
+    return rows.repartition("part").sortWithinPartitions("part", "chunk").mapInArrow(run, "chunk long, words binary, counts binary, codes binary, scores binary")
+
+
+def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) for each row of docs, learned from rows not held out."""
+    rows = in_chunks(docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))).select("doc_id", text_or_empty().alias("text"), "held_out"))
+    texts = rows.filter("NOT held_out").count()
+    wanted = asked(rows)
+    known = vocabulary(wanted)
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [np.frombuffer(x, "u8") for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([int(c.sum()) for c in counts], "int64"), pa.array([int((c > 0).sum()) for c in counts], "int64")], ["n", "v"])
+
+    spoken, distinct = known.select("n_words").mapInArrow(totals, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
+    n, v = (spoken or 0) + texts, (distinct or 0) + (texts > 0)
+    low = np.log10(n + v + 1)
+    found = answers(wanted, known, gram_scores(known))
+    out = [("doc_id", rows.schema["doc_id"].dataType.simpleString()), ("held_out", "boolean"), ("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double"), ("bits_per_byte", "double")]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        index = {w: i for i, w in enumerate(right.column("word").to_pylist())}
-        c, tree_score = right.column("c").to_numpy(), right.column("score").to_numpy()
-        base, seen = np.log10(c + 1.0) - low, c > 0
-        # The deepest context is the whole word: its count escapes to the tree's estimate by the share of distinct words.
-        columns = [(right.column(["c", *counts][k]).to_numpy(), distinct[k], spoken[k]) for k in live]
-        score = np.stack([np.log10(x + d * 10.0**tree_score) - np.log10(s + d) if s else tree_score for x, d, s in columns], 1) + np.log10(1 - ends)
-        sums = []
-        for chunk in left.column("text").chunks:
-            for text in chunk.to_pylist():
-                at = np.fromiter(map(index.__getitem__, words(text)), "i8")
-                each = weights + score[at].sum(0)
-                mixed = each.max() + np.log10((10.0 ** (each - each.max())).sum())
-                sums.append((len(at) + 1, int(seen[at].sum()) + (texts > 0), base[at].sum() + np.log10(texts + 1.0) - low, mixed + np.log10(ends)))
-        tokens, hits, base_sum, score_sum = zip(*sums, strict=True) if sums else ((),) * 4
-        arrays = [left.column("doc_id"), left.column("held_out"), pa.array(tokens, "int64"), pa.array(hits, "int64"), pa.array([n] * len(sums), "int64"), pa.array(base_sum, "float64"), pa.array(score_sum, "float64")]
+        counts = {}
+        for row, c in zip(right.column("words").to_pylist(), right.column("counts").to_pylist(), strict=True):
+            counts.update(zip(row.split(), np.frombuffer(c, "u8").tolist(), strict=True))
+        code, score = (np.frombuffer(b"".join(right.column(c).to_pylist()), kind) for c, kind in (("codes", "i8"), ("scores", "f4")))
+        order = np.argsort(code)
+        code, score = code[order], score[order].astype("f8")
+        base, hits, tokens, size, total = ([] for _ in range(5))
+        for part in left.column("text").chunks:
+            todo, begin = part.to_pylist(), 0
+            while begin < len(todo):
+                end, room = begin, 0
+                while end < len(todo) and room < SLICE:
+                    room += len(todo[end])
+                    end += 1
+                split = [words(text) for text in todo[begin:end]]
+                sums = np.zeros((2, len(split)))
+                for grams, owner, first in slices(split):
+                    each = np.add.reduceat(score[np.searchsorted(code, grams)], first)
+                    np.add.at(sums[0], owner, each)
+                    np.add.at(sums[1], owner, np.diff(np.append(first, len(grams))))
+                total += sums[0].tolist()
+                size += sums[1].tolist()
+                for text in split:
+                    c = np.fromiter(map(counts.__getitem__, text), "i8", len(text))
+                    tokens.append(len(text) + 1)
+                    hits.append(int((c > 0).sum()) + (texts > 0))
+                    base.append(np.log10(c + 1.0).sum() + np.log10(texts + 1.0) - low * (len(text) + 1))
+                begin = end
+        total, size = np.array(total, "f8"), np.array(size, "f8")
+        arrays = [left.column("doc_id"), left.column("held_out"), pa.array(tokens, "int64"), pa.array(hits, "int64"), pa.array([n] * len(tokens), "int64"), pa.array(base, "float64"), pa.array(total), pa.array(-total / np.log10(2) / np.maximum(size, 1))]
         return pa.table(arrays, names=[name for name, _ in out])
 
-    texts_by_chunk = rows.select("doc_id", "text", "held_out", "chunk").groupBy("chunk")
-    return texts_by_chunk.cogroup(scored.groupBy("chunk")).applyInArrow(run, ", ".join(" ".join(x) for x in out))
+    return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, ", ".join(" ".join(x) for x in out))
+
