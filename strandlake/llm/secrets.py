@@ -27,9 +27,9 @@ ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "format")
-#: Tokens that the automata score: long enough, with a digit and a letter.
-CANDIDATE = re.compile(r"(?=[A-Za-z+/_.=-]*[0-9])(?=[0-9+/_.=-]*[A-Za-z])[A-Za-z0-9+/_.=-]{16,}")
-#: The automata are fitted on at most so many documents' credentials and ordinary tokens of each kind.
+#: Tokens that the automata score: those of 16 characters or more with a digit and a letter.
+TOKEN, DIGIT, LETTER = re.compile(r"[A-Za-z0-9+/_.=-]{16,}"), re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+#: The automata are fitted on at most so many distinct texts' credentials and ordinary tokens of each kind.
 FIT_ROWS, FIT_VALUES = 20_000, 3_000
 ALPHA, MARGIN, MIN_COUNT = 0.05, 0.7, 8
 
@@ -82,23 +82,33 @@ class Automaton:
         return abs(n1 / of1 - n2 / of2) > math.sqrt(0.5 * math.log(2 / ALPHA)) * (1 / math.sqrt(of1) + 1 / math.sqrt(of2))
 
     def _compatible(self, a: int, b: int) -> bool:
-        """Whether the ends and arcs of two states, and of all states behind them, may come from one distribution."""
-        todo, seen = [(a, b)], set()
+        """Whether the ends and arcs of two states, and of all states behind them, may come from one distribution.
+
+        Pairs that lead to a difference are remembered until counts change, so that long formats aren't walked for every pair.
+        """
+        todo, seen = [(a, b)], {(a, b): None}
         while todo:
-            a, b = todo.pop()
-            if (a, b) in seen or a == b:
+            pair = a, b = todo.pop()
+            if a == b:
                 continue
-            seen.add((a, b))
             of_a, of_b = (self.ends[q] + sum(self.arcs[q].values()) for q in (a, b))
             if min(of_a, of_b) < MIN_COUNT:
                 continue
-            if self._differs(self.ends[a], of_a, self.ends[b], of_b) or any(self._differs(self.arcs[a].get(s, 0), of_a, self.arcs[b].get(s, 0), of_b) for s in self.arcs[a].keys() | self.arcs[b].keys()):
+            if pair in self.differ or self._differs(self.ends[a], of_a, self.ends[b], of_b) or any(self._differs(self.arcs[a].get(s, 0), of_a, self.arcs[b].get(s, 0), of_b) for s in self.arcs[a].keys() | self.arcs[b].keys()):
+                while pair:
+                    self.differ.add(pair)
+                    pair = seen[pair]
                 return False
-            todo += [(self.next[a][s], self.next[b][s]) for s in self.next[a].keys() & self.next[b].keys()]
+            for s in self.next[a].keys() & self.next[b].keys():
+                after = self.next[a][s], self.next[b][s]
+                if after not in seen:
+                    seen[after] = pair
+                    todo.append(after)
         return True
 
     def _fold(self, a: int, b: int) -> None:
         """Add the subtree b to state a."""
+        self.differ.clear()
         todo = [(a, b)]
         while todo:
             a, b = todo.pop()
@@ -111,11 +121,12 @@ class Automaton:
                     self.next[a][symbol] = t
 
     def _merge(self) -> None:
-        red = [0]
+        self.differ: set[tuple[int, int]] = set()
+        red, known = [0], {0}
         blue = [(0, s, t) for s, t in sorted(self.next[0].items())]
         while blue:
             source, symbol, state = blue.pop(0)
-            if self.next[source].get(symbol) != state or state in red:
+            if self.next[source].get(symbol) != state or state in known:
                 continue
             for q in red:
                 if self._compatible(q, state):
@@ -124,7 +135,7 @@ class Automaton:
                     break
             else:
                 red.append(state)
-            known = set(red)
+                known.add(state)
             blue = [(q, s, t) for q in red for s, t in sorted(self.next[q].items()) if t not in known]
 
     def likelihood(self, value: str) -> float:
@@ -151,6 +162,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def outside(text: str, spans: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """Tokens that meet no span; spans come in order, so both are walked once."""
+    at = reach = 0
+    for m in TOKEN.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            reach = max(reach, spans[at][2])
+            at += 1
+        if reach <= m.start():
+            yield m
+
+
 def credential(text: str, start: int, kind: int, end: int) -> str:
     """The part of a base span that is the credential itself."""
     return ASSIGN.match(text, start)[2] if kind == 0 else text[start:end]
@@ -173,16 +195,16 @@ class Formats:
         """Base spans and the tokens outside them that have the format of a credential."""
         found = base_spans(text)
         added = []
-        for m in CANDIDATE.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, _, b in found) and self.secret(m[0]):
+        for m in outside(text, found):
+            if DIGIT.search(m[0]) and LETTER.search(m[0]) and self.secret(m[0]):
                 added.append((m.start(), 3, m.end()))
         return sorted(found + added)
 
 
 def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_values: int = FIT_VALUES) -> Formats:
-    """Formats of the credentials in about fit_rows documents (those whose texts have the smallest hashes)."""
+    """Formats of the credentials in about fit_rows distinct texts (those of the smallest hashes)."""
     texts = docs.select(text_or_empty().alias("text"))
-    share = min(1.0, fit_rows / max(1, docs.count()))
+    share = min(1.0, fit_rows / max(1, texts.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]))
     sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) or 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,8 +212,8 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, fit_values: int = FIT_VALUES)
             rows = []
             for text in batch.column(0).to_pylist():
                 base = base_spans(text)
-                rows += [(kind, credential(text, a, kind, b)[:200]) for a, kind, b in base]
-                rows += [(3, m[0][:200]) for m in re.finditer(r"[A-Za-z0-9+/_.=-]{16,}", text) if not any(a < m.end() and m.start() < b for a, _, b in base)]
+                rows += [(kind, credential(text, a, kind, b)) for a, kind, b in base]
+                rows += [(3, m[0]) for m in outside(text, base)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], "int32"), pa.array([r[1] for r in rows], "string")], ["kind", "value"])
 
     distinct = materialize(sample.mapInArrow(run, "kind int, value string").distinct(), "labelled-credentials")
