@@ -1,6 +1,6 @@
 """Language ID: scripts narrow the candidates, Viterbi labels spans of mixed-language text.
 
-The model is fitted on a bounded sample of labelled documents (FIT_ROWS, chosen by a hash of the text): per language the
+The model is fitted on a bounded sample of distinct labelled texts (FIT_ROWS, chosen by a hash of the text): per language the
 logarithms of word shares, and of letter trigram shares for words that the sample doesn't hold, and the languages seen in
 each script. A word scores only in languages of its script. Viterbi over the words of a text pays SWITCH for each change
 of language; its path gives labelled spans, and the language with most letters in the path is the text's.
@@ -12,23 +12,23 @@ rows every text is 'und'; an empty table gives no rows; further columns are igno
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import text_or_empty
 
 UND = "und"
-#: The model is fitted on about this many labelled rows, however many there are.
+#: The model is fitted on about this many distinct labelled texts, however many there are.
 FIT_ROWS = 3000
 SWITCH, FLOOR = 6.0, 0.5
 #: First code points of script blocks; a word's script is the block of its first letter.
 SCRIPTS = (0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0xE00, 0x1000, 0x1100, 0x1200, 0x2E80, 0x3040, 0x3100, 0xAC00, 0xD7B0)
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")  # as in fit(): other numerals are no letters
 #: Known white-space-separated words that a worker keeps, and words that are labelled at once.
 KNOWN, AT_ONCE = 400_000, 1_000_000
 
@@ -92,7 +92,8 @@ def viterbi(scores: np.ndarray, starts: np.ndarray, switch: float = SWITCH) -> n
     sizes = np.diff(starts)
     order = np.argsort(-sizes, kind="stable")
     first, sizes = starts[:-1][order], sizes[order]
-    labels, back = np.zeros(len(scores), "i1"), np.zeros(scores.shape, "i1")
+    small = "i1" if scores.shape[1] < 128 else "i4"
+    labels, back = np.zeros(len(scores), small), np.zeros(scores.shape, small)
     running = np.searchsorted(-sizes, -np.arange(1, (sizes[0] if len(sizes) else 0) + 1), "right")  # texts with at least so many words
     best = np.zeros((len(sizes), scores.shape[1]), "f4")
     for step, n in enumerate(running):
@@ -165,10 +166,10 @@ class Labeller:
 
 
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """labelled: (text, lang). About fit_rows of its rows are used, those of the smallest hashes."""
+    """labelled: (text, lang). About fit_rows distinct ones are used, those whose texts have the smallest hashes; a text that many rows hold counts once."""
     rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
-    share = min(1.0, fit_rows / max(1, labelled.filter("lang IS NOT NULL").count()))
-    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) or 1))
+    share = min(1.0, fit_rows / max(1, rows.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]))
+    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) or 1)).distinct()
     words = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))).alias("word"))
     counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).toArrow()  # the vocabulary of the bounded sample
     return Model(list(zip(*(c.to_pylist() for c in counts.columns), strict=True)))
