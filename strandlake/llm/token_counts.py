@@ -29,6 +29,8 @@ from strandlake.llm.common import text_or_empty
 PRE_TOKEN = re.compile(rb" ?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 #: Pieces of any length count. Those of up to PACKED bytes are looked up as two 64-bit numbers, longer ones as bytes.
 MAX_PIECE, PACKED, UNKNOWN = sys.maxsize, 16, -30.0
+#: Longer pre-tokens, which share next to no prefix, are scored one by one: a level of the trie costs too much for one node.
+LONG = 2048
 #: Known pre-tokens that a worker keeps, and characters that are counted at once.
 KNOWN, AT_ONCE = 500_000, 4_000_000
 
@@ -53,7 +55,7 @@ class Pieces:
     """The vocabulary by length: sorted keys of the bytes and their scores; pieces over PACKED bytes by their last PACKED bytes."""
 
     def __init__(self, scores: dict[bytes, float]):
-        self.by_length = {}
+        self.by_length, self.scores = {}, scores
         self.longest = max(map(len, scores), default=1)
         self.long: dict[bytes, list[tuple[bytes, float]]] = {}
         for p in sorted((p for p in scores if len(p) > PACKED), key=len, reverse=True):
@@ -94,12 +96,31 @@ class Pieces:
         return np.maximum(found, UNKNOWN) if n == 1 else found
 
 
+def long_count(word: bytes, pieces: Pieces) -> int:
+    """Token count of one pre-token by the same forward scores, without a trie."""
+    lengths = sorted({len(p) for p in pieces.scores if p}, reverse=True)
+    get, best, tokens = pieces.scores.get, [0.0], [0]
+    for end in range(1, len(word) + 1):
+        top, made = -np.inf, 0
+        for n in lengths:
+            if n <= end and (score := get(word[end - n : end])) is not None and best[end - n] + score > top:
+                top, made = best[end - n] + score, tokens[end - n] + 1
+        if (score := best[end - 1] + UNKNOWN) > top:
+            top, made = score, tokens[end - 1] + 1
+        best.append(top)
+        tokens.append(made)
+    return tokens[-1]
+
+
 def trie_counts(words: list[bytes], pieces: Pieces) -> np.ndarray:
     """Token counts of distinct pre-tokens. Level d of the trie has the distinct prefixes of d bytes of words that long."""
     counts = np.zeros(len(words), "i8")
-    if not words:
+    for i, word in enumerate(words):
+        if len(word) > LONG:
+            counts[i] = long_count(word, pieces)
+    words_at = np.array(sorted((i for i, word in enumerate(words) if len(word) <= LONG), key=words.__getitem__), "i8")
+    if not len(words_at):
         return counts
-    words_at = np.array(sorted(range(len(words)), key=words.__getitem__))
     ordered = [words[i] for i in words_at]
     sizes = np.fromiter(map(len, ordered), "i8", len(ordered))
     starts = np.cumsum(sizes) - sizes
