@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -120,11 +121,7 @@ def test_leaks_of_sample(spark, sample):
 
 
 def check_packed(rows, got, capacity):
-    from tokenizers import Tokenizer
-
-    made = Tokenizer.from_file(TOKENS)
-    made.encode_special_tokens = True
-    want = Counter()
+    made, want = library(), Counter()
     for i, t in rows:
         ids = np.array(made.encode(t or "", add_special_tokens=False).ids + [0], "<u4")
         cuts = [0, *range(len(ids) % capacity or min(capacity, len(ids)), len(ids) + 1, capacity)]
@@ -154,6 +151,20 @@ def test_packing(documents, sample, capacity):
     assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in ids)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\t\r\xa0\x1c\x1f\x85\u2003\u3000\u200b\ufeff'sab1é½.,!<|"), max_size=30) | st.sampled_from(["<|endoftext|>", "it's", "don't  ", "\xa0\n \xa0 \xa0"]), max_size=6))
+def test_ids_are_the_librarys(parts):
+    text = "".join(parts)
+    assert list(pack.token_bytes([text], TOKENS)) == [np.array(library().encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+
+
+@cache
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(TOKENS)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(0, 30)))
 def test_plan_uses_every_piece_once(counts):

@@ -5,8 +5,10 @@ import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -53,6 +55,23 @@ def test_base_spans(documents):
     assert secrets.spans_digest(documents([])).count() == 0
 
 
+def test_long_runs_are_scanned_in_linear_time(documents):
+    rows = [(1, "-" * 1_000_000), (2, "7" * 1_000_000), (3, "x" * 1_000_000 + "7"), (4, "secret=" + "a" * 1_000_000), (5, "0a" * 300_000)]
+    began = time.time()
+    got = {r["doc_id"]: r["spans"] for r in secrets.spans_digest(documents(rows)).collect()}
+    assert time.time() - began < 120
+    assert got[4] == "assign:0:1000007,hex:7:1000007" and "hex:0:600000" in got[5]
+
+
+def test_whole_values_are_learned(documents):
+    """A credential format of 300 characters is learned to its end."""
+    rng = np.random.default_rng(2)
+    value = lambda n: "K" + "".join(rng.choice(list("0123456789"), n)) + "Z"
+    formats = secrets.fit(documents([(i, f"token={value(300)} plain words-of-no-account-at-all{i % 7}") for i in range(60)]))
+    assert formats.secret(value(300)) and max(len(v) for v in [value(300)]) > 200
+    assert formats.credentials[0].likelihood(value(300)) > formats.credentials[0].likelihood(value(300)[:200])
+
+
 def test_formats_find_unlabelled_credentials():
     rng = np.random.default_rng(1)
     key = lambda: "AKIA" + "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), 16))
@@ -104,6 +123,24 @@ def test_languages(documents):
     assert language_id.identify(documents([]), model).count() == 0
 
 
+def test_numerals_are_no_letters(documents):
+    model = language_id.fit(documents([(1, "one two three", "en"), (2, "un deux trois", "fr")]))
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(documents([(1, "\u00bd \u00b2"), (2, "\u2167 12"), (3, "12_3"), (4, "deux \u00bd")]), model).collect()}
+    assert got == {1: "und", 2: "und", 3: "und", 4: "fr"}
+
+
+def test_many_languages(documents):
+    rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x " * 5, f"l{i:03}") for i in range(200)]
+    got = language_id.identify(documents(rows), language_id.fit(documents(rows))).collect()
+    assert sum(r["lang_pred"] == f"l{r['doc_id']:03}" for r in got) == 200
+
+
+def test_fit_counts_a_text_once(documents):
+    rows = [(i, "copy of one text", "en") for i in range(300)] + [(1000, "un deux trois", "fr")]
+    one, many = language_id.fit(documents(rows[299:])), language_id.fit(documents(rows))
+    assert one.langs == many.langs and np.allclose(one.word_scores, many.word_scores)
+
+
 def test_held_out_accuracy(sample):
     df, _ = sample
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -130,40 +167,44 @@ def check_base(df, rows):
 
 
 def test_base_scores(documents, sample, monkeypatch):
-    monkeypatch.setattr(context_tree.weigh, "__defaults__", (1 << 20,))
     check_base(documents(ODD), ODD)
+    check_base(documents(ODD).repartition(3), ODD)
+    monkeypatch.setattr(context_tree, "CHUNK", 500)  # small enough that chunks, slices and blocks of subtrees end in every place
     df, texts = sample
     check_base(df, list(texts.items()))
     assert context_tree.score_documents(df.limit(0), F.lit(False)).count() == 0
     assert all(r["score"] < 0 for r in context_tree.score_documents(documents(ODD), F.lit(True)).collect())
 
 
-def ctw_log10(train, context, byte):
-    """Probability of a byte by context-tree weighting with explicit recursion over contexts."""
-    from functools import cache
+def code_of(text, i):
+    """The gram of byte i of a text: the byte, with the bytes before it in front."""
+    data = b"\n" * context_tree.DEPTH + text
+    return int.from_bytes(bytes(reversed(data[i + context_tree.DEPTH :: -1][: context_tree.DEPTH + 1])), "big")
+
 
-    counts = Counter()
-    for word, n in train.items():
-        for code in context_tree.grams([word])[0].tolist():
-            counts[code] += n
+def ctw_log10(train, code_asked):
+    """Probability of a byte by context-tree weighting with explicit recursion over contexts; train counts grams."""
+    context, byte = code_asked >> 8, code_asked & 255
+    deepest = context_tree.DEPTH
+    short = lambda code, depth: (code >> 8) & ((1 << 8 * depth) - 1)
 
     @cache
     def tally(depth, ctx, node):
         out = [0, 0]
-        for code, n in counts.items():
+        for code, n in train.items():
             b, k = code & 255, node.bit_length() - 1
-            if (code >> 8) & ((1 << 8 * depth) - 1) == ctx and ((1 << k) | b >> (8 - k)) == node:
+            if short(code, depth) == ctx and ((1 << k) | b >> (8 - k)) == node:
                 out[b >> (7 - k) & 1] += n
         return out
 
     lg = math.lgamma
     kt = lambda z, o: lg(z + 0.5) + lg(o + 0.5) - lg(z + o + 1) - 2 * lg(0.5)
-    contexts = [{(code >> 8) & ((1 << 8 * d) - 1) for code in counts} for d in range(context_tree.DEPTH + 1)]
+    contexts = [{short(code, d) for code in train} for d in range(deepest + 1)]
 
     @cache
     def weighted(depth, ctx, node):
         own = kt(*tally(depth, ctx, node))
-        if depth == context_tree.DEPTH:
+        if depth == deepest:
             return own
         below = sum(weighted(depth + 1, c, node) for c in contexts[depth + 1] if c & ((1 << 8 * depth) - 1) == ctx)
         return np.logaddexp(own, below) - math.log(2)
@@ -172,7 +213,7 @@ def ctw_log10(train, context, byte):
         ctx = context & ((1 << 8 * depth) - 1)
         z, o = tally(depth, ctx, node)
         here = (o + 0.5) / (z + o + 1)
-        if depth == context_tree.DEPTH or sum(tally(depth + 1, context & ((1 << 8 * depth + 8) - 1), node)) == 0:
+        if depth == deepest or sum(tally(depth + 1, context & ((1 << 8 * depth + 8) - 1), node)) == 0:
             return here
         alpha = math.exp(kt(z, o) - math.log(2) - weighted(depth, ctx, node))
         return alpha * here + (1 - alpha) * ones(depth + 1, node)
@@ -185,15 +226,29 @@ def ctw_log10(train, context, byte):
     return total
 
 
-def test_tree_weighting(spark):
-    train = {b"abracadabra": 1, b"abc": 1, b"caba": 1, b"\xc3\xa9b": 1}  # the tree learns from distinct words
-    vocabulary = spark.createDataFrame([(bytearray(w), n) for w, n in train.items()], "word binary, c long")
-    tree = context_tree.weigh(context_tree.gram_counts(vocabulary), 1 << 18)
-    code = np.unique(context_tree.grams([*train, b"zebra", b"aaaaaaaaaa"])[0])
-    want = [ctw_log10(train, c >> 8, c & 255) for c in code.tolist()]
-    assert np.allclose(tree.log10(code), want, atol=5e-3)
-    every = np.array([(code[0] >> 8 << 8) | b for b in range(256)])
-    assert abs((10 ** tree.log10(every)).sum() - 1) < 1e-6
+def test_scores_by_brute_force(documents, monkeypatch):
+    """Whole scores against explicit context-tree weighting over every byte of every training text, with its counts."""
+    rows = [(0, "abra  cadabra abra"), (1, "Abra abc\tcaba"), (4, None), (5, "\u00e9b abra"), (5, "\u00e9b abra"), (11, "zebra abracadabra caba"), (12, "aaaaaaaaaa a"), (13, "")]
+    held = F.col("doc_id") > 10
+    body = lambda text: b"".join(w + b" " for w in context_tree.words(text or "")) + b"\n"
+    train = Counter(code_of(body(t), i) for k, t in rows if k <= 10 for i in range(len(body(t))))
+    brute = cache(lambda code: ctw_log10(train, code))
+    want = sorted((k, sum(brute(code_of(body(t), i)) for i in range(len(body(t)))), len(body(t))) for k, t in rows)
+    for size in (context_tree.SLICE, 7):
+        monkeypatch.setattr(context_tree, "SLICE", size)
+        got = sorted((r["doc_id"], r["score"], -r["score"] / math.log10(2) / r["bits_per_byte"]) for r in context_tree.score_documents(documents(rows), held).collect())
+        assert np.allclose(got, want, atol=1e-4)
+    every = context_tree.score_documents(documents(rows), F.lit(True)).collect()
+    assert all(abs(r["bits_per_byte"] - 8) < 1e-6 for r in every)  # nothing is learned
+
+
+def test_tree_is_a_distribution():
+    code, n = np.unique(np.concatenate([g for g, _, _ in context_tree.slices([context_tree.words("abra cadabra abc caba")])]), return_counts=True)
+    levels = context_tree.subtree_levels(code, n)
+    key = context_tree.shortened(levels[0].key, context_tree.TOP - 1)
+    levels = context_tree.top_levels(key, levels[0].zeros, levels[0].ones, levels[0].weighted) + levels
+    every = np.array([(code[3] >> 8 << 8) | b for b in range(256)])
+    assert abs((10 ** context_tree.log10_grams(every, levels)).sum() - 1) < 1e-9
 
 
 def test_model_beats_shuffled_text(spark, documents):
@@ -207,20 +262,6 @@ def test_model_beats_shuffled_text(spark, documents):
     assert sum(held) > sum(got[1000 + i]["score"] for i in range(10)) + 200
 
 
-def test_classes_of_training_texts_help(documents):
-    rng = np.random.default_rng(4)
-    tongues = {"x": ["ka", "lo", "mi", "tu"], "y": ["ban", "der", "gus", "fel"]}
-    text = lambda lang: " ".join("".join(rng.choice(tongues[lang], rng.integers(1, 4))) for _ in range(50))
-    rows = [(i, text(lang), lang) for i, lang in enumerate(["x", "y"] * 40)]
-    held = F.col("doc_id") >= 60
-    one = context_tree.score_documents(documents(rows), held).filter("held_out").agg(F.sum("score")).first()[0]
-    two = context_tree.score_documents(documents(rows), held, F.col("lang")).filter("held_out").agg(F.sum("score")).first()[0]
-    blind = documents([(i, t, lang if i < 60 else None) for i, t, lang in rows])
-    same = context_tree.score_documents(blind, held, F.col("lang")).filter("held_out").agg(F.sum("score")).first()[0]
-    assert two > one + 100
-    assert abs(two - same) < 1e-6  # a scored text's own class is not used
-
-
 def tokens_brute(word, scores):
     best = [(0.0, 0)]
     for j in range(1, len(word) + 1):
@@ -266,6 +307,24 @@ def test_token_counts_of_long_pieces(documents):
     assert len(long) > 0 and got[1] == 1
 
 
+def test_long_pre_tokens(documents):
+    scores = token_counts.vocabulary(VOCABULARY)
+    rng = np.random.default_rng(0)
+    word = bytes(rng.integers(97, 123, 3000, dtype="u1"))
+    assert token_counts.long_count(word, token_counts.Pieces(scores)) == tokens_brute_short(word, scores)
+    began = time.time()
+    assert token_counts.count_tokens(documents([(1, "-" * 1_000_000)]), VOCABULARY).first()["n_tokens"] > 0
+    assert time.time() - began < 120
+
+
+def tokens_brute_short(word, scores):
+    best = [(0.0, 0)]
+    for j in range(1, len(word) + 1):
+        found = [(best[j - n][0] + scores[word[j - n : j]], best[j - n][1] + 1) for n in range(min(j, 130), 0, -1) if word[j - n : j] in scores]
+        best.append(max([*found, (best[j - 1][0] + token_counts.UNKNOWN, best[j - 1][1] + 1)], key=lambda x: x[0]))
+    return best[-1][1]
+
+
 @pytest.mark.parametrize("words", [[], [b""], [b"a", b"ab", b"abc", b"abd", b"b" * 70, b"\xff\x00"]])
 def test_trie(words):
     scores = {b"a": -1.0, b"ab": -1.5, b"bc": -1.2, b"b": -2.0, b"bbbbbbbbbbbbb": -1.0, b"bbbbbbbbbb": -0.7, b"abc": -9.0}
