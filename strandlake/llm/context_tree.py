@@ -6,7 +6,7 @@ mixed by the weights of context-tree weighting. All occurrences in the training
 
 1. Texts are dealt into chunks of about CHUNK bytes. A chunk asks for its distinct words and grams (a byte behind its context),
    with their counts in training texts, packed by hash group: a chunk asks for each once, however often it occurs.
-2. Groups add the counts of all chunks up. They stream: a task holds the distinct grams of one group, not what chunks ask.
+2. Groups (a gram's is told by its bytes furthest back, so that its neighbours compress well) add the counts of all chunks up. They stream: a task holds the distinct grams of one group, not what chunks ask.
 3. Grams meet by the subtree of their last TOP bytes. A task weighs one subtree after another and hands its sums to the levels
    above, which have at most 65,793 contexts. With these levels known, each gram gets its log probability. No node is left out.
 4. Groups answer the chunks, where texts add up the log probabilities of their bytes.
@@ -28,7 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import materialize, text_or_empty
+from zstandard import ZstdCompressor, ZstdDecompressor
+
+from strandlake.llm.common import materialize, numbered, text_or_empty
 
 DEPTH, TOP, END = 6, 3, b"\n"
 #: Bytes of the texts of a chunk (one text at least), and bytes that are turned into grams at once.
@@ -87,12 +89,12 @@ class Level:
     """Binary nodes of one depth: sorted keys (context, bits so far behind a one), counts and weighted log probabilities."""
 
     def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None = None):
-        self.key, index = np.unique(key, return_inverse=True)
-        self.zeros, self.ones = (np.bincount(index, x, len(self.key)).astype("f8") for x in (zeros, ones))
+        self.key, self.index = np.unique(key, return_inverse=True)  # index: where what it is made from has gone
+        self.zeros, self.ones = (np.bincount(self.index, x, len(self.key)).astype("f8") for x in (zeros, ones))
         self.weighted = own = log_kt(self.zeros, self.ones)
         self.alpha = np.ones(len(self.key))  # the weight of stopping here
         if below is not None:
-            deeper = np.bincount(index, below, len(self.key))
+            deeper = np.bincount(self.index, below, len(self.key))
             self.weighted = np.logaddexp(own, deeper) - np.log(2)
             self.alpha = np.exp(own - np.log(2) - self.weighted)
 
@@ -100,6 +102,12 @@ class Level:
         """The level with contexts of depth bytes, made from this one."""
         return Level(shortened(self.key, depth), self.zeros, self.ones, self.weighted)
 
+    def mix(self, mixed: np.ndarray, rest: np.ndarray) -> None:
+        """Set p, the probability of a one if no deeper context is known, from the mixture of the levels above and what it leaves."""
+        one = (self.ones + 0.5) / (self.zeros + self.ones + 1)
+        self.p = mixed + rest * one
+        self.mixed, self.rest = mixed + rest * self.alpha * one, rest * (1 - self.alpha)
+
 
 def shortened(key: np.ndarray, depth: int) -> np.ndarray:
     return (key >> 8 & ((1 << 8 * depth) - 1)) << 8 | key & 255
@@ -113,10 +121,9 @@ def bits(code: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def subtree_levels(code: np.ndarray, n: np.ndarray) -> list[Level]:
-    """Levels TOP to DEPTH of grams with counts; grams that training texts lack make no nodes."""
-    code, n = code[n > 0], n[n > 0].astype("f8")
+    """Levels TOP to DEPTH of grams with counts; the deepest level's index has the grams' nodes, one bit after the other."""
     key, one = (np.concatenate(x) for x in zip(*(((code >> 8) << 8 | node, bit) for node, bit in bits(code)), strict=True))
-    n = np.tile(n, 8)
+    n = np.tile(n, 8).astype("f8")
     levels = [Level(key, n * (1 - one), n * one)]
     for depth in range(DEPTH - 1, TOP - 1, -1):
         levels.append(levels[-1].above(depth))
@@ -124,34 +131,44 @@ def subtree_levels(code: np.ndarray, n: np.ndarray) -> list[Level]:
 
 
 def top_levels(key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, weighted: np.ndarray) -> list[Level]:
-    """Levels 0 to TOP - 1 from what the subtrees add to level TOP - 1."""
+    """Levels 0 to TOP - 1, mixed, from what the subtrees add to level TOP - 1."""
     levels = [Level(key, zeros, ones, weighted)]
     for depth in range(TOP - 2, -1, -1):
         levels.append(levels[-1].above(depth))
-    return levels[::-1]
-
-
-def log10_grams(code: np.ndarray, levels: list[Level]) -> np.ndarray:
-    """log10 probability of the last byte of each gram, with the levels 0 to DEPTH."""
-    total = np.zeros(len(code))
-    for node, bit in bits(code):
-        p, mixed, rest, live = np.full(len(code), 0.5), np.zeros(len(code)), np.ones(len(code)), np.ones(len(code), bool)
-        for depth, level in enumerate(levels):
-            if not len(level.key):
-                break
-            key = shortened(code, depth) & ~255 | node
-            at = np.minimum(np.searchsorted(level.key, key), len(level.key) - 1)
-            live &= level.key[at] == key
-            one = (level.ones[at] + 0.5) / (level.zeros[at] + level.ones[at] + 1)
-            p = np.where(live, mixed + rest * one, p)  # all of the rest, in case no deeper context is known
-            mixed = np.where(live, mixed + rest * level.alpha[at] * one, mixed)
-            rest = np.where(live, rest * (1 - level.alpha[at]), rest)
-        total += np.log10(np.where(bit == 1, p, 1 - p))
+    levels.reverse()
+    levels[0].mix(np.zeros(len(levels[0].key)), np.ones(len(levels[0].key)))
+    for upper, lower in zip(levels, levels[1:], strict=False):
+        lower.mix(upper.mixed[upper.index], upper.rest[upper.index])
+    return levels
+
+
+def log10_grams(code: np.ndarray, n: np.ndarray, top: list[Level]) -> np.ndarray:
+    """log10 probability of the last byte of each gram of whole subtrees, with the mixed levels above them."""
+    total, known = np.zeros(len(code)), n > 0
+    levels = subtree_levels(code[known], n[known])
+    at = np.searchsorted(top[-1].key, shortened(levels[0].key, TOP - 1))
+    levels[0].mix(top[-1].mixed[at], top[-1].rest[at])
+    for upper, lower in zip(levels, levels[1:], strict=False):
+        lower.mix(upper.mixed[upper.index], upper.rest[upper.index])
+    p = levels[-1].p[levels[-1].index].reshape(8, -1)
+    total[known] = sum(np.log10(np.where(bit == 1, p[i], 1 - p[i])) for i, (_, bit) in enumerate(bits(code[known])))
+    new = code[~known]  # grams that training texts lack: down to the deepest node that they have
+    for node, bit in bits(new):
+        p, live = np.full(len(new), 0.5), np.ones(len(new), bool)
+        for depth, level in enumerate([*top, *levels]):
+            if len(level.key):
+                key = shortened(new, depth) & ~255 | node
+                at = np.minimum(np.searchsorted(level.key, key), len(level.key) - 1)
+                live &= level.key[at] == key
+                p = np.where(live, level.p[at], p)
+            else:
+                live[:] = False
+        total[~known] += np.log10(np.where(bit == 1, p, 1 - p))
     return total
 
 
 def in_chunks(rows: DataFrame) -> DataFrame:
-    """rows (doc_id, text, held_out) with chunk, written down so that a chunk stays what it is."""
+    """rows (doc_id, text, held_out) with chunk. They must come in the same order each time: a scan of files, or a written table."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", chunk long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,11 +179,38 @@ def in_chunks(rows: DataFrame) -> DataFrame:
             before = int(ends[-1]) if len(ends) else before
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((TaskContext.get().partitionId() << 32) + starts // CHUNK)], [*batch.schema.names, "chunk"])
 
-    return materialize(rows.mapInArrow(run, schema), "chunks", compression="zstd")
+    return rows.mapInArrow(run, schema)
+
+
+def squeezed_texts(chunks: DataFrame) -> DataFrame:
+    """(doc_id, held_out, chunk, text), the text as compressed bytes for the shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pack = ZstdCompressor(level=1).compress
+            texts = pa.array([pack(t.encode("utf-8", "surrogatepass")) for t in batch.column(3).to_pylist()], "binary")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], texts], ["doc_id", "held_out", "chunk", "text"])
+
+    schema = f"doc_id {chunks.schema['doc_id'].dataType.simpleString()}, held_out boolean, chunk long, text binary"
+    return chunks.select("doc_id", "held_out", "chunk", "text").mapInArrow(run, schema)
+
+
+def squeezed(x: np.ndarray, rising: bool = False) -> bytes:
+    """Numbers as compressed bytes; rising ones as differences."""
+    return ZstdCompressor(level=1).compress((np.diff(x, prepend=x.dtype.type(0)) if rising else x).tobytes())
+
+
+def numbers(data: bytes, kind: str = "i8", rising: bool = False) -> np.ndarray:
+    x = np.frombuffer(ZstdDecompressor().decompress(data), kind)
+    return np.cumsum(x) if rising else x
+
+
+def text_words(data: bytes) -> list[bytes]:
+    return ZstdDecompressor().decompress(data).split()
 
 
 def group_of(code: np.ndarray) -> np.ndarray:
-    mixed = code.astype("u8") * np.uint64(0x9E3779B97F4A7C15)
+    """Groups by the bytes furthest back, so that a group's grams have much in common."""
+    mixed = (code >> 24).astype("u8") * np.uint64(0x9E3779B97F4A7C15)
     return ((mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40)).astype("i8") % GROUPS
 
 
@@ -192,7 +236,8 @@ def asked(rows: DataFrame) -> DataFrame:
         order = np.argsort(group, kind="stable")
         cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
         code, n = code[order], n[order]
-        out = [(g, chunk, b" ".join(found), np.array([train[w] for w in found], "u8").tobytes(), code[a:b].tobytes(), n[a:b].tobytes()) for g, (found, a, b) in enumerate(zip(by_group, cuts, cuts[1:], strict=False))]
+        pack = ZstdCompressor(level=1).compress
+        out = [(g, chunk, pack(b" ".join(sorted(found))), squeezed(np.array([train[w] for w in sorted(found)], "i8")), squeezed(code[a:b], rising=True), squeezed(n[a:b])) for g, (found, a, b) in enumerate(zip(by_group, cuts, cuts[1:], strict=False))]
         kinds = ("int32", "int64", *["binary"] * 4)
         return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
@@ -241,7 +286,7 @@ def vocabulary(wanted: DataFrame) -> DataFrame:
         def flush() -> Iterator[pa.RecordBatch]:
             if group is not None:
                 codes, counts = summed(code, n)
-                row = (group, b" ".join(total), np.fromiter(total.values(), "u8", len(total)).tobytes(), codes.tobytes(), counts.tobytes())
+                row = (group, ZstdCompressor(level=1).compress(b" ".join(total)), squeezed(np.fromiter(total.values(), "i8", len(total))), squeezed(codes, rising=True), squeezed(counts))
                 yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(row, ("int32", *["binary"] * 4), strict=True)], names)
 
         for batch in batches:
@@ -249,10 +294,10 @@ def vocabulary(wanted: DataFrame) -> DataFrame:
                 if part != group:
                     yield from flush()
                     group, total, code, n, held = part, Counter(), [], [], 0
-                for word, c in zip(found.split(), np.frombuffer(spoken, "u8").tolist(), strict=True):
+                for word, c in zip(text_words(found), numbers(spoken).tolist(), strict=True):
                     total[word] += c
-                code.append(np.frombuffer(codes, "i8"))
-                n.append(np.frombuffer(counts, "i8"))
+                code.append(numbers(codes, rising=True))
+                n.append(numbers(counts))
                 held += len(code[-1])
                 if held > 4 * SLICE:
                     merged = summed(code, n)
@@ -283,12 +328,12 @@ def gram_scores(known: DataFrame) -> DataFrame:
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for codes, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(codes, "i8")), pa.array(np.frombuffer(counts, "i8"))], ["code", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(numbers(codes, rising=True)), pa.array(numbers(counts))], ["code", "n"])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for code, n in _subtrees(batches):
             if (n > 0).any():
-                level = subtree_levels(code, n)[0]
+                level = subtree_levels(code[n > 0], n[n > 0])[0]
                 key, index = np.unique(shortened(level.key, TOP - 1), return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(np.bincount(index, x, len(key))) for x in (level.zeros, level.ones, level.weighted))], ["key", "zeros", "ones", "weighted"])
 
@@ -301,12 +346,13 @@ def gram_scores(known: DataFrame) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for code, n in _subtrees(batches):
-            scores = log10_grams(code, shared.value + subtree_levels(code, n)).astype("f4")
+            scores = log10_grams(code, n, shared.value).astype("f4")
             group = group_of(code)
-            order = np.argsort(group, kind="stable")
+            order = np.lexsort((code, group))
             code, scores, (there, first) = code[order], scores[order], np.unique(group[order], return_index=True)
             cuts = [*first.tolist(), len(code)]
-            yield pa.RecordBatch.from_arrays([pa.array(there.astype("i4")), *(pa.array([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], "binary") for x in (code, scores))], ["part", "codes", "scores"])
+            columns = ([squeezed(x[a:b], rising) for a, b in zip(cuts, cuts[1:], strict=False)] for x, rising in ((code, True), (scores, False)))
+            yield pa.RecordBatch.from_arrays([pa.array(there.astype("i4")), *(pa.array(c, "binary") for c in columns)], ["part", "codes", "scores"])
 
     return grams.mapInArrow(score, "part int, codes binary, scores binary")
 
@@ -327,16 +373,16 @@ def answers(wanted: DataFrame, known: DataFrame, scored: DataFrame) -> DataFrame
                 if part != group:
                     group, total, code, score = part, {}, [np.zeros(0, "i8")], [np.zeros(0, "f4")]
                 if scores is not None:
-                    code.append(np.frombuffer(codes, "i8"))
-                    score.append(np.frombuffer(scores, "f4"))
+                    code.append(numbers(codes, rising=True))
+                    score.append(numbers(scores, "f4"))
                 elif chunk is None:
-                    total = dict(zip(found.split(), np.frombuffer(counts, "u8").tolist(), strict=True))
+                    total = dict(zip(text_words(found), numbers(counts).tolist(), strict=True))
                 else:
                     if len(code) > 1:
                         order = np.argsort(np.concatenate(code))
                         code, score = [np.concatenate(code)[order]], [np.concatenate(score)[order]]
-                    at = np.searchsorted(code[0], np.frombuffer(codes, "i8"))
-                    out.append((chunk, found, np.array([total[w] for w in found.split()], "u8").tobytes(), codes, score[0][at].tobytes()))
+                    at = np.searchsorted(code[0], numbers(codes, rising=True))
+                    out.append((chunk, found, squeezed(np.array([total[w] for w in text_words(found)], "i8")), codes, score[0][at].tobytes()))
             kinds = ("int64", *["binary"] * 4)
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names)
 
@@ -346,14 +392,16 @@ def answers(wanted: DataFrame, known: DataFrame, scored: DataFrame) -> DataFrame
 
 def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) for each row of docs, learned from rows not held out."""
-    rows = in_chunks(docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))).select("doc_id", text_or_empty().alias("text"), "held_out"))
+    docs, _ = numbered(docs)
+    rows = docs.select("doc_id", text_or_empty().alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     texts = rows.filter("NOT held_out").count()
-    wanted = asked(rows)
+    chunks = in_chunks(rows)
+    wanted = asked(chunks)
     known = vocabulary(wanted)
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [np.frombuffer(x, "u8") for x in batch.column(0).to_pylist()]
+            counts = [numbers(x) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([int(c.sum()) for c in counts], "int64"), pa.array([int((c > 0).sum()) for c in counts], "int64")], ["n", "v"])
 
     spoken, distinct = known.select("n_words").mapInArrow(totals, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
@@ -365,8 +413,9 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         counts = {}
         for row, c in zip(right.column("words").to_pylist(), right.column("counts").to_pylist(), strict=True):
-            counts.update(zip(row.split(), np.frombuffer(c, "u8").tolist(), strict=True))
-        code, score = (np.frombuffer(b"".join(right.column(c).to_pylist()), kind) for c, kind in (("codes", "i8"), ("scores", "f4")))
+            counts.update(zip(text_words(row), numbers(c).tolist(), strict=True))
+        code = np.concatenate([np.zeros(0, "i8"), *(numbers(c, rising=True) for c in right.column("codes").to_pylist())])
+        score = np.frombuffer(b"".join(right.column("scores").to_pylist()), "f4")
         order = np.argsort(code)
         code, score = code[order], score[order].astype("f8")
         base, hits, tokens, size, total = ([] for _ in range(5))
@@ -374,10 +423,12 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
             todo, begin = part.to_pylist(), 0
             while begin < len(todo):
                 end, room = begin, 0
+                split = []
                 while end < len(todo) and room < SLICE:
-                    room += len(todo[end])
+                    text = ZstdDecompressor().decompress(todo[end])
+                    room += len(text)
+                    split.append(text.lower().split())
                     end += 1
-                split = [words(text) for text in todo[begin:end]]
                 sums = np.zeros((2, len(split)))
                 for grams, owner, first in slices(split):
                     each = np.add.reduceat(score[np.searchsorted(code, grams)], first)
@@ -395,5 +446,5 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
         arrays = [left.column("doc_id"), left.column("held_out"), pa.array(tokens, "int64"), pa.array(hits, "int64"), pa.array([n] * len(tokens), "int64"), pa.array(base, "float64"), pa.array(total), pa.array(-total / np.log10(2) / np.maximum(size, 1))]
         return pa.table(arrays, names=[name for name, _ in out])
 
-    return rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, ", ".join(" ".join(x) for x in out))
+    return squeezed_texts(chunks).groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, ", ".join(" ".join(x) for x in out))
 

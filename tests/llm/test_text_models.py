@@ -244,11 +244,12 @@ def test_scores_by_brute_force(documents, monkeypatch):
 
 def test_tree_is_a_distribution():
     code, n = np.unique(np.concatenate([g for g, _, _ in context_tree.slices([context_tree.words("abra cadabra abc caba")])]), return_counts=True)
-    levels = context_tree.subtree_levels(code, n)
-    key = context_tree.shortened(levels[0].key, context_tree.TOP - 1)
-    levels = context_tree.top_levels(key, levels[0].zeros, levels[0].ones, levels[0].weighted) + levels
+    lowest = context_tree.subtree_levels(code, n)[0]
+    top = context_tree.top_levels(context_tree.shortened(lowest.key, context_tree.TOP - 1), lowest.zeros, lowest.ones, lowest.weighted)
     every = np.array([(code[3] >> 8 << 8) | b for b in range(256)])
-    assert abs((10 ** context_tree.log10_grams(every, levels)).sum() - 1) < 1e-9
+    both, index = np.unique(np.concatenate([code, every]), return_inverse=True)
+    n = np.bincount(index[: len(code)], n, len(both)).astype("i8")
+    assert abs((10 ** context_tree.log10_grams(both, n, top))[index[len(code) :]].sum() - 1) < 1e-9
 
 
 def test_model_beats_shuffled_text(spark, documents):
