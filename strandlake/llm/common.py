@@ -1,4 +1,4 @@
-"""Helpers shared by the corpus operators: tables, the shared work folder and fixed-size filters."""
+"""Helpers shared by the corpus operators: tables, the shared work folder, row numbers and filters of bounded size."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +23,12 @@ def _own_folder() -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir; a temporary one only where it is unset, as in tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """A new path in the folder that all executors share: spark.checkpoint.dir, or on local masters, where it may be unset, an own one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _own_folder()
     return f"{root.rstrip('/')}/strandlake/{name}-{uuid.uuid4().hex}"
 
 
@@ -32,38 +37,90 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.work_path = path
+    return written
 
 
-def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
-
-
-#: A filter has 2**FILTER_BITS bits, whatever the input: 4 MB, in rows of 4 KB.
-FILTER_BITS = 25
-
+def discard(*written: DataFrame) -> None:
+    """Delete tables of materialize() that nothing will read any more."""
+    for df in written:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.work_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-def key_filter(keys: DataFrame, key: Column, bits: int = FILTER_BITS) -> DataFrame:
-    """(bucket, bitmap) rows with one bit set for the hash of each key; never more than 2**bits / 8 bytes."""
-    slot = F.pmod(F.xxhash64(key), F.lit(1 << bits)) + 1
-    return keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
 
-
-def _probed(df: DataFrame, key: Column, filters: DataFrame, bits: int, how: str) -> tuple[DataFrame, Column]:
-    slot = F.pmod(F.xxhash64(key), F.lit(1 << bits)) + 1
-    probed = df.withColumns({"_bucket": F.bitmap_bucket_number(slot), "_bit": F.bitmap_bit_position(slot)})
-    joined = probed.join(F.broadcast(filters.select(F.col("bucket").alias("_fb"), F.col("bitmap").alias("_bitmap"))), F.col("_bucket") == F.col("_fb"), how)
-    byte = F.conv(F.hex(F.expr("substring(_bitmap, CAST(_bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-    return joined, byte.bitwiseAND(F.expr("shiftleft(1, CAST(_bit % 8 AS INT))")) != 0
-
-
-def maybe_in(df: DataFrame, key: Column, filters: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """Rows of df whose key may be in the filter: all that are, and few others. The broadcast side has a fixed size bound."""
-    joined, there = _probed(df, key, filters, bits, "inner")
-    return joined.filter(there).select(*df.columns)
+def text_or_empty(name: str = "text") -> Column:
+    return F.coalesce(F.col(name), F.lit(""))
 
 
-def surely_out(df: DataFrame, key: Column, filters: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """The rows of df that maybe_in leaves out."""
-    joined, there = _probed(df, key, filters, bits, "left")
-    return joined.filter(~F.coalesce(there, F.lit(False))).select(*df.columns)
+#: A filter never has more than 2**MAX_BITS bits (32 MB). With more than a quarter as many keys it is not made, and lets everything pass.
+MAX_BITS = 28
+
+
+class KeyFilter:
+    """A bitmap of the hashes of keys, 16 bits for each of them, in rows of 4 KB; its size is bounded, so it may be broadcast.
+
+    keys should be a written table, as it is counted first. Null keys hash like any value.
+    """
+
+    def __init__(self, keys: DataFrame, key: Column, max_bits: int = MAX_BITS):
+        n = keys.count()
+        self.bits = min(max_bits, max(18, (16 * n).bit_length()))
+        self.rows = None
+        if 4 * n <= 1 << self.bits:
+            slot = self._slot(key)
+            self.rows = keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
+
+    def _slot(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(1 << self.bits)) + 1
+
+    def _probed(self, df: DataFrame, key: Column, how: str) -> tuple[DataFrame, Column]:
+        slot = self._slot(key)
+        probed = df.withColumns({"_kf_bucket": F.bitmap_bucket_number(slot), "_kf_bit": F.bitmap_bit_position(slot)})
+        filters = F.broadcast(self.rows.select(F.col("bucket").alias("_kf_own"), F.col("bitmap").alias("_kf_bitmap")))
+        byte = F.conv(F.hex(F.expr("substring(_kf_bitmap, CAST(_kf_bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+        return probed.join(filters, F.col("_kf_bucket") == F.col("_kf_own"), how), byte.bitwiseAND(F.expr("shiftleft(1, CAST(_kf_bit % 8 AS INT))")) != 0
+
+    def maybe_in(self, df: DataFrame, key: Column) -> DataFrame:
+        """Rows of df whose key may be among the keys: all that are, and few others."""
+        if self.rows is None:
+            return df
+        joined, there = self._probed(df, key, "inner")
+        return joined.filter(there).drop("_kf_bucket", "_kf_bit", "_kf_own", "_kf_bitmap")
+
+    def surely_out(self, df: DataFrame, key: Column) -> DataFrame:
+        """The rows of df that maybe_in leaves out."""
+        if self.rows is None:
+            return df.limit(0)
+        joined, there = self._probed(df, key, "left")
+        return joined.filter(~F.coalesce(there, F.lit(False))).drop("_kf_bucket", "_kf_bit", "_kf_own", "_kf_bitmap")
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a number for each row, the same whenever it is read, and that column's name.
+
+    A scan of files numbers its rows alike each time; anything else is written down first.
+    """
+    name = unused(docs, "_row")
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = materialize(docs, "numbered", compression="zstd")
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """rows whose key isn't in gone (a written table with the column key). Only rows that may be gone are shuffled."""
+    known = KeyFilter(gone, F.col(key))
+    away = gone.select(F.col(key).alias("_gone_key"))
+    maybe = known.maybe_in(rows, F.col(key))
+    return known.surely_out(rows, F.col(key)).unionByName(maybe.join(away, F.col(key) == F.col("_gone_key"), "left_anti"))

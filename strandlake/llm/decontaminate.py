@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import key_filter, materialize, maybe_in, text_or_empty
+from strandlake.llm.common import KeyFilter, materialize, numbered, text_or_empty, without
 
 WORDS, SIMILARITY, CONSISTENCY = 5, 0.8, 0.5
 #: Words that count as units when a number stands before them.
@@ -123,12 +123,12 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, similarity: float, consistency
     found = found.select("doc_id", "doc_key", "row", F.explode_outer("windows").alias("window"))
     small = wanted.count() <= BROADCAST_WINDOWS
     # Beyond that size the filter keeps windows of no item from being shuffled.
-    matched = found.join(F.broadcast(wanted), "window") if small else maybe_in(found, F.col("window"), key_filter(wanted, F.col("window"))).join(wanted, "window")
+    matched = found.join(F.broadcast(wanted), "window") if small else KeyFilter(wanted, F.col("window")).maybe_in(found, F.col("window")).join(wanted, "window")
     # windows() gives each of a document's windows once, so a count is enough; equal rows count apart by row.
     pairs = matched.groupBy("doc_id", "doc_key", "item_id", "item_key", "item_windows", "row").agg(F.count(F.lit(1)).alias("matched"))
     pairs = pairs.withColumn("containment", F.col("matched") / F.col("item_windows")).filter(F.col("containment") >= similarity)
     pairs = materialize(pairs.select("doc_id", "doc_key", "item_id", "item_key", "item_windows", "matched", "containment"), "leak-pairs")
-    hits = maybe_in(rows.withColumn("doc_key", F.xxhash64("text")), F.col("doc_key"), key_filter(pairs, F.col("doc_key"))).dropDuplicates(["doc_key"])
+    hits = KeyFilter(pairs, F.col("doc_key")).maybe_in(rows.withColumn("doc_key", F.xxhash64("text")), F.col("doc_key")).dropDuplicates(["doc_key"])
     placed = _slot_windows(items.select("item_key", "text").dropDuplicates(["item_key"]), starts, "item_key").withColumnsRenamed({"values": "item_values", "at": "item_at"})
     theirs = _slot_windows(hits, starts, "doc_key").filter(F.size("values") > 0).groupBy("doc_key", "window", "values").agg(F.count(F.lit(1)).alias("n"))
     ours = placed.filter(F.size("item_values") > 0).drop("item_at").distinct()
@@ -139,13 +139,14 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, similarity: float, consistency
     mixed = out.filter(F.col("slot_consistency") < consistency).drop("slots", "slot_consistency")
     out = out.filter(F.col("slot_consistency") >= consistency)
     if not mixed.isEmpty():
-        again = maybe_in(hits, F.col("doc_key"), key_filter(mixed, F.col("doc_key")))
+        again = KeyFilter(mixed, F.col("doc_key")).maybe_in(hits, F.col("doc_key"))
         single = _occurrences(mixed.select("doc_key", "item_key", "item_windows").distinct(), placed, _slot_windows(again, starts, "doc_key"), similarity, consistency)
         out = out.unionByName(mixed.join(single, ["doc_key", "item_key"]))
     return out.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in ("item_windows", "matched", "containment", "slots", "slot_consistency")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs with no leaked item, with all their columns."""
-    leaked = leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+    """The rows of docs with no leaked item, with all their columns. Rows are told apart by their place, so ids may be null or repeat."""
+    rows, row = numbered(docs)
+    gone = materialize(leaks(rows.select(F.col(row).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(row)).distinct(), "leaked")
+    return without(rows, gone, row).select(*docs.columns)

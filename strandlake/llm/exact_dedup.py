@@ -1,9 +1,10 @@
 """Exact dedup with a log-structured merge index, in DataFrame operations only.
 
-Every scan task is a memtable: its rows' digests are sorted and flushed as one run (a Parquet file with Parquet's own
-bloom filter on the digest). Compaction merges all runs into one sorted level that keeps, for each digest, the row with the
-smallest doc_id and the number of rows. Digests with several rows are hits: a fixed-size filter made from them picks the
-documents whose whole texts are compared byte for byte. Only digests (and the texts of hits) are shuffled.
+Every scan task is a memtable: its rows' digests are sorted and flushed as a run (a Parquet file with Parquet's own bloom
+filter on the digest). Runs are added to the index in BATCHES: the level's filter, of bounded size, is probed with a run's
+digests; compaction merges those that the level may have with what it has, keeping for each digest the row with the smallest
+doc_id and the number of rows, and takes the others as they are. Digests with several rows are hits: a filter made from them
+picks the documents whose whole texts are compared byte for byte. Only digests (and the texts of hits) are shuffled.
 
 Defined results: null text is empty text; a null doc_id sorts after all others; of repeated rows with one doc_id and one
 text exactly one is kept; an empty table gives an empty result; further columns are ignored by the index and stay in
@@ -17,7 +18,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import key_filter, materialize, maybe_in, text_or_empty
+from strandlake.llm.common import KeyFilter, discard, materialize, numbered, text_or_empty, without
+
+
+BATCHES = 4
+BLOOM = {"parquet.bloom.filter.enabled#digest": "true"}
 
 
 def normalised(name: str = "text") -> Column:
@@ -30,30 +35,46 @@ def sha256(text: Column) -> Column:
 
 
 class DigestIndex:
-    """Runs and their compaction for the texts of one table."""
+    """The digests of texts in one sorted level, to which sorted runs are added."""
 
-    def __init__(self, docs: DataFrame, digest: Callable[[Column], Column] = sha256):
-        self._digest, self._docs = digest, docs.select("doc_id", normalised().alias("norm"))
-        self.runs = self._flush()
-        self.level = self._compact()
+    def __init__(self, docs: DataFrame, digest: Callable[[Column], Column] = sha256, batches: int = BATCHES, row: str | None = None):
+        self._digest, self._docs = digest, docs.select("doc_id", normalised().alias("norm"), (F.monotonically_increasing_id() if row is None else F.col(row)).alias("row_id"))
+        self.runs = self._flush(batches)
+        self.level = self._run(self.runs.filter("batch = 0"))
+        for batch in range(1, batches):
+            self._add(self._run(self.runs.filter(F.col("batch") == batch)))
 
-    def _flush(self) -> DataFrame:
-        rows = self._docs.select("doc_id", F.unhex(self._digest(F.col("norm"))).alias("digest"), F.unhex(sha256(F.col("norm"))).alias("sha"), F.monotonically_increasing_id().alias("row_id"))
-        return materialize(rows.sortWithinPartitions("digest"), "digest-runs", **{"parquet.bloom.filter.enabled#digest": "true"})
+    def _flush(self, batches: int) -> DataFrame:
+        """Every scan task is a memtable, flushed as a run of the batch that its number falls in."""
+        rows = self._docs.select("doc_id", F.unhex(self._digest(F.col("norm"))).alias("digest"), F.unhex(sha256(F.col("norm"))).alias("sha"), "row_id", F.pmod(F.spark_partition_id(), F.lit(batches)).alias("batch"))
+        return materialize(rows.sortWithinPartitions("digest"), "digest-runs", **BLOOM)
 
-    def _compact(self) -> DataFrame:
+    @staticmethod
+    def _run(rows: DataFrame) -> DataFrame:
+        """The smallest row and the number of rows of each digest."""
         first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
-        merged = self.runs.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
-        return materialize(merged.sortWithinPartitions("digest"), "digest-level", **{"parquet.bloom.filter.enabled#digest": "true"})
+        merged = rows.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
+        return materialize(merged.sortWithinPartitions("digest"), "digest-run", **BLOOM)
+
+    def _add(self, run: DataFrame) -> None:
+        """Compaction. The level's filter is probed with the run: digests that it surely lacks are new, and only those that both may have are merged."""
+        key, old = F.col("digest"), self.level
+        known = KeyFilter(old, key)
+        hits = materialize(known.maybe_in(run, key), "digest-hits")
+        touched = KeyFilter(hits, key)
+        merged = touched.maybe_in(old, key).unionByName(hits).groupBy("digest").agg(F.min("first").alias("first"), F.sum("group_size").alias("group_size"))
+        whole = touched.surely_out(old, key).unionByName(known.surely_out(run, key)).unionByName(merged)
+        self.level = materialize(whole.sortWithinPartitions("digest"), "digest-level", **BLOOM)
+        discard(old, run, hits)
 
     def _verified(self) -> DataFrame:
         """Distinct whole texts of hits. Copies meet in the map tasks, before the shuffle."""
         hits = self.level.filter("group_size > 1")
-        digests = self._docs.withColumn("digest", F.unhex(self._digest(F.col("norm"))))
-        return maybe_in(digests, F.col("digest"), key_filter(hits, F.col("digest"))).groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n"))
+        digests = self._docs.select("norm", F.unhex(self._digest(F.col("norm"))).alias("digest"))
+        return KeyFilter(hits, F.col("digest")).maybe_in(digests, F.col("digest")).groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n"))
 
     def resolve(self) -> DataFrame:
-        """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
+        """One row per document: doc_id, keep_id, group_size, kept, text_sha256, row_id."""
         clashes = materialize(self._verified().groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest"), "digest-clashes")
         plain = self.runs.join(self.level, "digest")
         if clashes.isEmpty():
@@ -66,16 +87,16 @@ class DigestIndex:
 
     @staticmethod
     def _rows(joined: DataFrame) -> DataFrame:
-        return joined.select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row_id") == F.col("first.row_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+        return joined.select("doc_id", F.col("first.doc_id").alias("keep_id"), "group_size", (F.col("row_id") == F.col("first.row_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "row_id")
 
 
 def resolve_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row per row of docs with the row that stays for its text; see the module for the defined results."""
-    return DigestIndex(docs, digest).resolve()
+    return DigestIndex(docs, digest).resolve().drop("row_id")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns: one for each text."""
-    keep = resolve_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    rows = docs.withColumn("_text_sha", sha256(normalised()))
-    return rows.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha")), "left_semi").dropDuplicates(["doc_id", "_text_sha"]).drop("_text_sha")
+    """The rows of docs that stay, with all their columns: one for each text. Rows are told apart by their place; texts of rows that stay aren't shuffled."""
+    rows, row = numbered(docs)
+    gone = DigestIndex(rows, row=row).resolve().filter("NOT kept").select(F.col("row_id").alias(row))
+    return without(rows, materialize(gone, "exact-copies"), row).select(*docs.columns)
