@@ -29,10 +29,12 @@ from strandlake.llm.common import materialize, text_or_empty
 
 CAPACITY, END = 2048, 0
 #: Known parts of texts that a worker keeps before it starts anew.
-KNOWN = 500_000
+KNOWN = 700_000
 
 
 #: A white-space run and the word behind it, or white space at the end. Python's white space is Unicode's and ODD.
+#: Marks behind a letter or digit are a pre-token of their own (no apostrophe: it may begin one with letters).
+MARKED = re.compile(r"(.*[A-Za-z0-9À-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~]+)", re.S)
 PART, ODD = re.compile(r"\s*\S+|\s+"), r"[\x1c-\x1f]"
 
 
@@ -65,10 +67,13 @@ def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
         parts = PART.findall(text)
         if len(known) > KNOWN:
             known.clear()
-        if new := list(set(parts).difference(known)):
-            for part, found in zip(new, made.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        if new := set(parts).difference(known):
+            split = {part: m.groups() for part in new if (m := MARKED.fullmatch(part))}
+            alone = list(new.difference(split).union(*split.values()).difference(known))
+            for part, found in zip(alone, made.encode_batch_fast(alone, add_special_tokens=False), strict=True):
                 ids = found.ids
                 known[part] = pack_ids(f"<{len(ids)}I", *ids)
+            known.update((part, known[word] + known[marks]) for part, (word, marks) in split.items())
         yield b"".join(map(known.__getitem__, parts))
 
 
