@@ -34,7 +34,7 @@ from strandlake.llm.common import materialize, numbered, text_or_empty
 
 DEPTH, TOP, END = 6, 3, b"\n"
 #: Bytes of the texts of a chunk (one text at least), and bytes that are turned into grams at once.
-CHUNK, SLICE = 32 << 20, 2 << 20
+CHUNK, SLICE = 32 << 20, 1 << 20
 #: Hash groups of words and grams. A group's distinct grams fit a task's memory up to some 10**10 of all groups.
 GROUPS = 2048
 #: Grams of whole subtrees that are weighed at once.
@@ -74,22 +74,34 @@ def _grams(parts: list[bytes], owner: list[int]) -> tuple[np.ndarray, np.ndarray
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
-    shift = np.zeros_like(x)
-    for i in range(8):
-        shift += np.log(x + i)
+    """For x up to 10**30 or so: Stirling's series behind eight steps of the recurrence."""
+    shift = x.copy()
+    for i in range(1, 8):
+        shift *= x + i
     y = x + 8
-    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) - shift
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) - np.log(shift)
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1) - 2 * log_gamma(np.array([0.5]))[0]
 
 
+def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and where each key has gone; quick for keys that come in sorted runs."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    index = np.empty(len(key), "i8")
+    index[order] = np.cumsum(new) - 1
+    return key[new], index
+
+
 class Level:
     """Binary nodes of one depth: sorted keys (context, bits so far behind a one), counts and weighted log probabilities."""
 
     def __init__(self, key: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray | None = None):
-        self.key, self.index = np.unique(key, return_inverse=True)  # index: where what it is made from has gone
+        self.key, self.index = grouped(key)  # index: where what it is made from has gone
         self.zeros, self.ones = (np.bincount(self.index, x, len(self.key)).astype("f8") for x in (zeros, ones))
         self.weighted = own = log_kt(self.zeros, self.ones)
         self.alpha = np.ones(len(self.key))  # the weight of stopping here
@@ -215,10 +227,37 @@ def group_of(code: np.ndarray) -> np.ndarray:
 
 
 def summed(code: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    code, index = np.unique(np.concatenate(code), return_inverse=True)
+    code, index = grouped(np.concatenate(code))
     return code, np.bincount(index, np.concatenate(n), len(code)).astype("i8")
 
 
+class Lookup:
+    """Values by key in an open table, for many more lookups than keys; every key that is asked for is there."""
+
+    def __init__(self, key: np.ndarray, value: np.ndarray):
+        self.mask = (1 << max(4, (len(key) * 3 // 2).bit_length())) - 1
+        self.key, self.value = np.full(self.mask + 1, -1, "i8"), np.zeros(self.mask + 1, value.dtype)
+        slot = self._slot(key)
+        while len(key):
+            free = self.key[slot] == -1
+            self.key[slot[free]] = key[free]
+            won = self.key[slot] == key
+            self.value[slot[won]] = value[won]
+            key, value, slot = key[~won], value[~won], (slot[~won] + 1) & self.mask
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        mixed = key.astype("u8") * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(32)).astype("i8") & self.mask
+
+    def __getitem__(self, key: np.ndarray) -> np.ndarray:
+        slot = self._slot(key)
+        open_places = np.flatnonzero(self.key[slot] != key)
+        while len(open_places):
+            slot[open_places] = (slot[open_places] + 1) & self.mask
+            open_places = open_places[self.key[slot[open_places]] != key[open_places]]
+        return self.value[slot]
+
+
 PACKED = "words binary, n_words binary, codes binary, n_codes binary"
 
 
@@ -230,7 +269,7 @@ def asked(rows: DataFrame) -> DataFrame:
 
     def packed(chunk: int, train: Counter, seen: set, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         by_group: list[list[bytes]] = [[] for _ in range(GROUPS)]
-        for word in seen:
+        for word in seen.union(train):
             by_group[crc32(word) % GROUPS].append(word)
         group = group_of(code)
         order = np.argsort(group, kind="stable")
@@ -244,29 +283,27 @@ def asked(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, train, seen, code, n, held = None, Counter(), set(), [], [], 0
         for batch in batches:
-            table = list(zip(*(batch.column(c).to_pylist() for c in ("chunk", "held_out", "text")), strict=True))
+            chunks, held_out = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("chunk", "held_out"))
+            ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype("i8"))
             begin = 0
-            while begin < len(table):
-                if table[begin][0] != chunk:
+            while begin < len(chunks):
+                if chunks[begin] != chunk:
                     if code:
                         yield packed(chunk, train, seen, *summed(code, n))
-                    chunk, train, seen, code, n, held = table[begin][0], Counter(), set(), [], [], 0
-                end, size = begin, 0
-                while end < len(table) and table[end][0] == chunk and size < SLICE:
-                    size += len(table[end][2])
-                    end += 1
+                    chunk, train, seen, code, n, held = int(chunks[begin]), Counter(), set(), [], [], 0
+                before = ends[begin - 1] if begin else 0
+                end = min(max(begin + 1, int(np.searchsorted(ends, before + SLICE, "right"))), int(np.searchsorted(chunks, chunk, "right")))
+                texts = batch.column("text").slice(begin, end - begin).to_pylist()
                 for kind in (False, True):
-                    found = [words(text) for _, held_out, text in table[begin:end] if held_out is kind]
+                    found = [words(text) for text, out in zip(texts, held_out[begin:end], strict=True) if out == kind]
                     for text in found:
-                        seen.update(text)
-                        if not kind:
-                            train.update(text)
+                        (seen if kind else train).update(text)
                     for part, _, _ in slices(found):
                         part, count = np.unique(part, return_counts=True)
                         code.append(part)
                         n.append(count * (not kind))
                         held += len(part)
-                if held > 4 * SLICE:
+                if held > 2 * SLICE:
                     merged = summed(code, n)
                     code, n, held = [merged[0]], [merged[1]], 0
                 begin = end
@@ -334,7 +371,7 @@ def gram_scores(known: DataFrame) -> DataFrame:
         for code, n in _subtrees(batches):
             if (n > 0).any():
                 level = subtree_levels(code[n > 0], n[n > 0])[0]
-                key, index = np.unique(shortened(level.key, TOP - 1), return_inverse=True)
+                key, index = grouped(shortened(level.key, TOP - 1))
                 yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(np.bincount(index, x, len(key))) for x in (level.zeros, level.ones, level.weighted))], ["key", "zeros", "ones", "weighted"])
 
     subtree = F.shiftright("code", 8).bitwiseAND(0xFFFFFF)
@@ -416,8 +453,7 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
             counts.update(zip(text_words(row), numbers(c).tolist(), strict=True))
         code = np.concatenate([np.zeros(0, "i8"), *(numbers(c, rising=True) for c in right.column("codes").to_pylist())])
         score = np.frombuffer(b"".join(right.column("scores").to_pylist()), "f4")
-        order = np.argsort(code)
-        code, score = code[order], score[order].astype("f8")
+        scores = Lookup(code, score)
         base, hits, tokens, size, total = ([] for _ in range(5))
         for part in left.column("text").chunks:
             todo, begin = part.to_pylist(), 0
@@ -431,7 +467,7 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
                     end += 1
                 sums = np.zeros((2, len(split)))
                 for grams, owner, first in slices(split):
-                    each = np.add.reduceat(score[np.searchsorted(code, grams)], first)
+                    each = np.add.reduceat(scores[grams].astype("f8"), first)
                     np.add.at(sums[0], owner, each)
                     np.add.at(sums[1], owner, np.diff(np.append(first, len(grams))))
                 total += sums[0].tolist()
