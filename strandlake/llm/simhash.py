@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import materialize, text_or_empty
+from strandlake.llm.common import KeyFilter, discard, materialize, numbered, text_or_empty, without
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
 #: Larger buckets are dealt out again; comparisons of a bucket run in blocks of this many rows.
@@ -147,6 +147,7 @@ def components(edges: DataFrame) -> DataFrame:
         after = materialize(small.distinct(), "small-star")
         if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
             return after.select(F.col("u").alias("fp"), F.col("v").alias("root"))
+        discard(edges, large)
         edges = after
 
 
@@ -160,8 +161,206 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_deduplicate(docs: DataFrame) -> DataFrame:
-    """One row of docs for each component, that of the smallest doc_id, with all its columns. Rows without doc_id stay if no other row names their component."""
-    found = near_duplicates(docs)
-    gone = found.filter((F.col("component_id").isNotNull()) & ~F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+# Near copies by similarity, for pipelines.
+
+#: Words of a shingle, least similarity, and BANDS fingerprints of BITS bits of which one must be nearly equal.
+NEAR_SHINGLE, SIMILARITY, BANDS, BITS = 5, 0.8, 12, 24
+#: Candidates' check words may differ in so many of their 64 bits; at a similarity of 0.8, 9.7 are expected, with a deviation of 2.9.
+CHECK_RADIUS = 20
+#: Members of one band value that emit its variants, where more than HEAVY share it, and members that are compared at once.
+PIVOTS, HEAVY, SHARE = 64, 128, 2048
+#: Buckets up to this size are compared in arrays over all buckets.
+SMALL = 8
+KNOWN = 500_000
+
+
+def shingles(text: str, known: dict[bytes, int]) -> np.ndarray:
+    """64-bit hashes of the text's distinct and repeated shingles of NEAR_SHINGLE words; all words together if there are fewer."""
+    from xxhash import xxh3_64_intdigest
+
+    found = text.encode("utf-8", "surrogatepass").lower().split()
+    if len(known) > KNOWN:
+        known.clear()
+    for word in set(found).difference(known):
+        known[word] = xxh3_64_intdigest(word)
+    h = np.fromiter(map(known.__getitem__, found), "u8", len(found))
+    size = min(NEAR_SHINGLE, len(h))
+    out = np.full(max(len(h) - size + 1, 0) if size else 0, len(h) if size < NEAR_SHINGLE else 0, "u8")
+    for k in range(size):
+        out = mixed_bits(out * np.uint64(31) + h[k : len(h) - size + 1 + k])
+    return out
+
+
+def mixed_bits(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+#: Bit i of a byte, in byte i of a number.
+SPREAD = np.unpackbits(np.arange(256, dtype="u1")[:, None], axis=1, bitorder="little").view("<u8")[:, 0]
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """BANDS * BITS + 64 bits: one is set if it is in over half of the values derived from the shingles' hashes."""
+    n_words = -(-BANDS * BITS // 64) + 1
+    seeds = (np.arange(1, n_words + 1, dtype="u8")) * np.uint64(0x9E3779B97F4A7C15)
+    total = np.zeros(64 * n_words, "i8")
+    for begin in range(0, len(hashes), 255 * 64):
+        part = mixed_bits(hashes[begin : begin + 255 * 64, None] + seeds)
+        data = np.zeros((-(-len(part) // 255) * 255, 8 * n_words), "u1")
+        data[: len(part)] = part.astype("<u8").view("u1").reshape(len(part), -1)
+        sums = SPREAD[data].reshape(-1, 255, 8 * n_words).sum(1)  # no byte of the sums can overflow
+        total += sums.astype("<u8").view("u1").reshape(len(sums), -1).sum(0, dtype="i8")
+    return np.packbits(2 * total > len(hashes), bitorder="little")
+
+
+def sketches(rows: DataFrame, row: str) -> DataFrame:
+    """(row, doc_id, set_key, bands, check) for each row; set_key is a digest of the text's set of shingles."""
+    from hashlib import blake2b
+
+    size = BANDS * BITS // 8
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        for batch in batches:
+            keys, made = [], []
+            for text in batch.column(2).to_pylist():
+                hashes = shingles(text, known)
+                keys.append(blake2b(np.unique(hashes).tobytes(), digest_size=16).digest())
+                made.append(sketch(hashes))
+            data = np.array(made, "u1").reshape(len(made), -1)
+            bands = np.zeros((len(made), BANDS, 4), "u1")
+            bands[:, :, : BITS // 8] = data[:, :size].reshape(len(made), BANDS, BITS // 8)
+            lists = pa.ListArray.from_arrays(np.arange(0, BANDS * len(made) + 1, BANDS, dtype="i4"), bands.view("<i4").ravel())
+            check = np.ascontiguousarray(data[:, -8:]).view("<i8").ravel()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, "binary"), lists, pa.array(check)], ["row", "doc_id", "set_key", "bands", "check"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select(row, "doc_id", text_or_empty().alias("text")).mapInArrow(run, f"row long, doc_id {kind}, set_key binary, bands array<int>, check long")
+
+
+def _bucketed(nodes: DataFrame) -> DataFrame:
+    """(bucket, node, check): band values meet in the buckets of their even variants within one bit, so that all within one bit do.
+
+    Where more than HEAVY nodes share a band value, PIVOTS of them (by a hash) emit its variants, and the others meet these
+    and one another in shares of about SHARE.
+    """
+    base = nodes.select("node", "check", F.posexplode("bands").alias("band", "value"))
+    heavy = materialize(base.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HEAVY), "heavy-bands")
+    marked = base.join(heavy, ["band", "value"], "left") if not heavy.isEmpty() else base.withColumn("n", F.lit(None).cast("long"))
+    pivot = F.pmod(F.xxhash64("node", "band"), F.ceil(F.col("n") / PIVOTS)) == 0
+    flips = F.array(*(F.lit(1 << i) for i in range(BITS)))
+    variants = F.when(F.bit_count("value") % 2 == 0, F.array("value")).otherwise(F.transform(flips, lambda b: F.col("value").bitwiseXOR(b)))
+    light = marked.filter(F.col("n").isNull() | pivot).select("band", F.explode(variants).alias("variant"), "node", "check").select(F.xxhash64("band", "variant").alias("bucket"), "node", "check")
+    shares = F.ceil(F.col("n") / SHARE)
+    share = F.when(pivot, F.sequence(F.lit(0).cast("long"), shares - 1)).otherwise(F.array(F.pmod(F.xxhash64("band", "node"), shares)))
+    crowd = marked.filter(F.col("n").isNotNull()).select("band", "value", F.explode(share).alias("share"), "node", "check").select(F.xxhash64("band", "value", "share").alias("bucket"), "node", "check")
+    return light.union(crowd)
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """(a, b): nodes of one bucket whose check words are near. Of large buckets, a spanning forest of these pairs."""
+    def pairs(key: np.ndarray, node: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        check = check.view("u8")  # of signed numbers, the bits of the absolute value would be counted
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+        sizes = np.diff(cuts)
+        small = np.repeat(sizes <= SMALL, sizes)
+        a, b = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
+        for k in range(1, SMALL):
+            near = np.flatnonzero((key[k:] == key[:-k]) & small[k:])
+            near = near[np.bitwise_count(check[near] ^ check[near + k]) <= CHECK_RADIUS]
+            a.append(node[near])
+            b.append(node[near + k])
+        for i in np.flatnonzero(sizes > SMALL):
+            x, y = _forest(check[cuts[i] : cuts[i + 1]])
+            a.append(node[cuts[i] + x])
+            b.append(node[cuts[i] + y])
+        return np.concatenate(a), np.concatenate(b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = [np.zeros(0, "i8")] * 3  # the last bucket of a batch may go on in the next
+        for batch in batches:
+            key, node, check = (np.concatenate([old, c.to_numpy()]) for old, c in zip(rest, batch.columns, strict=True))
+            if not len(key):
+                continue
+            whole = int(np.searchsorted(key, key[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs(key[:whole], node[:whole], check[:whole])], ["a", "b"])
+            rest = [x[whole:].copy() for x in (key, node, check)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs(*rest)], ["a", "b"])
+
+    found = _bucketed(nodes).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
+    return found.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _forest(check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs that connect the check words within CHECK_RADIUS bits, directly or through others."""
+    parent = np.arange(len(check))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    edges = []
+    for a in range(0, len(check), BLOCK):
+        for b in range(a, len(check), BLOCK):
+            x, y = np.nonzero(np.bitwise_count(check[a : a + BLOCK, None] ^ check[None, b : b + BLOCK]) <= CHECK_RADIUS)
+            ahead = (x + a) < (y + b)
+            for i, j in zip((x[ahead] + a).tolist(), (y[ahead] + b).tolist(), strict=True):
+                if (p := find(i)) != (q := find(j)):
+                    parent[max(p, q)] = min(p, q)
+                    edges.append((i, j))
+    x, y = np.array(edges, "i8").reshape(-1, 2).T
+    return x, y
+
+
+def similar(pairs: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of pairs (a, b, text_a, text_b) whose sets of shingles have at least this Jaccard similarity."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        for batch in batches:
+            keep, last = [], (None, None)
+            for i, (a, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b")), strict=True)):
+                if last[0] != a:
+                    last = a, np.unique(shingles(x, known))
+                other = np.unique(shingles(y, known))
+                both = len(np.intersect1d(last[1], other, assume_unique=True))
+                if both / max(1, len(last[1]) + len(other) - both) >= similarity:
+                    keep.append(i)
+            rows = pa.array(keep, "int64")
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], ["a", "b"])
+
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def near_groups(rows: DataFrame, row: str, similarity: float = SIMILARITY) -> DataFrame:
+    """(row, best): for each row (by its number in the column row) the row that stands for its group, that of the smallest doc_id."""
+    made = materialize(sketches(rows, row), "sketches")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+    nodes = made.groupBy("set_key").agg(best.alias("first"), F.min(F.struct("bands", "check")).alias("s"))
+    nodes = materialize(nodes.select("set_key", "first", "s.bands", "s.check", F.monotonically_increasing_id().alias("node")), "sketch-nodes")
+    edges = materialize(candidates(nodes), "candidates")
+    asked = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().join(nodes.select("node", F.col("first.row").alias("row")), "node")
+    asked = materialize(asked, "candidate-nodes")
+    texts = KeyFilter(asked, F.col("row")).maybe_in(rows.select(F.col(row).alias("row"), text_or_empty().alias("text")), F.col("row")).join(asked, "row").select("node", "text")
+    texts = materialize(texts, "candidate-texts", compression="zstd")
+    one, other = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+    linked = materialize(similar(edges.join(one, "a").join(other, "b"), similarity), "near-links")
+    known = nodes.join(components(linked).withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = known.groupBy("root").agg(F.min("first").alias("best"))
+    named = known.select("set_key", "root").join(roots, "root").select("set_key", F.col("best.row").alias("best"))
+    return made.select("row", "set_key").join(named, "set_key").select("row", "best")
+
+
+def near_deduplicate(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One row of docs for each group of near copies, that of the smallest doc_id, with all its columns.
+
+    Groups are connected by pairs whose sets of five-word shingles have a Jaccard similarity of at least similarity; every
+    link is verified on whole texts. Candidates come from SimHash fingerprints by ball hashing: of two texts of similarity
+    0.8, 0.9 or more meet in one of the BANDS; from 0.9 on nearly all do. Rows are told apart by their place, so ids may be
+    null (the last in the order of ids) or repeat; texts without words form one group.
+    """
+    rows, row = numbered(docs)
+    gone = near_groups(rows, row, similarity).filter("row != best").select(F.col("row").alias(row))
+    return without(rows, materialize(gone, "near-copies"), row).select(*docs.columns)

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from strandlake.llm import exact_dedup, repeats, simhash
+from strandlake.llm import decontaminate, exact_dedup, repeats, simhash
 
 WS = re.compile("[\x20\x09-\x0d]+")
 
@@ -128,7 +128,87 @@ def test_near_keeps_smallest(documents):
     df = documents([(9, text), (4, text), (None, text), (5, "other words here"), (None, "alone in the world")])
     kept = simhash.near_deduplicate(df)
     assert kept.columns == df.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["4", "5", "None", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["4", "5", "None"]  # the copy without id goes: one row of each group stays
+
+
+def test_near_loses_no_row(documents):
+    """Ids may repeat or be null: rows are told apart by their place."""
+    x, other = " ".join(f"w{i}" for i in range(80)), "another text " * 9 + "of its own"
+    kept = simhash.near_deduplicate(documents([(1, x), (2, x), (2, other), (1, x), (None, "clean text without an id")])).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted([("1", x), ("2", other), ("None", "clean text without an id")])
+
+
+def set_of(text):
+    words = re.sub("[A-Z]", lambda m: m[0].lower(), text).split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for i in rng.choice(len(words), n, replace=False):
+        words[i] = f"e{rng.integers(10**9)}"
+    return " ".join(words)
+
+
+def test_near_recall(documents):
+    """Pairs of all similarities from 0.6 on: at least nine in ten of those of 0.8 or more are found, and no other."""
+    rng = np.random.default_rng(5)
+    rows, want = [], {}
+    for i in range(400):
+        words = [f"w{x}" for x in rng.integers(0, 400, int(rng.integers(40, 300)))]
+        copy = edited(rng, words, max(1, int(rng.uniform(0, 0.09) * len(words))))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, copy)]
+        one, two = set_of(rows[-2][1]), set_of(copy)
+        want[2 * i + 1] = len(one & two) / len(one | two)
+    kept = {r["doc_id"] for r in simhash.near_deduplicate(documents(rows)).select("doc_id").collect()}
+    near = [i for i, j in want.items() if j >= 0.8]
+    assert len(near) > 100 and sum(i not in kept for i in near) >= 0.9 * len(near)
+    assert all(i in kept for i, j in want.items() if j < 0.8) and all(2 * i in kept for i in range(400))
+
+
+@pytest.mark.parametrize("heavy", [16, 1000])
+def test_near_crowded(documents, monkeypatch, heavy):
+    """Hundreds of near copies of one text, by shares around pivots and without."""
+    for name, value in {"HEAVY": heavy, "PIVOTS": 8, "SHARE": 32}.items():
+        monkeypatch.setattr(simhash, name, value)
+    rng = np.random.default_rng(6)
+    words = [f"w{x}" for x in rng.integers(0, 1000, 300)]
+    rows = [(i, edited(rng, words, 2)) for i in range(300)] + [(1000 + i, edited(rng, [f"x{x}" for x in rng.integers(0, 1000, 100)], 1)) for i in range(30)]
+    kept = {r["doc_id"] for r in simhash.near_deduplicate(documents(rows)).select("doc_id").collect()}
+    assert kept == {0, *(1000 + i for i in range(30))}
+
+
+def test_rows_without_ids(documents):
+    """A leaked row without id takes no other row without id with it."""
+    item = "how many of the twelve red apples did the old farmer sell before noon on market day"
+    bench = documents([]).sparkSession.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"see {item} here"), (None, "a clean row"), (3, "a clean row"), (3, item)]
+    kept = decontaminate.decontaminate(documents(rows), bench)
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == [("3", "a clean row"), ("None", "a clean row")]
+
+
+def test_clashing_helper_names(documents):
+    df = documents([(1, "a b"), (2, "a  b"), (3, "c")]).withColumns({n: F.lit(1) for n in ("_row", "_id", "_sha", "_gone", "_leaked", "row_id", "batch", "node")})
+    for kept in (exact_dedup.deduplicate(df), simhash.near_deduplicate(df)):
+        assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
+def test_index_takes_runs(documents):
+    """Any number of batches gives the same level."""
+    rows = [(i * 7 % 101, f"t{i % 23}") for i in range(101)]
+    df = documents(rows).repartition(7)
+    for batches in (1, 3):
+        found = exact_dedup.DigestIndex(df, batches=batches).resolve()
+        check_exact(found, rows)
+
+
+def test_hot_cores(documents):
+    """Cores with many phrases, split down to single strings, remove the same bytes."""
+    rng = np.random.default_rng(7)
+    shared = bytes(rng.integers(97, 123, 450, dtype="u1")).decode()
+    rows = [(i, bytes(rng.integers(97, 123, 150, dtype="u1")).decode() + shared[: 405 + i % 45] + bytes(rng.integers(97, 123, 150, dtype="u1")).decode()) for i in range(25)]
+    one, two = (sorted(map(tuple, repeats.remove_repeats(documents(rows), hot=hot).collect())) for hot in (50_000, 3))
+    assert one == two == sorted(repeats_brute(rows))
 
 
 def repeats_brute(rows, length=400):
