@@ -38,7 +38,7 @@ CHUNK, SLICE = 32 << 20, 1 << 20
 #: Hash groups of words and grams. A group's distinct grams fit a task's memory up to some 10**10 of all groups.
 GROUPS = 2048
 #: Grams of whole subtrees that are weighed at once.
-AT_ONCE = 500_000
+AT_ONCE = 120_000
 
 
 def words(text: str) -> list[bytes]:
