@@ -89,14 +89,21 @@ def projected(reference: pd.Series, query: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="object")
 
 
+def _letters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
 @F.pandas_udf(T.StructType([T.StructField("first", T.StringType()), T.StructField("last", T.StringType())]))
 def covered_span(master: pd.Series, query: pd.Series) -> pd.DataFrame:
-    """First and last position of the master that the query covers, 'NA' if none."""
+    """First and last position of the master that the query covers, 'NA' if none. Master columns behind the query's end are not covered."""
     rows = []
     for ref, seq in zip(master, query, strict=True):
-        columns = [i for i, base in enumerate(ref) if base != "-"]
-        hit = [n for n, i in enumerate(columns, 1) if seq[i] != "-"]
-        rows.append((str(hit[0]), str(hit[-1])) if hit else ("NA", "NA"))
+        if ref is None or seq is None:
+            rows.append((None, None))
+            continue
+        columns, letters = np.flatnonzero(_letters(ref) != ord("-")), _letters(seq)
+        hit = np.flatnonzero(letters[columns[columns < len(letters)]] != ord("-")) + 1
+        rows.append((str(hit[0]), str(hit[-1])) if len(hit) else ("NA", "NA"))
     return pd.DataFrame(rows, columns=["first", "last"])
 
 
@@ -110,9 +117,9 @@ def coverage(master: pd.Series, query: pd.Series, start: pd.Series, end: pd.Seri
         except (TypeError, ValueError):
             out.append("NA")
             continue
-        columns = [i for i, base in enumerate(ref) if base != "-"][max(low - 1, 0) : max(high, 0)]
-        known = sum(1 for i in columns if i < len(seq) and seq[i] not in "-Nn")
-        out.append(f"{known / len(columns) * 100:.2f}" if columns else "NA")
+        columns, letters = np.flatnonzero(_letters(ref) != ord("-"))[max(low - 1, 0) : max(high, 0)], _letters(seq)
+        known = np.isin(letters[columns[columns < len(letters)]], [ord(x) for x in "-Nn"], invert=True).sum()
+        out.append(f"{known / len(columns) * 100:.2f}" if len(columns) else "NA")
     return pd.Series(out, dtype="object")
 
 

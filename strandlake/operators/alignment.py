@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.functions.sequence import coverage, covered_span, gap_ranges, projected, reverse_complement
+from strandlake.functions.sequence import cds_coordinates, coverage, covered_span, gap_ranges, projected, reverse_complement
 from strandlake.functions.text import without_version
 from strandlake.operators.ranking import keep_one
 
@@ -46,15 +46,16 @@ def overlaps(ranges: DataFrame, features: DataFrame, bin_width: int = 1000) -> D
     """ranges (…, start, end) with the features (feature_start, feature_end, product) that they meet, clipped to aln_start and aln_end.
 
     A small feature table is broadcast; a longer one meets the ranges in bins of bin_width, each pair in the bin of its first
-    common position, so that no pair is compared in more than the bins it spans or found twice.
+    common position, so that no pair is compared in more than the bins it spans or found twice. One rule holds for both, and for
+    ranges whose start lies behind their end too: these meet what covers them whole, and stand in the bin of their start.
     """
     meets = (F.col("end") >= F.col("feature_start")) & (F.col("start") <= F.col("feature_end"))
     clipped = {"aln_start": F.greatest("start", "feature_start"), "aln_end": F.least("end", "feature_end")}
     if features.limit(SMALL_FEATURES + 1).count() <= SMALL_FEATURES:
         return ranges.join(F.broadcast(features), meets).withColumns(clipped)
-    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bin_width), F.floor(F.col(b) / bin_width)))
-    left = ranges.filter("start <= end").withColumn("_bin", bins("start", "end"))
-    right = features.filter("feature_start <= feature_end").withColumn("_bin", bins("feature_start", "feature_end"))
+    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bin_width), F.floor(F.greatest(a, b) / bin_width)))
+    left = ranges.filter("start IS NOT NULL AND end IS NOT NULL").withColumn("_bin", bins("start", "end"))
+    right = features.filter("feature_start IS NOT NULL AND feature_end IS NOT NULL").withColumn("_bin", bins("feature_start", "feature_end"))
     return left.join(right, "_bin").filter(meets).withColumns(clipped).filter(F.floor(F.col("aln_start") / bin_width) == F.col("_bin")).drop("_bin")
 
 
@@ -77,25 +78,43 @@ def covered_ranges(alignment: DataFrame) -> DataFrame:
 
 
 def feature_table(alignment: DataFrame, master: str, features: DataFrame, best: DataFrame) -> DataFrame:
-    """Feature coordinates and coverage of every sequence of one alignment; rows without a product have 'NA'.
+    """Feature coordinates and coverage of every sequence of one alignment; rows without a range or a product have 'NA'.
 
     alignment: header, sequence; features: feature_start, feature_end, product, in master positions; best: query, reference.
+    Features are moved by the gaps of each sequence (cds_start, cds_end); a moved range gets a row for each feature that it meets,
+    with the coverage of that feature's master columns. aln_start and aln_end are the master positions that the sequence covers.
     """
-    row = alignment.filter(without_version(F.col("header")) == master.split(".")[0]).select("sequence").limit(1).collect()
+    row = alignment.filter(F.col("header").startswith(master)).orderBy(F.col("header") != master, "header").select("sequence").limit(1).collect()
     if not row:
         raise ValueError(f"the alignment has no row of the master {master}")
-    with_master = alignment.withColumn("_master", F.lit(row[0]["sequence"]))
-    span = covered_span(F.col("_master"), F.col("sequence"))
-    spans = with_master.withColumn("_s", span).withColumns({"start": F.col("_s.first").try_cast("int"), "end": F.col("_s.last").try_cast("int")}).drop("_s")
-    met = overlaps(spans.filter("start IS NOT NULL"), features)
+    listed = features.filter("feature_start IS NOT NULL AND feature_end IS NOT NULL")
+    ranges = listed.agg(F.array_distinct(F.collect_list(F.struct(F.col("feature_start").alias("start"), F.col("feature_end").alias("end")))).alias("_ranges")).withColumn("_master", F.lit(row[0]["sequence"]))
+    rows = alignment.withColumn("_master", F.lit(row[0]["sequence"])).join(ranges, "_master")  # the ranges of one annotation, in one row
+    rows = rows.withColumns({"_span": covered_span(F.col("_master"), F.col("sequence")), "_moved": cds_coordinates(gap_ranges(F.col("sequence")), F.col("_ranges"))}).drop("_ranges")
+    moved = rows.select("*", F.explode_outer("_moved").alias("_cds")).select("header", "sequence", "_master", "_span", F.col("_cds.start").alias("start"), F.col("_cds.end").alias("end"))
+    met = overlaps(moved.filter("start IS NOT NULL"), listed)
     met = met.withColumn("genome_coverage", coverage(F.col("_master"), F.col("sequence"), F.col("feature_start").cast("string"), F.col("feature_end").cast("string")))
-    keys = ["header", "aln_start", "aln_end", "feature_start", "feature_end", "product", "genome_coverage"]
-    bare = spans.join(met.select("header").distinct(), "header", "left_anti").select("header", F.col("start").alias("aln_start"), F.col("end").alias("aln_end"), *(F.lit(None).alias(c) for c in keys[3:]))
-    out = met.select(*keys).unionByName(bare)
+    keys = ["header", "start", "end"]
+    none = lambda c: F.lit(None).cast("string").alias(c)
+    found = met.select(*keys, "_span", *(F.col(c).cast("string").alias(c) for c in ("product", "genome_coverage")))
+    there = met.select(*(F.col(c).alias(f"_{c}") for c in keys)).distinct()
+    bare = moved.join(there, F.col("header").eqNullSafe(F.col("_header")) & (F.col("start") == F.col("_start")) & (F.col("end") == F.col("_end")), "left_anti")
+    out = found.unionByName(bare.select("header", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), "_span", none("product"), none("genome_coverage")))
     hit = best.select(F.col("query").alias("_q"), F.col("reference").alias("_r"))
-    out = out.join(hit, without_version(F.col("header")) == without_version(F.col("_q")), "left")
+    out = out.join(hit, F.col("header") == F.col("_q"), "left")
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("NA"))
-    return out.select(F.col("header").alias("accession"), F.lit(master).alias("master_ref_accession"), F.coalesce("_r", F.lit(master)).alias("reference_accession"), text("aln_start").alias("aln_start"), text("aln_end").alias("aln_end"), text("feature_start").alias("cds_start"), text("feature_end").alias("cds_end"), text("product").alias("product"), text("genome_coverage").alias("genome_coverage")).distinct()
+    return out.select(F.col("header").alias("accession"), F.lit(master).alias("master_ref_accession"), F.coalesce("_r", F.lit(master)).alias("reference_accession"), text("_span.first").alias("aln_start"), text("_span.last").alias("aln_end"), text("start").alias("cds_start"), text("end").alias("cds_end"), text("product").alias("product"), text("genome_coverage").alias("genome_coverage")).distinct()
+
+
+def new_accessions(matrix: DataFrame, queries: DataFrame, references: DataFrame) -> DataFrame:
+    """Rows of matrix (primary_accession, ...) that neither queries (header) nor references (header) hold yet."""
+    held = queries.select("header").union(references.select("header")).distinct()
+    return matrix.join(held, F.col("primary_accession") == F.col("header"), "left_anti")
+
+
+def sequences_of(wanted: DataFrame, sequences: DataFrame) -> DataFrame:
+    """(header, sequence) of the accessions wanted (accession); what is not there is left out."""
+    return sequences.select("header", "sequence").join(wanted.select(F.col("accession").alias("_a")).distinct(), F.col("header") == F.col("_a"), "left_semi")
 
 
 def alignment_rows(alignment: DataFrame, best: DataFrame, insertions: DataFrame) -> DataFrame:

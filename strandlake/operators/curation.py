@@ -92,18 +92,24 @@ def validate_matrix(df: DataFrame, countries: DataFrame, country_map: DataFrame,
     return out.drop("_country_note", "_host_note")
 
 
-def overlay(matrix: DataFrame, curated: DataFrame, key: str = "primary_accession", order: str = "ord") -> DataFrame:
+def overlay(matrix: DataFrame, curated: DataFrame, key: str = "primary_accession", order: str = "ord", matrix_order: str | None = None) -> DataFrame:
     """Curated values over the matrix, with a change log in comment.
 
     curated rows of a key apply by order, each on what the ones before it left. A value that is not blank and differs is set;
     only then comment (curator items out, the curated comment and "col: 'old' -> 'new'" in) and curator change. Columns that the
-    matrix lacks are ignored; of matrix rows with one key all are targets. The rows of a key are folded inside one row's array.
+    matrix lacks are ignored. The first matrix row of a key by matrix_order is the target; without an order, which needs unique keys,
+    all of its rows are. The rows of a key are folded inside one row's array.
     """
     columns = [c for c in curated.columns if c in matrix.columns and c not in (key, "comment", "curator", order)]
     has = lambda c: c in curated.columns and c in matrix.columns
     noted = [c for c in ("comment", "curator") if c in curated.columns]
     edits = curated.groupBy(F.trim(key).alias("_k")).agg(F.transform(F.sort_array(F.collect_list(F.struct(order, F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns + noted)).alias("e")))), lambda x: x["e"]).alias("_edits"))
-    joined = matrix.join(edits, F.trim(key) == F.col("_k"), "left")
+    target = F.trim(key) == F.col("_k")
+    if matrix_order:
+        first = matrix.groupBy(F.trim(key).alias("_f")).agg(F.min(matrix_order).alias("_first"))
+        edits = edits.join(first, F.col("_k") == F.col("_f")).drop("_f")
+        target = target & (F.col(matrix_order) == F.col("_first"))
+    joined = matrix.join(edits, target, "left")
     state = F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns), (F.coalesce("comment", F.lit("")) if "comment" in matrix.columns else F.lit("")).alias("comment"), (F.coalesce("curator", F.lit("")) if has("curator") else F.lit("")).alias("curator"), F.lit(False).alias("changed"))
 
     def apply(row: Column, edit: Column) -> Column:

@@ -92,6 +92,16 @@ def _excluded_for(df: DataFrame, reason: Column) -> DataFrame:
     return df.withColumns({"exclusion_criteria": F.when(reason.isNull(), F.col("exclusion_criteria")).otherwise(appended_reason(F.col("exclusion_criteria"), reason)), "exclusion_status": F.when(reason.isNull(), F.col("exclusion_status")).otherwise("1")})
 
 
+# The columns of the report of rows that failed validation.
+FAILED_COLUMNS = ["primary_accession", "collection_date_validated", "host_validated", "country_validated", "host", "host_scientific_name", "country", "collection_date"]
+
+
+def failed_report(df: DataFrame) -> DataFrame:
+    """The report of rows that failed validation: FAILED_COLUMNS, empty where df lacks one."""
+    failed = failed_validation(df)
+    return failed.select(*(F.col(c) if c in df.columns else F.lit("").alias(c) for c in FAILED_COLUMNS))
+
+
 def drop_filtered(df: DataFrame, filtered: DataFrame, key: str = "primary_accession", kind: str = "accession_type") -> DataFrame:
     """Rows not among filtered (seq_name); references and masters always stay."""
     gone = filtered.select(F.col("seq_name").alias("_gone")).distinct()

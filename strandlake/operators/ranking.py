@@ -18,8 +18,8 @@ def keep_one(df: DataFrame, keys: list[str], order: str | Column, last: bool = F
 
 
 def best_hit(hits: DataFrame, key: str = "query", score: str = "identity", order: str = "ord") -> DataFrame:
-    """The hit of the highest score of each query; of equal scores the first one."""
-    return keep_one(hits, [key], F.struct((-F.col(score)).alias("s"), F.col(order).alias("o")))
+    """The hit of the highest score of each query; of equal scores the first one. A hit without a score counts after all others."""
+    return keep_one(hits, [key], F.struct(F.col(score).isNull().alias("n"), (-F.col(score)).alias("s"), F.col(order).alias("o")))
 
 
 def keep_last_record(df: DataFrame, key: str = "primary_accession", order: str = "ord") -> DataFrame:
@@ -31,6 +31,11 @@ def first_of_content(df: DataFrame, content: str = "sequence", order: str = "ord
     return keep_one(df.withColumn("_digest", F.sha2(content, 256)), ["_digest"], order).drop("_digest")
 
 
+def first_before_bar(sequences: DataFrame, order: str = "ord") -> DataFrame:
+    """The first row of each accession, which is the part of the header before a bar."""
+    return keep_one(sequences.withColumn("_accession", F.substring_index("header", "|", 1)), ["_accession"], order).drop("_accession")
+
+
 def alternatives(placements: DataFrame, key: Column, weight: Column, name: Column, order: str = "ord") -> DataFrame:
     """(key, best, names, weights): the best name and all names and weights by falling weight, joined by ';'; unreadable weights count as -1, empty names as NULL."""
     number = F.coalesce(F.trim(weight).try_cast("double"), F.lit(-1.0))

@@ -22,18 +22,20 @@ def ancestors(wanted: DataFrame, nodes: DataFrame, levels: int = 100) -> DataFra
 
     The recursion starts from the wanted ids alone and carries the ids on the way, so it ends on cyclic data too.
     """
-    spark = wanted.sparkSession
-    view = f"nodes_{abs(hash((id(wanted), id(nodes))))}"
-    nodes.select(F.col("tax_id").cast("bigint").alias("tax_id"), F.col("parent_tax_id").cast("bigint").alias("parent_tax_id")).createOrReplaceTempView(view)
-    wanted.select(F.col("tax_id").cast("bigint").alias("tax_id")).createOrReplaceTempView(f"{view}_wanted")
-    return spark.sql(f"""
-        WITH RECURSIVE walk(tax_id, ancestor, depth, way) MAX RECURSION LEVEL {levels} AS (
-          SELECT tax_id, tax_id, 0, array(tax_id) FROM {view}_wanted
+    up = nodes.select(F.col("tax_id").cast("bigint").alias("tax_id"), F.col("parent_tax_id").cast("bigint").alias("parent_tax_id"))
+    start = wanted.select(F.col("tax_id").cast("bigint").alias("tax_id"))
+    return wanted.sparkSession.sql(
+        f"""
+        WITH RECURSIVE walk(tax_id, ancestor, depth, way) MAX RECURSION LEVEL {int(levels)} AS (
+          SELECT tax_id, tax_id, 0, array(tax_id) FROM {{start}}
           UNION ALL
           SELECT w.tax_id, n.parent_tax_id, w.depth + 1, array_append(w.way, n.parent_tax_id)
-          FROM walk w JOIN {view} n ON n.tax_id = w.ancestor
+          FROM walk w JOIN {{up}} n ON n.tax_id = w.ancestor
           WHERE n.parent_tax_id IS NOT NULL AND NOT array_contains(w.way, n.parent_tax_id))
-        SELECT tax_id, ancestor, depth FROM walk LIMIT ALL""")  # LIMIT ALL lifts the recursion's limit of a million rows
+        SELECT tax_id, ancestor, depth FROM walk LIMIT ALL""",  # LIMIT ALL lifts the recursion's limit of a million rows
+        start=start,
+        up=up,
+    )
 
 
 def scientific_names(names: DataFrame) -> DataFrame:

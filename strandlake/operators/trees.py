@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -90,31 +91,46 @@ def leaves(trees: DataFrame, newick: str = "newick") -> DataFrame:
     return trees.mapInPandas(run, schema)
 
 
-def splits(root: Node, taxa: set[str], canonical_halves: bool = False) -> set[frozenset[str]]:
-    """Bipartitions of taxa by the branches of a tree, each as its smaller side, with two taxa or more on either side.
+def splits(root: Node, taxa: set[str], canonical_halves: bool = False) -> set[int]:
+    """Bipartitions of taxa by the branches of a tree, with two taxa or more on either side: each as the sum of its smaller side's leaf hashes.
 
-    Of two halves the side below the branch stands for the split, so one split may count twice; canonical_halves takes the side
-    with the first name instead.
+    Sums of 128-bit hashes stand for sets, so that a branch costs the same however many taxa are below it. Of two halves the side
+    below the branch stands for the split, so one split may count twice; canonical_halves takes the side with the first name instead.
+    A name counts once, where it stands first.
     """
+    whole = sum(map(leaf_hash, taxa)) & MASK
+    least = min(taxa, default="")
     order, todo = [], [root]
     while todo:
         node = todo.pop()
         order.append(node)
-        todo += node.children
-    below: dict[int, frozenset[str]] = {}
+        todo += reversed(node.children)
+    open_taxa = set(taxa)
+    own = {}
+    for node in order:
+        if not node.children and node.name in open_taxa:
+            open_taxa.discard(node.name)
+            own[id(node)] = 1, leaf_hash(node.name), node.name == least
+    below: dict[int, tuple[int, int, bool]] = {}
     found = set()
     for node in reversed(order):
-        side = frozenset().union(*(below[id(c)] for c in node.children)) if node.children else frozenset({node.name} & taxa)
-        below[id(node)] = side
-        other = len(taxa) - len(side)
-        if node is root or len(side) < 2 or other < 2:
+        sides = [below.pop(id(c)) for c in node.children]
+        n, total, first = below[id(node)] = (sum(x[0] for x in sides), sum(x[1] for x in sides) & MASK, any(x[2] for x in sides)) if sides else own.get(id(node), (0, 0, False))
+        other = len(taxa) - n
+        if node is root or n < 2 or other < 2:
             continue
-        rest = frozenset(taxa - side)
-        take_rest = len(side) > other or (canonical_halves and len(side) == other and min(rest) < min(side))
-        found.add(rest if take_rest else side)
+        take_rest = n > other or (canonical_halves and n == other and not first)
+        found.add((whole - total) & MASK if take_rest else total)
     return found
 
 
+MASK = (1 << 128) - 1
+
+
+def leaf_hash(name: str) -> int:
+    return int.from_bytes(blake2b(name.encode("utf-8", "surrogatepass"), digest_size=16).digest(), "little")
+
+
 def distance(a: str, b: str, canonical_halves: bool = False) -> dict[str, float]:
     """Robinson-Foulds distance over the taxa that two trees share; zeros if they share fewer than four."""
     one, two = parse(a), parse(b)
@@ -167,6 +183,11 @@ def check_centroids(tree_leaves: DataFrame, clusters: DataFrame) -> DataFrame:
     return clusters.select(F.col("representative").alias("id")).distinct().join(tree_leaves.select(F.col("leaf").alias("id")), "id", "left_anti")
 
 
+def segment_count(metadata: DataFrame, column: str = "segment") -> DataFrame:
+    """(segments): the number of distinct segments that are not blank."""
+    return metadata.agg(F.count_distinct(F.when(F.trim(column) != "", F.col(column))).alias("segments"))
+
+
 def segment_completeness(metadata: DataFrame, tree_leaves: DataFrame) -> DataFrame:
     """(segment, accessions, in_tree, missing) by segment."""
     held = tree_leaves.select(F.col("leaf").alias("primary_accession")).distinct().withColumn("_in", F.lit(True))

@@ -89,6 +89,15 @@ def masters(references: DataFrame, drop_excluded: bool = False) -> DataFrame:
     return named.select("accession").distinct()
 
 
+def master_list(spark: SparkSession, given: str, drop_excluded: bool = False) -> DataFrame:
+    """(accession) of masters given as a reference list's path or as a list with commas."""
+    if "," not in given:
+        path = spark._jvm.org.apache.hadoop.fs.Path(given)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return masters(reference_list(spark, given), drop_excluded)
+    return spark.createDataFrame([(x.strip(),) for x in given.split(",") if x.strip()], "accession string").distinct()
+
+
 def master_segments(references: DataFrame) -> DataFrame:
     return references.filter("kind = 'master' AND segment IS NOT NULL").select("accession", "segment")
 
@@ -172,9 +181,8 @@ def placements(spark: SparkSession, path: str) -> DataFrame:
 
 def mapping(spark: SparkSession, path: str) -> DataFrame:
     """(original, replacement) of a table whose header is skipped; a row without exactly two fields fails; the last of equal originals counts."""
-    rows = lines(spark, path).filter("ord.line % (1L << 33) > 0 AND value != ''").withColumn("p", F.split("value", "\t"))
-    wrong = F.raise_error(F.concat(F.lit("mapping row without two fields: "), F.col("value")))
-    rows = rows.select(F.when(F.size("p") == 2, F.trim(F.col("p")[0])).otherwise(wrong).alias("original"), F.trim(F.col("p")[1]).alias("replacement"), "ord")
+    rows = in_order(spark.read.csv(path, sep="\t", header=True, quote="", mode="FAILFAST", schema="original string, replacement string"))  # the reader skips each file's header
+    rows = rows.select(F.trim("original").alias("original"), F.trim("replacement").alias("replacement"), "ord")
     return _pick(rows, "original", last=True).drop("ord")
 
 
@@ -194,15 +202,32 @@ def submission_metadata(spark: SparkSession, path: str, required: list[str]) ->
 
 
 def sqlite_table(spark: SparkSession, path: str, name: str, chunk: int = 50_000) -> DataFrame:
-    """A table of an old single-file store, read once to be kept as Parquet; every column is text."""
+    """A table of an old single-file store; every column is text. The file goes to the executors, where tasks read ranges of rows."""
+    import os
     import sqlite3
 
+    import pyarrow as pa
+    from pyspark import SparkFiles
+
     with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as store:
         columns = [row[1] for row in store.execute(f'PRAGMA table_info("{name}")')]
         if not columns:
             raise ValueError(f"no table {name} in {path}")
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        found, cursor = spark.createDataFrame([], schema), store.execute(f'SELECT * FROM "{name}"')
-        while rows := cursor.fetchmany(chunk):
-            found = found.union(spark.createDataFrame([tuple(None if v is None else str(v) for v in row) for row in rows], schema))
-    return found
+        try:
+            first, last = store.execute(f'SELECT min(rowid), max(rowid) FROM "{name}"').fetchone()
+        except sqlite3.OperationalError:  # a table without row ids is read as one range
+            first, last = None, None
+        by_range = first is not None
+    spark.sparkContext.addFile(path)
+    file = os.path.basename(path)
+    tasks = (last - first) // chunk + 1 if by_range else 1
+
+    def run(batches):
+        with sqlite3.connect(f"file:{SparkFiles.get(file)}?mode=ro", uri=True) as store:
+            for batch in batches:
+                for k in batch.column(0).to_pylist():
+                    found = store.execute(f'SELECT * FROM "{name}" WHERE rowid BETWEEN ? AND ?', (first + k * chunk, first + (k + 1) * chunk - 1)) if by_range else store.execute(f'SELECT * FROM "{name}"')
+                    while rows := found.fetchmany(10_000):
+                        yield pa.RecordBatch.from_arrays([pa.array([None if v is None else str(v) for v in column], "string") for column in zip(*rows, strict=True)], columns)
+
+    return spark.range(0, tasks, 1, tasks).mapInArrow(run, T.StructType([T.StructField(c, T.StringType()) for c in columns]))

@@ -14,6 +14,39 @@ def rows(df, *columns):
     return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=str)
 
 
+def test_hits_without_score_come_last(spark):
+    hits = spark.createDataFrame([("q", "none", None, 1), ("q", "rB", 99.0, 2), ("only", "rC", None, 3)], "query string, reference string, identity double, ord int")
+    assert rows(ranking.best_hit(hits), "query", "reference") == [("only", "rC"), ("q", "rB")]
+
+
+def test_small_lookups(spark):
+    table = lambda schema, *data: spark.createDataFrame(data, schema)
+    sequences = table("header string, sequence string, ord int", ("a|x", "AC", 1), ("a|y", "GG", 2), ("b", "TT", 3))
+    assert rows(ranking.first_before_bar(sequences), "header") == [("a|x",), ("b",)]
+    matrix = table("primary_accession string", ("a|x",), ("c",), ("b",))
+    assert rows(alignment.new_accessions(matrix, sequences.filter("ord < 3"), sequences.filter("ord = 3"))) == [("c",)]
+    assert rows(alignment.sequences_of(table("accession string", ("b",), ("b",), ("zz",)), sequences)) == [("b", "TT")]
+    assert rows(trees.segment_count(table("segment string", ("1",), ("2",), ("2",), (" ",), (None,)))) == [(2,)]
+    failed = quality.failed_report(table("primary_accession string, collection_date_validated string, host_validated string, country_validated string, exclusion_status string", ("a", "NA", "Yes", "4", "0"), ("b", "Yes", "Yes", "4", "0")))
+    assert failed.columns == quality.FAILED_COLUMNS and rows(failed, "primary_accession", "host") == [("a", "")]
+
+
+def test_store_appends_parts(spark, tmp_path):
+    """Appends leave earlier files as they are, keep new columns and old versions, and one of two writers fails."""
+    store = merge.TableStore(spark, f"file://{tmp_path}/store")
+    files = lambda: {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    store.append("t", spark.createDataFrame([("a", 1)], "k string, n int"))
+    for more in (spark.createDataFrame([("b", 2, "x")], "k string, n int, note string"), spark.createDataFrame([("c", "3")], "k string, n string"), spark.createDataFrame([("d",)], "k string")):
+        before = files()
+        store.append("t", more)
+        assert before.items() <= files().items()
+    assert rows(store.read("t"), "k", "n", "note") == [("a", 1, None), ("b", 2, "x"), ("c", 3, None), ("d", None, None)]
+    assert [store.read("t", v).count() for v in (1, 2, 3, 4)] == [1, 2, 3, 4]
+    store._versions = lambda name: [1]  # a writer that has not seen the later versions
+    with pytest.raises(Exception, match="already exists|FileAlreadyExists"):
+        store.replace("t", more)
+
+
 @pytest.mark.parametrize("partitions", [1, 5])
 def test_best_hit_first_wins(spark, partitions):
     hits = spark.createDataFrame([("q1", "rA", 90.0, 1), ("q1", "rB", 95.0, 2), ("q1", "rC", 95.0, 3), ("q2", "rA", 80.0, 4)], "query string, reference string, identity double, ord int").repartition(partitions)
@@ -100,6 +133,8 @@ def test_overlay(spark):
     assert rows(curation.overlay(matrix, curated.filter("ord = 1"))) == [("p", "Y", "fix; country: 'X' -> 'Y'", "ann"), ("q", "Z", "curator: me; note", "")]
     assert rows(curation.overlay(matrix, curated)) == [("p", "W", "fix; country: 'X' -> 'Y'; country: 'Y' -> 'W'", "ann"), ("q", "Z", "curator: me; note", "")]
     assert rows(curation.overlay_report(matrix, curated)) == [(3, 1)]
+    twice = matrix.withColumn("n", F.lit(1)).union(matrix.withColumn("n", F.lit(2)))
+    assert rows(curation.overlay(twice, curated.filter("ord = 1"), matrix_order="n"), "primary_accession", "country", "n") == [("p", "X", 2), ("p", "Y", 1), ("q", "Z", 1), ("q", "Z", 2)]
 
 
 def test_hosts(spark):
@@ -121,9 +156,9 @@ def test_validate_matrix(spark):
 
 
 def test_overlap_both_ways(spark, monkeypatch):
-    ranges = spark.createDataFrame([(1, 5, 20), (2, 900, 2500)], "id int, start int, end int")
-    features = spark.createDataFrame([(10, 30, "one"), (25, 40, "two"), (1000, 3000, "long")], "feature_start int, feature_end int, product string")
-    want = [(1, "one", 10, 20), (2, "long", 1000, 2500)]
+    ranges = spark.createDataFrame([(1, 5, 20), (2, 900, 2500), (3, 2400, 1500), (4, 29, 9), (5, None, 3)], "id int, start int, end int")
+    features = spark.createDataFrame([(10, 30, "one"), (25, 40, "two"), (1000, 3000, "long"), (2000, 1200, "back")], "feature_start int, feature_end int, product string")
+    want = [(1, "one", 10, 20), (2, "back", 2000, 1200), (2, "long", 1000, 2500), (3, "long", 2400, 1500)]
     cols = ["id", "product", "aln_start", "aln_end"]
     assert rows(alignment.overlaps(ranges, features), *cols) == want
     monkeypatch.setattr(alignment, "SMALL_FEATURES", 1)
@@ -137,9 +172,17 @@ def test_alignment_tables(spark):
     assert rows(merged, "header", "sequence") == [("q1", "T-TT-T"), ("r1.1", "A-CG-T")]
     assert rows(alignment.orphans(queries, refs)) == [("q2", "zz")]
     best = spark.createDataFrame([("q1", "r1")], "query string, reference string")
-    features = spark.createDataFrame([(1, 2, "p")], "feature_start int, feature_end int, product string")
+    # The gaps at 2 and 5 move 1..4 to 1..3, which meets both features, and 1..2 to 1..1, which drops out.
+    features = spark.createDataFrame([(1, 4, "p"), (1, 2, "q")], "feature_start int, feature_end int, product string")
     table = alignment.feature_table(merged.select("header", "sequence"), "r1.1", features, best)
-    assert rows(table, "accession", "reference_accession", "aln_start", "aln_end", "product", "genome_coverage") == [("q1", "r1", "1", "2", "p", "100.00"), ("r1.1", "r1.1", "1", "2", "p", "100.00")]
+    shown = ["accession", "reference_accession", "aln_start", "aln_end", "cds_start", "cds_end", "product", "genome_coverage"]
+    assert rows(table, *shown) == [(a, r, "1", "4", "1", "3", x, "100.00") for a, r in (("q1", "r1"), ("r1.1", "r1.1")) for x in "pq"]
+    bare = alignment.feature_table(merged.select("header", "sequence"), "r1", features.filter("product = 'q'"), best)
+    assert rows(bare, *shown) == [("q1", "r1", "1", "4", *["NA"] * 4), ("r1.1", "r1", "1", "4", *["NA"] * 4)]
+    short = spark.createDataFrame([("m", "AC-GT"), ("q", "--AG-"), ("n", "-----")], "header string, sequence string")
+    table = alignment.feature_table(short, "m", spark.createDataFrame([(1, 4, "whole"), (5, 9, "beyond")], features.schema), best)
+    assert ("q", "m", "3", "3", "2", "4", "whole", "25.00") in rows(table, *shown)  # the gap in front moves 1..4 to 2..4
+    assert [r for r in rows(table, *shown) if r[0] == "n"] == [("n", "m", "NA", "NA", "5", "9", "beyond", "NA")]
     assert rows(alignment.covered_ranges(refs)) == [("r1.1", 1, 1), ("r1.1", 3, 4), ("r1.1", 6, 6)]
 
 
@@ -168,7 +211,7 @@ def test_trees(spark):
         trees.within_limits(trees.distance(one, two), most=1)
     deep = "(" * 5000 + "a" + ",b)" * 5000 + ";"
     assert len(trees.parse(deep).leaves()) == 5001
-    assert trees.splits(trees.parse("((a,b),(c,d));"), set("abcd"), canonical_halves=True) == {frozenset("ab")}
+    assert trees.splits(trees.parse("((a,b),(c,d));"), set("abcd"), canonical_halves=True) == {(trees.leaf_hash("a") + trees.leaf_hash("b")) & trees.MASK}
 
 
 def test_validation(spark):

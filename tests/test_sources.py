@@ -47,11 +47,32 @@ def test_lists(spark, tmp_path):
     assert rows(readers.segmented_reference_list(spark, put(tmp_path / "s.tsv", "A\tmaster\nB|x\nC\nA\treference\n"))) == [("A", "reference"), ("B", "reference"), ("C", "reference")]
     assert rows(readers.id_set(spark, put(tmp_path / "i.txt", " x \n\nx\ny1\n"))) == [("x",), ("y1",)]
     assert rows(readers.mapping(spark, put(tmp_path / "map.tsv", "old\tnew\na\tb1\na\tc\n"))) == [("a", "c")]
-    with pytest.raises(Exception, match="without two fields"):
+    with pytest.raises(Exception, match="MALFORMED"):
         readers.mapping(spark, put(tmp_path / "bad.tsv", "old\tnew\na\n")).collect()
     assert rows(readers.serotype_mapping(spark, put(tmp_path / "sero.tsv", "raw_value\tcurated\n#x\ty\nA\tH1\nb\n"))) == [("A", "H1")]
 
 
+def test_mapping_of_many_parts(spark, tmp_path):
+    """Only each file's header is skipped, however many partitions there are."""
+    folder = tmp_path / "maps"
+    folder.mkdir()
+    for k in range(3):
+        (folder / f"m{k}.tsv").write_text("original\treplacement\n" + "".join(f"k{k}_{i}\tv{i}\n" for i in range(20_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        assert readers.mapping(spark, str(folder)).count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_master_list(spark, tmp_path):
+    (tmp_path / "refs.tsv").write_text("M1\tmaster\nR1\treference\n")
+    assert sorted(r[0] for r in readers.master_list(spark, "A, B,,A").collect()) == ["A", "B"]
+    assert [r[0] for r in readers.master_list(spark, str(tmp_path / "refs.tsv")).collect()] == ["M1"]
+    assert [r[0] for r in readers.master_list(spark, "NC_1").collect()] == ["NC_1"]
+
+
 def test_annotations(spark, tmp_path):
     gff = readers.gff(spark, put(tmp_path / "g.gff3", "##x\nchr\tp\tCDS\t1\t9\t.\t+\t0\tID=a;product=some+thing%20else;note \"q r\";ID=b\nchr\tshort\n"))
     got = gff.first()
