@@ -36,13 +36,15 @@ def wrapped(sequence: Column, width: int = 80) -> Column:
 
 def gap_ranges(aligned: Column) -> Column:
     """Array of (start, end) of the runs of '-', counted from 1, both ends included."""
-    bases = F.split(aligned, "")
-    columns = F.sequence(F.lit(1), F.length(aligned))
-    is_gap = lambda i: F.get(bases, i - 1) == "-"
-    starts = F.filter(columns, lambda i: is_gap(i) & ((i == 1) | ~F.coalesce(is_gap(i - 1), F.lit(False))))
-    ends = F.filter(columns, lambda i: is_gap(i) & ((i == F.length(aligned)) | ~F.coalesce(is_gap(i + 1), F.lit(False))))
-    pairs = F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("start"), e.alias("end")))
-    return F.when(F.length(aligned) > 0, pairs).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+    runs = F.regexp_extract_all(aligned, F.lit("(-+|[^-]+)"), F.lit(1))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("found"))
+
+    def step(seen: Column, run: Column) -> Column:
+        end = seen["at"] + F.length(run)
+        gap = F.struct((seen["at"] + 1).alias("start"), end.alias("end"))
+        return F.struct(end.alias("at"), F.when(run.startswith("-"), F.array_append(seen["found"], gap)).otherwise(seen["found"]).alias("found"))
+
+    return F.aggregate(runs, begin, step, lambda seen: seen["found"])
 
 
 def gaps_before(ranges: Column, position: Column) -> Column:

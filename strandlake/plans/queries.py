@@ -147,9 +147,9 @@ def base_counts(t):
     return t("documents").select("doc_id", *(c.cast("bigint").alias(n) for n, c in sequence.base_counts(F.col("text")).items()))
 
 
-@query(f"SELECT doc_id, sha256(reverse(translate(text, '{sequence.CODES}', '{sequence.COMPLEMENTS}'))) AS digest FROM documents WHERE lang = 'en'")
+@query(f"SELECT doc_id, sha256(reverse(translate(text, '{sequence.CODES}', '{sequence.COMPLEMENTS}'))) AS digest FROM documents")
 def reverse_complement(t):
-    return t("documents").filter("lang = 'en'").select("doc_id", F.sha2(sequence.reverse_complement(F.col("text")), 256).alias("digest"))
+    return t("documents").select("doc_id", F.sha2(sequence.reverse_complement(F.col("text")), 256).alias("digest"))
 
 
 NAME_ROW = "replace(replace(lower(p_name), ' ', '-'), 'a', '-')"
@@ -179,7 +179,7 @@ def within_tolerance(t):
 
 
 NODES = "n AS (SELECT p_partkey AS id, greatest(p_partkey // 2, 1) AS up, CASE p_partkey % 3 WHEN 0 THEN 'species' WHEN 1 THEN 'genus' ELSE 'order' END AS rank, p_name AS name FROM part)"
-WALK = f"WITH RECURSIVE {NODES}, w AS (SELECT id AS tax_id, id AS ancestor, 0 AS depth FROM n WHERE id % 5 = 0 UNION ALL SELECT w.tax_id, n.up, depth + 1 FROM w JOIN n ON n.id = w.ancestor WHERE n.up != n.id)"
+WALK = f"WITH RECURSIVE {NODES}, w AS (SELECT id AS tax_id, id AS ancestor, 0 AS depth FROM n UNION ALL SELECT w.tax_id, n.up, depth + 1 FROM w JOIN n ON n.id = w.ancestor WHERE n.up != n.id)"
 
 
 def _nodes(t) -> DataFrame:
@@ -188,7 +188,7 @@ def _nodes(t) -> DataFrame:
 
 
 def _walk(t) -> DataFrame:
-    return taxonomy.ancestors(t("part").filter("p_partkey % 5 = 0").select(F.col("p_partkey").alias("tax_id")), _nodes(t))
+    return taxonomy.ancestors(t("part").select(F.col("p_partkey").alias("tax_id")), _nodes(t))
 
 
 def _scientific(t) -> DataFrame:
@@ -210,9 +210,9 @@ def lineage_lookup(t):
     return taxonomy.lineage_lookup(_walk(t), _nodes(t), _scientific(t))
 
 
-@query(f"WITH {NODES} SELECT c.name, c.id AS child_taxa_id, p.id AS parent_taxa_id, c.rank AS child_rank, p.rank AS parent_rank FROM n c JOIN n p ON c.up = p.id AND c.id != c.up WHERE p.id % 5 = 0")
+@query(f"WITH {NODES} SELECT c.name, c.id AS child_taxa_id, p.id AS parent_taxa_id, c.rank AS child_rank, p.rank AS parent_rank FROM n c JOIN n p ON c.up = p.id AND c.id != c.up")
 def children(t):
-    return taxonomy.children(t("part").filter("p_partkey % 5 = 0").select(F.col("p_partkey").alias("tax_id")), _nodes(t), _scientific(t))
+    return taxonomy.children(t("part").select(F.col("p_partkey").alias("tax_id")), _nodes(t), _scientific(t))
 
 
 @query("SELECT p_partkey, coalesce(nullif(regexp_extract(upper(regexp_replace(p_brand, 'Brand#', 'a h', 'g')), 'H([0-9]{1,2})', 0), ''), 'unknown') AS serotype FROM part")
@@ -338,22 +338,67 @@ def segment_completeness(t):
     return trees.segment_completeness(t("customer").select(F.col("c_custkey").alias("primary_accession"), F.col("c_mktsegment").alias("segment")), t("orders").select(F.col("o_custkey").alias("leaf")))
 
 
-@query("WITH a AS (SELECT DISTINCT l_partkey % 100 AS x, l_suppkey AS y FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_partkey % 100 AS x, l_suppkey AS y FROM lineitem WHERE l_returnflag = 'A') SELECT *, 'a' AS only_in FROM (FROM a EXCEPT FROM b) UNION ALL SELECT *, 'b' FROM (FROM b EXCEPT FROM a)")
+@query("WITH a AS (SELECT DISTINCT l_partkey AS x, l_suppkey AS y FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_partkey AS x, l_suppkey AS y FROM lineitem WHERE l_returnflag = 'A') SELECT *, 'a' AS only_in FROM (FROM a EXCEPT FROM b) UNION ALL SELECT *, 'b' FROM (FROM b EXCEPT FROM a)")
 def symmetric_difference(t):
-    side = lambda flag: t("lineitem").filter(F.col("l_returnflag") == flag).select((F.col("l_partkey") % 100).alias("x"), F.col("l_suppkey").alias("y"))
+    side = lambda flag: t("lineitem").filter(F.col("l_returnflag") == flag).select(F.col("l_partkey").alias("x"), F.col("l_suppkey").alias("y"))
     return validation.symmetric_difference(side("R"), side("A"))
 
 
-@query("SELECT p_partkey, printf('%.2f', 100.0 * length(regexp_replace(replace(s[:10], '-', ''), '[nN]', '', 'g')) / 10) AS coverage FROM (SELECT p_partkey, replace(p_type, ' ', '-') AS s FROM part) WHERE length(s) >= 10")
+#: A master row of fifty columns with a gap in every fifth, and SQL for the columns of its positions.
+MASTER = "AC-GT" * 10
+COLUMNS = "list_filter(range(1, 51), lambda i: (i - 1) % 5 != 2)"
+
+
+def _laid(t, name: str = "p_type") -> DataFrame:
+    """Parts' types as rows of fifty columns."""
+    row = F.rpad(F.concat(F.lit("--"), F.replace(name, F.lit(" "), F.lit("-")), F.lit("-")), 50, "-")
+    return t("part").select("p_partkey", row.alias("s"), F.lit(MASTER).alias("m"))
+
+
+LAID = "SELECT p_partkey, rpad('--' || replace(p_type, ' ', '-') || '-', 50, '-') AS s FROM part"
+
+
+@query(f"SELECT p_partkey, printf('%.2f', 100.0 * len(list_filter(({COLUMNS})[3:14], lambda i: s[i:i] NOT IN ('-', 'N', 'n'))) / 12) AS coverage FROM ({LAID})")
 def coverage(t):
-    rows = t("part").select("p_partkey", F.replace("p_type", F.lit(" "), F.lit("-")).alias("s")).filter(F.length("s") >= 10)
-    return rows.select("p_partkey", sequence.coverage(F.repeat(F.lit("A"), 200), F.col("s"), F.lit("10"), F.lit("1")).alias("coverage"))
+    return _laid(t).select("p_partkey", sequence.coverage(F.col("m"), F.col("s"), F.lit("14"), F.lit("3")).alias("coverage"))
 
 
-@query("SELECT p_partkey, (instr(s, left(ltrim(s, '-'), 1)))::VARCHAR AS first, (length(rtrim(s, '-')))::VARCHAR AS last FROM (SELECT p_partkey, '--' || replace(p_type, ' ', '-') || '-' AS s FROM part)")
+@query(f"SELECT p_partkey, list_min(p)::VARCHAR AS first, list_max(p)::VARCHAR AS last FROM (SELECT p_partkey, list_filter(range(1, 41), lambda n: s[({COLUMNS})[n]:({COLUMNS})[n]] != '-') AS p FROM ({LAID}))")
 def covered_span(t):
-    row = F.concat(F.lit("--"), F.replace("p_type", F.lit(" "), F.lit("-")), F.lit("-"))
-    return t("part").select("p_partkey", sequence.covered_span(F.repeat(F.lit("A"), 200).alias("m"), F.rpad(row, 200, "-")).alias("x")).select("p_partkey", "x.first", "x.last")
+    return _laid(t).select("p_partkey", sequence.covered_span("m", "s").alias("x")).select("p_partkey", "x.first", "x.last")
+
+
+MOVED = "{0} - (length(s[:{0}]) - length(replace(s[:{0}], '-', ''))) + length(s) - length(ltrim(s, '-'))"
+FEATURES = [(1, 8, "one"), (6, 20, "two"), (30, 40, "far")]
+MOVED_SQL = f"SELECT DISTINCT p_partkey, s, {MOVED.format('a')} AS x, {MOVED.format('b')} AS y FROM ({LAID}), (VALUES {', '.join(f'({a}, {b})' for a, b, _ in FEATURES)}) AS f(a, b)"
+
+
+@query(f"SELECT p_partkey, x AS start, y AS \"end\" FROM ({MOVED_SQL}) WHERE x != y")
+def cds_coordinates(t):
+    ranges = F.array(*(F.struct(F.lit(a).alias("start"), F.lit(b).alias("end")) for a, b, _ in FEATURES))
+    moved = sequence.cds_coordinates(sequence.gap_ranges(F.col("s")), ranges)
+    return _laid(t).select("p_partkey", F.explode(moved).alias("r")).select("p_partkey", F.col("r.start").cast("bigint").alias("start"), F.col("r.end").cast("bigint").alias("end"))
+
+
+SPAN = f"list_filter(range(1, 41), lambda n: s[({COLUMNS})[n]:({COLUMNS})[n]] != '-')"
+KNOWN = f"printf('%.2f', 100.0 * len(list_filter(({COLUMNS})[a:b], lambda i: s[i:i] NOT IN ('-', 'N', 'n'))) / (b - a + 1))"
+
+
+@query(f"""WITH f(a, b, product) AS (VALUES {', '.join(f"({a}, {b}, '{p}')" for a, b, p in FEATURES)}), l AS ({LAID} UNION ALL SELECT -1, '{MASTER}'),
+mv AS (SELECT DISTINCT p_partkey, s, {MOVED.format('a')} AS x, {MOVED.format('b')} AS y FROM l, f), ok AS (FROM mv WHERE x != y),
+hit AS (SELECT p_partkey, x, y, product, {KNOWN} AS cov FROM ok JOIN f ON y >= a AND x <= b),
+bare AS (SELECT p_partkey FROM l WHERE p_partkey NOT IN (SELECT p_partkey FROM ok) UNION SELECT p_partkey FROM ok ANTI JOIN hit USING (p_partkey, x, y)),
+o AS (SELECT p_partkey, x::VARCHAR AS cds_start, y::VARCHAR AS cds_end, product, cov FROM hit UNION SELECT p_partkey, 'NA', 'NA', 'NA', 'NA' FROM bare),
+n AS (SELECT p_partkey, coalesce(list_min({SPAN})::VARCHAR, 'NA') AS aln_start, coalesce(list_max({SPAN})::VARCHAR, 'NA') AS aln_end FROM l)
+SELECT CASE WHEN p_partkey < 0 THEN 'master' ELSE 'p' || p_partkey END AS accession, 'master' AS master_ref_accession, CASE WHEN p_partkey >= 0 AND p_partkey % 2 = 0 THEN 'r' || p_partkey % 3 ELSE 'master' END AS reference_accession,
+aln_start, aln_end, cds_start, cds_end, product, cov AS genome_coverage FROM o JOIN n USING (p_partkey)""")
+def feature_table(t):
+    rows = _laid(t).select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("header"), F.col("s").alias("sequence"))
+    master = t("region").filter("r_regionkey = 0").select(F.lit("master").alias("header"), F.lit(MASTER).alias("sequence"))
+    features = t("region").filter("r_regionkey = 0").select(F.explode(F.array(*(F.struct(F.lit(a).alias("feature_start"), F.lit(b).alias("feature_end"), F.lit(p).alias("product")) for a, b, p in FEATURES))).alias("f")).select("f.*")
+    key = F.col("p_partkey").cast("string")
+    best = t("part").filter("p_partkey % 2 = 0").select(F.concat(F.lit("p"), key).alias("query"), F.concat(F.lit("r"), (F.col("p_partkey") % 3).cast("string")).alias("reference"))
+    return alignment.feature_table(master.union(rows), "master", features, best)
 
 
 @query("SELECT p_partkey, p_type[:3] || p_type[5:8] || p_type[10:] AS cut FROM part")
@@ -422,9 +467,83 @@ def run_counters(t):
     return validation.run_counters(before, after, "c_custkey", "c_mktsegment")
 
 
-@query("SELECT l_returnflag, l_linestatus, count(*) AS n, round(avg(l_quantity), 4) AS avg_quantity, count(*) FILTER (l_discount > 0.05) AS discounted FROM lineitem GROUP BY ALL")
-def group_counts(t):
-    return t("lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("l_quantity"), 4).alias("avg_quantity"), F.count_if(F.col("l_discount") > 0.05).alias("discounted"))
+@query(f"WITH b AS ({BEST}) SELECT reference, count(*) AS queries FROM b GROUP BY reference")
+def grouped_queries(t):
+    return alignment.grouped_queries(ranking.best_hit(_hits(t)), "reference")
+
+
+@query("SELECT c_custkey AS primary_accession FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) AND c_custkey % 5 != 0")
+def new_accessions(t):
+    ids = t("customer").select(F.col("c_custkey").alias("primary_accession"))
+    return alignment.new_accessions(ids, t("orders").select(F.col("o_custkey").alias("header")), ids.filter("primary_accession % 5 = 0").select(F.col("primary_accession").alias("header")))
+
+
+@query("SELECT c_custkey AS header, c_name AS sequence FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+def sequences_of(t):
+    return alignment.sequences_of(t("orders").select(F.col("o_custkey").alias("accession")), t("customer").select(F.col("c_custkey").alias("header"), F.col("c_name").alias("sequence")))
+
+
+@query("SELECT min(event_id) AS event_id, user_id FROM events GROUP BY user_id")
+def first_before_bar(t):
+    rows = t("events").select("event_id", "user_id", F.concat_ws("|", F.col("user_id").cast("string"), "event_type").alias("header"))
+    return ranking.first_before_bar(rows, "event_id").select("event_id", "user_id")
+
+
+@query("SELECT count(DISTINCT lang) AS segments FROM documents WHERE trim(lang) != ''")
+def segment_count(t):
+    return trees.segment_count(t("documents"), "lang")
+
+
+@query("SELECT doc_id::VARCHAR AS primary_accession, CASE WHEN lang = 'en' THEN 'Yes' ELSE 'NA' END AS collection_date_validated, 'Yes' AS host_validated, '4' AS country_validated, '' AS host, '' AS host_scientific_name, coalesce(source, '') AS country, '' AS collection_date FROM documents WHERE lang IS DISTINCT FROM 'en'")
+def failed_report(t):
+    flags = {"primary_accession": F.col("doc_id").cast("string"), "exclusion_status": F.lit("0"), "collection_date_validated": F.when(F.col("lang") == "en", "Yes").otherwise("NA"), "country_validated": F.lit("4"), "host_validated": F.lit("Yes"), "country": F.coalesce("source", F.lit(""))}
+    return quality.failed_report(t("documents").select("doc_id", "lang", "source").withColumns(flags))
+
+
+LAYOUT = "array_to_string(list_transform(range(1, length(ref) + 1), lambda i: CASE WHEN ref[i:i] = '-' THEN '-' ELSE coalesce(nullif(q[length(replace(ref[:i], '-', '')):length(replace(ref[:i], '-', ''))], ''), '-') END), '')"
+
+
+@query(f"SELECT 'C' || c_custkey AS header, {LAYOUT} AS sequence, 1 AS is_query FROM (SELECT c_custkey, c_mktsegment AS q, replace(n_name, 'A', '-') AS ref FROM customer JOIN nation ON n_nationkey = c_nationkey) UNION ALL SELECT n_nationkey || '.1', replace(n_name, 'A', '-'), 0 FROM nation")
+def merged_alignment(t):
+    refs = t("nation").select(F.concat(F.col("n_nationkey").cast("string"), F.lit(".1")).alias("header"), F.replace("n_name", F.lit("A"), F.lit("-")).alias("sequence"), F.col("n_nationkey").cast("bigint").alias("ord"))
+    queries = t("customer").select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("header"), F.col("c_mktsegment").alias("sequence"), F.col("c_nationkey").cast("string").alias("reference"), F.col("c_custkey").alias("ord"))
+    return alignment.merged_alignment(refs, queries).select("header", "sequence", "is_query")
+
+
+@query("SELECT c_name AS sequence_id, coalesce('b' || c_custkey, 'own') AS alignment_name, c_mktsegment AS alignment, CASE WHEN c_custkey % 3 = 0 THEN 'ins' ELSE '' END AS insertion FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_name, 'own', c_mktsegment, CASE WHEN c_custkey % 3 = 0 THEN 'ins' ELSE '' END FROM customer WHERE c_custkey % 2 != 0")
+def alignment_rows(t):
+    people = t("customer").withColumn("header", F.col("c_name"))
+    rows = people.select("header", F.col("c_mktsegment").alias("sequence"), F.lit("own").alias("reference"), F.col("c_custkey").alias("ord"))
+    best = people.filter("c_custkey % 2 = 0").select(F.col("header").alias("query"), F.concat(F.lit("b"), F.col("c_custkey").cast("string")).alias("reference"))
+    found = alignment.alignment_rows(rows, best, people.filter("c_custkey % 3 = 0").select(F.col("header").alias("accession"), F.lit("ins").alias("insertion")))
+    return found.select("sequence_id", "alignment_name", "alignment", "insertion")
+
+
+@query("SELECT 'S' || p_partkey AS accession, 'CDS' AS category, p_size AS start, p_size + 10 AS \"end\", CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_brand END AS gene_name, p_brand AS symbol FROM part WHERE p_partkey % 3 != 0")
+def gene_table(t):
+    even = F.col("p_partkey") % 2 == 0
+    notes = F.when(even, F.create_map(F.lit("product"), F.col("p_name"), F.lit("gene"), F.col("p_brand"))).otherwise(F.create_map(F.lit("protein"), F.col("p_brand"), F.lit("locus_tag"), F.col("p_brand")))
+    gff = t("part").select(F.concat(F.lit("S"), F.col("p_partkey").cast("string"), F.lit(".2 x")).alias("seqid"), F.when(F.col("p_partkey") % 3 == 0, "gene").otherwise("CDS").alias("type"), F.col("p_size").alias("start"), (F.col("p_size") + 10).alias("end"), notes.alias("attributes"))
+    return alignment.gene_table(gff)
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 4 != 0 OR c_custkey % 3 = 0")
+def split_excluded(t):
+    rows = t("customer").select("c_custkey", F.col("c_name").alias("primary_accession"), F.when(F.col("c_custkey") % 4 == 0, "bad").otherwise(" ").alias("exclusion"), F.when(F.col("c_custkey") % 3 == 0, "Reference").otherwise("query").alias("accession_type"))
+    return quality.split_excluded(rows)[0].select("c_custkey")
+
+
+@query("SELECT p_partkey, p_partkey % 4 < 3 AS flag FROM part")
+def unverified(t):
+    key = F.col("p_partkey") % 4
+    return t("part").select("p_partkey", quality.unverified(F.when(key == 0, F.concat(F.col("p_name"), F.lit(" unverified"))).otherwise(F.col("p_name")), F.array(F.when(key == 1, "x Unverified").otherwise("y")), F.when(key == 2, "we were unable to verify it")).alias("flag"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name || '; new  remark' ELSE 'only' END AS comment FROM part")
+def append_unless_inside(t):
+    key = F.col("p_partkey") % 3
+    comment = F.when(key < 2, F.concat(F.col("p_name"), F.lit("; "))).otherwise(" ")
+    return t("part").select("p_partkey", text.append_unless_inside(comment, F.when(key == 0, F.upper("p_name")).when(key == 1, " new  remark ").otherwise("only")).alias("comment"))
 
 
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
@@ -493,13 +612,13 @@ def orphans(t):
     return found.select(F.col("seq_name").cast("bigint").alias("o_orderkey"), F.col("reference").cast("bigint").alias("o_custkey"))
 
 
-@query()
+@query(f"SELECT p_partkey, {LAYOUT} AS row FROM (SELECT p_partkey, p_name AS q, replace(p_type, ' ', '-') AS ref FROM part)")
 def project_gaps(t):
-    """Names laid out in the columns of types: a pandas function, held against worked cases in the tests."""
+    """Names laid out in the columns of types."""
     return t("part").select("p_partkey", sequence.projected(F.replace("p_type", F.lit(" "), F.lit("-")), F.col("p_name")).alias("row"))
 
 
-@query()
+@query("SELECT n_regionkey, replace(n_name, ' ', '_') AS leaf FROM nation")
 def tree_leaves(t):
     rows = t("nation").groupBy("n_regionkey").agg(F.array_join(F.array_sort(F.collect_list(F.replace("n_name", F.lit(" "), F.lit("_")))), ",").alias("x"))
     return trees.leaves(rows.select("n_regionkey", F.concat(F.lit("("), "x", F.lit(");")).alias("newick")))
