@@ -67,8 +67,8 @@ def _differing(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
     return both.filter(~F.col("_a").eqNullSafe(F.col("_b")))
 
 
-def audit(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(address, state) of the records of left (address, sha) that right has changed, lost ('missing') or only right has ('extra')."""
+def differing_ranges(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(_range): ranges of addresses whose hashes differ between two replicas (address, sha), by descending from the roots."""
     a, b = tree(left), tree(right)
     top = max(len(a), len(b))
     empty = left.select(F.lit(0).cast("long").alias("key"), F.lit("").alias("hash")).limit(0)
@@ -78,20 +78,44 @@ def audit(left: DataFrame, right: DataFrame) -> DataFrame:
         parents = materialize(found.withColumnRenamed("key", "_parent"), "merkle-differing")
         below = [d.join(parents, F.shiftright("key", FANOUT_BITS) == F.col("_parent"), "left_semi") for d in (x, y)]
         found = _differing(*below, "key", "hash").select("key")
-    ranges = materialize(found.withColumnRenamed("key", "_range"), "merkle-differing")
-    below = [d.join(ranges, F.shiftright("address", RANGE_BITS) == F.col("_range"), "left_semi") for d in (left, right)]
+    return materialize(found.withColumnRenamed("key", "_range"), "merkle-differing")
+
+
+def _within(records: DataFrame, ranges: DataFrame) -> DataFrame:
+    return records.join(ranges, F.shiftright("address", RANGE_BITS) == F.col("_range"), "left_semi")
+
+
+def audit(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(address, state) of the records of left (address, sha) that right has changed, lost ('missing') or only right has ('extra'), by address."""
+    ranges = differing_ranges(left, right)
     state = F.when(F.col("_b").isNull(), "missing").when(F.col("_a").isNull(), "extra").otherwise("changed")
-    return _differing(*below, "address", "sha").select("address", state.alias("state"))
+    return _differing(_within(left, ranges), _within(right, ranges), "address", "sha").select("address", state.alias("state"))
+
+
+def audit_records(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(address, state) of the records of left (page_id, address, sha) that right, with addresses of its own, has changed or lost.
+
+    A lost record moves those behind it in its volume, whose ranges then differ too. Records of differing ranges are matched
+    by their hashes, wherever they stand, and those that are left over by their ids.
+    """
+    ranges = differing_ranges(left.select("address", "sha"), right.select("address", "sha"))
+    ours, theirs = (materialize(_within(x.select("page_id", "address", "sha"), ranges), "merkle-records") for x in (left, right))
+    lost = ours.join(theirs.select(F.col("sha").alias("_sha")).distinct(), F.col("sha") == F.col("_sha"), "left_anti")
+    other = theirs.join(ours.select(F.col("sha").alias("_sha")).distinct(), F.col("sha") == F.col("_sha"), "left_anti").select(F.col("page_id").alias("_id"), F.lit(True).alias("_there")).distinct()
+    out = lost.join(other, F.col("page_id").eqNullSafe(F.col("_id")), "left")
+    return out.select("address", F.when(F.col("_there"), "changed").otherwise("missing").alias("state"))
 
 
 def report(pages: DataFrame, replica: Column | None = None) -> DataFrame:
     """Every record with its place and what the audit of a second replica says of it ('ok', 'changed' or 'missing').
 
-    replica gives the replica's bytes of a record from the columns page_id and record (null: it has lost the record).
+    replica gives the replica's bytes of a record from the columns page_id and record (null: it has lost the record). Its
+    volumes hold what is left of the same records in the same order, at offsets of their own.
     """
     rows = records(pages).withColumn("other", replica if replica is not None else F.col("record"))
-    leaves = rows.select("page_id", F.sha2("record", 256).alias("sha"), F.octet_length("record").cast("long").alias("length"), F.sha2("other", 256).alias("other_sha"))
+    leaves = rows.select("page_id", F.sha2("record", 256).alias("sha"), F.octet_length("record").cast("long").alias("length"), F.sha2("other", 256).alias("other_sha"), F.octet_length("other").cast("long").alias("other_length"))
     placed = addressed(leaves)
-    found = audit(placed.select("address", "sha"), placed.filter("other_sha IS NOT NULL").select("address", F.col("other_sha").alias("sha")))
-    out = placed.join(found, "address", "left")
+    before = F.sum("other_length").over(Window.partitionBy("volume").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1))
+    theirs = placed.filter("other_sha IS NOT NULL").select("page_id", F.col("other_sha").alias("sha"), (F.col("address") - F.col("offset") + F.coalesce(before, F.lit(0))).alias("address"))
+    out = placed.join(audit_records(placed.select("page_id", "address", "sha"), materialize(theirs, "replica")), "address", "left")
     return out.select("page_id", "volume", "offset", "length", "copies", F.col("sha").alias("record_sha256"), F.coalesce("state", F.lit("ok")).alias("state"))
