@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import KeyFilter, discard, materialize, numbered, text_or_empty, without
@@ -334,6 +334,31 @@ def similar(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def verified_links(edges: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): similar pairs among edges (a < b) that connect all that any similar pairs connect.
+
+    A large group has far more candidates than members. So every node first asks for one of them, then, of those that do not join
+    what is joined already, for four times as many in each round. texts: node, text.
+    """
+    one, other = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+    found, remaining, most = None, edges, 1
+    while True:
+        ranked = remaining.withColumn("_n", F.row_number().over(Window.partitionBy("b").orderBy("a")))
+        asked = materialize(ranked.filter(F.col("_n") <= most).select("a", "b"), "asked-pairs")
+        if asked.isEmpty():
+            return asked if found is None else found
+        similar_ones = similar(asked.join(one, "a").join(other, "b"), similarity)
+        before, found = found, materialize(similar_ones if found is None else found.union(similar_ones), "near-links")
+        roots = components(found)
+        rest = ranked.filter(F.col("_n") > most).select("a", "b")
+        for x in "ab":
+            rest = rest.join(roots.select(F.col("fp").alias(x), F.col("root").alias(f"_{x}")), x, "left")
+        rest = rest.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+        after = materialize(rest, "remaining-pairs")
+        discard(asked, *([before] if before else []), *([remaining] if most > 1 else []))
+        remaining, most = after, 4 * most
+
+
 def near_groups(rows: DataFrame, row: str, similarity: float = SIMILARITY) -> DataFrame:
     """(row, best): for each row (by its number in the column row) the row that stands for its group, that of the smallest doc_id."""
     made = materialize(sketches(rows, row), "sketches")
@@ -345,8 +370,7 @@ def near_groups(rows: DataFrame, row: str, similarity: float = SIMILARITY) -> Da
     asked = materialize(asked, "candidate-nodes")
     texts = KeyFilter(asked, F.col("row")).maybe_in(rows.select(F.col(row).alias("row"), text_or_empty().alias("text")), F.col("row")).join(asked, "row").select("node", "text")
     texts = materialize(texts, "candidate-texts", compression="zstd")
-    one, other = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    linked = materialize(similar(edges.join(one, "a").join(other, "b"), similarity), "near-links")
+    linked = verified_links(edges, texts, similarity)
     known = nodes.join(components(linked).withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     roots = known.groupBy("root").agg(F.min("first").alias("best"))
     named = known.select("set_key", "root").join(roots, "root").select("set_key", F.col("best.row").alias("best"))
