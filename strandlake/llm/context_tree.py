@@ -32,9 +32,9 @@ from zstandard import ZstdCompressor, ZstdDecompressor
 
 from strandlake.llm.common import materialize, numbered, text_or_empty
 
-DEPTH, TOP, END = 6, 3, b"\n"
+DEPTH, TOP, END = 5, 3, b"\n"
 #: Bytes of the texts of a chunk (one text at least), and bytes that are turned into grams at once.
-CHUNK, SLICE = 32 << 20, 1 << 20
+CHUNK, SLICE = 16 << 20, 1 << 20
 #: Hash groups of words and grams. A group's distinct grams fit a task's memory up to some 10**10 of all groups.
 GROUPS = 2048
 #: Grams of whole subtrees that are weighed at once.
