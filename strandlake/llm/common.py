@@ -105,16 +105,32 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """docs with a number for each row, the same whenever it is read, and that column's name.
+def is_scan(docs: DataFrame) -> bool:
+    """Whether docs is files as they are read, with no operation upon them.
 
-    A scan of files numbers its rows alike each time; anything else is written down first.
+    Files' metadata alone don't tell: behind a filter, sort or repartition they can still be asked for.
     """
-    name = unused(docs, "_row")
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
     try:
         docs.select("_metadata.row_index")
     except AnalysisException:
+        return False
+    return True
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a number for each row, the same whenever it is read, and that column's name.
+
+    A bare scan of files numbers its rows alike each time; anything else is written down first. How files are cut into
+    partitions hangs on the number of cores unless a number is set, and cores go with lost executors, so one is set.
+    """
+    name, spark = unused(docs, "_row"), docs.sparkSession
+    if not is_scan(docs):
         docs = materialize(docs, "numbered", compression="zstd")
+    if not spark.conf.get("spark.sql.files.minPartitionNum", None):
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     return docs.withColumn(name, F.monotonically_increasing_id()), name
 
 
