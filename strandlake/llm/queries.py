@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import context_tree, decontaminate, exact_dedup, fixity, language_id, pack, repeats, secrets, simhash, token_counts
+from strandlake.llm import context_tree, decontaminate, exact_dedup, filter_audit, fixity, language_id, near_vectors, pack, repeats, secrets, simhash, token_counts, whitening
 from strandlake.llm.common import table
 
 
@@ -61,6 +61,20 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixity.report(table(spark, sf_dir, "pages"), damaged)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """deviation is null where it doesn't fit a long."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
@@ -105,5 +119,24 @@ FROM pairs LEFT JOIN best USING (doc_id, item_id) WHERE coalesce(slot_consistenc
 """
 
 
+OP11_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+l AS (SELECT doc_id, max(coalesce((quality = 1)::INT, 0)) AS good, max(coalesce((toxic = 1)::INT, 0)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (SELECT part, (len(ws) < {filter_audit.LEAST_WORDS})::INT + 2 * (100 * len(list_distinct(ws)) < {filter_audit.LEAST_DISTINCT} * len(ws))::INT
+  + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {filter_audit.MOST_CAPITALS} * length(t))::INT + 8 * regexp_matches(t, '[{filter_audit.MARKS}]')::INT + 16 * coalesce(w.doc_id > first_id, false)::INT AS mask,
+  count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM w LEFT JOIN l USING (doc_id) GROUP BY ALL),
+f AS (SELECT 2 ** range AS bit, 'ABCDE'[range + 1] AS letter FROM range(5)),
+o AS (SELECT a.bit AS b1, b.bit AS b2, c.bit AS b3, d.bit AS b4, e.bit AS b5, a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM f a JOIN f b ON b.bit <> a.bit JOIN f c ON c.bit NOT IN (a.bit, b.bit) JOIN f d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN f e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+s AS (SELECT filter_order, i::INTEGER AS step, [b1, b2, b3, b4, b5][i]::INT AS own, coalesce(list_sum([b1, b2, b3, b4, b5][1:i - 1]), 0)::INT AS earlier FROM o, range(1, 6) r(i)),
+x AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (mask & (earlier | own) = 0), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (mask & earlier = 0 AND mask & own > 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (mask & earlier > 0 AND mask & own > 0), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (mask = own), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (mask & earlier = 0 AND mask & own > 0), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (mask & earlier = 0 AND mask & own > 0), 0)::BIGINT AS toxic_lost
+  FROM s CROSS JOIN m GROUP BY ALL)
+SELECT * EXCLUDE own, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM x
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_benchmark_decontamination": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op10_warc_fixity": OP10_SQL}
+    return {"op6_benchmark_decontamination": OP6_SQL, "op8_exact_dedup": OP8_SQL, "op10_warc_fixity": OP10_SQL, "op11_filter_audit": OP11_SQL}
