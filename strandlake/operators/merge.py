@@ -1,11 +1,10 @@
-"""Incremental loading: keyed append with ledgers, upsert, version-aware differences and the table store."""
+"""Incremental loading: keyed append with ledgers, upsert and version-aware differences."""
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,77 +128,3 @@ def version_diff(local: DataFrame, remote: DataFrame, excluded: DataFrame, order
 def update_log(diff: DataFrame) -> DataFrame:
     """(old, new): 'NA' stands for no old version."""
     return diff.select(F.coalesce("old", F.lit("NA")).alias("old"), F.col("accession").alias("new"))
-
-
-class TableStore:
-    """Parquet tables in versions under one root.
-
-    A table's folder holds parts, each written once, and one manifest per version that names the parts it consists of. Appending
-    writes one part and one manifest; files of earlier versions stay untouched. A manifest is created only if its version is not
-    taken, so of two writers the second fails and may try again. Columns that are new in a part are null in earlier ones.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _path(self, *names: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *names]))
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _versions(self, name: str) -> list[int]:
-        path, fs = self._path(name, "manifests")
-        return sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(path)) if fs.exists(path) else []
-
-    def _parts(self, name: str, version: int) -> list[str]:
-        path, _ = self._path(name, "manifests", f"v{version}")
-        return [row["value"] for row in self.spark.read.text(path.toString()).collect()]  # one line for each append since the last replacement
-
-    def _publish(self, name: str, parts: list[str]) -> int:
-        version = max(self._versions(name), default=0) + 1
-        path, fs = self._path(name, "manifests", f"v{version}")
-        out = fs.create(path, False)  # fails if another writer has taken the version
-        try:
-            out.write("\n".join(parts).encode())
-        finally:
-            out.close()
-        return version
-
-    def _write(self, name: str, df: DataFrame) -> str:
-        part = f"part-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{name}/parts/{part}")
-        return part
-
-    def exists(self, name: str) -> bool:
-        return bool(self._versions(name))
-
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        parts = self._parts(name, self._versions(name)[-1] if version is None else version)
-        return self.spark.read.option("mergeSchema", True).parquet(*(f"{self.root}/{name}/parts/{part}" for part in parts))
-
-    def replace(self, name: str, df: DataFrame) -> int:
-        """Write df as the next version. Readers see it when its manifest is there; earlier versions stay as backups."""
-        return self._publish(name, [self._write(name, df)])
-
-    def append(self, name: str, df: DataFrame) -> int:
-        """Add the rows of df; their values take the types that the table's columns have."""
-        if not self.exists(name):
-            return self.replace(name, df)
-        version = self._versions(name)[-1]
-        types = {f.name: f.dataType for f in self.read(name, version).schema}
-        part = self._write(name, df.select(*(F.col(c).cast(types[c]).alias(c) if c in types and df.schema[c].dataType != types[c] else F.col(c) for c in df.columns)))
-        return self._publish(name, [*self._parts(name, version), part])
-
-    def append_new(self, name: str, df: DataFrame, now: datetime, order: str | None = None, ledger: str | None = "update_exclusions", replace_updated: bool = False) -> int:
-        """Append the rows whose key is new; keys that are there already go to the ledger. Running it again appends nothing.
-
-        A newer version of a known key is left out like any other duplicate, unless replace_updated puts it in its place.
-        """
-        keys = table_key(name, df.columns)
-        if not self.exists(name):
-            return self.replace(name, keep_one(df, keys, order or F.struct(*df.columns)))
-        if replace_updated:
-            return self.replace(name, upsert(self.read(name), keep_one(df, keys, order or F.struct(*df.columns), last=True), keys))
-        new, duplicates = keyed_append(self.read(name), df, keys, order)
-        if ledger:
-            self.append(ledger, duplicate_ledger(duplicates, name, keys, "duplicate key", now))
-        return self.append(name, new)

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strandlake.operators.merge import TableStore
+from strandlake.operators.store import TableStore
 
 
 def append_stream(stream: DataFrame, store: TableStore, name: str, checkpoint: str, clock=datetime.now, order: str | None = None) -> StreamingQuery:
-    """Append each micro-batch's new keys to a stored table; a batch that is run again after a failure appends nothing twice."""
-    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda batch, _: store.append_new(name, batch, clock(), order)).start()
+    """Append each micro-batch's new keys to a stored table; a batch that is run again after a failure changes nothing twice, the ledger included."""
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(lambda batch, number: store.append_new(name, batch, clock(), order, tag=(checkpoint, number))).start()
 
 
 def tumbling_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandlake.operators import alignment, curation, merge, quality, ranking, taxonomy, trees, validation
+from strandlake.operators import store as stores
 
 NOW = datetime(2024, 1, 2, 3, 4, 5)
 
@@ -33,7 +34,7 @@ def test_small_lookups(spark):
 
 def test_store_appends_parts(spark, tmp_path):
     """Appends leave earlier files as they are, keep new columns and old versions, and one of two writers fails."""
-    store = merge.TableStore(spark, f"file://{tmp_path}/store")
+    store = stores.TableStore(spark, f"file://{tmp_path}/store")
     files = lambda: {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
     store.append("t", spark.createDataFrame([("a", 1)], "k string, n int"))
     for more in (spark.createDataFrame([("b", 2, "x")], "k string, n int, note string"), spark.createDataFrame([("c", "3")], "k string, n string"), spark.createDataFrame([("d",)], "k string")):
@@ -90,7 +91,7 @@ def test_keyed_append(spark):
 
 
 def test_store_appends_once(spark, tmp_path):
-    store = merge.TableStore(spark, f"file://{tmp_path}/store")
+    store = stores.TableStore(spark, f"file://{tmp_path}/store")
     first = spark.createDataFrame([("h1", "AC"), ("h2", "GT")], "header string, sequence string")
     more = spark.createDataFrame([("h2", "xx"), ("h3", "TT")], "header string, sequence string")
     store.append_new("sequences", first, NOW)
@@ -106,7 +107,7 @@ def test_store_appends_once(spark, tmp_path):
 
 
 def test_store_replaces_on_request(spark, tmp_path):
-    store = merge.TableStore(spark, f"file://{tmp_path}/store")
+    store = stores.TableStore(spark, f"file://{tmp_path}/store")
     table = lambda *data: spark.createDataFrame(data, "header string, sequence string")
     store.append_new("sequences", table(("h1", "A"), ("h2", "C")), NOW)
     store.append_new("sequences", table(("h2", "new"), ("h3", "G")), NOW, replace_updated=True)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from strandlake.sources import readers, records, writers
 from strandlake.streaming import batches
-from strandlake.operators import merge
+from strandlake.operators import store as stores
 
 
 def put(path, text):
@@ -132,7 +132,7 @@ def test_streams(spark, tmp_path):
     from datetime import datetime
 
     schema = "header string, sequence string"
-    store = merge.TableStore(spark, f"file://{tmp_path}/store")
+    store = stores.TableStore(spark, f"file://{tmp_path}/store")
     for name, data in (("one", [("h1", "A"), ("h2", "C")]), ("two", [("h2", "x"), ("h3", "G")])):
         spark.createDataFrame(data, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).json(str(tmp_path / "in"))
