@@ -34,17 +34,54 @@ def wrapped(sequence: Column, width: int = 80) -> Column:
     return F.regexp_replace(sequence, f"(.{{{width}}})(?=.)", "$1\n")
 
 
+def bound(value: Column, f) -> Column:
+    """f of value, which is computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def runs_of(text: Column, letters: str) -> Column:
+    """Array of (start, end) of the runs of any of letters, counted from 1, both ends included.
+
+    One pass over the letters finds the places where a run begins or has just ended, which then stand in pairs.
+    """
+    def found(chars: Column) -> Column:
+        within = lambda i: F.coalesce(F.get(chars, i).isin(*letters), F.lit(False))
+        edges = F.filter(F.sequence(F.lit(0), F.size(chars)), lambda i: within(i) != within(i - 1))
+        pairs = lambda e: F.transform(F.filter(e, lambda _, k: k % 2 == 0), lambda start, k: F.struct((start + 1).alias("start"), F.get(e, 2 * k + 1).alias("end")))
+        return bound(edges, pairs)
+
+    return F.when(text.isNotNull(), F.when(text == "", F.array().cast("array<struct<start:int,end:int>>")).otherwise(bound(F.split(text, ""), found)))
+
+
 def gap_ranges(aligned: Column) -> Column:
     """Array of (start, end) of the runs of '-', counted from 1, both ends included."""
-    runs = F.regexp_extract_all(aligned, F.lit("(-+|[^-]+)"), F.lit(1))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("found"))
+    return runs_of(aligned, "-")
+
+
+def letter_columns(master: Column) -> Column:
+    """The columns, from 1, of an aligned row's letters: item p is the column of position p.
+
+    Made once for a master and joined to the rows that are aligned with it, it spares each of them the search.
+    """
+    held = lambda chars: F.filter(F.sequence(F.lit(1), F.size(chars)), lambda i: F.get(chars, i - 1) != "-")
+    return F.when(master.isNotNull(), F.when(master == "", F.array().cast("array<int>")).otherwise(bound(F.split(master, ""), held)))
 
-    def step(seen: Column, run: Column) -> Column:
-        end = seen["at"] + F.length(run)
-        gap = F.struct((seen["at"] + 1).alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(run.startswith("-"), F.array_append(seen["found"], gap)).otherwise(seen["found"]).alias("found"))
 
-    return F.aggregate(runs, begin, step, lambda seen: seen["found"])
+def span_of(columns: Column, chars: Column) -> Column:
+    """(first, last) position, as texts, whose column among columns holds a letter of chars (an array); 'NA' if none does."""
+    hit = F.filter(F.transform(columns, lambda c, k: F.when(F.get(chars, c - 1) != "-", k + 1)), lambda p: p.isNotNull())
+    text = lambda p: F.coalesce(p.cast("string"), F.lit("NA"))
+    return bound(hit, lambda h: F.struct(text(F.get(h, F.lit(0))).alias("first"), text(F.get(h, F.size(h) - 1)).alias("last")))
+
+
+def coverage_of(columns: Column, chars: Column, start: Column, end: Column) -> Column:
+    """Percentage, with two decimals (ties to even), of the columns of positions start to end, in either order, where chars (an array) has a known base."""
+    within = lambda p, low, high: F.least(F.greatest(p, F.lit(low)), high).cast("int")
+    first, last = within(F.least(start, end), 1, F.size(columns) + 1), within(F.greatest(start, end), 0, F.size(columns))
+    own = F.slice(columns, first, F.greatest(last - first + 1, F.lit(0)))
+    share = lambda c: F.size(F.filter(c, lambda i: ~F.coalesce(F.get(chars, i - 1), F.lit("-")).isin("-", "N", "n"))) / F.size(c) * 100
+    text = bound(own, lambda c: F.when(F.size(c) > 0, F.format_string("%.2f", F.bround(share(c), 2))))
+    return F.coalesce(F.when(start.isNotNull() & end.isNotNull(), text), F.lit("NA"))
 
 
 def gaps_before(ranges: Column, position: Column) -> Column:
@@ -91,38 +128,22 @@ def projected(reference: pd.Series, query: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="object")
 
 
-def _letters(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+def letters(text: Column, f) -> Column:
+    """f of the text's letters as an array."""
+    return bound(F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "")), f)
 
 
-@F.pandas_udf(T.StructType([T.StructField("first", T.StringType()), T.StructField("last", T.StringType())]))
-def covered_span(master: pd.Series, query: pd.Series) -> pd.DataFrame:
+def covered_span(master: Column | str, query: Column | str) -> Column:
     """First and last position of the master that the query covers, 'NA' if none. Master columns behind the query's end are not covered."""
-    rows = []
-    for ref, seq in zip(master, query, strict=True):
-        if ref is None or seq is None:
-            rows.append((None, None))
-            continue
-        columns, letters = np.flatnonzero(_letters(ref) != ord("-")), _letters(seq)
-        hit = np.flatnonzero(letters[columns[columns < len(letters)]] != ord("-")) + 1
-        rows.append((str(hit[0]), str(hit[-1])) if len(hit) else ("NA", "NA"))
-    return pd.DataFrame(rows, columns=["first", "last"])
+    master, query = (F.col(c) if isinstance(c, str) else c for c in (master, query))
+    found = bound(letter_columns(master), lambda columns: letters(query, lambda chars: span_of(columns, chars)))
+    return F.when(master.isNotNull() & query.isNotNull(), found)
 
 
-@F.pandas_udf(T.StringType())
-def coverage(master: pd.Series, query: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
+def coverage(master: Column, query: Column, start: Column, end: Column) -> Column:
     """Percentage, with two decimals, of a feature's master columns where the query has a known base; 'NA' if it has no columns."""
-    out = []
-    for ref, seq, a, b in zip(master, query, start, end, strict=True):
-        try:
-            low, high = sorted((int(a), int(b)))
-        except (TypeError, ValueError):
-            out.append("NA")
-            continue
-        columns, letters = np.flatnonzero(_letters(ref) != ord("-"))[max(low - 1, 0) : max(high, 0)], _letters(seq)
-        known = np.isin(letters[columns[columns < len(letters)]], [ord(x) for x in "-Nn"], invert=True).sum()
-        out.append(f"{known / len(columns) * 100:.2f}" if len(columns) else "NA")
-    return pd.Series(out, dtype="object")
+    low, high = (F.trim(c.cast("string")).try_cast("bigint") for c in (start, end))
+    return bound(letter_columns(master), lambda columns: letters(query, lambda chars: coverage_of(columns, chars, low, high)))
 
 
 # The standard genetic code, codons in the order TCAG.

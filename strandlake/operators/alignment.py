@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.functions.sequence import cds_coordinates, coverage, covered_span, gap_ranges, projected, reverse_complement
+from strandlake.functions.sequence import bound, cds_coordinates, coverage_of, gap_ranges, letter_columns, letters, projected, reverse_complement, span_of
 from strandlake.functions.text import without_version
 from strandlake.operators.ranking import keep_one
 
@@ -42,21 +42,38 @@ def orphans(queries: DataFrame, references: DataFrame) -> DataFrame:
     return queries.join(held, without_version(F.col("reference")) == F.col("_r"), "left_anti").select(F.col("header").alias("seq_name"), "reference")
 
 
-def overlaps(ranges: DataFrame, features: DataFrame, bin_width: int = 1000) -> DataFrame:
+def overlaps(ranges: DataFrame, features: DataFrame, bin_width: int = 1000, small: int = SMALL_FEATURES, fan: int = 8) -> DataFrame:
     """ranges (…, start, end) with the features (feature_start, feature_end, product) that they meet, clipped to aln_start and aln_end.
 
-    A small feature table is broadcast; a longer one meets the ranges in bins of bin_width, each pair in the bin of its first
-    common position, so that no pair is compared in more than the bins it spans or found twice. One rule holds for both, and for
-    ranges whose start lies behind their end too: these meet what covers them whole, and stand in the bin of their start.
+    A feature table of up to small rows is broadcast. A longer one meets the ranges in nested bins: those of a level are fan times as
+    wide as those of the level below, and each range has the level whose bins are about as long as it, so that it lies in
+    two of them at most. A pair meets at the level of the longer one, in the bin of its first common position; the shorter one
+    stands there in one or two bins more for each level that the other table has. One rule holds for both ways, and for ranges
+    whose start lies behind their end too: these meet what covers them whole, and stand in the bin of their start.
     """
     meets = (F.col("end") >= F.col("feature_start")) & (F.col("start") <= F.col("feature_end"))
     clipped = {"aln_start": F.greatest("start", "feature_start"), "aln_end": F.least("end", "feature_end")}
-    if features.limit(SMALL_FEATURES + 1).count() <= SMALL_FEATURES:
+    if features.limit(small + 1).count() <= small:
         return ranges.join(F.broadcast(features), meets).withColumns(clipped)
-    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bin_width), F.floor(F.greatest(a, b) / bin_width)))
-    left = ranges.filter("start IS NOT NULL AND end IS NOT NULL").withColumn("_bin", bins("start", "end"))
-    right = features.filter("feature_start IS NOT NULL AND feature_end IS NOT NULL").withColumn("_bin", bins("feature_start", "feature_end"))
-    return left.join(right, "_bin").filter(meets).withColumns(clipped).filter(F.floor(F.col("aln_start") / bin_width) == F.col("_bin")).drop("_bin")
+
+    def levelled(df: DataFrame, a: str, b: str, own: str) -> DataFrame:
+        length = F.greatest(F.col(b) - F.col(a) + 1, F.lit(1)).cast("double")
+        return df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).withColumn(own, F.greatest(F.ceil(F.log(float(fan), length / bin_width)), F.lit(0)).cast("int"))
+
+    def binned(df: DataFrame, a: str, b: str, levels: Column) -> DataFrame:
+        width = F.col("_width")
+        df = df.withColumn("_level", F.explode(levels)).withColumn("_width", (F.lit(bin_width) * F.pow(F.lit(float(fan)), F.col("_level"))).cast("long"))
+        return df.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(a) / width), F.floor(F.greatest(a, b) / width))))
+
+    left, right = levelled(ranges, "start", "end", "_left"), levelled(features, "feature_start", "feature_end", "_right")
+    levels_of = lambda df, own: F.array(*(F.lit(r[0]) for r in df.select(own).distinct().collect())).cast("array<int>")  # noqa: E731  a few, by the logarithm
+    above = lambda own, others: F.filter(others, lambda x: x > F.col(own))
+    left_levels, right_levels = levels_of(left, "_left"), levels_of(right, "_right")
+    key = ["_level", "_width", "_bin"]
+    longer = binned(left, "start", "end", F.array("_left")).join(binned(right, "feature_start", "feature_end", F.concat(F.array("_right"), above("_right", left_levels))), key)
+    shorter = binned(left, "start", "end", above("_left", right_levels)).join(binned(right, "feature_start", "feature_end", F.array("_right")), key)
+    met = longer.unionByName(shorter).filter(meets).withColumns(clipped)
+    return met.filter(F.floor(F.col("aln_start") / F.col("_width")) == F.col("_bin")).drop(*key, "_left", "_right")
 
 
 def within_tolerance(coordinates: DataFrame, features: DataFrame, tolerance: int = 10) -> DataFrame:
@@ -78,32 +95,49 @@ def covered_ranges(alignment: DataFrame) -> DataFrame:
 
 
 def feature_table(alignment: DataFrame, master: str, features: DataFrame, best: DataFrame) -> DataFrame:
-    """Feature coordinates and coverage of every sequence of one alignment; rows without a range or a product have 'NA'.
+    """feature_tables() of one master; it fails if the alignment has no row of the master."""
+    if alignment.filter(F.col("header").startswith(master)).isEmpty():
+        raise ValueError(f"the alignment has no row of the master {master}")
+    return feature_tables(alignment.withColumn("master", F.lit(master)), features.withColumn("master", F.lit(master)), best)
 
-    alignment: header, sequence; features: feature_start, feature_end, product, in master positions; best: query, reference.
+
+def feature_tables(alignment: DataFrame, features: DataFrame, best: DataFrame) -> DataFrame:
+    """Feature coordinates and coverage of every sequence of the masters' alignments; rows without a range or a product have 'NA'.
+
+    alignment: master, header, sequence; features: master, feature_start, feature_end, product, in master positions; best: query,
+    reference. A master's row is the one of its name, else the first whose name begins with it; alignments without one are left out.
     Features are moved by the gaps of each sequence (cds_start, cds_end); a moved range gets a row for each feature that it meets,
     with the coverage of that feature's master columns. aln_start and aln_end are the master positions that the sequence covers.
+
+    A master's columns and its annotation, one row, meet each of its sequences in one join; all else is done within the rows.
     """
-    row = alignment.filter(F.col("header").startswith(master)).orderBy(F.col("header") != master, "header").select("sequence").limit(1).collect()
-    if not row:
-        raise ValueError(f"the alignment has no row of the master {master}")
+    own = alignment.filter(F.col("header").startswith(F.col("master"))).groupBy("master").agg(F.min_by("sequence", F.struct(F.col("header") != F.col("master"), "header")).alias("_row"))
     listed = features.filter("feature_start IS NOT NULL AND feature_end IS NOT NULL")
-    ranges = listed.agg(F.array_distinct(F.collect_list(F.struct(F.col("feature_start").alias("start"), F.col("feature_end").alias("end")))).alias("_ranges")).withColumn("_master", F.lit(row[0]["sequence"]))
-    rows = alignment.withColumn("_master", F.lit(row[0]["sequence"])).join(ranges, "_master")  # the ranges of one annotation, in one row
-    rows = rows.withColumns({"_span": covered_span(F.col("_master"), F.col("sequence")), "_moved": cds_coordinates(gap_ranges(F.col("sequence")), F.col("_ranges"))}).drop("_ranges")
-    moved = rows.select("*", F.explode_outer("_moved").alias("_cds")).select("header", "sequence", "_master", "_span", F.col("_cds.start").alias("start"), F.col("_cds.end").alias("end"))
-    met = overlaps(moved.filter("start IS NOT NULL"), listed)
-    met = met.withColumn("genome_coverage", coverage(F.col("_master"), F.col("sequence"), F.col("feature_start").cast("string"), F.col("feature_end").cast("string")))
-    keys = ["header", "start", "end"]
-    none = lambda c: F.lit(None).cast("string").alias(c)
-    found = met.select(*keys, "_span", *(F.col(c).cast("string").alias(c) for c in ("product", "genome_coverage")))
-    there = met.select(*(F.col(c).alias(f"_{c}") for c in keys)).distinct()
-    bare = moved.join(there, F.col("header").eqNullSafe(F.col("_header")) & (F.col("start") == F.col("_start")) & (F.col("end") == F.col("_end")), "left_anti")
-    out = found.unionByName(bare.select("header", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), "_span", none("product"), none("genome_coverage")))
+    entry = F.struct(F.col("feature_start").cast("bigint").alias("start"), F.col("feature_end").cast("bigint").alias("end"), F.col("product").cast("string").alias("product"))
+    annotation = listed.groupBy("master").agg(F.array_sort(F.collect_set(entry)).alias("_features"))
+    known = own.select("master", letter_columns(F.col("_row")).alias("_columns")).join(annotation, "master", "left")
+    known = known.withColumn("_features", F.coalesce("_features", F.array().cast("array<struct<start:bigint,end:bigint,product:string>>")))
+    rows = alignment.select("master", "header", "sequence").join(known, "master")
+
+    def made(chars: Column) -> Column:
+        moved = cds_coordinates(gap_ranges(F.col("sequence")), F.array_distinct(F.transform("_features", lambda f: F.struct(f["start"].alias("start"), f["end"].alias("end")))))
+        covered = F.transform("_features", lambda f: f.withField("coverage", coverage_of(F.col("_columns"), chars, f["start"], f["end"])))
+        none = lambda c: F.lit(None).cast("string").alias(c)
+        bare = F.array(F.struct(F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), none("product"), none("coverage")))
+
+        def met(r: Column, known_ones: Column) -> Column:
+            there = F.filter(known_ones, lambda f: (r["end"] >= f["start"]) & (r["start"] <= f["end"]))
+            shown = F.transform(there, lambda f: F.struct(r["start"].alias("start"), r["end"].alias("end"), f["product"].alias("product"), f["coverage"].alias("coverage")))
+            return F.when(F.size(shown) > 0, shown).otherwise(bare)
+
+        found = bound(covered, lambda f: F.flatten(F.transform(moved, lambda r: met(r, f))))
+        return F.struct(span_of(F.col("_columns"), chars).alias("span"), F.array_distinct(found).alias("found"))
+
+    rows = rows.select("master", "header", letters(F.col("sequence"), made).alias("_m")).select("master", "header", "_m.span", F.explode_outer("_m.found").alias("f"))
     hit = best.select(F.col("query").alias("_q"), F.col("reference").alias("_r"))
-    out = out.join(hit, F.col("header") == F.col("_q"), "left")
+    out = rows.join(hit, F.col("header") == F.col("_q"), "left")
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("NA"))
-    return out.select(F.col("header").alias("accession"), F.lit(master).alias("master_ref_accession"), F.coalesce("_r", F.lit(master)).alias("reference_accession"), text("_span.first").alias("aln_start"), text("_span.last").alias("aln_end"), text("start").alias("cds_start"), text("end").alias("cds_end"), text("product").alias("product"), text("genome_coverage").alias("genome_coverage")).distinct()
+    return out.select(F.col("header").alias("accession"), F.col("master").alias("master_ref_accession"), F.coalesce("_r", "master").alias("reference_accession"), text("span.first").alias("aln_start"), text("span.last").alias("aln_end"), text("f.start").alias("cds_start"), text("f.end").alias("cds_end"), text("f.product").alias("product"), text("f.coverage").alias("genome_coverage")).distinct()
 
 
 def new_accessions(matrix: DataFrame, queries: DataFrame, references: DataFrame) -> DataFrame:
