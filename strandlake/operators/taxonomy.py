@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions.blanks import blank_taxon
 from strandlake.operators.ranking import common_names, keep_one
+from strandlake.operators.shared import written
 
 # Ranks that become columns of a lineage; 'order' is a word of SQL, so its column is order_category.
 RANKS = ["superkingdom", "phylum", "class", "order", "family", "genus", "species"]
@@ -17,25 +18,24 @@ def wanted_taxa(df: DataFrame, column: str = "host_taxa_id") -> DataFrame:
     return df.filter(~blank_taxon(F.col(column))).select(F.trim(column).cast("bigint").alias("tax_id")).distinct()
 
 
-def ancestors(wanted: DataFrame, nodes: DataFrame, levels: int = 100) -> DataFrame:
+def ancestors(wanted: DataFrame, nodes: DataFrame) -> DataFrame:
     """(tax_id, ancestor, depth): every ancestor of each wanted id, itself at depth 0; a self-parent or a cycle ends the walk.
 
-    The recursion starts from the wanted ids alone and carries the ids on the way, so it ends on cyclic data too.
+    By doubling: each round goes as many steps at once as all rounds before it, so that depth d takes about log2(d) rounds. Steps
+    lead from every node, walks from the wanted ids alone. A walk that comes back to an ancestor keeps its first place, and
+    rounds end when none finds an ancestor that is new.
     """
-    up = nodes.select(F.col("tax_id").cast("bigint").alias("tax_id"), F.col("parent_tax_id").cast("bigint").alias("parent_tax_id"))
-    start = wanted.select(F.col("tax_id").cast("bigint").alias("tax_id"))
-    return wanted.sparkSession.sql(
-        f"""
-        WITH RECURSIVE walk(tax_id, ancestor, depth, way) MAX RECURSION LEVEL {int(levels)} AS (
-          SELECT tax_id, tax_id, 0, array(tax_id) FROM {{start}}
-          UNION ALL
-          SELECT w.tax_id, n.parent_tax_id, w.depth + 1, array_append(w.way, n.parent_tax_id)
-          FROM walk w JOIN {{up}} n ON n.tax_id = w.ancestor
-          WHERE n.parent_tax_id IS NOT NULL AND NOT array_contains(w.way, n.parent_tax_id))
-        SELECT tax_id, ancestor, depth FROM walk LIMIT ALL""",  # LIMIT ALL lifts the recursion's limit of a million rows
-        start=start,
-        up=up,
-    )
+    up = nodes.select(F.col("tax_id").cast("bigint").alias("at"), F.col("parent_tax_id").cast("bigint").alias("to"))
+    step = written(up.filter("at != to").distinct(), "steps")
+    walk = written(wanted.select(F.col("tax_id").cast("bigint").alias("tax_id")).distinct().select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("depth")), "walk")
+    length, known = 1, walk.count()
+    while True:
+        further = walk.join(step, F.col("ancestor") == F.col("at")).select("tax_id", F.col("to").alias("ancestor"), (F.col("depth") + length).alias("depth"))
+        after = written(walk.unionByName(further).groupBy("tax_id", "ancestor").agg(F.min("depth").alias("depth")), "walk")
+        if (n := after.count()) == known:
+            return after
+        walk, known, length = after, n, 2 * length
+        step = written(step.join(step.select(F.col("at").alias("to"), F.col("to").alias("next")), "to").select("at", F.col("next").alias("to")).distinct(), "steps")
 
 
 def scientific_names(names: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from strandlake.functions import blanks, dates, sequence, text
 from strandlake.operators import alignment, curation, merge, quality, ranking, taxonomy, trees, validation
+from strandlake.operators.shared import work_path
+from strandlake.operators.store import TableStore
 from strandlake.streaming import batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +68,16 @@ def keyed_append(t):
     return merge.keyed_append(orders.filter("o_orderkey % 10 = 0"), orders.filter("o_orderkey % 10 != 0"), ["o_custkey"], "o_orderkey")[0]
 
 
+@query("SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 3, o_orderkey) = 1")
+def stored_append(t):
+    """Orders in three batches through the table store: the first order of each customer stays."""
+    orders = t("orders").select("o_custkey", "o_orderkey")
+    store = TableStore(orders.sparkSession, work_path(orders.sparkSession))
+    for k in range(3):
+        store.append_new("orders", orders.filter(F.col("o_orderkey") % 3 == k), datetime(2024, 1, 1), "o_orderkey")
+    return store.read("orders")
+
+
 @query("SELECT DISTINCT 'orders' AS table_name, o_custkey::VARCHAR AS key, 'duplicate key' AS reason, TIMESTAMP '2024-01-01 00:00:00' AS date FROM orders WHERE o_orderkey % 10 != 0 AND o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey % 10 = 0)")
 def duplicate_ledger(t):
     orders = t("orders").select("o_custkey", "o_orderkey")
@@ -170,6 +182,20 @@ def overlaps(t):
     return alignment.overlaps(ranges, features).select("event_id", "product", "aln_start", "aln_end")
 
 
+SPANS = ("CASE WHEN event_id % 50 = 7 THEN 4000 + user_id * 3 ELSE user_id % 40 END", "CASE WHEN p_partkey % 40 = 3 THEN 90000 ELSE p_size * 5 END")
+
+
+@query(f"""WITH f AS (SELECT p_partkey AS part, p_partkey * 50 AS a, p_partkey * 50 + {SPANS[1]} AS b FROM part), e AS (SELECT event_id * 13 % 100000 AS s, event_id * 13 % 100000 + {SPANS[0]} AS e FROM events)
+SELECT part, count(*) AS ranges, sum(least(e, b) - greatest(s, a) + 1)::BIGINT AS shared FROM e JOIN f ON e >= a AND s <= b GROUP BY part""")
+def nested_overlaps(t):
+    """Long and short ranges against long and short features, in nested bins."""
+    start = F.expr("event_id * 13 % 100000")
+    ranges = t("events").select(start.alias("start"), (start + F.expr(SPANS[0])).alias("end"))
+    features = t("part").select((F.col("p_partkey") * 50).alias("feature_start"), (F.col("p_partkey") * 50 + F.expr(SPANS[1])).alias("feature_end"), F.col("p_partkey").alias("product"))
+    met = alignment.overlaps(ranges, features, bin_width=64, small=0)
+    return met.groupBy(F.col("product").alias("part")).agg(F.count(F.lit(1)).alias("ranges"), F.sum(F.col("aln_end") - F.col("aln_start") + 1).alias("shared"))
+
+
 @query("""WITH f AS (SELECT p_partkey AS o, p_partkey * 30 AS a, p_partkey * 30 + 100 AS b FROM part), n AS (SELECT e.event_id AS id, event_id % 5000 AS s, event_id % 5000 + 95 + user_id % 10 AS e, a, b, o FROM events e JOIN f ON abs(event_id % 5000 - a) <= 10 AND abs(event_id % 5000 + 95 + user_id % 10 - b) <= 10)
 SELECT id, CASE WHEN s > a THEN '<' ELSE '' END || s AS start_mark, CASE WHEN e < b THEN '>' ELSE '' END || e AS end_mark FROM n QUALIFY row_number() OVER (PARTITION BY id ORDER BY o) = 1""")
 def within_tolerance(t):
@@ -401,6 +427,29 @@ def feature_table(t):
     return alignment.feature_table(master.union(rows), "master", features, best)
 
 
+MASTERS = {"m0": "-ACGT" * 10, "m2": "AC-GT" * 10, "m4": "ACGT-" * 10}
+OWN_COLUMNS = "list_filter(range(1, 51), lambda i: (i - 1) % 5 != g)"
+OWN_SPAN = f"list_filter(range(1, 41), lambda n: s[({OWN_COLUMNS})[n]:({OWN_COLUMNS})[n]] != '-')"
+
+
+@query(f"""WITH f(a, b, product) AS (VALUES {', '.join(f"({a}, {b}, '{p}')" for a, b, p in FEATURES)}), v(g, m) AS (VALUES {', '.join(f"({name[1]}, '{row}')" for name, row in MASTERS.items())}),
+l AS (SELECT 'p' || p_partkey AS id, 2 * (p_partkey % 3) AS g, s FROM ({LAID}) UNION ALL SELECT 'm' || g, g, m FROM v), o AS (SELECT g, a + g AS a, b + g AS b, product FROM f, v),
+mv AS (SELECT DISTINCT id, g, s, {MOVED.format('a')} AS x, {MOVED.format('b')} AS y FROM l JOIN o USING (g)), ok AS (FROM mv WHERE x != y),
+hit AS (SELECT id, g, x, y, product, printf('%.2f', 100.0 * len(list_filter(({OWN_COLUMNS})[a:b], lambda i: s[i:i] NOT IN ('-', 'N', 'n'))) / len(({OWN_COLUMNS})[a:b])) AS cov FROM ok JOIN o USING (g) WHERE y >= a AND x <= b),
+bare AS (SELECT id FROM l WHERE id NOT IN (SELECT id FROM ok) UNION SELECT id FROM ok ANTI JOIN hit USING (id, x, y)),
+r AS (SELECT id, x::VARCHAR AS cds_start, y::VARCHAR AS cds_end, product, cov FROM hit UNION SELECT id, 'NA', 'NA', 'NA', 'NA' FROM bare)
+SELECT id AS accession, 'm' || g AS master_ref_accession, 'm' || g AS reference_accession, coalesce(list_min({OWN_SPAN})::VARCHAR, 'NA') AS aln_start, coalesce(list_max({OWN_SPAN})::VARCHAR, 'NA') AS aln_end,
+cds_start, cds_end, product, cov AS genome_coverage FROM r JOIN l USING (id)""")
+def feature_tables(t):
+    """The alignments of three masters, each with its own annotation, in one call."""
+    spark = t("part").sparkSession
+    masters = spark.createDataFrame([(name, name, row) for name, row in MASTERS.items()], "master string, header string, sequence string")
+    key = F.col("p_partkey")
+    rows = _laid(t).select(F.concat(F.lit("m"), (2 * (key % 3)).cast("string")).alias("master"), F.concat(F.lit("p"), key.cast("string")).alias("header"), F.col("s").alias("sequence"))
+    features = spark.createDataFrame([(name, a + int(name[1]), b + int(name[1]), p) for name in MASTERS for a, b, p in FEATURES], "master string, feature_start int, feature_end int, product string")
+    return alignment.feature_tables(masters.unionByName(rows), features, spark.createDataFrame([], "query string, reference string"))
+
+
 @query("SELECT p_partkey, p_type[:3] || p_type[5:8] || p_type[10:] AS cut FROM part")
 def trim_ranges(t):
     return t("part").select("p_partkey", sequence.trimmed(F.col("p_type"), ":3,5:8,10:").alias("cut"))
@@ -624,6 +673,35 @@ def tree_leaves(t):
     return trees.leaves(rows.select("n_regionkey", F.concat(F.lit("("), "x", F.lit(");")).alias("newick")))
 
 
+OTHER = "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN c_mktsegment ELSE CAST(c_custkey % 3 AS STRING) END"
+
+
+@query(f"""WITH l AS (SELECT c_nationkey AS pair, c_custkey AS leaf, c_mktsegment AS a, {OTHER} AS b FROM customer), n AS (SELECT pair, count(*) AS shared FROM l GROUP BY pair),
+s AS (SELECT pair, 'a' AS side, list_sort(list(leaf)) AS leaves FROM l GROUP BY pair, a UNION ALL SELECT pair, 'b', list_sort(list(leaf)) FROM l GROUP BY pair, b),
+c AS (SELECT pair, leaves, bool_or(side = 'a')::INT AS in_a, bool_or(side = 'b')::INT AS in_b FROM s JOIN n USING (pair) WHERE shared >= 4 AND len(leaves) >= 2 AND shared - len(leaves) >= 2 GROUP BY pair, leaves)
+SELECT pair, shared::INTEGER AS shared_taxa, coalesce(sum(in_a), 0)::INTEGER AS splits_a, coalesce(sum(in_b), 0)::INTEGER AS splits_b, coalesce(sum((in_a + in_b = 1)::INT), 0)::INTEGER AS rf, max(CASE WHEN shared >= 4 THEN 2 * (shared - 3) ELSE 0 END)::INTEGER AS max_rf,
+CASE WHEN shared >= 4 THEN coalesce(sum((in_a + in_b = 1)::INT), 0) / (2.0 * (shared - 3)) ELSE 0 END::DOUBLE AS normalized_rf, 0 AS unique_to_a, 0 AS unique_to_b FROM n LEFT JOIN c USING (pair) GROUP BY pair, shared""")
+def tree_distance(t):
+    """A nation's customers as two trees, by market segment and by another rule; halves may not occur twice, as the leaves' order is theirs."""
+    def grown(by: str, side: str) -> DataFrame:
+        groups = t("customer").groupBy("c_nationkey", F.expr(by).alias("g")).agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list("c_custkey")).cast("array<string>"), ","), F.lit(")")).alias("x"))
+        return groups.groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_list("x")), ",").alias("x")).select(F.concat(F.lit(side), F.col("c_nationkey").cast("string")).alias("tree"), F.concat(F.lit("("), "x", F.lit(");")).alias("newick"))
+
+    pairs = t("customer").select(F.col("c_nationkey").alias("pair")).distinct().select("pair", *(F.concat(F.lit(side), F.col("pair").cast("string")).alias(side) for side in "ab"))
+    return trees.tree_distances(pairs, grown("c_mktsegment", "a").unionByName(grown(OTHER, "b")), canonical_halves=True)
+
+
+OLD_TREES = "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN ' ' ELSE p_brand END AS name, CASE WHEN p_partkey % 2 = 0 THEN p_type END AS tree_name, CASE WHEN p_partkey % 7 = 0 THEN '' ELSE p_name END AS newick, CAST(p_size % 10 AS STRING) AS chromosome, p_size % 4 AS segment_number FROM {}"
+
+
+@query(f"""WITH o AS (SELECT p_partkey, coalesce(nullif(trim(name), ''), nullif(trim(tree_name), ''), 'tree_dir_tree') AS name, chromosome AS segment_key, segment_number::VARCHAR AS segment, trim(newick) AS newick FROM ({OLD_TREES.format('part')}) WHERE trim(newick) != '')
+SELECT name, 'tree_dir' AS source, segment_key, segment, newick FROM o WHERE (name, segment_key, segment) NOT IN (SELECT p_brand, CAST(p_size % 10 AS STRING), '1' FROM part) QUALIFY row_number() OVER (PARTITION BY name, segment_key, segment ORDER BY p_partkey) = 1""")
+def migrated_trees(t):
+    old = t("part").sparkSession.sql(OLD_TREES.format("{part}"), part=t("part"))
+    held = t("part").select(F.col("p_brand").alias("name"), F.lit("tree_dir").alias("source"), (F.col("p_size") % 10).cast("string").alias("segment_key"), F.lit("1").alias("segment"))
+    return trees.migrated_trees(old, held, datetime(2024, 1, 1), "p_partkey").select("name", "source", "segment_key", "segment", "newick")
+
+
 @query()
 def longest_frame(t):
     return t("documents").select("doc_id", sequence.longest_frame(F.regexp_replace(F.upper("text"), "[^ACGT]", "")).alias("x")).select("doc_id", "x.frame", "x.start", "x.protein")

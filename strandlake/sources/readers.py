@@ -201,33 +201,43 @@ def submission_metadata(spark: SparkSession, path: str, required: list[str]) ->
     return rows
 
 
-def sqlite_table(spark: SparkSession, path: str, name: str, chunk: int = 50_000) -> DataFrame:
-    """A table of an old single-file store; every column is text. The file goes to the executors, where tasks read ranges of rows."""
+def sqlite_table(spark: SparkSession, path: str, name: str, chunk: int = 50_000, columns: list[str] | None = None) -> DataFrame:
+    """A table of an old single-file store, or some of its columns; every column is text.
+
+    The file goes to the executors, where each task reads a range of row ids. Ranges hold chunk rows each, however far ids lie apart.
+    """
     import os
     import sqlite3
 
     import pyarrow as pa
     from pyspark import SparkFiles
 
+    quoted = lambda n: '"' + n.replace('"', '""') + '"'
     with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as store:
-        columns = [row[1] for row in store.execute(f'PRAGMA table_info("{name}")')]
-        if not columns:
+        held = [row[1] for row in store.execute(f"PRAGMA table_info({quoted(name)})")]
+        if not held:
             raise ValueError(f"no table {name} in {path}")
+        if missing := [c for c in columns or [] if c not in held]:
+            raise ValueError(f"{name} has no columns {missing}")
+        columns = columns or held
         try:
-            first, last = store.execute(f'SELECT min(rowid), max(rowid) FROM "{name}"').fetchone()
+            ranked = f"SELECT rowid AS id, (row_number() OVER (ORDER BY rowid) - 1) / {int(chunk)} AS k FROM {quoted(name)}"
+            ranges = store.execute(f"SELECT min(id), max(id) FROM ({ranked}) GROUP BY k ORDER BY k").fetchall()
         except sqlite3.OperationalError:  # a table without row ids is read as one range
-            first, last = None, None
-        by_range = first is not None
+            ranges = [None]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    if not ranges:
+        return spark.createDataFrame([], schema)
     spark.sparkContext.addFile(path)
     file = os.path.basename(path)
-    tasks = (last - first) // chunk + 1 if by_range else 1
+    select = f"SELECT {', '.join(map(quoted, columns))} FROM {quoted(name)}"
 
     def run(batches):
         with sqlite3.connect(f"file:{SparkFiles.get(file)}?mode=ro", uri=True) as store:
             for batch in batches:
                 for k in batch.column(0).to_pylist():
-                    found = store.execute(f'SELECT * FROM "{name}" WHERE rowid BETWEEN ? AND ?', (first + k * chunk, first + (k + 1) * chunk - 1)) if by_range else store.execute(f'SELECT * FROM "{name}"')
+                    found = store.execute(select) if ranges[k] is None else store.execute(f"{select} WHERE rowid BETWEEN ? AND ?", ranges[k])
                     while rows := found.fetchmany(10_000):
                         yield pa.RecordBatch.from_arrays([pa.array([None if v is None else str(v) for v in column], "string") for column in zip(*rows, strict=True)], columns)
 
-    return spark.range(0, tasks, 1, tasks).mapInArrow(run, T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+    return spark.range(0, len(ranges), 1, len(ranges)).mapInArrow(run, schema)

@@ -10,6 +10,7 @@ from strandlake.functions.sequence import base_counts
 from strandlake.functions.text import country_part, locality_part
 from strandlake.operators.quality import excluded_records, unverified
 from strandlake.operators.ranking import keep_one
+from strandlake.operators.shared import written
 
 # The record's scalar elements and the columns that they become.
 SCALARS = {
@@ -43,6 +44,25 @@ def record_files(spark: SparkSession, path: str, malformed: str = "FAILFAST") ->
     return reader.load(path) if path.lower().endswith(".xml") else reader.option("pathGlobFilter", "*.[xX][mM][lL]").load(path)
 
 
+def whole_files(spark: SparkSession, path: str, root: str = "GBSet") -> tuple[DataFrame, DataFrame]:
+    """(records, skipped) of a file or folder: files with a malformed record, or whose root element isn't closed, are left out as a whole.
+
+    skipped: file, reason. A record that can't be read carries its text up to its file, and an anti join by file takes all its records away.
+    """
+    pattern = "*" if path.lower().endswith(".xml") else "*.[xX][mM][lL]"
+    reader = spark.read.format("xml").option("rowTag", "GBSeq").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+    marked = reader.option("pathGlobFilter", pattern).schema(SCHEMA + ", `_corrupt` string").load(path)
+    also = F.length(F.coalesce("GBSeq_locus", F.lit(""))) >= 0  # always so: Spark doesn't read the text of bad records alone
+    broken = marked.filter(F.col("_corrupt").isNotNull() & also).select(F.col("_metadata.file_path").alias("file"), F.lit("malformed record").alias("reason"))
+    lines = spark.read.option("pathGlobFilter", pattern).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    counts = lines.groupBy("file").agg(F.sum(F.regexp_count("value", F.lit(rf"<{root}[\s>]"))).alias("opened"), F.sum(F.regexp_count("value", F.lit(rf"</{root}\s*>"))).alias("closed"))
+    unclosed = counts.filter("opened != closed").select("file", F.lit("root element not closed").alias("reason"))
+    skipped = written(broken.unionByName(unclosed).groupBy("file").agg(F.min("reason").alias("reason")), "skipped-files")
+    named = skipped.select(F.col("file").alias("_file"))
+    records = marked.filter(F.col("_corrupt").isNull() & also).join(named, F.col("_metadata.file_path") == F.col("_file"), "left_anti").drop("_corrupt")
+    return records, skipped.select(F.element_at(F.split("file", "/"), -1).alias("file"), "reason")
+
+
 def files_with(records: DataFrame, wanted: DataFrame) -> DataFrame:
     """(file, accession) of the wanted accessions (accession) that the record files hold."""
     held = records.select(F.col("_metadata.file_name").alias("file"), F.col("GBSeq_primary-accession").alias("accession"))
