@@ -8,7 +8,8 @@ united, and every class is searched for from the shard's medoid along them. What
 all it is linked to among its neighbours, by exact cosines. Neighbours in shards that a query was not searched in are met by
 joins, round by round, until no link is new.
 
-A link is counted in the first shard that holds both ends, so links are counted where they are found and not written out. Groups
+A link is counted in the first shard that holds both ends, so links are counted where they are found and not written out; if that
+shard's search missed a link of a small group that another one finds, and one end has no other link, it is added. Groups
 too large for one shard are certified instead of compared: all classes within half the threshold's angle of a leader are linked
 with one another (the triangle inequality), so only their number is needed.
 
@@ -36,6 +37,8 @@ THRESHOLD = 0.93
 CAPACITY, TARGET, OVERLAP, SAMPLE, FAN = 2048, 1024, 3, 1024, 64
 #: Splits after which a cell stays as it is, rows of a cell that one task deals out, and sampled classes that a leader must have near it.
 MOST_SPLITS, DEALT, SUPPORT = 40, 65_536, 8
+#: Members of a group whose links found in a later shard are written out.
+SMALL = 16
 #: Queries of the audit; each is compared with all rows.
 AUDITED = 256
 
@@ -46,16 +49,17 @@ def directions(rows: DataFrame, id_column: str, vector: str, label: str) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, units = [], []
-            for labelled, values in zip(batch.column(1).is_valid().to_pylist(), batch.column(2).to_pylist(), strict=True):
-                v = np.array(values, "f8") if labelled and values else np.zeros(0)  # a null component becomes nan
-                most = np.abs(v).max(initial=0)
-                unit = None
-                if 0 < most < np.inf:
-                    unit = v / most
-                    unit = np.round(unit / np.linalg.norm(unit), 12) + 0.0
-                units.append(unit)
-                keys.append(None if unit is None else blake2b(unit.tobytes(), digest_size=16).digest())
+            keys, units = [None] * len(batch), [None] * len(batch)
+            size = batch.column(2).value_lengths().fill_null(0).to_numpy()
+            for d in set(size[size > 0].tolist()):
+                rows = np.flatnonzero((size == d) & batch.column(1).is_valid().to_numpy(zero_copy_only=False))
+                v = matrix(batch.column(2).take(pa.array(rows))) if len(rows) else np.zeros((0, d))  # a null component becomes nan
+                most = np.abs(v).max(1)
+                able = (most > 0) & (most < np.inf)
+                unit = v[able] / most[able, None]
+                unit = np.round(unit / np.linalg.norm(unit, axis=1)[:, None], 12) + 0.0
+                for i, u in zip(rows[able].tolist(), unit, strict=True):
+                    units[i], keys[i] = u, blake2b(u.tobytes(), digest_size=16).digest()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, "binary"), pa.array(units, pa.list_(pa.float64()))], ["id", "label", "key", "unit"])
 
     kinds = [rows.schema[c].dataType.simpleString() for c in (id_column, label)]
@@ -188,30 +192,37 @@ def shards(nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
 NEAR = "array<struct<node: bigint, cosine: double, leaves: array<bigint>, clique: string>>"
 
 
-def built(rows: DataFrame) -> DataFrame:
-    """(node, near): for each shard its nodes' edges, with the cosine and the shards of the other end."""
+def widest(threshold: float) -> float:
+    """The least cosine between two vectors that a third may be linked to."""
+    return float(np.cos(min(np.pi, 2 * np.arccos(threshold)))) - 1e-9
+
+
+def built(rows: DataFrame, threshold: float) -> DataFrame:
+    """(node, near): its edges in all its shards with their cosines and, where a link may lead on along them, the shards and clique of the other end."""
+    least = widest(threshold)
+
     def run(key: tuple[pa.Scalar, ...], found: pa.Table) -> pa.Table:
         found = found.combine_chunks().sort_by("node")
         x = matrix(found.column("unit").chunk(0))
         edges = vector_graph.build(x.astype("f4"))
         here = edges >= 0
         source, target = np.nonzero(here)[0], edges[here]
-        at = pa.array(target)
-        entry = pa.StructArray.from_arrays(
-            [found.column(c).chunk(0).take(at) if c != "cosine" else pa.array(np.einsum("nd,nd->n", x[source], x[target])) for c in ("node", "cosine", "leaves", "clique")], ["node", "cosine", "leaves", "clique"]
-        )
+        cosine = np.einsum("nd,nd->n", x[source], x[target])
+        on = pa.array(target, mask=cosine < least)
+        parts = [found.column("node").chunk(0).take(pa.array(target)), pa.array(cosine), *(found.column(c).chunk(0).take(on) for c in ("leaves", "clique"))]
+        entry = pa.StructArray.from_arrays(parts, ["node", "cosine", "leaves", "clique"])
         ends = np.concatenate([[0], np.cumsum(here.sum(1))]).astype("i4")
         return pa.table({"node": found.column("node"), "near": pa.ListArray.from_arrays(pa.array(ends), entry)})
 
     lists = rows.select("cell", "node", "unit", "leaves", "clique").groupBy("cell").applyInArrow(run, f"node long, near {NEAR}")
-    return lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    return lists.groupBy("node").agg(F.flatten(F.collect_list("near")).alias("near"))
 
 
 def searched(rows: DataFrame, threshold: float) -> DataFrame:
     """(a, b, n) for each shard's rows (cell, node, unit, n, clique, leaves, near).
 
     With b null: a has links to n vectors that are to be counted in this shard. With n null: a and b are in one group. With n -1: a
-    and b may be linked, and share no shard.
+    and b may be linked, and share no shard; with n -2 they are linked, and an earlier shard should have counted that.
     """
     reach = np.arccos(threshold)
 
@@ -230,16 +241,17 @@ def in_shard(found: pa.Table, threshold: float, reach: float) -> pa.Table:
     source, other, cosine = np.repeat(np.arange(len(node)), size), entries.field("node").to_numpy(), entries.field("cosine").to_numpy()
     place = np.minimum(np.searchsorted(node, other), len(node) - 1)
     inside = node[place] == other
-    degree = np.bincount(source[inside], minlength=len(node))
+    start, end = np.divmod(np.unique(source[inside] * len(node) + place[inside]), len(node))  # an edge may be in the lists of several shards
+    degree = np.bincount(start, minlength=len(node))
     edges = np.full((len(node), max(1, int(degree.max(initial=0)))), -1)
-    edges[source[inside], np.arange(inside.sum()) - np.repeat(np.cumsum(degree) - degree, degree)] = place[inside]
+    edges[start, np.arange(len(start)) - np.repeat(np.cumsum(degree) - degree, degree)] = end
     group = grouped(x, edges, threshold)
     own_leaf = int(found.column("leaf")[0].as_py())
     leaves = found.column("leaves").to_pylist()
     clique = np.unique(np.array([c or "" for c in found.column("clique").to_pylist()]), return_inverse=True)
     no_clique = np.array([c == "" for c in clique[0]])[clique[1]]
-    links, outside, starts = np.zeros(len(node), "i8"), [np.zeros((2, 0), "i8")], [np.zeros((2, 0), "i8")]
-    beyond = np.flatnonzero(~inside & (np.arccos(np.clip(cosine, -1, 1)) <= 2 * reach))
+    links, (outside, starts, later) = np.zeros(len(node), "i8"), ([np.zeros((2, 0), "i8")] for _ in range(3))
+    beyond = np.flatnonzero(~inside & (cosine >= widest(threshold)))
     if len(beyond):
         far_leaves, far_clique = (entries.field(c).take(pa.array(beyond)).to_pylist() for c in ("leaves", "clique"))
         of = {i: np.flatnonzero(source[beyond] == i) for i in np.unique(source[beyond]).tolist()}
@@ -257,8 +269,11 @@ def in_shard(found: pa.Table, threshold: float, reach: float) -> pa.Table:
             cosines = x[part] @ x[members].T
             linked = cosines >= threshold
             linked[part[:, None] == members[None]] = False
-            counted = linked & (held[a : a + 512] @ held.T == 0) & ((clique[1][part][:, None] != clique[1][members][None]) | no_clique[part][:, None])
-            links[part] += counted @ n[members]
+            linked_apart = linked & ((clique[1][part][:, None] != clique[1][members][None]) | no_clique[part][:, None])
+            first = held[a : a + 512] @ held.T == 0
+            links[part] += (linked_apart & first) @ n[members]
+            if len(members) <= SMALL:
+                later.append(node[members[np.stack(np.nonzero(np.triu(linked_apart & ~first)))]])
             for column, i in enumerate(members.tolist()):
                 for e in of.get(i, ()) if len(beyond) else ():
                     at = beyond[e]
@@ -268,12 +283,12 @@ def in_shard(found: pa.Table, threshold: float, reach: float) -> pa.Table:
                     outside.append(np.stack([node[ask], np.full(len(ask), other[at])]))
     some = np.flatnonzero(links)
     pairs = np.unique(np.sort(np.concatenate(outside, 1), axis=0), axis=1)
-    forest = np.concatenate(starts, 1)
+    forest, missed = np.concatenate(starts, 1), np.concatenate(later, 1)
     blank = lambda k: pa.nulls(k, "int64")
     return pa.table({
-        "a": pa.concat_arrays([pa.array(node[some]), pa.array(forest[0]), pa.array(pairs[0])]),
-        "b": pa.concat_arrays([blank(len(some)), pa.array(forest[1]), pa.array(pairs[1])]),
-        "n": pa.concat_arrays([pa.array(links[some]), blank(forest.shape[1]), pa.array(np.full(pairs.shape[1], -1))]),
+        "a": pa.concat_arrays([pa.array(node[some]), pa.array(forest[0]), pa.array(pairs[0]), pa.array(missed[0])]),
+        "b": pa.concat_arrays([blank(len(some)), pa.array(forest[1]), pa.array(pairs[1]), pa.array(missed[1])]),
+        "n": pa.concat_arrays([pa.array(links[some]), blank(forest.shape[1]), pa.array(np.full(pairs.shape[1], -1)), pa.array(np.full(missed.shape[1], -2))]),
     })
 
 
@@ -346,7 +361,7 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector: str = "embe
     where = placed.groupBy("node").agg(F.sort_array(F.collect_set(leaf)).alias("leaves"))
     nodes = materialize(classes.select("node", "unit", "n").join(where, "node").join(known, "node", "left"), "graph-nodes")
     inside = placed.select("cell", leaf.alias("leaf"), "node").join(nodes, "node")
-    lists = materialize(built(inside), "adjacency-lists")
+    lists = materialize(built(inside, threshold), "adjacency-lists")
     found = materialize(searched(inside.join(lists, "node"), threshold), "shard-links")
     pairs = found.filter("n = -1").select("a", "b").distinct()
     crossing = fresh = materialize(verified(pairs, nodes, threshold), "crossing-links")
@@ -361,7 +376,15 @@ def near_vectors(rows: DataFrame, id_column: str = "vec_id", vector: str = "embe
     roots = components(ends)
     counts = found.filter("b IS NULL").select(F.col("a").alias("node"), F.col("n").alias("links"))
     counts = counts.unionByName(crossing.select(F.col("a").alias("node"), F.col("n_b").alias("links"))).unionByName(crossing.select(F.col("b").alias("node"), F.col("n_a").alias("links")))
-    counts = counts.unionByName(in_clique.select("node", (F.col("total") - F.col("n")).alias("links"))).groupBy("node").agg(F.sum("links").alias("links"))
+    counts = materialize(counts.unionByName(in_clique.select("node", (F.col("total") - F.col("n")).alias("links"))).groupBy("node").agg(F.sum("links").alias("links")), "link-counts")
+    missed = found.filter("n = -2").select("a", "b").distinct()
+    for end in "ab":
+        known_end = counts.select(F.col("node").alias(end), F.col("links").alias(f"links_{end}"))
+        missed = missed.join(known_end, end, "left").join(nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}")), end)
+    missed = materialize(missed.filter("links_a IS NULL OR links_b IS NULL"), "missed-links")
+    for end, other in ("ab", "ba"):
+        counts = counts.unionByName(missed.select(F.col(end).alias("node"), F.col(f"n_{other}").alias("links")))
+    counts = counts.groupBy("node").agg(F.sum("links").alias("links"))
     whole = classes.select("label", "key", "node", "n", "first").join(roots.withColumnRenamed("fp", "node"), "node", "left").join(counts, "node", "left")
     whole = whole.withColumn("root", F.coalesce("root", "node"))
     named = whole.groupBy("root").agg(F.min("first").alias("best"))
