@@ -19,29 +19,37 @@ def greedy(x: np.ndarray, edges: np.ndarray, start: int, queries: np.ndarray, be
 
     Every step expands, for all queries that are still on their way, the nearest node in the beam not yet expanded.
     """
-    q = len(queries)
+    q, width = len(queries), beam + edges.shape[1]
     seen = np.zeros((q, len(x)), bool)
     seen[:, start] = True
-    ids, near = np.full((q, beam), -1), np.full((q, beam), -np.inf, "f4")
-    ids[:, 0], near[:, 0] = start, queries @ x[start]
-    open_, live, visited = near > -np.inf, np.arange(q), []
+    found_ids, found_near = np.full((q, beam), -1), np.full((q, beam), -np.inf, "f4")
+    # Of the queries on their way: places of those kept so far, then of those just met; what is expanded or empty is not open.
+    live = np.arange(q)
+    ids, near, open_ = np.full((q, width), -1), np.full((q, width), -np.inf, "f4"), np.zeros((q, width), bool)
+    ids[:, 0], near[:, 0], open_[:, 0] = start, queries @ x[start], True
+    visited = []
     while len(live):
-        at = np.where(open_[live], near[live], -np.inf).argmax(1)
-        node = ids[live, at]
-        open_[live, at] = False
+        at = np.where(open_[:, :beam], near[:, :beam], -np.inf).argmax(1)
+        rows = np.arange(len(live))
+        node = ids[rows, at]
+        open_[rows, at] = False
         step = np.full(q, -1)
         step[live] = node
         visited.append(step)
         found = edges[node]
-        fresh = (found >= 0) & ~seen[live[:, None], found]
-        seen[np.broadcast_to(live[:, None], found.shape)[fresh], found[fresh]] = True
-        close = np.where(fresh, np.einsum("qd,qrd->qr", queries[live], x[found]), -np.inf).astype("f4")
-        all_ids, all_near = np.concatenate([ids[live], np.where(fresh, found, -1)], 1), np.concatenate([near[live], close], 1)
-        all_open = np.concatenate([open_[live], fresh], 1)
-        best = np.argpartition(-all_near, beam - 1, axis=1)[:, :beam]
-        ids[live], near[live], open_[live] = (np.take_along_axis(a, best, 1) for a in (all_ids, all_near, all_open))
-        live = live[open_[live].any(1)]
-    return ids, np.stack(visited, 1) if visited else np.zeros((q, 0), "i8")
+        flat = live[:, None] * len(x) + found
+        fresh = (found >= 0) & ~seen.ravel()[flat]
+        seen.ravel()[flat[fresh]] = True
+        ids[:, beam:], open_[:, beam:] = found, fresh
+        near[:, beam:] = np.where(fresh, np.matmul(x[found], queries[live][:, :, None])[:, :, 0], -np.inf)
+        best = np.argpartition(-near, beam - 1, axis=1)[:, :beam] + width * rows[:, None]
+        ids[:, :beam], near[:, :beam], open_[:, :beam] = ids.ravel()[best], near.ravel()[best], open_.ravel()[best]
+        on = open_[:, :beam].any(1)
+        if not on.all():
+            found_ids[live[~on]], found_near[live[~on]] = ids[~on, :beam], near[~on, :beam]
+            live, ids, near, open_ = live[on], ids[on], near[on], open_[on]
+    found_ids[found_near == -np.inf] = -1
+    return found_ids, np.stack(visited, 1) if visited else np.zeros((q, 0), "i8")
 
 
 def pruned(x: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
@@ -52,7 +60,7 @@ def pruned(x: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degree: int
         repeated = np.zeros(cand.shape, bool)
         repeated[:, 1:] = cand[:, 1:] == cand[:, :-1]
         vectors = x[cand]
-        far = 2 - 2 * np.einsum("bd,bcd->bc", x[own], vectors)
+        far = 2 - 2 * np.matmul(vectors, x[own][:, :, None])[:, :, 0]
         left = np.where((cand < 0) | repeated | (cand == own[:, None]), np.inf, np.maximum(far, 0))
         rows = np.arange(len(own))
         for r in range(degree):
@@ -61,7 +69,7 @@ def pruned(x: np.ndarray, nodes: np.ndarray, candidates: np.ndarray, degree: int
             if not there.any():
                 break
             out[i + rows[there], r] = cand[rows, at][there]
-            between = 2 - 2 * np.einsum("bd,bcd->bc", vectors[rows, at], vectors)
+            between = 2 - 2 * np.matmul(vectors, vectors[rows, at][:, :, None])[:, :, 0]
             left[alpha**2 * between <= far] = np.inf
             left[rows, at] = np.inf
     return out
