@@ -58,7 +58,7 @@ def whole_files(spark: SparkSession, path: str, root: str = "GBSet") -> tuple[Da
     counts = lines.groupBy("file").agg(F.sum(F.regexp_count("value", F.lit(rf"<{root}[\s>]"))).alias("opened"), F.sum(F.regexp_count("value", F.lit(rf"</{root}\s*>"))).alias("closed"))
     unclosed = counts.filter("opened != closed").select("file", F.lit("root element not closed").alias("reason"))
     skipped = written(broken.unionByName(unclosed).groupBy("file").agg(F.min("reason").alias("reason")), "skipped-files")
-    named = skipped.select(F.col("file").alias("_file")).distinct()  # which, unlike a scan, has no metadata of its own
+    named = skipped.groupBy(F.col("file").alias("_file")).agg(F.count(F.lit(1)).alias("_n"))  # which, unlike a scan, has no metadata of its own
     records = marked.filter(F.col("_corrupt").isNull() & also).join(named, F.col("_metadata.file_path") == F.col("_file"), "left_anti").drop("_corrupt")
     return records, skipped.select(F.element_at(F.split("file", "/"), -1).alias("file"), "reason")
 
