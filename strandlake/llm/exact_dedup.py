@@ -1,7 +1,7 @@
 """Exact dedup with a log-structured merge index, in DataFrame operations only.
 
-Every scan task is a memtable: its rows' digests are sorted and flushed as a run (a Parquet file with Parquet's own bloom
-filter on the digest). Runs are added to the index in BATCHES: the level's filter, of bounded size, is probed with a run's
+Every scan task is a memtable: its rows' digests are sorted and flushed as a run (a Parquet file).
+Runs are added to the index in BATCHES: the level's filter, of bounded size, is probed with a run's
 digests; compaction merges those that the level may have with what it has, keeping for each digest the row with the smallest
 doc_id and the number of rows, and takes the others as they are. Digests with several rows are hits: a filter made from them
 picks the documents whose whole texts are compared byte for byte. Only digests (and the texts of hits) are shuffled.
@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 
 from strandlake.llm.common import KeyFilter, discard, materialize, numbered, text_or_empty, without
 
-
+#: Runs are added to the index in so many batches.
 BATCHES = 4
-BLOOM = {"parquet.bloom.filter.enabled#digest": "true"}
 
 
 def normalised(name: str = "text") -> Column:
@@ -47,14 +46,14 @@ class DigestIndex:
     def _flush(self, batches: int) -> DataFrame:
         """Every scan task is a memtable, flushed as a run of the batch that its number falls in."""
         rows = self._docs.select("doc_id", F.unhex(self._digest(F.col("norm"))).alias("digest"), F.unhex(sha256(F.col("norm"))).alias("sha"), "row_id", F.pmod(F.spark_partition_id(), F.lit(batches)).alias("batch"))
-        return materialize(rows.sortWithinPartitions("digest"), "digest-runs", **BLOOM)
+        return materialize(rows.sortWithinPartitions("digest"), "digest-runs")
 
     @staticmethod
     def _run(rows: DataFrame) -> DataFrame:
         """The smallest row and the number of rows of each digest."""
         first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id"))
         merged = rows.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("group_size"))
-        return materialize(merged.sortWithinPartitions("digest"), "digest-run", **BLOOM)
+        return materialize(merged.sortWithinPartitions("digest"), "digest-run")
 
     def _add(self, run: DataFrame) -> None:
         """Compaction. The level's filter is probed with the run: digests that it surely lacks are new, and only those that both may have are merged."""
@@ -64,7 +63,7 @@ class DigestIndex:
         touched = KeyFilter(hits, key)
         merged = touched.maybe_in(old, key).unionByName(hits).groupBy("digest").agg(F.min("first").alias("first"), F.sum("group_size").alias("group_size"))
         whole = touched.surely_out(old, key).unionByName(known.surely_out(run, key)).unionByName(merged)
-        self.level = materialize(whole.sortWithinPartitions("digest"), "digest-level", **BLOOM)
+        self.level = materialize(whole.sortWithinPartitions("digest"), "digest-level")
         discard(old, run, hits)
 
     def _verified(self) -> DataFrame:
