@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from functools import cache
@@ -50,6 +51,15 @@ def discard(*written: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more: it learns of them when the driver collects its garbage.
+
+    For loops whose rounds shuffle much; without it their files lie on the executors' disks until the driver happens to collect.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -30,7 +30,7 @@ SWITCH, FLOOR = 6.0, 0.5
 SCRIPTS = (0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0xE00, 0x1000, 0x1100, 0x1200, 0x2E80, 0x3040, 0x3100, 0xAC00, 0xD7B0)
 LETTERS = regex.compile(r"\p{L}+")  # as in fit(): other numerals are no letters
 #: Known white-space-separated words that a worker keeps, and words that are labelled at once.
-KNOWN, AT_ONCE = 400_000, 1_000_000
+KNOWN, AT_ONCE = 150_000, 300_000
 
 
 def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:

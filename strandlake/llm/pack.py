@@ -28,7 +28,7 @@ from strandlake.llm.common import materialize, text_or_empty
 
 CAPACITY, END = 2048, 0
 #: Known parts of texts that a worker keeps before it starts anew.
-KNOWN = 500_000
+KNOWN = 200_000
 #: A white-space run and the word behind it, or white space at the end. Python's white space is Unicode's and ODD.
 PART, ODD = re.compile(r"\s*\S+|\s+"), r"[\x1c-\x1f]"
 #: Parts of Latin letters and other characters below this one are cut alike by every version of Unicode.

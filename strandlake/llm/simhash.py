@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import KeyFilter, discard, materialize, numbered, text_or_empty, without
+from strandlake.llm.common import KeyFilter, discard, materialize, numbered, release, text_or_empty, without
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
 #: Larger buckets are dealt out again; comparisons of a bucket run in blocks of this many rows.
@@ -171,7 +171,7 @@ CHECK_RADIUS = 20
 PIVOTS, HEAVY, SHARE = 64, 128, 2048
 #: Buckets up to this size are compared in arrays over all buckets.
 SMALL = 8
-KNOWN = 500_000
+KNOWN = 200_000
 
 
 def shingles(text: str, known: dict[bytes, int]) -> np.ndarray:
@@ -352,11 +352,14 @@ def verified_links(edges: DataFrame, texts: DataFrame, similarity: float) -> Dat
         roots = components(found)
         rest = ranked.filter(F.col("_n") > most).select("a", "b")
         for x in "ab":
-            rest = rest.join(roots.select(F.col("fp").alias(x), F.col("root").alias(f"_{x}")), x, "left")
+            known_end = roots.select(F.col("fp").alias(x), F.col("root").alias(f"_{x}"))
+            rest = rest.join(known_end, x, "left")
         rest = rest.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
         after = materialize(rest, "remaining-pairs")
         discard(asked, *([before] if before else []), *([remaining] if most > 1 else []))
         remaining, most = after, 4 * most
+        del before, roots, rest, ranked, similar_ones, known_end, after
+        release(texts.sparkSession)
 
 
 def near_groups(rows: DataFrame, row: str, similarity: float = SIMILARITY) -> DataFrame:
@@ -368,6 +371,7 @@ def near_groups(rows: DataFrame, row: str, similarity: float = SIMILARITY) -> Da
     edges = materialize(candidates(nodes), "candidates")
     asked = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().join(nodes.select("node", F.col("first.row").alias("row")), "node")
     asked = materialize(asked, "candidate-nodes")
+    release(rows.sparkSession)
     texts = KeyFilter(asked, F.col("row")).maybe_in(rows.select(F.col(row).alias("row"), text_or_empty().alias("text")), F.col("row")).join(asked, "row").select("node", "text")
     texts = materialize(texts, "candidate-texts", compression="zstd")
     linked = verified_links(edges, texts, similarity)
