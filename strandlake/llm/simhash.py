@@ -165,8 +165,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 #: Words of a shingle, least similarity, and BANDS fingerprints of BITS bits of which one must be nearly equal.
 NEAR_SHINGLE, SIMILARITY, BANDS, BITS = 5, 0.8, 12, 24
-#: Candidates' check words may differ in so many of their 64 bits; at a similarity of 0.8, 9.7 are expected, with a deviation of 2.9.
-CHECK_RADIUS = 20
+#: A sketch has WORDS words of 64 bits: those of the bands and one more. Two words of a pair may differ in CHECK_RADIUS bits, two
+#: sketches in SKETCH_RADIUS; at a similarity of 0.8, at most 9.7 and 58 are expected, with deviations of 2.9 and 7.0.
+WORDS = -(-BANDS * BITS // 64) + 1
+CHECK_RADIUS, SKETCH_RADIUS = 20, 96
 #: Members of one band value that emit its variants, where more than HEAVY share it, and members that are compared at once.
 PIVOTS, HEAVY, SHARE = 64, 128, 2048
 #: Buckets up to this size are compared in arrays over all buckets.
@@ -202,21 +204,20 @@ SPREAD = np.unpackbits(np.arange(256, dtype="u1")[:, None], axis=1, bitorder="li
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
-    """BANDS * BITS + 64 bits: one is set if it is in over half of the values derived from the shingles' hashes."""
-    n_words = -(-BANDS * BITS // 64) + 1
-    seeds = (np.arange(1, n_words + 1, dtype="u8")) * np.uint64(0x9E3779B97F4A7C15)
-    total = np.zeros(64 * n_words, "i8")
+    """WORDS * 64 bits: one is set if it is in over half of the values derived from the shingles' hashes."""
+    seeds = (np.arange(1, WORDS + 1, dtype="u8")) * np.uint64(0x9E3779B97F4A7C15)
+    total = np.zeros(64 * WORDS, "i8")
     for begin in range(0, len(hashes), 255 * 64):
         part = mixed_bits(hashes[begin : begin + 255 * 64, None] + seeds)
-        data = np.zeros((-(-len(part) // 255) * 255, 8 * n_words), "u1")
+        data = np.zeros((-(-len(part) // 255) * 255, 8 * WORDS), "u1")
         data[: len(part)] = part.astype("<u8").view("u1").reshape(len(part), -1)
-        sums = SPREAD[data].reshape(-1, 255, 8 * n_words).sum(1)  # no byte of the sums can overflow
+        sums = SPREAD[data].reshape(-1, 255, 8 * WORDS).sum(1)  # no byte of the sums can overflow
         total += sums.astype("<u8").view("u1").reshape(len(sums), -1).sum(0, dtype="i8")
     return np.packbits(2 * total > len(hashes), bitorder="little")
 
 
 def sketches(rows: DataFrame, row: str) -> DataFrame:
-    """(row, doc_id, set_key, bands, check) for each row; set_key is a digest of the text's set of shingles."""
+    """(row, doc_id, set_key, bands, words) for each row; set_key is a digest of the text's set of shingles, of which the sketch is made."""
     from hashlib import blake2b
 
     size = BANDS * BITS // 8
@@ -226,41 +227,47 @@ def sketches(rows: DataFrame, row: str) -> DataFrame:
         for batch in batches:
             keys, made = [], []
             for text in batch.column(2).to_pylist():
-                hashes = shingles(text, known)
-                keys.append(blake2b(np.unique(hashes).tobytes(), digest_size=16).digest())
+                hashes = np.unique(shingles(text, known))
+                keys.append(blake2b(hashes.tobytes(), digest_size=16).digest())
                 made.append(sketch(hashes))
-            data = np.array(made, "u1").reshape(len(made), -1)
+            data = np.array(made, "u1").reshape(len(made), 8 * WORDS)
             bands = np.zeros((len(made), BANDS, 4), "u1")
             bands[:, :, : BITS // 8] = data[:, :size].reshape(len(made), BANDS, BITS // 8)
             lists = pa.ListArray.from_arrays(np.arange(0, BANDS * len(made) + 1, BANDS, dtype="i4"), bands.view("<i4").ravel())
-            check = np.ascontiguousarray(data[:, -8:]).view("<i8").ravel()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, "binary"), lists, pa.array(check)], ["row", "doc_id", "set_key", "bands", "check"])
+            words = pa.ListArray.from_arrays(np.arange(0, WORDS * len(made) + 1, WORDS, dtype="i4"), data.view("<i8").ravel())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, "binary"), lists, words], ["row", "doc_id", "set_key", "bands", "words"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select(row, "doc_id", text_or_empty().alias("text")).mapInArrow(run, f"row long, doc_id {kind}, set_key binary, bands array<int>, check long")
+    return rows.select(row, "doc_id", text_or_empty().alias("text")).mapInArrow(run, f"row long, doc_id {kind}, set_key binary, bands array<int>, words array<long>")
 
 
 def _bucketed(nodes: DataFrame) -> DataFrame:
     """(bucket, node, check): band values meet in the buckets of their even variants within one bit, so that all within one bit do.
 
-    Where more than HEAVY nodes share a band value, PIVOTS of them (by a hash) emit its variants, and the others meet these
-    and one another in shares of about SHARE.
+    Each band checks by a word of the sketch that has none of its own bits, so that an unlucky word is one band's alone.
+    Where more than HEAVY nodes share a band value, PIVOTS of them (by a hash of their shingles) emit its variants, and the
+    others meet these and one another in shares of about SHARE.
     """
-    base = nodes.select("node", "check", F.posexplode("bands").alias("band", "value"))
+    word = F.get("words", (F.floor(F.col("band") * BITS / 64) + 2).cast("int") % WORDS)
+    base = nodes.select("node", "set_key", "words", F.posexplode("bands").alias("band", "value")).select("node", "set_key", "band", "value", word.alias("check"))
     heavy = materialize(base.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HEAVY), "heavy-bands")
     marked = base.join(heavy, ["band", "value"], "left") if not heavy.isEmpty() else base.withColumn("n", F.lit(None).cast("long"))
-    pivot = F.pmod(F.xxhash64("node", "band"), F.ceil(F.col("n") / PIVOTS)) == 0
+    pivot = F.pmod(F.xxhash64("set_key", "band"), F.ceil(F.col("n") / PIVOTS)) == 0
     flips = F.array(*(F.lit(1 << i) for i in range(BITS)))
     variants = F.when(F.bit_count("value") % 2 == 0, F.array("value")).otherwise(F.transform(flips, lambda b: F.col("value").bitwiseXOR(b)))
     light = marked.filter(F.col("n").isNull() | pivot).select("band", F.explode(variants).alias("variant"), "node", "check").select(F.xxhash64("band", "variant").alias("bucket"), "node", "check")
     shares = F.ceil(F.col("n") / SHARE)
-    share = F.when(pivot, F.sequence(F.lit(0).cast("long"), shares - 1)).otherwise(F.array(F.pmod(F.xxhash64("band", "node"), shares)))
+    share = F.when(pivot, F.sequence(F.lit(0).cast("long"), shares - 1)).otherwise(F.array(F.pmod(F.xxhash64("band", "set_key"), shares)))
     crowd = marked.filter(F.col("n").isNotNull()).select("band", "value", F.explode(share).alias("share"), "node", "check").select(F.xxhash64("band", "value", "share").alias("bucket"), "node", "check")
     return light.union(crowd)
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b): nodes of one bucket whose check words are near. Of large buckets, a spanning forest of these pairs."""
+    """(a, b, bits): nodes of one bucket whose check words and sketches are near, and in how many bits these differ.
+
+    Of a large bucket go on the pairs of its minimum spanning forest by check words, so that a pair that fails to be similar
+    stands in for a similar one only where its word is the nearer one by chance; each band has another word and another forest.
+    """
     def pairs(key: np.ndarray, node: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         check = check.view("u8")  # of signed numbers, the bits of the absolute value would be counted
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
@@ -289,28 +296,30 @@ def candidates(nodes: DataFrame) -> DataFrame:
             rest = [x[whole:].copy() for x in (key, node, check)]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs(*rest)], ["a", "b"])
 
-    found = _bucketed(nodes).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
-    return found.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # Sorted by check words as well, so that a forest does not hang on the order in which rows arrive.
+    found = _bucketed(nodes).repartition("bucket").sortWithinPartitions("bucket", "check", "node").mapInArrow(run, "a long, b long")
+    pairs_found = found.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    one, other = (nodes.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}")) for x in "ab")
+    bits = sum((F.bit_count(F.get("words_a", F.lit(i)).bitwiseXOR(F.get("words_b", F.lit(i)))) for i in range(WORDS)), F.lit(0))
+    return pairs_found.join(one, "a").join(other, "b").select("a", "b", bits.alias("bits")).filter(F.col("bits") <= SKETCH_RADIUS)
 
 
 def _forest(check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of pairs that connect the check words within CHECK_RADIUS bits, directly or through others."""
-    parent = np.arange(len(check))
+    """Places of the pairs of a minimum spanning forest of the check words, by differing bits, of at most CHECK_RADIUS.
 
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    edges = []
-    for a in range(0, len(check), BLOCK):
-        for b in range(a, len(check), BLOCK):
-            x, y = np.nonzero(np.bitwise_count(check[a : a + BLOCK, None] ^ check[None, b : b + BLOCK]) <= CHECK_RADIUS)
-            ahead = (x + a) < (y + b)
-            for i, j in zip((x[ahead] + a).tolist(), (y[ahead] + b).tolist(), strict=True):
-                if (p := find(i)) != (q := find(j)):
-                    parent[max(p, q)] = min(p, q)
-                    edges.append((i, j))
+    The tree grows by the nearest word outside of it; a bucket's size is bounded, and one row of its distances is held at a time.
+    """
+    nearest, via = np.full(len(check), 255, "u1"), np.zeros(len(check), "i8")
+    outside, at, edges = np.ones(len(check), bool), 0, []
+    for _ in range(len(check) - 1):
+        outside[at] = False
+        bits = np.bitwise_count(check ^ check[at])
+        closer = outside & (bits < nearest)
+        nearest[closer], via[closer] = bits[closer], at
+        nearest[at] = 255
+        at = int(np.argmin(nearest))
+        if nearest[at] <= CHECK_RADIUS:
+            edges.append((via[at], at))
     x, y = np.array(edges, "i8").reshape(-1, 2).T
     return x, y
 
@@ -334,31 +343,30 @@ def similar(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def verified_links(edges: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): similar pairs among edges (a < b) that connect all that any similar pairs connect.
+def verified_roots(edges: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(fp, root) for each node that similar pairs among edges (a, b, bits; a < b) connect to others, as of ``components``.
 
-    A large group has far more candidates than members. So every node first asks for one of them, then, of those that do not join
-    what is joined already, for four times as many in each round. texts: node, text.
+    A large group has far more candidates than members. So every node first asks for its nearest one, then, of those that do
+    not join what is joined already, for four times as many in each round. texts: node, text.
     """
     one, other = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    found, remaining, most = None, edges, 1
+    roots, remaining, most = None, edges, 1
     while True:
-        ranked = remaining.withColumn("_n", F.row_number().over(Window.partitionBy("b").orderBy("a")))
+        ranked = remaining.withColumn("_n", F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")))
         asked = materialize(ranked.filter(F.col("_n") <= most).select("a", "b"), "asked-pairs")
-        if asked.isEmpty():
-            return asked if found is None else found
-        similar_ones = similar(asked.join(one, "a").join(other, "b"), similarity)
-        before, found = found, materialize(similar_ones if found is None else found.union(similar_ones), "near-links")
-        roots = components(found)
-        rest = ranked.filter(F.col("_n") > most).select("a", "b")
+        if asked.isEmpty() and roots is not None:
+            return roots
+        links_found = similar(asked.join(one, "a").join(other, "b"), similarity)
+        before, roots = roots, components(links_found if roots is None else links_found.union(roots.select("fp", "root")))
+        roots = materialize(roots, "near-roots")
+        rest = ranked.filter(F.col("_n") > most).select("a", "b", "bits")
         for x in "ab":
-            known_end = roots.select(F.col("fp").alias(x), F.col("root").alias(f"_{x}"))
-            rest = rest.join(known_end, x, "left")
-        rest = rest.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+            rest = rest.join(roots.select(F.col("fp").alias(x), F.col("root").alias(f"_{x}")), x, "left")
+        rest = rest.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b", "bits")
         after = materialize(rest, "remaining-pairs")
         discard(asked, *([before] if before else []), *([remaining] if most > 1 else []))
         remaining, most = after, 4 * most
-        del before, roots, rest, ranked, similar_ones, known_end, after
+        del before, rest, ranked, links_found, after
         release(texts.sparkSession)
 
 
@@ -366,19 +374,20 @@ def near_groups(rows: DataFrame, row: str, similarity: float = SIMILARITY) -> Da
     """(row, best): for each row (by its number in the column row) the row that stands for its group, that of the smallest doc_id."""
     made = materialize(sketches(rows, row), "sketches")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-    nodes = made.groupBy("set_key").agg(best.alias("first"), F.min(F.struct("bands", "check")).alias("s"))
-    nodes = materialize(nodes.select("set_key", "first", "s.bands", "s.check", F.monotonically_increasing_id().alias("node")), "sketch-nodes")
+    nodes = made.groupBy("set_key").agg(best.alias("first"), F.min(F.struct("bands", "words")).alias("s"))
+    nodes = materialize(nodes.select("set_key", "first", "s.bands", "s.words", F.col("first.row").alias("node")), "sketch-nodes")
     edges = materialize(candidates(nodes), "candidates")
-    asked = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().join(nodes.select("node", F.col("first.row").alias("row")), "node")
-    asked = materialize(asked, "candidate-nodes")
+    asked = materialize(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), "candidate-nodes")
     release(rows.sparkSession)
-    texts = KeyFilter(asked, F.col("row")).maybe_in(rows.select(F.col(row).alias("row"), text_or_empty().alias("text")), F.col("row")).join(asked, "row").select("node", "text")
+    texts = KeyFilter(asked, F.col("node")).maybe_in(rows.select(F.col(row).alias("node"), text_or_empty().alias("text")), F.col("node")).join(asked, "node").select("node", "text")
     texts = materialize(texts, "candidate-texts", compression="zstd")
-    linked = verified_links(edges, texts, similarity)
-    known = nodes.join(components(linked).withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    roots = known.groupBy("root").agg(F.min("first").alias("best"))
-    named = known.select("set_key", "root").join(roots, "root").select("set_key", F.col("best.row").alias("best"))
-    return made.select("row", "set_key").join(named, "set_key").select("row", "best")
+    roots = verified_roots(edges, texts, similarity)
+    known = nodes.join(roots.withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stands = known.groupBy("root").agg(F.min("first").alias("best"))
+    named = known.select("set_key", "root").join(stands, "root").select("set_key", F.col("best.row").alias("best"))
+    groups = materialize(made.select("row", "set_key").join(named, "set_key").select("row", "best"), "near-groups")
+    discard(made, nodes, edges, asked, texts, roots)
+    return groups
 
 
 def near_deduplicate(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

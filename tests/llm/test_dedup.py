@@ -178,6 +178,40 @@ def test_near_crowded(documents, monkeypatch, heavy):
     assert kept == {0, *(1000 + i for i in range(30))}
 
 
+def joined_brute(texts, similarity=0.8):
+    """Component of each text, by all pairs of sets of shingles."""
+    names = {}
+    sets = [[names.setdefault(x, len(names)) for x in set_of(t)] for t in texts]
+    held = np.zeros((len(sets), len(names)), "f4")
+    for i, s in enumerate(sets):
+        held[i, s] = 1
+    sizes, root = held.sum(1), np.arange(len(sets))
+    both = held @ held.T
+    linked = both >= similarity * (sizes[:, None] + sizes[None] - both) - 1e-3
+    while True:
+        least = np.where(linked, root[None], len(sets)).min(1)
+        if (least == root).all():
+            return root
+        root = least
+
+
+def test_near_recall_in_groups_of_thousands(documents):
+    """Copies of one text, and a family in which each text comes of an earlier one: band values are shared by hundreds there, and
+    most pairs of the family are no links."""
+    rng = np.random.default_rng(8)
+    first = [f"w{x}" for x in rng.integers(0, 1000, 120)]
+    texts = [edited(rng, first, int(rng.integers(1, 4))) for _ in range(1500)]
+    family = [" ".join(f"x{x}" for x in rng.integers(0, 1000, 100))]
+    for _ in range(1499):
+        family.append(edited(rng, family[rng.integers(len(family))].split(), int(rng.integers(1, 5))))
+    texts += family
+    want = joined_brute(texts)
+    kept = {r["doc_id"] for r in simhash.near_deduplicate(documents(list(enumerate(texts)))).select("doc_id").collect()}
+    gone = set(np.flatnonzero(want != np.arange(len(texts))).tolist())
+    print(f"copies {len(gone)}, left in {len(gone & kept)}, taken wrongly {len(set(range(len(texts))) - gone - kept)}")
+    assert len(gone - kept) >= 0.97 * len(gone) and set(range(len(texts))) - gone <= kept
+
+
 def test_rows_without_ids(documents):
     """A leaked row without id takes no other row without id with it."""
     item = "how many of the twelve red apples did the old farmer sell before noon on market day"
