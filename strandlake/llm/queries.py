@@ -25,10 +25,9 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
-    model = language_id.fit(docs.filter(~held_out))
-    out = language_id.identify(docs, model)
-    return out.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), "lang_pred", "score")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))  # rows without an id are learned from
+    out = language_id.identify(docs, language_id.fit(docs.filter(~held_out)))
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

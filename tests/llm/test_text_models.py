@@ -129,6 +129,16 @@ def test_numerals_are_no_letters(documents):
     assert got == {1: "und", 2: "und", 3: "und", 4: "fr"}
 
 
+def test_language_query_without_ids(documents, tmp_path):
+    """A row without an id is not held out, and is learned from."""
+    from strandlake.llm.queries import op4_language_id
+
+    ids = [i for i in range(1, 40) if zlib.crc32(str(i).encode()) % 5 == 0][:2]
+    documents([(None, "un deux trois", "fr"), (ids[0], "deux trois", "en"), (ids[1], None, "en"), (next(i for i in range(1, 40) if i not in ids and zlib.crc32(str(i).encode()) % 5), "one two three", "en")]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["held_out"], r["lang_pred"]) for r in op4_language_id(documents([]).sparkSession, str(tmp_path)).collect()}
+    assert got[None] == (False, "fr") and got[ids[0]] == (True, "fr") and got[ids[1]] == (True, "und") and len(got) == 4
+
+
 def test_many_languages(documents):
     rows = [(i, f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x " * 5, f"l{i:03}") for i in range(200)]
     got = language_id.identify(documents(rows), language_id.fit(documents(rows))).collect()
