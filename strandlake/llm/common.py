@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Sequence
 from functools import cache
 
 from pyspark.errors import AnalysisException
@@ -33,11 +34,11 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/strandlake/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage is cut and a lost executor costs no recomputation."""
+def materialize(df: DataFrame, name: str, by: Sequence[str] = (), **options: str) -> DataFrame:
+    """Write df to the shared folder and read it back: lineage is cut and a lost executor costs no recomputation. by: last columns of df that make folders."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.options(**options).parquet(path)
+    df.write.options(**options).partitionBy(*by).parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     written.work_path = path
     return written
@@ -68,20 +69,32 @@ def text_or_empty(name: str = "text") -> Column:
 MAX_BITS = 28
 
 
+def filter_bits(n: int, max_bits: int = MAX_BITS) -> int:
+    """The size (as a power of two) of a filter for n keys; 0 if there should be none."""
+    bits = min(max_bits, max(18, (16 * n).bit_length()))
+    return bits if 4 * n <= 1 << bits else 0
+
+
 class KeyFilter:
     """A bitmap of the hashes of keys, 16 bits for each of them, in rows of 4 KB; its size is bounded, so it may be broadcast.
 
-    keys should be a written table, as it is counted first. Null keys hash like any value.
+    keys should be a written table, as it is counted first, unless the filter's bits are given. Null keys hash like any value.
     """
 
-    def __init__(self, keys: DataFrame, key: Column, max_bits: int = MAX_BITS):
-        n = keys.count()
-        self.bits = min(max_bits, max(18, (16 * n).bit_length()))
+    def __init__(self, keys: DataFrame, key: Column, max_bits: int = MAX_BITS, bits: int | None = None):
+        self.bits = filter_bits(keys.count(), max_bits) if bits is None else bits
         self.rows = None
-        if 4 * n <= 1 << self.bits:
+        if self.bits:
             slot = self._slot(key)
             self.rows = keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
 
+    @classmethod
+    def of(cls, rows: DataFrame, bits: int) -> KeyFilter:
+        """The filter of the rows (bucket, bitmap) of another filter of that size."""
+        made = cls.__new__(cls)
+        made.bits, made.rows = bits, rows
+        return made
+
     def _slot(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(1 << self.bits)) + 1
 
@@ -107,6 +120,17 @@ class KeyFilter:
         return joined.filter(~F.coalesce(there, F.lit(False))).drop("_kf_bucket", "_kf_bit", "_kf_own", "_kf_bitmap")
 
 
+def shared_filter(filters: list[DataFrame]) -> DataFrame:
+    """The rows (bucket, bitmap) of a filter of what at least two filters have: the intersections of all pairs, united. All have one size."""
+    n, rows = len(filters), None
+    for i, bitmaps in enumerate(filters):
+        pairs = F.explode(F.array(*(F.lit(min(i, j) * n + max(i, j)) for j in range(n) if j != i)))
+        own = bitmaps.select(pairs.alias("pair"), "bucket", "bitmap")
+        rows = own if rows is None else rows.unionByName(own)
+    both = rows.groupBy("pair", "bucket").agg(F.bitmap_and_agg("bitmap").alias("bitmap"), F.count(F.lit(1)).alias("n")).filter("n = 2")
+    return both.groupBy("bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from strandlake.llm import decontaminate, exact_dedup, repeats, simhash
+from strandlake.llm.common import KeyFilter, filter_bits, shared_filter
 
 WS = re.compile("[\x20\x09-\x0d]+")
 
@@ -227,13 +228,27 @@ def test_clashing_helper_names(documents):
         assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
 
 
-def test_index_takes_runs(documents):
-    """Any number of batches gives the same level."""
+def test_index_takes_runs(documents, monkeypatch):
+    """Any number of batches gives the same rows, whether runs are left on several levels or compacted twice, with filters or without."""
     rows = [(i * 7 % 101, f"t{i % 23}") for i in range(101)]
     df = documents(rows).repartition(7)
-    for batches in (1, 3):
-        found = exact_dedup.DigestIndex(df, batches=batches).resolve()
-        check_exact(found, rows)
+    for batches in (1, 3, 6):
+        index = exact_dedup.DigestIndex(df, batches=batches)
+        assert [len(level) for level in index.levels] == {1: [1], 3: [3], 6: [2, 1]}[batches]
+        check_exact(index.resolve(), rows)
+    monkeypatch.setattr(exact_dedup, "filter_bits", lambda n: 0)
+    check_exact(exact_dedup.DigestIndex(df, batches=5).resolve(), rows)
+
+
+def test_shared_filter(spark):
+    """What two of three filters have is in their shared filter; nearly all else is not."""
+    frames = [spark.range(a, a + 1000) for a in (0, 900, 5000)]
+    bits = filter_bits(3000)
+    shared = KeyFilter.of(shared_filter([KeyFilter(df, F.col("id"), bits=bits).rows for df in frames]), bits)
+    maybe = {r["id"] for r in shared.maybe_in(spark.range(6000), F.col("id")).collect()}
+    out = {r["id"] for r in shared.surely_out(spark.range(6000), F.col("id")).collect()}
+    assert set(range(900, 1000)) <= maybe and len(maybe) < 200
+    assert not maybe & out and len(maybe | out) == 6000
 
 
 def test_hot_cores(documents):
