@@ -100,7 +100,8 @@ class KeyFilter:
 
     def _probed(self, df: DataFrame, key: Column, how: str) -> tuple[DataFrame, Column]:
         slot = self._slot(key)
-        probed = df.withColumns({"_kf_bucket": F.bitmap_bucket_number(slot), "_kf_bit": F.bitmap_bit_position(slot)})
+        # coalesce: columns that may be null would give a filter on them, pushed down to the scan, where the key would be made anew for each of them.
+        probed = df.withColumns({"_kf_bucket": F.coalesce(F.bitmap_bucket_number(slot), F.lit(0)), "_kf_bit": F.coalesce(F.bitmap_bit_position(slot), F.lit(0))})
         filters = F.broadcast(self.rows.select(F.col("bucket").alias("_kf_own"), F.col("bitmap").alias("_kf_bitmap")))
         byte = F.conv(F.hex(F.expr("substring(_kf_bitmap, CAST(_kf_bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
         return probed.join(filters, F.col("_kf_bucket") == F.col("_kf_own"), how), byte.bitwiseAND(F.expr("shiftleft(1, CAST(_kf_bit % 8 AS INT))")) != 0
