@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.llm.common import KeyFilter, discard, materialize, numbered, release, text_or_empty, without
@@ -173,7 +173,8 @@ CHECK_RADIUS, SKETCH_RADIUS = 20, 96
 PIVOTS, HEAVY, SHARE = 64, 128, 2048
 #: Buckets up to this size are compared in arrays over all buckets.
 SMALL = 8
-KNOWN = 200_000
+#: Hashes of words, and of shingles of texts, that a worker keeps.
+KNOWN, KNOWN_SHINGLES = 200_000, 1_000_000
 
 
 def shingles(text: str, known: dict[bytes, int]) -> np.ndarray:
@@ -241,49 +242,64 @@ def sketches(rows: DataFrame, row: str) -> DataFrame:
     return rows.select(row, "doc_id", text_or_empty().alias("text")).mapInArrow(run, f"row long, doc_id {kind}, set_key binary, bands array<int>, words array<long>")
 
 
-def _bucketed(nodes: DataFrame) -> DataFrame:
+def _banded(nodes: DataFrame, also: str) -> DataFrame:
+    """(node, also, band, value, check) for each band of each node; each band checks by a word of the sketch that has none of its
+    own bits, so that an unlucky word is one band's alone."""
+    word = F.get("words", (F.floor(F.col("band") * BITS / 64) + 2).cast("int") % WORDS)
+    return nodes.select("node", also, "words", F.posexplode("bands").alias("band", "value")).select("node", also, "band", "value", word.alias("check"))
+
+
+def _even_variants() -> Column:
+    flips = F.array(*(F.lit(1 << i) for i in range(BITS)))
+    return F.when(F.bit_count("value") % 2 == 0, F.array("value")).otherwise(F.transform(flips, lambda b: F.col("value").bitwiseXOR(b)))
+
+
+def _bucketed(base: DataFrame, heavy: DataFrame) -> DataFrame:
     """(bucket, node, check): band values meet in the buckets of their even variants within one bit, so that all within one bit do.
 
-    Each band checks by a word of the sketch that has none of its own bits, so that an unlucky word is one band's alone.
-    Where more than HEAVY nodes share a band value, PIVOTS of them (by a hash of their shingles) emit its variants, and the
-    others meet these and one another in shares of about SHARE.
+    Of a heavy value, PIVOTS nodes (by a hash of their shingles) emit its variants, and the others meet these and one
+    another in shares of about SHARE; ``rest_of_crowded`` compares whom that leaves out.
     """
-    word = F.get("words", (F.floor(F.col("band") * BITS / 64) + 2).cast("int") % WORDS)
-    base = nodes.select("node", "set_key", "words", F.posexplode("bands").alias("band", "value")).select("node", "set_key", "band", "value", word.alias("check"))
-    heavy = materialize(base.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HEAVY), "heavy-bands")
     marked = base.join(heavy, ["band", "value"], "left") if not heavy.isEmpty() else base.withColumn("n", F.lit(None).cast("long"))
     pivot = F.pmod(F.xxhash64("set_key", "band"), F.ceil(F.col("n") / PIVOTS)) == 0
-    flips = F.array(*(F.lit(1 << i) for i in range(BITS)))
-    variants = F.when(F.bit_count("value") % 2 == 0, F.array("value")).otherwise(F.transform(flips, lambda b: F.col("value").bitwiseXOR(b)))
-    light = marked.filter(F.col("n").isNull() | pivot).select("band", F.explode(variants).alias("variant"), "node", "check").select(F.xxhash64("band", "variant").alias("bucket"), "node", "check")
+    light = marked.filter(F.col("n").isNull() | pivot).select("band", F.explode(_even_variants()).alias("variant"), "node", "check").select(F.xxhash64("band", "variant").alias("bucket"), "node", "check")
     shares = F.ceil(F.col("n") / SHARE)
     share = F.when(pivot, F.sequence(F.lit(0).cast("long"), shares - 1)).otherwise(F.array(F.pmod(F.xxhash64("band", "set_key"), shares)))
     crowd = marked.filter(F.col("n").isNotNull()).select("band", "value", F.explode(share).alias("share"), "node", "check").select(F.xxhash64("band", "value", "share").alias("bucket"), "node", "check")
     return light.union(crowd)
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b, bits): nodes of one bucket whose check words and sketches are near, and in how many bits these differ.
+def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, bits): nodes of one bucket whose check words and sketches are near, and in how many bits these differ; and the crowded buckets.
 
     Of a large bucket go on the pairs of its minimum spanning forest by check words, so that a pair that fails to be similar
     stands in for a similar one only where its word is the nearer one by chance; each band has another word and another forest.
+    These connect most of a group cheaply. Crowded are the buckets of which pairs are left out: large ones, and those of
+    values that more than HEAVY nodes share.
     """
-    def pairs(key: np.ndarray, node: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    most = SMALL
+
+    def pairs(key: np.ndarray, node: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         check = check.view("u8")  # of signed numbers, the bits of the absolute value would be counted
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
         sizes = np.diff(cuts)
-        small = np.repeat(sizes <= SMALL, sizes)
+        small = np.repeat(sizes <= most, sizes)
         a, b = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
-        for k in range(1, SMALL):
+        for k in range(1, most):
             near = np.flatnonzero((key[k:] == key[:-k]) & small[k:])
             near = near[np.bitwise_count(check[near] ^ check[near + k]) <= CHECK_RADIUS]
             a.append(node[near])
             b.append(node[near + k])
-        for i in np.flatnonzero(sizes > SMALL):
+        large = np.flatnonzero(sizes > most)
+        for i in large:
             x, y = _forest(check[cuts[i] : cuts[i + 1]])
             a.append(node[cuts[i] + x])
             b.append(node[cuts[i] + y])
-        return np.concatenate(a), np.concatenate(b)
+        return np.concatenate(a), np.concatenate(b), key[cuts[large]]
+
+    def batch_of(a: np.ndarray, b: np.ndarray, crowded: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array(np.concatenate([a, crowded])), pa.array(np.concatenate([b, crowded])), pa.array(np.arange(len(a) + len(crowded)) >= len(a))]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b", "crowded"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = [np.zeros(0, "i8")] * 3  # the last bucket of a batch may go on in the next
@@ -292,18 +308,88 @@ def candidates(nodes: DataFrame) -> DataFrame:
             if not len(key):
                 continue
             whole = int(np.searchsorted(key, key[-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs(key[:whole], node[:whole], check[:whole])], ["a", "b"])
+            if whole:
+                yield batch_of(*pairs(key[:whole], node[:whole], check[:whole]))
             rest = [x[whole:].copy() for x in (key, node, check)]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs(*rest)], ["a", "b"])
+        if len(rest[0]):
+            yield batch_of(*pairs(*rest))
 
+    base = _banded(nodes, "set_key")
+    heavy = materialize(base.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HEAVY), "heavy-bands")
     # Sorted by check words as well, so that a forest does not hang on the order in which rows arrive.
-    found = _bucketed(nodes).repartition("bucket").sortWithinPartitions("bucket", "check", "node").mapInArrow(run, "a long, b long")
-    pairs_found = found.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = _bucketed(base, heavy).repartition("bucket").sortWithinPartitions("bucket", "check", "node").mapInArrow(run, "a long, b long, crowded boolean")
+    found = materialize(found, "bucket-pairs")
+    edges = materialize(near_sketches(found.filter("NOT crowded AND a != b"), nodes), "candidates")
+    of_heavy = heavy.select("band", F.explode(_even_variants()).alias("variant")).select(F.xxhash64("band", "variant").alias("bucket"))
+    crowded = materialize(found.filter("crowded").select(F.col("a").alias("bucket")).union(of_heavy).distinct(), "crowded-bands")
+    discard(found, heavy)
+    return edges, crowded
+
+
+def near_sketches(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b, bits): the distinct pairs (a, b) whose sketches are near, a < b, and in how many bits these differ."""
+    pairs_found = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     one, other = (nodes.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}")) for x in "ab")
     bits = sum((F.bit_count(F.get("words_a", F.lit(i)).bitwiseXOR(F.get("words_b", F.lit(i)))) for i in range(WORDS)), F.lit(0))
     return pairs_found.join(one, "a").join(other, "b").select("a", "b", bits.alias("bits")).filter(F.col("bits") <= SKETCH_RADIUS)
 
 
+def rest_of_crowded(nodes: DataFrame, roots: DataFrame, crowded: DataFrame, edges: DataFrame) -> DataFrame:
+    """(a, b, bits): all pairs of crowded buckets whose check words and sketches are near, but for those among edges and those that roots join.
+
+    Nodes of one band value and one root stand as one cell: pairs within it are joined already, so that a group of copies emits
+    its distinct values and not its members. Cells of different roots that meet in a bucket are opened into their members.
+    Two cells of one value meet in the first of its buckets only.
+    """
+    block = BLOCK
+
+    def pairs(key: np.ndarray, root: np.ndarray, value: np.ndarray, first: np.ndarray, n: np.ndarray, band: np.ndarray, node: np.ndarray, check: np.ndarray) -> Iterator[pa.RecordBatch]:
+        check, cuts = check.view("u8"), np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
+        ends = np.append(cuts[1:], len(key))
+        for i in np.flatnonzero(np.minimum.reduceat(root, cuts) != np.maximum.reduceat(root, cuts)):
+            for s in range(cuts[i], ends[i], block):
+                for t in range(s, ends[i], block):
+                    u, v = slice(s, min(s + block, ends[i])), slice(t, min(t + block, ends[i]))
+                    one = (n[u, None] == 1) & (n[None, v] == 1)
+                    meet = (root[u, None] != root[None, v]) & ((value[u, None] != value[None, v]) | first[u, None])
+                    meet &= ~one | (np.bitwise_count(check[u, None] ^ check[None, v]) <= CHECK_RADIUS)
+                    x, y = np.nonzero(np.triu(meet, 1) if s == t else meet)
+                    if len(x):
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (band[s + x], node[s + x], node[t + y], one[x, y])], ["band", "a", "b", "single"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # the last bucket of a batch may go on in the next
+        for batch in batches:
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            new = new if rest is None else [np.concatenate([old, c]) for old, c in zip(rest, new, strict=True)]
+            if not len(new[0]):
+                continue
+            whole = int(np.searchsorted(new[0], new[0][-1]))
+            if whole:
+                yield from pairs(*(c[:whole] for c in new))
+            rest = [c[whole:].copy() for c in new]
+        if rest is not None:
+            yield from pairs(*rest)
+
+    own = nodes.join(roots.select(F.col("fp").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = materialize(_banded(own, "root"), "band-members")
+    cell = ["band", "value", "root"]
+    cells = materialize(members.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("cell"), F.min("check").alias("check")), "band-cells")
+    first = (F.col("variant") == F.col("value")) | (F.col("variant") == F.col("value").bitwiseXOR(F.lit(1)))
+    emitted = cells.withColumn("variant", F.explode(_even_variants())).select(F.xxhash64("band", "variant").alias("bucket"), "root", "value", first.alias("first"), "n", "band", "cell", "check")
+    emitted = KeyFilter(crowded, F.col("bucket")).maybe_in(emitted, F.col("bucket"))
+    met = emitted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "band int, a long, b long, single boolean")
+    met = materialize(met, "cell-pairs")
+    opened = members.join(cells.select(*cell, "cell"), cell).select("band", "cell", "node", "check")
+    one, other = (opened.select("band", F.col("cell").alias(x), F.col("node").alias(f"node_{x}"), F.col("check").alias(f"check_{x}")) for x in "ab")
+    both = met.filter("NOT single").select("band", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(one, ["band", "a"]).join(other, ["band", "b"])
+    both = both.filter(F.bit_count(F.col("check_a").bitwiseXOR(F.col("check_b"))) <= CHECK_RADIUS).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    near = near_sketches(met.filter("single").select("a", "b").union(both), nodes)
+    found = materialize(near.join(edges, ["a", "b"], "left_anti"), "rest-candidates")
+    discard(members, cells, met)
+    return found
+
+
 def _forest(check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the pairs of a minimum spanning forest of the check words, by differing bits, of at most CHECK_RADIUS.
 
@@ -328,14 +414,26 @@ def similar(pairs: DataFrame, similarity: float) -> DataFrame:
     """(a, b) of pairs (a, b, text_a, text_b) whose sets of shingles have at least this Jaccard similarity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
+        sets: dict[int, np.ndarray] = {}
+        held = 0
+
+        def set_of(node: int, text: str) -> np.ndarray:
+            nonlocal held
+            if node not in sets:
+                if held > KNOWN_SHINGLES:
+                    sets.clear()
+                    held = 0
+                sets[node] = np.unique(shingles(text, known))
+                held += len(sets[node])
+            return sets[node]
+
         for batch in batches:
-            keep, last = [], (None, None)
-            for i, (a, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b")), strict=True)):
-                if last[0] != a:
-                    last = a, np.unique(shingles(x, known))
-                other = np.unique(shingles(y, known))
-                both = len(np.intersect1d(last[1], other, assume_unique=True))
-                if both / max(1, len(last[1]) + len(other) - both) >= similarity:
+            keep = []
+            for i, (a, b, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True)):
+                one, other = set_of(a, x), set_of(b, y)
+                merged = np.sort(np.concatenate([one, other]))
+                both = int(np.count_nonzero(merged[1:] == merged[:-1]))
+                if both / max(1, len(merged) - both) >= similarity:
                     keep.append(i)
             rows = pa.array(keep, "int64")
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], ["a", "b"])
@@ -343,14 +441,14 @@ def similar(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def verified_roots(edges: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """(fp, root) for each node that similar pairs among edges (a, b, bits; a < b) connect to others, as of ``components``.
+def verified_roots(edges: DataFrame, texts: DataFrame, similarity: float, roots: DataFrame | None = None) -> DataFrame:
+    """(fp, root) for each node that similar pairs among edges (a, b, bits; a < b) connect to others, as of ``components``, on top of roots.
 
-    A large group has far more candidates than members. So every node first asks for its nearest one, then, of those that do
-    not join what is joined already, for four times as many in each round. texts: node, text.
+    A large group has far more candidates than members. So every node first asks for its nearest one (if there are roots already,
+    its 16 nearest), then, of those that do not join what is joined already, for four times as many in each round. texts: node, text.
     """
     one, other = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    roots, remaining, most = None, edges, 1
+    remaining, most = edges, 16 if roots else 1
     while True:
         ranked = remaining.withColumn("_n", F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")))
         asked = materialize(ranked.filter(F.col("_n") <= most).select("a", "b"), "asked-pairs")
@@ -364,29 +462,41 @@ def verified_roots(edges: DataFrame, texts: DataFrame, similarity: float) -> Dat
             rest = rest.join(roots.select(F.col("fp").alias(x), F.col("root").alias(f"_{x}")), x, "left")
         rest = rest.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b", "bits")
         after = materialize(rest, "remaining-pairs")
-        discard(asked, *([before] if before else []), *([remaining] if most > 1 else []))
+        discard(asked, *([before] if before else []), *([remaining] if remaining is not edges else []))
         remaining, most = after, 4 * most
         del before, rest, ranked, links_found, after
         release(texts.sparkSession)
 
 
+def _verified(edges: DataFrame, rows: DataFrame, row: str, similarity: float, roots: DataFrame | None) -> DataFrame:
+    """``verified_roots`` of edges, whose texts are fetched from rows."""
+    asked = materialize(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), "candidate-nodes")
+    release(rows.sparkSession)
+    texts = KeyFilter(asked, F.col("node")).maybe_in(rows.select(F.col(row).alias("node"), text_or_empty().alias("text")), F.col("node")).join(asked, "node").select("node", "text")
+    texts = materialize(texts, "candidate-texts", compression="zstd")
+    roots = verified_roots(edges, texts, similarity, roots)
+    discard(asked, texts)
+    return roots
+
+
 def near_groups(rows: DataFrame, row: str, similarity: float = SIMILARITY) -> DataFrame:
     """(row, best): for each row (by its number in the column row) the row that stands for its group, that of the smallest doc_id."""
     made = materialize(sketches(rows, row), "sketches")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
     nodes = made.groupBy("set_key").agg(best.alias("first"), F.min(F.struct("bands", "words")).alias("s"))
     nodes = materialize(nodes.select("set_key", "first", "s.bands", "s.words", F.col("first.row").alias("node")), "sketch-nodes")
-    edges = materialize(candidates(nodes), "candidates")
-    asked = materialize(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), "candidate-nodes")
-    release(rows.sparkSession)
-    texts = KeyFilter(asked, F.col("node")).maybe_in(rows.select(F.col(row).alias("node"), text_or_empty().alias("text")), F.col("node")).join(asked, "node").select("node", "text")
-    texts = materialize(texts, "candidate-texts", compression="zstd")
-    roots = verified_roots(edges, texts, similarity)
+    edges, crowded = candidates(nodes)
+    roots = _verified(edges, rows, row, similarity, None)
+    if not crowded.isEmpty():
+        more = rest_of_crowded(nodes, roots, crowded, edges)
+        if not more.isEmpty():
+            roots = _verified(more, rows, row, similarity, roots)
+        discard(more)
     known = nodes.join(roots.withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     stands = known.groupBy("root").agg(F.min("first").alias("best"))
     named = known.select("set_key", "root").join(stands, "root").select("set_key", F.col("best.row").alias("best"))
     groups = materialize(made.select("row", "set_key").join(named, "set_key").select("row", "best"), "near-groups")
-    discard(made, nodes, edges, asked, texts, roots)
+    discard(made, nodes, edges, crowded, roots)
     return groups
 
 

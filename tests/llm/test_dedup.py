@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from strandlake.llm import decontaminate, exact_dedup, repeats, simhash
-from strandlake.llm.common import KeyFilter, filter_bits, shared_filter
+from strandlake.llm.common import KeyFilter, filter_bits, materialize, shared_filter
 
 WS = re.compile("[\x20\x09-\x0d]+")
 
@@ -213,6 +213,28 @@ def test_near_recall_in_groups_of_thousands(documents):
     assert len(gone - kept) >= 0.97 * len(gone) and set(range(len(texts))) - gone <= kept
 
 
+@pytest.mark.parametrize("joined", [False, True])
+def test_near_crowds_are_compared_whole(spark, documents, monkeypatch, joined):
+    """What pivots, shares and forests leave out is made up for: all pairs of a bucket are candidates, but for those joined already."""
+    rng = np.random.default_rng(12)
+    family = [" ".join(f"x{x}" for x in rng.integers(0, 1000, 100))]
+    for _ in range(199):
+        family.append(edited(rng, family[rng.integers(len(family))].split(), int(rng.integers(1, 4))))
+    docs = documents(list(enumerate(family))).withColumn("number", F.col("doc_id"))
+    nodes = materialize(simhash.sketches(docs, "number").select("set_key", "bands", "words", F.col("row").alias("node")), "test-nodes")
+    found = []
+    for small, heavy, pivots, share in [(1000, 10**6, 8, 32), (2, 4, 1, 2)]:
+        for name, value in {"SMALL": small, "HEAVY": heavy, "PIVOTS": pivots, "SHARE": share}.items():
+            monkeypatch.setattr(simhash, name, value)
+        edges, crowded = simhash.candidates(nodes)
+        found.append({(r["a"], r["b"]) for r in edges.collect()})
+    assert len(found[1]) < len(found[0])
+    roots = spark.range(1, 80 if joined else 1).select(F.col("id").alias("fp"), F.lit(0).cast("long").alias("root"))
+    more = [(r["a"], r["b"]) for r in simhash.rest_of_crowded(nodes, roots, crowded, edges).collect()]
+    assert len(set(more)) == len(more) and not found[1] & set(more)
+    assert set(more) == {(a, b) for a, b in found[0] - found[1] if not (joined and b < 80)}
+
+
 def test_rows_without_ids(documents):
     """A leaked row without id takes no other row without id with it."""
     item = "how many of the twelve red apples did the old farmer sell before noon on market day"
