@@ -8,6 +8,9 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of one task of dealt().
+TASK_ROWS = 500_000
+
 
 @cache
 def _own_folder() -> str:
@@ -24,6 +27,15 @@ def work_path(spark: SparkSession, name: str = "work") -> str:
     return f"{root.rstrip('/')}/strandlake/{name}-{uuid.uuid4().hex}"
 
 
+def dealt(df: DataFrame, *by: str, rows: int | None = None) -> DataFrame:
+    """df dealt out to as many tasks as its rows ask for, by the values of the columns by or evenly.
+
+    A set number of shuffle partitions, or a file with one row group, would let one task's share grow with the table. Rows are counted first.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // (rows or TASK_ROWS)))
+    return df.repartition(tasks, *by)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written down and read again: what follows doesn't compute it anew, and a lost executor loses nothing of it."""
     path = work_path(df.sparkSession, name)

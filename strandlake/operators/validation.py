@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions.blanks import blank_in_report
+from strandlake.operators.shared import dealt
 
 # Kinds of entries of a reference list.
 KINDS = ["master", "reference", "exclusion_list"]
@@ -68,9 +69,11 @@ def filtering_summary(filtered: DataFrame, examples: int = 20) -> DataFrame:
 
 
 def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows that only one of two sets has, with only_in ('a' or 'b')."""
-    a, b = a.distinct(), b.distinct()
-    return a.exceptAll(b).withColumn("only_in", F.lit("a")).union(b.exceptAll(a).withColumn("only_in", F.lit("b")))
+    """Rows that only one of two sets has, with only_in ('a' or 'b'). Equal rows of both meet once, in one of as many tasks as the rows ask for."""
+    columns = a.columns
+    both = dealt(a.withColumn("only_in", F.lit("a")).union(b.withColumn("only_in", F.lit("b"))), *columns)
+    first, last = F.min("only_in").alias("only_in"), F.max("only_in").alias("_last")
+    return both.groupBy(*columns).agg(first, last).filter("only_in = _last").drop("_last")
 
 
 def union_by_priority(first: DataFrame, second: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandlake.functions import sequence
-from strandlake.operators import alignment, taxonomy, trees
+from strandlake.operators import alignment, shared, taxonomy, trees, validation
 from strandlake.operators import store as stores
 from strandlake.sources import readers, records
 
@@ -81,6 +81,17 @@ def test_a_range_makes_few_rows(spark):
     assert rows(got, "id", "product", "aln_start", "aln_end") == [(1, "long", 10, 29_000_000), (1, "short", 50, 60), (2, "long", 55, 55), (2, "short", 55, 55)]
 
 
+def test_set_differences_use_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(shared, "TASK_ROWS", 100)
+    odd = [(None, "x"), (None, None), (7, None), (7, None)]
+    a, b = odd[:3] + [(i % 900, "s") for i in range(2000)], odd[1:] + [(i, "s") for i in range(300, 1200)]
+    one, other = (spark.createDataFrame(x, "x int, y string") for x in (a, b))
+    out = validation.symmetric_difference(one, other)
+    want = [(*r, "a") for r in set(a) - set(b)] + [(*r, "b") for r in set(b) - set(a)]
+    assert rows(out) == sorted(want, key=str) and out.columns == ["x", "y", "only_in"]
+    assert out.rdd.getNumPartitions() >= 29
+
+
 def test_deep_walks(spark):
     n = 10_000
     up = spark.range(1, n).select(F.col("id").alias("tax_id"), (F.col("id") - 1).alias("parent_tax_id"))
