@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from strandlake.functions.sequence import bound, cds_coordinates, coverage_of, gap_ranges, letter_columns, letters, projected, reverse_complement, span_of
 from strandlake.functions.text import without_version
 from strandlake.operators.ranking import keep_one
+from strandlake.operators.shared import tasks_for
 
 #: Feature tables of up to this many rows are joined as a broadcast; longer ones by bins.
 SMALL_FEATURES = 10_000
+#: Sequences of an alignment that one task of feature_tables takes.
+ALIGNED_ROWS = 50_000
 
 
 def oriented(queries: DataFrame, best: DataFrame) -> DataFrame:
@@ -110,14 +113,19 @@ def feature_tables(alignment: DataFrame, features: DataFrame, best: DataFrame) -
     with the coverage of that feature's master columns. aln_start and aln_end are the master positions that the sequence covers.
 
     A master's columns and its annotation, one row, meet each of its sequences in one join; all else is done within the rows.
+    There is one task for every ALIGNED_ROWS sequences; those of one master are dealt into shares, each with a copy of that row.
     """
+    tasks = tasks_for(alignment, ALIGNED_ROWS)
     own = alignment.filter(F.col("header").startswith(F.col("master"))).groupBy("master").agg(F.min_by("sequence", F.struct(F.col("header") != F.col("master"), "header")).alias("_row"))
     listed = features.filter("feature_start IS NOT NULL AND feature_end IS NOT NULL")
     entry = F.struct(F.col("feature_start").cast("bigint").alias("start"), F.col("feature_end").cast("bigint").alias("end"), F.col("product").cast("string").alias("product"))
     annotation = listed.groupBy("master").agg(F.array_sort(F.collect_set(entry)).alias("_features"))
     known = own.select("master", letter_columns(F.col("_row")).alias("_columns")).join(annotation, "master", "left")
     known = known.withColumn("_features", F.coalesce("_features", F.array().cast("array<struct<start:bigint,end:bigint,product:string>>")))
-    rows = alignment.select("master", "header", "sequence").join(known, "master")
+    shares = F.explode(F.sequence(F.lit(0), F.lit(4 * tasks - 1))).alias("_share")
+    known = known.select("*", shares).repartition(tasks, "master", "_share")
+    rows = alignment.select("master", "header", "sequence", F.pmod(F.xxhash64("header", "sequence"), F.lit(4 * tasks)).cast("int").alias("_share"))
+    rows = rows.repartition(tasks, "master", "_share").join(known, ["master", "_share"])
 
     def made(chars: Column) -> Column:
         moved = cds_coordinates(gap_ranges(F.col("sequence")), F.array_distinct(F.transform("_features", lambda f: F.struct(f["start"].alias("start"), f["end"].alias("end")))))
@@ -134,10 +142,11 @@ def feature_tables(alignment: DataFrame, features: DataFrame, best: DataFrame) -
         return F.struct(span_of(F.col("_columns"), chars).alias("span"), F.array_distinct(found).alias("found"))
 
     rows = rows.select("master", "header", letters(F.col("sequence"), made).alias("_m")).select("master", "header", "_m.span", F.explode_outer("_m.found").alias("f"))
-    hit = best.select(F.col("query").alias("_q"), F.col("reference").alias("_r"))
-    out = rows.join(hit, F.col("header") == F.col("_q"), "left")
+    hit = best.select(F.col("query").alias("_q"), F.col("reference").alias("_r")).repartition(tasks, "_q")
+    out = rows.repartition(tasks, "header").join(hit, F.col("header") == F.col("_q"), "left")
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("NA"))
-    return out.select(F.col("header").alias("accession"), F.col("master").alias("master_ref_accession"), F.coalesce("_r", "master").alias("reference_accession"), text("span.first").alias("aln_start"), text("span.last").alias("aln_end"), text("f.start").alias("cds_start"), text("f.end").alias("cds_end"), text("f.product").alias("product"), text("f.coverage").alias("genome_coverage")).distinct()
+    out = out.select(F.col("header").alias("accession"), F.col("master").alias("master_ref_accession"), F.coalesce("_r", "master").alias("reference_accession"), text("span.first").alias("aln_start"), text("span.last").alias("aln_end"), text("f.start").alias("cds_start"), text("f.end").alias("cds_end"), text("f.product").alias("product"), text("f.coverage").alias("genome_coverage"))
+    return out.repartition(tasks, *out.columns).distinct()
 
 
 def new_accessions(matrix: DataFrame, queries: DataFrame, references: DataFrame) -> DataFrame:

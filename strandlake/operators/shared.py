@@ -32,8 +32,11 @@ def dealt(df: DataFrame, *by: str, rows: int | None = None) -> DataFrame:
 
     A set number of shuffle partitions, or a file with one row group, would let one task's share grow with the table. Rows are counted first.
     """
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // (rows or TASK_ROWS)))
-    return df.repartition(tasks, *by)
+    return df.repartition(tasks_for(df, rows), *by)
+
+
+def tasks_for(df: DataFrame, rows: int | None = None) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // (rows or TASK_ROWS)))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

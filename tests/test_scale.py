@@ -81,6 +81,25 @@ def test_a_range_makes_few_rows(spark):
     assert rows(got, "id", "product", "aln_start", "aln_end") == [(1, "long", 10, 29_000_000), (1, "short", 50, 60), (2, "long", 55, 55), (2, "short", 55, 55)]
 
 
+def test_feature_tables_use_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
+    alignment_rows = spark.createDataFrame([("m", "m", "AC-GT")] + [("m", f"q{i}", "-CGG-") for i in range(300)], "master string, header string, sequence string")
+    features = spark.createDataFrame([("m", 1, 4, "whole")], "master string, feature_start int, feature_end int, product string")
+    best = spark.createDataFrame([("q7", "r9")], "query string, reference string")
+    whole = rows(alignment.feature_tables(alignment_rows, features, best))
+    monkeypatch.setattr(alignment, "ALIGNED_ROWS", 10)
+    out = alignment.feature_tables(alignment_rows, features, best)
+    assert rows(out) == whole and len(whole) == 301 and out.rdd.getNumPartitions() == 31
+
+
+def test_gaps_are_found_once_for_all_features(spark):
+    features = F.array(*(F.struct(F.lit(a).alias("start"), F.lit(a + 3).alias("end")) for a in range(1, 9)))
+    df = spark.createDataFrame([("--AC-GT-ACGT",), ("",), (None,), ("----",)], "a string")
+    out = df.select(sequence.cds_coordinates(sequence.gap_ranges(F.col("a")), features).alias("r"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    found = [None if r[0] is None else [tuple(x) for x in r[0]] for r in out.collect()]
+    assert found[0][:3] == [(2, 4), (3, 5), (4, 6)] and found[1] == [(a, a + 3) for a in range(1, 9)] and found[2] is None
+
+
 def test_set_differences_use_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
     monkeypatch.setattr(shared, "TASK_ROWS", 100)
     odd = [(None, "x"), (None, None), (7, None), (7, None)]
