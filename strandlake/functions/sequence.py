@@ -97,9 +97,12 @@ def leading_offset(ranges: Column) -> Column:
 
 def cds_coordinates(ranges: Column, features: Column) -> Column:
     """Distinct (start, end) of features (array of start, end) without the gaps before them, shifted by the leading offset; empty ones drop out."""
-    shifted = lambda p: p.cast("int") - gaps_before(ranges, p) + leading_offset(ranges) - 1
-    moved = F.transform(features, lambda f: F.struct(shifted(f["start"]).alias("start"), shifted(f["end"]).alias("end")))
-    return F.array_distinct(F.filter(moved, lambda f: f["start"] != f["end"]))
+    def moved(known: Column, offset: Column) -> Column:
+        shifted = lambda p: p.cast("int") - gaps_before(known, p) + offset - 1
+        return F.transform(features, lambda f: F.struct(shifted(f["start"]).alias("start"), shifted(f["end"]).alias("end")))
+
+    found = bound(ranges, lambda known: bound(leading_offset(known), lambda offset: moved(known, offset)))
+    return F.array_distinct(F.filter(found, lambda f: f["start"] != f["end"]))
 
 
 def trimmed(sequence: Column, ranges: str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions import blanks, dates, sequence, text
 from strandlake.operators import alignment, curation, merge, quality, ranking, taxonomy, trees, validation
-from strandlake.operators.shared import work_path
+from strandlake.operators.shared import dealt, work_path
 from strandlake.operators.store import TableStore
 from strandlake.streaming import batches
 
@@ -376,9 +376,9 @@ COLUMNS = "list_filter(range(1, 51), lambda i: (i - 1) % 5 != 2)"
 
 
 def _laid(t, name: str = "p_type") -> DataFrame:
-    """Parts' types as rows of fifty columns."""
+    """Parts' types as rows of fifty columns, dealt out: one row group of a file may hold them all."""
     row = F.rpad(F.concat(F.lit("--"), F.replace(name, F.lit(" "), F.lit("-")), F.lit("-")), 50, "-")
-    return t("part").select("p_partkey", row.alias("s"), F.lit(MASTER).alias("m"))
+    return dealt(t("part").select("p_partkey", row.alias("s")), "p_partkey", rows=100_000).withColumn("m", F.lit(MASTER))
 
 
 LAID = "SELECT p_partkey, rpad('--' || replace(p_type, ' ', '-') || '-', 50, '-') AS s FROM part"
