@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from strandlake.functions.sequence import bound, cds_coordinates, coverage_of, gap_ranges, letter_columns, letters, projected, reverse_complement, span_of
 from strandlake.functions.text import without_version
 from strandlake.operators.ranking import keep_one
-from strandlake.operators.shared import tasks_for
+from strandlake.operators.shared import tasks_for, written
 
 #: Feature tables of up to this many rows are joined as a broadcast; longer ones by bins.
 SMALL_FEATURES = 10_000
 #: Sequences of an alignment that one task of feature_tables takes.
 ALIGNED_ROWS = 50_000
+#: Rows of one share of a bin of overlaps.
+BIN_ROWS = 50_000
 
 
 def oriented(queries: DataFrame, best: DataFrame) -> DataFrame:
@@ -53,6 +55,7 @@ def overlaps(ranges: DataFrame, features: DataFrame, bin_width: int = 1000, smal
     two of them at most. A pair meets at the level of the longer one, in the bin of its first common position; the shorter one
     stands there in one or two bins more for each level that the other table has. One rule holds for both ways, and for ranges
     whose start lies behind their end too: these meet what covers them whole, and stand in the bin of their start.
+    Bins of more than BIN_ROWS rows are dealt into shares, and there is one task for every few bins' worth of rows.
     """
     meets = (F.col("end") >= F.col("feature_start")) & (F.col("start") <= F.col("feature_end"))
     clipped = {"aln_start": F.greatest("start", "feature_start"), "aln_end": F.least("end", "feature_end")}
@@ -73,12 +76,31 @@ def overlaps(ranges: DataFrame, features: DataFrame, bin_width: int = 1000, smal
     above = lambda own, others: F.filter(others, lambda x: x > F.col(own))
     left_levels, right_levels = levels_of(left, "_left"), levels_of(right, "_right")
     key = ["_level", "_width", "_bin"]
-    longer = binned(left, "start", "end", F.array("_left")).join(binned(right, "feature_start", "feature_end", F.concat(F.array("_right"), above("_right", left_levels))), key)
-    shorter = binned(left, "start", "end", above("_left", right_levels)).join(binned(right, "feature_start", "feature_end", F.array("_right")), key)
+    longer = _joined_in_shares(binned(left, "start", "end", F.array("_left")), binned(right, "feature_start", "feature_end", F.concat(F.array("_right"), above("_right", left_levels))), key)
+    shorter = _joined_in_shares(binned(left, "start", "end", above("_left", right_levels)), binned(right, "feature_start", "feature_end", F.array("_right")), key)
     met = longer.unionByName(shorter).filter(meets).withColumns(clipped)
     return met.filter(F.floor(F.col("aln_start") / F.col("_width")) == F.col("_bin")).drop(*key, "_left", "_right")
 
 
+def _joined_in_shares(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+    """left joined with right by key. Where a key has more than BIN_ROWS rows of one side, these are dealt into shares that each meet all of the other's."""
+    n = F.count(F.lit(1))
+    counts = left.groupBy(*key).agg(n.alias("_nl"), F.lit(0).cast("long").alias("_nr")).union(right.groupBy(*key).agg(F.lit(0).cast("long"), n))
+    counts = written(counts.groupBy(*key).agg(F.sum("_nl").alias("_nl"), F.sum("_nr").alias("_nr")).filter("_nl > 0 AND _nr > 0"), "bin-counts")
+    shares = lambda c: F.ceil(F.col(c) / BIN_ROWS)
+    total = counts.agg(F.sum(F.col("_nl") * shares("_nr") + F.col("_nr") * shares("_nl"))).first()[0] or 0
+    tasks = max(left.sparkSession.sparkContext.defaultParallelism, -(-total // (4 * BIN_ROWS)))
+    crowded = counts.filter((F.col("_nl") > BIN_ROWS) | (F.col("_nr") > BIN_ROWS)).select(*key, shares("_nl").alias("_of_l"), shares("_nr").alias("_of_r"))
+
+    def dealt_out(df: DataFrame, own: str, other: str) -> DataFrame:
+        mine, theirs = (F.coalesce(F.col(f"_of_{x}"), F.lit(1).cast("long")) for x in (own, other))
+        # crowded is short: it has at most one row for every BIN_ROWS rows of the tables
+        df = df.join(F.broadcast(crowded), key, "left").withColumn(f"_share_{own}", F.pmod(F.xxhash64(*df.columns), mine)).withColumn(f"_share_{other}", F.explode(F.sequence(F.lit(0).cast("long"), theirs - 1)))
+        return df.drop("_of_l", "_of_r").repartition(tasks, *key, "_share_l", "_share_r")
+
+    return dealt_out(left, "l", "r").join(dealt_out(right, "r", "l"), [*key, "_share_l", "_share_r"]).drop("_share_l", "_share_r")
+
+
 def within_tolerance(coordinates: DataFrame, features: DataFrame, tolerance: int = 10) -> DataFrame:
     """coordinates (id, start, end) with the first feature (ord) whose ends are both within tolerance, marked '<' and '>' where partial."""
     width = 2 * tolerance + 1

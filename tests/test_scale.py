@@ -74,6 +74,18 @@ def test_nested_bins_against_brute_force(spark, bin_width):
     assert got.columns == alignment.overlaps(left, right).columns
 
 
+def test_crowded_bins_are_dealt_out(spark, monkeypatch):
+    """Ranges and features of one bin in shares of five rows: no pair is lost or doubled, and there are tasks for all of them."""
+    monkeypatch.setattr(alignment, "BIN_ROWS", 5)
+    ranges = [(i, 10 + i % 3, 40) for i in range(60)] + [(99, 5000, 5001)]
+    features = [(1 + i % 2, 50 + i, str(i % 7)) for i in range(23)] + [(5001, 9000, "far")]
+    left, right = spark.createDataFrame(ranges, "id int, start long, end long"), spark.createDataFrame(features, "feature_start long, feature_end long, product string")
+    out = alignment.overlaps(left, right, small=0)
+    want = sorted((i, p, max(s, a), min(e, b)) for i, s, e in ranges for a, b, p in features if e >= a and s <= b)
+    assert sorted(tuple(r) for r in out.select("id", "product", "aln_start", "aln_end").collect()) == want
+    assert out.rdd.getNumPartitions() > 20
+
+
 def test_a_range_makes_few_rows(spark):
     features = spark.createDataFrame([(1, 30_000_000, "long"), (50, 60, "short")], "feature_start long, feature_end long, product string")
     ranges = spark.createDataFrame([(1, 10, 29_000_000), (2, 55, 55)], "id int, start long, end long")
