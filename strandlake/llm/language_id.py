@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import text_or_empty
+from strandlake.llm.common import slices, text_or_empty
 
 UND = "und"
 #: The model is fitted on about this many distinct labelled texts, however many there are.
@@ -213,7 +213,7 @@ def keep_identified(docs: DataFrame, model: Model, least_share: float) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             found = list(predict_batch(labeller, [t or "" for t in batch.column("text").to_pylist()]))
             kept = pa.array([i for i, (lang, score, _) in enumerate(found) if lang != UND and score >= least_share], "int64")
             langs = pa.array([lang for lang, _, _ in found], "string")

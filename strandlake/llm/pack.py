@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import materialize, text_or_empty
+from strandlake.llm.common import materialize, slices, text_or_empty
 
 CAPACITY, END = 2048, 0
 #: Known parts of texts that a worker keeps before it starts anew.
@@ -84,7 +84,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end:
     last, step = int(end).to_bytes(4, "little"), 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
             for row, data in enumerate(token_bytes(batch.column(1).to_pylist(), tokenizer_path)):
                 data += last

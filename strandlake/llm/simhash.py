@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import KeyFilter, discard, materialize, numbered, release, text_or_empty, without
+from strandlake.llm.common import KeyFilter, discard, materialize, numbered, release, small_batches, text_or_empty, without
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
 #: Larger buckets are dealt out again; comparisons of a bucket run in blocks of this many rows.
@@ -171,8 +171,8 @@ WORDS = -(-BANDS * BITS // 64) + 1
 CHECK_RADIUS, SKETCH_RADIUS = 20, 96
 #: Members of one band value that emit its variants, where more than HEAVY share it, and members that are compared at once.
 PIVOTS, HEAVY, SHARE = 64, 128, 2048
-#: Buckets up to this size are compared in arrays over all buckets.
-SMALL = 8
+#: Buckets up to this size are compared in arrays over all buckets; cells of crowded ones are in blocks of MEET, all of whose pairs may go on at once.
+SMALL, MEET = 8, 512
 #: Hashes of words, and of shingles of texts, that a worker keeps.
 KNOWN, KNOWN_SHINGLES = 200_000, 1_000_000
 
@@ -341,7 +341,7 @@ def rest_of_crowded(nodes: DataFrame, roots: DataFrame, crowded: DataFrame, edge
     its distinct values and not its members. Cells of different roots that meet in a bucket are opened into their members.
     Two cells of one value meet in the first of its buckets only.
     """
-    block = BLOCK
+    block = MEET
 
     def pairs(key: np.ndarray, root: np.ndarray, value: np.ndarray, first: np.ndarray, n: np.ndarray, band: np.ndarray, node: np.ndarray, check: np.ndarray) -> Iterator[pa.RecordBatch]:
         check, cuts = check.view("u8"), np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
@@ -508,6 +508,7 @@ def near_deduplicate(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
     0.8, 0.9 or more meet in one of the BANDS; from 0.9 on nearly all do. Rows are told apart by their place, so ids may be
     null (the last in the order of ids) or repeat; texts without words form one group.
     """
-    rows, row = numbered(docs)
-    gone = near_groups(rows, row, similarity).filter("row != best").select(F.col("row").alias(row))
-    return without(rows, materialize(gone, "near-copies"), row).select(*docs.columns)
+    with small_batches(docs.sparkSession):
+        rows, row = numbered(docs)
+        gone = near_groups(rows, row, similarity).filter("row != best").select(F.col("row").alias(row))
+        return without(rows, materialize(gone, "near-copies"), row).select(*docs.columns)

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from strandlake.llm import decontaminate, exact_dedup, repeats, simhash
+from strandlake.llm import common, decontaminate, exact_dedup, repeats, simhash
 from strandlake.llm.common import KeyFilter, filter_bits, materialize, shared_filter
 
 WS = re.compile("[\x20\x09-\x0d]+")
@@ -235,6 +235,45 @@ def test_near_crowds_are_compared_whole(spark, documents, monkeypatch, joined):
     assert set(more) == {(a, b) for a, b in found[0] - found[1] if not (joined and b < 80)}
 
 
+def test_near_texts_go_to_python_by_bytes(spark, documents, monkeypatch):
+    """Every table of the stage is made under the bound, which holds whatever the texts' length and is gone afterwards."""
+    bounds, sizes = [], []
+
+    def noted(df, *args, **options):
+        bounds.append(spark.conf.get(common.BATCH_BOUND))
+        return materialize(df, *args, **options)
+
+    def measured(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    monkeypatch.setattr(simhash, "materialize", noted)
+    copy = " ".join(f"w{i}" for i in range(90))
+    assert [r["doc_id"] for r in simhash.near_deduplicate(documents([(3, copy), (1, copy)])).collect()] == [1]
+    assert len(bounds) > 3 and set(bounds) == {str(common.BATCH_BYTES)} and common.BATCH_BOUND not in spark.conf.getAll
+    texts = spark.range(0, 600, 1, 1).select(F.repeat(F.lit("abcdefgh"), 8192).alias("text"))  # 64 KB each, 39 MB
+    with common.small_batches(spark):
+        sizes = texts.mapInArrow(measured, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in sizes) == 600 and max(r["bytes"] for r in sizes) < 1.5 * common.BATCH_BYTES
+    spark.conf.set(common.BATCH_BOUND, "1m")
+    try:
+        with common.small_batches(spark):
+            assert spark.conf.get(common.BATCH_BOUND) == "1m"
+    finally:
+        spark.conf.unset(common.BATCH_BOUND)
+
+
+def test_slices_keep_all_rows():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(900)), pa.array(["x" * 20_000] * 900)], ["i", "text"])
+    parts = list(common.slices(iter([batch, batch.slice(0, 0), batch.slice(0, 1)])))
+    assert [i for part in parts for i in part.column(0).to_pylist()] == [*range(900), 0]
+    assert max(part.nbytes for part in parts) < 1.5 * common.BATCH_BYTES
+
+
 def test_rows_without_ids(documents):
     """A leaked row without id takes no other row without id with it."""
     item = "how many of the twelve red apples did the old farmer sell before noon on market day"
