@@ -173,6 +173,8 @@ CHECK_RADIUS, SKETCH_RADIUS = 20, 96
 PIVOTS, HEAVY, SHARE = 64, 128, 2048
 #: Buckets up to this size are compared in arrays over all buckets; cells of crowded ones are in blocks of MEET, all of whose pairs may go on at once.
 SMALL, MEET = 8, 512
+#: Bytes of the texts of a family's block (short texts count as LEAST_BYTES), of which two are compared in one task, and shingles that are counted at once.
+BLOCK_BYTES, LEAST_BYTES, COLUMNS = 1 << 20, 1 << 10, 8192
 #: Hashes of words, and of shingles of texts, that a worker keeps.
 KNOWN, KNOWN_SHINGLES = 200_000, 1_000_000
 
@@ -242,11 +244,11 @@ def sketches(rows: DataFrame, row: str) -> DataFrame:
     return rows.select(row, "doc_id", text_or_empty().alias("text")).mapInArrow(run, f"row long, doc_id {kind}, set_key binary, bands array<int>, words array<long>")
 
 
-def _banded(nodes: DataFrame, also: str) -> DataFrame:
-    """(node, also, band, value, check) for each band of each node; each band checks by a word of the sketch that has none of its
+def _banded(nodes: DataFrame, *also: str) -> DataFrame:
+    """(node, *also, band, value, check) for each band of each node; each band checks by a word of the sketch that has none of its
     own bits, so that an unlucky word is one band's alone."""
     word = F.get("words", (F.floor(F.col("band") * BITS / 64) + 2).cast("int") % WORDS)
-    return nodes.select("node", also, "words", F.posexplode("bands").alias("band", "value")).select("node", also, "band", "value", word.alias("check"))
+    return nodes.select("node", *dict.fromkeys((*also, "words")), F.posexplode("bands").alias("band", "value")).select("node", *also, "band", "value", word.alias("check"))
 
 
 def _even_variants() -> Column:
@@ -254,32 +256,65 @@ def _even_variants() -> Column:
     return F.when(F.bit_count("value") % 2 == 0, F.array("value")).otherwise(F.transform(flips, lambda b: F.col("value").bitwiseXOR(b)))
 
 
+def _first() -> Column:
+    """Whether variant is the first of the value's."""
+    return (F.col("variant") == F.col("value")) | (F.col("variant") == F.col("value").bitwiseXOR(F.lit(1)))
+
+
 def _bucketed(base: DataFrame, heavy: DataFrame) -> DataFrame:
     """(bucket, node, check): band values meet in the buckets of their even variants within one bit, so that all within one bit do.
 
     Of a heavy value, PIVOTS nodes (by a hash of their shingles) emit its variants, and the others meet these and one
-    another in shares of about SHARE; ``rest_of_crowded`` compares whom that leaves out.
+    another in shares of about SHARE; ``joined_families`` compares whom that leaves out. first tells one bucket of each node and band.
     """
     marked = base.join(heavy, ["band", "value"], "left") if not heavy.isEmpty() else base.withColumn("n", F.lit(None).cast("long"))
     pivot = F.pmod(F.xxhash64("set_key", "band"), F.ceil(F.col("n") / PIVOTS)) == 0
-    light = marked.filter(F.col("n").isNull() | pivot).select("band", F.explode(_even_variants()).alias("variant"), "node", "check").select(F.xxhash64("band", "variant").alias("bucket"), "node", "check")
+    light = marked.filter(F.col("n").isNull() | pivot).select("band", F.explode(_even_variants()).alias("variant"), "value", "node", "check").select(F.xxhash64("band", "variant").alias("bucket"), "node", "check", _first().alias("first"))
     shares = F.ceil(F.col("n") / SHARE)
     share = F.when(pivot, F.sequence(F.lit(0).cast("long"), shares - 1)).otherwise(F.array(F.pmod(F.xxhash64("band", "set_key"), shares)))
-    crowd = marked.filter(F.col("n").isNotNull()).select("band", "value", F.explode(share).alias("share"), "node", "check").select(F.xxhash64("band", "value", "share").alias("bucket"), "node", "check")
+    crowd = marked.filter(F.col("n").isNotNull()).select("band", "value", F.explode(share).alias("share"), "node", "check").select(F.xxhash64("band", "value", "share").alias("bucket"), "node", "check", F.lit(True).alias("first"))
     return light.union(crowd)
 
 
+def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of whole buckets; rows come sorted by the first column, and the last bucket of a batch may go on in the next."""
+    rest = None
+    for batch in batches:
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        new = new if rest is None else [np.concatenate([old, c]) for old, c in zip(rest, new, strict=True)]
+        if not len(new[0]):
+            continue
+        whole = int(np.searchsorted(new[0], new[0][-1]))
+        if whole:
+            yield [c[:whole] for c in new]
+        rest = [c[whole:].copy() for c in new]
+    if rest is not None:
+        yield rest
+
+
 def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(a, b, bits): nodes of one bucket whose check words and sketches are near, and in how many bits these differ; and the crowded buckets.
 
-    Of a large bucket go on the pairs of its minimum spanning forest by check words, so that a pair that fails to be similar
+    Of a large bucket all pairs go on if they are no more than its nodes. Else go on those of the minimum
+    spanning forest by check words of the nodes that have their first bucket here, so that a pair that fails to be similar
     stands in for a similar one only where its word is the nearer one by chance; each band has another word and another forest.
-    These connect most of a group cheaply. Crowded are the buckets of which pairs are left out: large ones, and those of
+    These connect most of a group cheaply. Crowded are the buckets of which pairs are left out: such large ones, and those of
     values that more than HEAVY nodes share.
     """
     most = SMALL
 
-    def pairs(key: np.ndarray, node: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def few(check: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        found, n = [], 0
+        for begin in range(0, len(check), 64):
+            x, y = np.nonzero(np.triu(np.bitwise_count(check[begin : begin + 64, None] ^ check[None, begin:]) <= CHECK_RADIUS, 1))
+            found.append((x + begin, y + begin))
+            n += len(x)
+            if n > len(check):
+                return None
+        x, y = zip(*found, strict=True)
+        return np.concatenate(x), np.concatenate(y)
+
+    def pairs(key: np.ndarray, node: np.ndarray, check: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         check = check.view("u8")  # of signed numbers, the bits of the absolute value would be counted
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
         sizes = np.diff(cuts)
@@ -290,29 +325,24 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
             near = near[np.bitwise_count(check[near] ^ check[near + k]) <= CHECK_RADIUS]
             a.append(node[near])
             b.append(node[near + k])
-        large = np.flatnonzero(sizes > most)
-        for i in large:
-            x, y = _forest(check[cuts[i] : cuts[i + 1]])
-            a.append(node[cuts[i] + x])
-            b.append(node[cuts[i] + y])
-        return np.concatenate(a), np.concatenate(b), key[cuts[large]]
+        crowded = []
+        for i in np.flatnonzero(sizes > most):
+            own = np.arange(cuts[i], cuts[i + 1])
+            if (near := few(check[own])) is None:
+                crowded.append(key[cuts[i]])
+                own = own[first[own]]
+                near = _forest(check[own])
+            a.append(node[own[near[0]]])
+            b.append(node[own[near[1]]])
+        return np.concatenate(a), np.concatenate(b), np.array(crowded, "i8")
 
     def batch_of(a: np.ndarray, b: np.ndarray, crowded: np.ndarray) -> pa.RecordBatch:
         columns = [pa.array(np.concatenate([a, crowded])), pa.array(np.concatenate([b, crowded])), pa.array(np.arange(len(a) + len(crowded)) >= len(a))]
         return pa.RecordBatch.from_arrays(columns, ["a", "b", "crowded"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, "i8")] * 3  # the last bucket of a batch may go on in the next
-        for batch in batches:
-            key, node, check = (np.concatenate([old, c.to_numpy()]) for old, c in zip(rest, batch.columns, strict=True))
-            if not len(key):
-                continue
-            whole = int(np.searchsorted(key, key[-1]))
-            if whole:
-                yield batch_of(*pairs(key[:whole], node[:whole], check[:whole]))
-            rest = [x[whole:].copy() for x in (key, node, check)]
-        if len(rest[0]):
-            yield batch_of(*pairs(*rest))
+        for columns in _whole_buckets(batches):
+            yield batch_of(*pairs(*columns))
 
     base = _banded(nodes, "set_key")
     heavy = materialize(base.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HEAVY), "heavy-bands")
@@ -337,6 +367,7 @@ def near_sketches(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 def rest_of_crowded(nodes: DataFrame, roots: DataFrame, crowded: DataFrame, edges: DataFrame) -> DataFrame:
     """(a, b, bits): all pairs of crowded buckets whose check words and sketches are near, but for those among edges and those that roots join.
 
+    These are up to all pairs of a group. ``joined_families`` compares them in place, so this is for tests and small tables.
     Nodes of one band value and one root stand as one cell: pairs within it are joined already, so that a group of copies emits
     its distinct values and not its members. Cells of different roots that meet in a bucket are opened into their members.
     Two cells of one value meet in the first of its buckets only.
@@ -358,25 +389,14 @@ def rest_of_crowded(nodes: DataFrame, roots: DataFrame, crowded: DataFrame, edge
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in (band[s + x], node[s + x], node[t + y], one[x, y])], ["band", "a", "b", "single"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None  # the last bucket of a batch may go on in the next
-        for batch in batches:
-            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            new = new if rest is None else [np.concatenate([old, c]) for old, c in zip(rest, new, strict=True)]
-            if not len(new[0]):
-                continue
-            whole = int(np.searchsorted(new[0], new[0][-1]))
-            if whole:
-                yield from pairs(*(c[:whole] for c in new))
-            rest = [c[whole:].copy() for c in new]
-        if rest is not None:
-            yield from pairs(*rest)
+        for columns in _whole_buckets(batches):
+            yield from pairs(*columns)
 
     own = nodes.join(roots.select(F.col("fp").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     members = materialize(_banded(own, "root"), "band-members")
     cell = ["band", "value", "root"]
     cells = materialize(members.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("cell"), F.min("check").alias("check")), "band-cells")
-    first = (F.col("variant") == F.col("value")) | (F.col("variant") == F.col("value").bitwiseXOR(F.lit(1)))
-    emitted = cells.withColumn("variant", F.explode(_even_variants())).select(F.xxhash64("band", "variant").alias("bucket"), "root", "value", first.alias("first"), "n", "band", "cell", "check")
+    emitted = cells.withColumn("variant", F.explode(_even_variants())).select(F.xxhash64("band", "variant").alias("bucket"), "root", "value", _first().alias("first"), "n", "band", "cell", "check")
     emitted = KeyFilter(crowded, F.col("bucket")).maybe_in(emitted, F.col("bucket"))
     met = emitted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "band int, a long, b long, single boolean")
     met = materialize(met, "cell-pairs")
@@ -390,6 +410,133 @@ def rest_of_crowded(nodes: DataFrame, roots: DataFrame, crowded: DataFrame, edge
     return found
 
 
+def _connect(label: np.ndarray, u: np.ndarray, v: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
+    """Of the pairs of places (u[i], v[j]) for which near[i, j], as few as join all labels that these join; the smaller label stays."""
+    edges = []
+    while True:
+        near &= label[u, None] != label[None, v]
+        rows = np.flatnonzero(near.any(1))
+        if not len(rows):
+            return edges
+        for i, j in zip(u[rows].tolist(), v[near[rows].argmax(1)].tolist(), strict=True):
+            if (p := label[i]) != (q := label[j]):
+                edges.append((i, j))
+                label[label == max(p, q)] = min(p, q)
+
+
+def families(own: DataFrame, crowded: DataFrame) -> DataFrame:
+    """(root, family): the roots of own (node, root, bands, words) that may have near members in a crowded bucket, and all that they reach so.
+
+    Nodes of a bucket with one band value and one root stand as one cell. The bits that all of a cell's sketches have, and those
+    that none has, bound from below in how many bits its members differ from another cell's. A bucket hands on a spanning forest
+    of the cells that may be near, never its pairs.
+    """
+    names = [f"{kind}{i}" for kind in ("all", "any") for i in range(WORDS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, root, *bits in _whole_buckets(batches):
+            every, none = (np.stack(x, 1).view("u8") for x in (bits[:WORDS], [~x for x in bits[WORDS:]]))
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+            label, edges = root.copy(), []
+            for i in np.flatnonzero(np.minimum.reduceat(root, cuts[:-1]) != np.maximum.reduceat(root, cuts[:-1])):
+                begin, end = cuts[i], cuts[i + 1]
+                own, apart = label[begin:end], np.arange(end - begin)
+                for s in range(0, len(own), MEET):
+                    for t in range(s, len(own), MEET):
+                        u, v = apart[s : s + MEET], apart[t : t + MEET]
+                        if own[u].min() == own[v].max() and own[v].min() == own[u].max():
+                            continue
+                        differ = np.zeros((len(u), len(v)), "u2")
+                        for w in range(WORDS):
+                            all_u, none_u, all_v, none_v = (x[begin:end][at, w] for at in (u, v) for x in (every, none))
+                            differ += np.bitwise_count(all_u[:, None] & none_v | none_u[:, None] & all_v)
+                        edges += [(begin + a, begin + b) for a, b in _connect(own, u, v, differ <= SKETCH_RADIUS)]
+            a, b = np.array(edges, "i8").reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(root[a]), pa.array(root[b])], ["a", "b"])
+
+    emitted = _banded(own, "root", "words").withColumn("variant", F.explode(_even_variants())).select(F.xxhash64("band", "variant").alias("bucket"), "value", "root", "words")
+    emitted = KeyFilter(crowded, F.col("bucket")).maybe_in(emitted, F.col("bucket"))
+    sums = [f(F.get("words", F.lit(i))).alias(f"{kind}{i}") for kind, f in (("all", F.bit_and), ("any", F.bit_or)) for i in range(WORDS)]
+    cells = emitted.groupBy("bucket", "value", "root").agg(*sums).select("bucket", "root", *names)
+    met = cells.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
+    joined = components(met)
+    return materialize(joined.select(F.col("fp").alias("root"), F.col("root").alias("family")).union(joined.select("root", "root")).distinct(), "families")
+
+
+def similar_in_blocks(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): roots of different members (family, block, node, root, text) of a family whose sets of shingles have at least this
+    Jaccard similarity. All pairs of different roots are compared, those of two blocks in one task; enough links to connect them go on."""
+    columns_at_once, piece = COLUMNS, MEET
+
+    def held(codes: list[np.ndarray], there: np.ndarray) -> np.ndarray:
+        """Which set has which of the shingles there."""
+        code, row = np.concatenate(codes), np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+        at = np.minimum(np.searchsorted(there, code), len(there) - 1)
+        known, out = there[at] == code, np.zeros((len(codes), len(there)), "f4")
+        out[row[known], at[known]] = 1
+        return out
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        known: dict[bytes, int] = {}
+        root = rows.column("root").to_numpy()
+        block = rows.column("block").to_numpy()
+        sets = [np.unique(shingles(t, known)) for part in rows.column("text").chunks for t in part.to_pylist()]
+        size, label, edges = np.fromiter(map(len, sets), "i8", len(sets)), root.copy(), []
+        one, other = (np.flatnonzero(block == key[k].as_py()) for k in (1, 2))
+        same = key[1].as_py() == key[2].as_py()
+        for s in range(0, len(one), piece):
+            for t in range(s if same else 0, len(other), piece):
+                u, v = one[s : s + piece], other[t : t + piece]
+                least, most = (np.minimum, np.maximum)
+                fits = least(size[u, None], size[None, v]) >= similarity * most(size[u, None], size[None, v]) * (1 - 1e-9)
+                fits &= label[u, None] != label[None, v]
+                u, v = u[fits.any(1)], v[fits.any(0)]
+                if not len(u):
+                    continue
+                mine, theirs = [sets[i] for i in u], [sets[i] for i in v]
+                shared = np.intersect1d(np.concatenate(mine), np.concatenate(theirs))
+                both = np.zeros((len(u), len(v)))
+                for begin in range(0, len(shared), columns_at_once):
+                    there = shared[begin : begin + columns_at_once]
+                    both += held(mine, there) @ held(theirs, there).T
+                edges += _connect(label, u, v, both / np.maximum(1, size[u, None] + size[None, v] - both) >= similarity)
+        a, b = np.array(edges, "i8").reshape(-1, 2).T
+        return pa.table({"a": root[a], "b": root[b]})
+
+    blocks = members.groupBy("family", "block").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    one, other = (blocks.select("family", F.col("block").alias(x), F.col("least").alias(f"least_{x}"), F.col("most").alias(f"most_{x}")) for x in ("one", "other"))
+    met = one.join(other, "family").filter("one <= other AND (least_one != most_one OR least_other != most_other OR least_one != least_other)")
+    met = met.select("family", "one", "other", F.explode(F.array_distinct(F.array("one", "other"))).alias("block"))
+    return members.join(met, ["family", "block"]).select("family", "one", "other", "block", "root", "text").groupBy("family", "one", "other").applyInArrow(run, "a long, b long")
+
+
+def joined_families(nodes: DataFrame, roots: DataFrame, crowded: DataFrame, rows: DataFrame, row: str, similarity: float) -> DataFrame:
+    """(fp, root) as roots, on top of which all similar pairs of the families of crowded buckets are joined.
+
+    The texts of a family are dealt into blocks of bounded size, and each two of its blocks are compared in one task; large roots
+    have blocks of their own, so that what is joined already is not compared again.
+    """
+    own = nodes.join(roots.select(F.col("fp").alias("node"), "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    own = materialize(own.select("node", "root", "bands", "words"), "rooted-nodes")
+    family = families(own, crowded)
+    if family.isEmpty():
+        discard(own, family)
+        return roots
+    members = materialize(own.select("node", "root").join(family, "root").select("node", "root", "family"), "family-nodes")
+    texts = KeyFilter(members, F.col("node")).maybe_in(rows.select(F.col(row).alias("node"), text_or_empty().alias("text")), F.col("node")).join(members, "node")
+    texts = materialize(texts.select("family", "root", "node", "text"), "family-texts", compression="zstd")
+    sizes = texts.groupBy("family", "root").agg(F.sum(F.greatest(F.octet_length("text"), F.lit(LEAST_BYTES))).alias("bytes"))
+    sizes = materialize(sizes.withColumn("home", F.when(F.col("bytes") >= BLOCK_BYTES, F.col("root")).otherwise(-1)), "family-sizes")
+    dealt = sizes.groupBy("family", "home").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("blocks"))
+    homes = materialize(sizes.join(dealt, ["family", "home"]).select("root", "home", "blocks"), "family-homes")
+    block = F.xxhash64("home", F.pmod(F.xxhash64("node"), "blocks"))
+    found = similar_in_blocks(texts.join(homes, "root").select("family", block.alias("block"), "node", "root", "text"), similarity)
+    more = components(found).select(F.col("fp").alias("root"), F.col("root").alias("_root"))
+    joined = materialize(own.select("node", "root").join(more, "root", "left").select(F.col("node").alias("fp"), F.coalesce("_root", "root").alias("root")), "joined-roots")
+    discard(own, family, members, texts, sizes, homes)
+    return joined
+
+
 def _forest(check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the pairs of a minimum spanning forest of the check words, by differing bits, of at most CHECK_RADIUS.
 
@@ -441,14 +588,14 @@ def similar(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def verified_roots(edges: DataFrame, texts: DataFrame, similarity: float, roots: DataFrame | None = None) -> DataFrame:
-    """(fp, root) for each node that similar pairs among edges (a, b, bits; a < b) connect to others, as of ``components``, on top of roots.
+def verified_roots(edges: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(fp, root) for each node that similar pairs among edges (a, b, bits; a < b) connect to others, as of ``components``.
 
-    A large group has far more candidates than members. So every node first asks for its nearest one (if there are roots already,
-    its 16 nearest), then, of those that do not join what is joined already, for four times as many in each round. texts: node, text.
+    A large group has far more candidates than members. So every node first asks for its nearest one, then, of those that do
+    not join what is joined already, for four times as many in each round. texts: node, text.
     """
     one, other = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    remaining, most = edges, 16 if roots else 1
+    remaining, most, roots = edges, 1, None
     while True:
         ranked = remaining.withColumn("_n", F.row_number().over(Window.partitionBy("b").orderBy("bits", "a")))
         asked = materialize(ranked.filter(F.col("_n") <= most).select("a", "b"), "asked-pairs")
@@ -468,13 +615,13 @@ def verified_roots(edges: DataFrame, texts: DataFrame, similarity: float, roots:
         release(texts.sparkSession)
 
 
-def _verified(edges: DataFrame, rows: DataFrame, row: str, similarity: float, roots: DataFrame | None) -> DataFrame:
+def _verified(edges: DataFrame, rows: DataFrame, row: str, similarity: float) -> DataFrame:
     """``verified_roots`` of edges, whose texts are fetched from rows."""
     asked = materialize(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), "candidate-nodes")
     release(rows.sparkSession)
     texts = KeyFilter(asked, F.col("node")).maybe_in(rows.select(F.col(row).alias("node"), text_or_empty().alias("text")), F.col("node")).join(asked, "node").select("node", "text")
     texts = materialize(texts, "candidate-texts", compression="zstd")
-    roots = verified_roots(edges, texts, similarity, roots)
+    roots = verified_roots(edges, texts, similarity)
     discard(asked, texts)
     return roots
 
@@ -486,12 +633,9 @@ def near_groups(rows: DataFrame, row: str, similarity: float = SIMILARITY) -> Da
     nodes = made.groupBy("set_key").agg(best.alias("first"), F.min(F.struct("bands", "words")).alias("s"))
     nodes = materialize(nodes.select("set_key", "first", "s.bands", "s.words", F.col("first.row").alias("node")), "sketch-nodes")
     edges, crowded = candidates(nodes)
-    roots = _verified(edges, rows, row, similarity, None)
+    roots = _verified(edges, rows, row, similarity)
     if not crowded.isEmpty():
-        more = rest_of_crowded(nodes, roots, crowded, edges)
-        if not more.isEmpty():
-            roots = _verified(more, rows, row, similarity, roots)
-        discard(more)
+        roots = joined_families(nodes, roots, crowded, rows, row, similarity)
     known = nodes.join(roots.withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     stands = known.groupBy("root").agg(F.min("first").alias("best"))
     named = known.select("set_key", "root").join(stands, "root").select("set_key", F.col("best.row").alias("best"))

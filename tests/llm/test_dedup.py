@@ -235,6 +235,39 @@ def test_near_crowds_are_compared_whole(spark, documents, monkeypatch, joined):
     assert set(more) == {(a, b) for a, b in found[0] - found[1] if not (joined and b < 80)}
 
 
+def test_near_pairs_of_a_group_grow_with_it(documents, monkeypatch):
+    """A group in which most sketches are near and few texts similar hands on pairs in proportion to it, and loses no link."""
+    handed, near_sketches, similar = [], simhash.near_sketches, simhash.similar
+    monkeypatch.setattr(simhash, "near_sketches", lambda pairs, nodes: handed.append(pairs.distinct().count()) or near_sketches(pairs, nodes))
+    monkeypatch.setattr(simhash, "similar", lambda pairs, least: handed.append(pairs.count()) or similar(pairs, least))
+    totals = []
+    for n in (200, 400):
+        rng = np.random.default_rng(21)
+        words, handed[:] = [f"w{x}" for x in rng.integers(0, 1000, 200)], []
+        texts = [edited(rng, words, int(rng.integers(2, 7))) for _ in range(n)]
+        want = joined_brute(texts)
+        kept = {r["doc_id"] for r in simhash.near_deduplicate(documents(list(enumerate(texts)))).select("doc_id").collect()}
+        assert 50 < len(kept) < n and kept == set(np.flatnonzero(want == np.arange(n)).tolist())
+        totals.append(sum(handed))
+    assert totals[1] < 2.8 * totals[0] and totals[1] < n * (n - 1) / 4, totals  # twice the group; all pairs are n * (n - 1) / 2
+
+
+@pytest.mark.parametrize("size", [1 << 20, 1 << 12])
+def test_similar_in_blocks_compares_all_pairs(spark, monkeypatch, size):
+    """Families in one block and in many, some members joined already: every link is found, across blocks too."""
+    for name, value in {"MEET": 7, "COLUMNS": 16, "BLOCK_BYTES": size}.items():
+        monkeypatch.setattr(simhash, name, value)
+    rng = np.random.default_rng(22)
+    words = [f"w{x}" for x in rng.integers(0, 1000, 60)]
+    texts = [edited(rng, words, int(rng.integers(0, 4))) for _ in range(90)] + ["", "a b", "A  b"]
+    want = joined_brute(texts[:90])
+    members = [(7, i % (1 if size > 1 << 12 else 9), i, 0 if i < 5 and want[i] == 0 else i, t) for i, t in enumerate(texts)]
+    found = simhash.similar_in_blocks(spark.createDataFrame(members, "family long, block long, node long, root long, text string"), 0.8)
+    roots = dict(simhash.components(found).collect())
+    assert [roots.get(m[3], m[3]) for m in members[:90]] == want.tolist()
+    assert roots.get(90, 90) == 90 and roots.get(92, 92) == 91
+
+
 def test_near_texts_go_to_python_by_bytes(spark, documents, monkeypatch):
     """Every table of the stage is made under the bound, which holds whatever the texts' length and is gone afterwards."""
     bounds, sizes = [], []
