@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from zstandard import ZstdCompressor, ZstdDecompressor
 
 from strandlake.llm.common import materialize, numbered, text_or_empty
+from strandlake.llm.common import slices as small_parts
 
 DEPTH, TOP, END = 5, 3, b"\n"
 #: Bytes of the texts of a chunk (one text at least), and bytes that are turned into grams at once.
@@ -38,7 +39,9 @@ CHUNK, SLICE = 16 << 20, 1 << 20
 #: Hash groups of words and grams. A group's distinct grams fit a task's memory up to some 10**10 of all groups.
 GROUPS = 2048
 #: Grams of whole subtrees that are weighed at once.
-AT_ONCE = 120_000
+AT_ONCE = 60_000
+#: Parts of a chunk's grams, by hash group, that are summed up and packed one at a time.
+PARTS = 8
 
 
 def words(text: str) -> list[bytes]:
@@ -179,31 +182,31 @@ def log10_grams(code: np.ndarray, n: np.ndarray, top: list[Level]) -> np.ndarray
     return total
 
 
-def in_chunks(rows: DataFrame) -> DataFrame:
-    """rows (doc_id, text, held_out) with chunk. They must come in the same order each time: a scan of files, or a written table."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", chunk long"
+def in_chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of a task's rows with chunk, in small parts. Rows must come in the same order each time: a scan of files, or a written table.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = 0
-        for batch in batches:
-            ends = before + np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype("i8"))
-            starts = np.concatenate([[before], ends[:-1]]) if len(ends) else ends
-            before = int(ends[-1]) if len(ends) else before
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((TaskContext.get().partitionId() << 32) + starts // CHUNK)], [*batch.schema.names, "chunk"])
-
-    return rows.mapInArrow(run, schema)
+    It runs in the worker that uses the chunks: a worker of its own for each task would hold the texts once more.
+    """
+    before = 0
+    for batch in small_parts(batches):
+        ends = before + np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype("i8"))
+        starts = np.concatenate([[before], ends[:-1]]) if len(ends) else ends
+        before = int(ends[-1]) if len(ends) else before
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((TaskContext.get().partitionId() << 32) + starts // size)], [*batch.schema.names, "chunk"])
 
 
-def squeezed_texts(chunks: DataFrame) -> DataFrame:
+def squeezed_texts(rows: DataFrame) -> DataFrame:
     """(doc_id, held_out, chunk, text), the text as compressed bytes for the shuffle."""
+    size = CHUNK
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_chunks(batches, size):
             pack = ZstdCompressor(level=1).compress
-            texts = pa.array([pack(t.encode("utf-8", "surrogatepass")) for t in batch.column(3).to_pylist()], "binary")
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], texts], ["doc_id", "held_out", "chunk", "text"])
+            texts = pa.array([pack(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()], "binary")
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "held_out", "chunk")), texts], ["doc_id", "held_out", "chunk", "text"])
 
-    schema = f"doc_id {chunks.schema['doc_id'].dataType.simpleString()}, held_out boolean, chunk long, text binary"
-    return chunks.select("doc_id", "held_out", "chunk", "text").mapInArrow(run, schema)
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, chunk long, text binary"
+    return rows.select("doc_id", "held_out", "text").mapInArrow(run, schema)
 
 
 def squeezed(x: np.ndarray, rising: bool = False) -> bytes:
@@ -232,11 +235,16 @@ def summed(code: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.
 
 
 class Lookup:
-    """Values by key in an open table, for many more lookups than keys; every key that is asked for is there."""
+    """Values by key in an open table, for many more lookups than keys; every key that is asked for is there.
+
+    Keys are added in parts, so that nothing but the table is held for all of them at once.
+    """
 
-    def __init__(self, key: np.ndarray, value: np.ndarray):
-        self.mask = (1 << max(4, (len(key) * 3 // 2).bit_length())) - 1
-        self.key, self.value = np.full(self.mask + 1, -1, "i8"), np.zeros(self.mask + 1, value.dtype)
+    def __init__(self, size: int, kind: str = "f4"):
+        self.mask = (1 << max(4, (size * 3 // 2).bit_length())) - 1
+        self.key, self.value = np.full(self.mask + 1, -1, "i8"), np.zeros(self.mask + 1, kind)
+
+    def add(self, key: np.ndarray, value: np.ndarray) -> None:
         slot = self._slot(key)
         while len(key):
             free = self.key[slot] == -1
@@ -267,30 +275,38 @@ def asked(rows: DataFrame) -> DataFrame:
 
     names = ["part", "chunk", "words", "n_words", "codes", "n_codes"]
 
-    def packed(chunk: int, train: Counter, seen: set, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    size = CHUNK
+
+    def packed(chunk: int, train: Counter, seen: set, code: list[list[np.ndarray]], n: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         by_group: list[list[bytes]] = [[] for _ in range(GROUPS)]
         for word in seen.union(train):
             by_group[crc32(word) % GROUPS].append(word)
-        group = group_of(code)
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        code, n = code[order], n[order]
         pack = ZstdCompressor(level=1).compress
-        out = [(g, chunk, pack(b" ".join(sorted(found))), squeezed(np.array([train[w] for w in sorted(found)], "i8")), squeezed(code[a:b], rising=True), squeezed(n[a:b])) for g, (found, a, b) in enumerate(zip(by_group, cuts, cuts[1:], strict=False))]
-        kinds = ("int32", "int64", *["binary"] * 4)
-        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)], names)
+        for k in range(PARTS):
+            codes, counts = summed(code[k], n[k])
+            code[k] = n[k] = None
+            group = group_of(codes)
+            order, groups = np.argsort(group, kind="stable"), range(k, GROUPS, PARTS)
+            starts, ends = (np.searchsorted(group[order], groups, side) for side in ("left", "right"))
+            codes, counts = codes[order], counts[order]
+            out = [(g, chunk, pack(b" ".join(found := sorted(by_group[g]))), squeezed(np.array([train[w] for w in found], "i8")), squeezed(codes[a:b], rising=True), squeezed(counts[a:b])) for g, a, b in zip(groups, starts, ends, strict=True)]
+            kinds = ("int32", "int64", *["binary"] * 4)
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+    def empty() -> list[list[np.ndarray]]:
+        return [[np.zeros(0, "i8")] for _ in range(PARTS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, train, seen, code, n, held = None, Counter(), set(), [], [], 0
-        for batch in batches:
+        chunk, train, seen, code, n, held = None, Counter(), set(), empty(), empty(), 0
+        for batch in in_chunks(batches, size):
             chunks, held_out = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("chunk", "held_out"))
             ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype("i8"))
             begin = 0
             while begin < len(chunks):
                 if chunks[begin] != chunk:
-                    if code:
-                        yield packed(chunk, train, seen, *summed(code, n))
-                    chunk, train, seen, code, n, held = int(chunks[begin]), Counter(), set(), [], [], 0
+                    if chunk is not None:
+                        yield from packed(chunk, train, seen, code, n)
+                    chunk, train, seen, code, n, held = int(chunks[begin]), Counter(), set(), empty(), empty(), 0
                 before = ends[begin - 1] if begin else 0
                 end = min(max(begin + 1, int(np.searchsorted(ends, before + SLICE, "right"))), int(np.searchsorted(chunks, chunk, "right")))
                 texts = batch.column("text").slice(begin, end - begin).to_pylist()
@@ -300,17 +316,20 @@ def asked(rows: DataFrame) -> DataFrame:
                         (seen if kind else train).update(text)
                     for part, _, _ in slices(found):
                         part, count = np.unique(part, return_counts=True)
-                        code.append(part)
-                        n.append(count * (not kind))
+                        own = group_of(part) % PARTS
+                        for k in range(PARTS):
+                            code[k].append(part[own == k])
+                            n[k].append(count[own == k] * (not kind))
                         held += len(part)
                 if held > 2 * SLICE:
-                    merged = summed(code, n)
-                    code, n, held = [merged[0]], [merged[1]], 0
+                    for k in range(PARTS):
+                        code[k], n[k] = ([x] for x in summed(code[k], n[k]))
+                    held = 0
                 begin = end
-        if code:
-            yield packed(chunk, train, seen, *summed(code, n))
+        if chunk is not None:
+            yield from packed(chunk, train, seen, code, n)
 
-    return materialize(rows.select("chunk", "held_out", "text").mapInArrow(run, f"part int, chunk long, {PACKED}"), "asked", compression="zstd")
+    return materialize(rows.select("held_out", "text").mapInArrow(run, f"part int, chunk long, {PACKED}"), "asked", compression="zstd")
 
 
 def vocabulary(wanted: DataFrame) -> DataFrame:
@@ -432,8 +451,7 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     docs, _ = numbered(docs)
     rows = docs.select("doc_id", text_or_empty().alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     texts = rows.filter("NOT held_out").count()
-    chunks = in_chunks(rows)
-    wanted = asked(chunks)
+    wanted = asked(rows)
     known = vocabulary(wanted)
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,9 +469,10 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
         counts = {}
         for row, c in zip(right.column("words").to_pylist(), right.column("counts").to_pylist(), strict=True):
             counts.update(zip(text_words(row), numbers(c).tolist(), strict=True))
-        code = np.concatenate([np.zeros(0, "i8"), *(numbers(c, rising=True) for c in right.column("codes").to_pylist())])
-        score = np.frombuffer(b"".join(right.column("scores").to_pylist()), "f4")
-        scores = Lookup(code, score)
+        scores = Lookup(pc.sum(pc.binary_length(right.column("scores"))).as_py() // 4)
+        for part in right.select(["codes", "scores"]).to_batches():
+            for codes, score in zip(*part.columns, strict=True):
+                scores.add(numbers(codes.as_py(), rising=True), np.frombuffer(score.as_py(), "f4"))
         base, hits, tokens, size, total = ([] for _ in range(5))
         for part in left.column("text").chunks:
             todo, begin = part.to_pylist(), 0
@@ -482,5 +501,5 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
         arrays = [left.column("doc_id"), left.column("held_out"), pa.array(tokens, "int64"), pa.array(hits, "int64"), pa.array([n] * len(tokens), "int64"), pa.array(base, "float64"), pa.array(total), pa.array(-total / np.log10(2) / np.maximum(size, 1))]
         return pa.table(arrays, names=[name for name, _ in out])
 
-    return squeezed_texts(chunks).groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, ", ".join(" ".join(x) for x in out))
+    return squeezed_texts(rows).groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(run, ", ".join(" ".join(x) for x in out))
 

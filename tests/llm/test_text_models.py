@@ -340,3 +340,14 @@ def tokens_brute_short(word, scores):
 def test_trie(words):
     scores = {b"a": -1.0, b"ab": -1.5, b"bc": -1.2, b"b": -2.0, b"bbbbbbbbbbbbb": -1.0, b"bbbbbbbbbb": -0.7, b"abc": -9.0}
     assert token_counts.trie_counts(words, token_counts.Pieces(scores)).tolist() == [tokens_brute(w, scores) for w in words]
+
+
+def test_lm_lookup_is_filled_in_parts():
+    """Only the table is held for all grams of a chunk: they are added group by group."""
+    rng = np.random.default_rng(3)
+    key = np.unique(rng.integers(0, 1 << 48, 5000))
+    value, table = rng.random(len(key)).astype("f4"), context_tree.Lookup(len(key))
+    for begin in range(0, len(key), 700):
+        table.add(key[begin : begin + 700], value[begin : begin + 700])
+    asked = rng.integers(0, len(key), 20000)
+    assert (table[key[asked]] == value[asked]).all()
