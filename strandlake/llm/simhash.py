@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm.common import KeyFilter, discard, materialize, numbered, release, small_batches, text_or_empty, without
+from strandlake.llm.common import KeyFilter, discard, filter_bits, materialize, numbered, release, small_batches, text_or_empty, without
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
 #: Larger buckets are dealt out again; comparisons of a bucket run in blocks of this many rows.
@@ -251,9 +251,12 @@ def _banded(nodes: DataFrame, *also: str) -> DataFrame:
     return nodes.select("node", *dict.fromkeys((*also, "words")), F.posexplode("bands").alias("band", "value")).select("node", *also, "band", "value", word.alias("check"))
 
 
+def _one_bit_off(name: str) -> Column:
+    return F.transform(F.array(*(F.lit(1 << i) for i in range(BITS))), lambda b: F.col(name).bitwiseXOR(b))
+
+
 def _even_variants() -> Column:
-    flips = F.array(*(F.lit(1 << i) for i in range(BITS)))
-    return F.when(F.bit_count("value") % 2 == 0, F.array("value")).otherwise(F.transform(flips, lambda b: F.col("value").bitwiseXOR(b)))
+    return F.when(F.bit_count("value") % 2 == 0, F.array("value")).otherwise(_one_bit_off("value"))
 
 
 def _first() -> Column:
@@ -293,7 +296,8 @@ def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarra
 
 
 def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(a, b, bits): nodes of one bucket whose check words and sketches are near, and in how many bits these differ; and the crowded buckets.
+    """(a, b, bits): nodes of one bucket whose check words and sketches are near, and in how many bits these differ; and the
+    crowded buckets (bucket, band, variant).
 
     Of a large bucket all pairs go on if they are no more than its nodes. Else go on those of the minimum
     spanning forest by check words of the nodes that have their first bucket here, so that a pair that fails to be similar
@@ -315,6 +319,7 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         return np.concatenate(x), np.concatenate(y)
 
     def pairs(key: np.ndarray, node: np.ndarray, check: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both nodes of each pair, and the places of one node of each crowded bucket."""
         check = check.view("u8")  # of signed numbers, the bits of the absolute value would be counted
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
         sizes = np.diff(cuts)
@@ -329,20 +334,18 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         for i in np.flatnonzero(sizes > most):
             own = np.arange(cuts[i], cuts[i + 1])
             if (near := few(check[own])) is None:
-                crowded.append(key[cuts[i]])
+                crowded.append(cuts[i])
                 own = own[first[own]]
                 near = _forest(check[own])
             a.append(node[own[near[0]]])
             b.append(node[own[near[1]]])
         return np.concatenate(a), np.concatenate(b), np.array(crowded, "i8")
 
-    def batch_of(a: np.ndarray, b: np.ndarray, crowded: np.ndarray) -> pa.RecordBatch:
-        columns = [pa.array(np.concatenate([a, crowded])), pa.array(np.concatenate([b, crowded])), pa.array(np.arange(len(a) + len(crowded)) >= len(a))]
-        return pa.RecordBatch.from_arrays(columns, ["a", "b", "crowded"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in _whole_buckets(batches):
-            yield batch_of(*pairs(*columns))
+        for key, node, *rest in _whole_buckets(batches):
+            a, b, crowded = pairs(key, node, *rest)
+            columns = [pa.array(np.concatenate([a, key[crowded]])), pa.array(np.concatenate([b, node[crowded]])), pa.array(np.arange(len(a) + len(crowded)) >= len(a))]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "crowded"])
 
     base = _banded(nodes, "set_key")
     heavy = materialize(base.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HEAVY), "heavy-bands")
@@ -350,8 +353,11 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = _bucketed(base, heavy).repartition("bucket").sortWithinPartitions("bucket", "check", "node").mapInArrow(run, "a long, b long, crowded boolean")
     found = materialize(found, "bucket-pairs")
     edges = materialize(near_sketches(found.filter("NOT crowded AND a != b"), nodes), "candidates")
-    of_heavy = heavy.select("band", F.explode(_even_variants()).alias("variant")).select(F.xxhash64("band", "variant").alias("bucket"))
-    crowded = materialize(found.filter("crowded").select(F.col("a").alias("bucket")).union(of_heavy).distinct(), "crowded-bands")
+    of_heavy = heavy.select("band", F.explode(_even_variants()).alias("variant")).select(F.xxhash64("band", "variant").alias("bucket"), "band", "variant")
+    # A crowded bucket comes with one of its nodes, which tells its band and variant. Shares have none: their values are heavy ones.
+    large = found.filter("crowded").select(F.col("a").alias("bucket"), F.col("b").alias("node")).join(nodes.select("node", "bands"), "node")
+    large = large.select("bucket", F.posexplode("bands").alias("band", "value")).select("bucket", "band", F.explode(_even_variants()).alias("variant"))
+    crowded = materialize(large.filter(F.xxhash64("band", "variant") == F.col("bucket")).union(of_heavy).distinct(), "crowded-bands")
     discard(found, heavy)
     return edges, crowded
 
@@ -427,9 +433,10 @@ def _connect(label: np.ndarray, u: np.ndarray, v: np.ndarray, near: np.ndarray)
 def families(own: DataFrame, crowded: DataFrame) -> DataFrame:
     """(root, family): the roots of own (node, root, bands, words) that may have near members in a crowded bucket, and all that they reach so.
 
-    Nodes of a bucket with one band value and one root stand as one cell. The bits that all of a cell's sketches have, and those
-    that none has, bound from below in how many bits its members differ from another cell's. A bucket hands on a spanning forest
-    of the cells that may be near, never its pairs.
+    Nodes with one band value and one root stand as one cell, made before it meets its buckets, so that a group joined already
+    emits its distinct values and not its members; values near no crowded bucket are left out before. The bits that all of a
+    cell's sketches have, and those that none has, bound from below in how many bits its members differ from another cell's. A
+    bucket hands on a spanning forest of the cells that may be near, never its pairs.
     """
     names = [f"{kind}{i}" for kind in ("all", "any") for i in range(WORDS)]
 
@@ -454,11 +461,14 @@ def families(own: DataFrame, crowded: DataFrame) -> DataFrame:
             a, b = np.array(edges, "i8").reshape(-1, 2).T
             yield pa.RecordBatch.from_arrays([pa.array(root[a]), pa.array(root[b])], ["a", "b"])
 
-    emitted = _banded(own, "root", "words").withColumn("variant", F.explode(_even_variants())).select(F.xxhash64("band", "variant").alias("bucket"), "value", "root", "words")
-    emitted = KeyFilter(crowded, F.col("bucket")).maybe_in(emitted, F.col("bucket"))
+    value = F.xxhash64("band", "value")
+    reached = crowded.select("band", F.explode(F.concat(F.array("variant"), _one_bit_off("variant"))).alias("value"))
+    members = KeyFilter(reached, value, bits=filter_bits((BITS + 1) * crowded.count())).maybe_in(_banded(own, "root", "words"), value)
     sums = [f(F.get("words", F.lit(i))).alias(f"{kind}{i}") for kind, f in (("all", F.bit_and), ("any", F.bit_or)) for i in range(WORDS)]
-    cells = emitted.groupBy("bucket", "value", "root").agg(*sums).select("bucket", "root", *names)
-    met = cells.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
+    cells = members.groupBy("band", "value", "root").agg(*sums).withColumn("variant", F.explode(_even_variants()))
+    emitted = cells.select(F.xxhash64("band", "variant").alias("bucket"), "root", *names)
+    emitted = KeyFilter(crowded, F.col("bucket")).maybe_in(emitted, F.col("bucket"))
+    met = emitted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
     joined = components(met)
     return materialize(joined.select(F.col("fp").alias("root"), F.col("root").alias("family")).union(joined.select("root", "root")).distinct(), "families")
 

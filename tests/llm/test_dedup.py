@@ -252,6 +252,42 @@ def test_near_pairs_of_a_group_grow_with_it(documents, monkeypatch):
     assert totals[1] < 2.8 * totals[0] and totals[1] < n * (n - 1) / 4, totals  # twice the group; all pairs are n * (n - 1) / 2
 
 
+def test_crowded_buckets_get_values_and_not_members(spark, documents, monkeypatch):
+    """Of a group that is joined already, what meets in crowded buckets are its values; all that is near in such a bucket is one family."""
+    handed = []
+
+    class Counted(common.KeyFilter):
+        def maybe_in(self, df, key):
+            out = super().maybe_in(df, key)
+            handed.append(out.count())
+            return out
+
+    for name, value in {"KeyFilter": Counted, "SMALL": 2, "HEAVY": 8, "PIVOTS": 2, "SHARE": 4}.items():
+        monkeypatch.setattr(simhash, name, value)
+    rng = np.random.default_rng(31)
+    words, apart = ([f"{x}{y}" for y in rng.integers(0, 1000, n)] for x, n in (("w", 300), ("x", 60)))
+    texts = [edited(rng, words, 1) for _ in range(300)] + [edited(rng, apart, int(rng.integers(1, 6))) for _ in range(60)]
+    docs = documents(list(enumerate(texts))).withColumn("number", F.col("doc_id"))
+    nodes = materialize(simhash.sketches(docs, "number").select("set_key", "bands", "words", F.col("row").alias("node")), "test-nodes")
+    _, crowded = simhash.candidates(nodes)
+    own = materialize(nodes.select("node", F.when(F.col("node") < 290, 0).otherwise(F.col("node")).alias("root"), "bands", "words"), "test-own")
+    family = {r["root"]: r["family"] for r in simhash.families(own, crowded).collect()}
+    emitted = {}  # (root, words) of each bucket
+    for r in own.collect():
+        for band, value in enumerate(r["bands"]):
+            for v in [value] if value.bit_count() % 2 == 0 else [value ^ 1 << i for i in range(simhash.BITS)]:
+                emitted.setdefault((band, v), []).append((r["root"], np.array(r["words"], "i8")))
+    met = [emitted[(r["band"], r["variant"])] for r in crowded.collect()]
+    assert len({root for bucket in met for root, _ in bucket}) > 30
+    for bucket in met:
+        for root, x in bucket:
+            for other, y in bucket:
+                if root < other and np.bitwise_count((x ^ y).view("u8")).sum() <= simhash.SKETCH_RADIUS:
+                    assert family[root] == family[other]
+    print("rows handed on", handed, "rows of nodes in crowded buckets", sum(map(len, met)))
+    assert handed[0] <= 12 * own.count() and 3 * sum(handed) < sum(map(len, met))
+
+
 @pytest.mark.parametrize("size", [1 << 20, 1 << 12])
 def test_similar_in_blocks_compares_all_pairs(spark, monkeypatch, size):
     """Families in one block and in many, some members joined already: every link is found, across blocks too."""
